@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("text", "corpus")
+MODULES = ("text", "corpus", "retrieval")
 
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
