@@ -13,6 +13,9 @@ gives an empty result.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -21,37 +24,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm import chunks
 from corpusloom.llm.storage import materialize, ship_package
-from corpusloom.llm.token_counts import default_vocabulary
+from corpusloom.llm.token_counts import PRETOKEN, byte_symbols, default_vocabulary
 
 #: Rows of the table per packing group: large enough for little padding, small enough for one task.
 GROUP_ROWS = 40_000
 
 
+#: Texts of these characters only are pre-tokenized alike by both libraries, whatever Unicode version they carry.
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa0-\u024f\u2010-\u2027\u20ac]*")
+_LONG_GAP = re.compile(r"\s{500}")
+
+
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, by the tokenizers library.
+    """Ids of whole texts as little-endian unsigned 32-bit bytes, as the tokenizers library gives them.
 
-    The library encodes each distinct piece between exact cut points once.
+    The library encodes texts outside the plain character range. For the rest, and
+    where the file's ids follow its merge order, the same ranks are run by
+    tiktoken, which is four times as fast; tests hold the two against each other.
     """
 
-    def __init__(self, path: str, bound: int = 500_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.plain = chunks.Memo(self.encode_piece, bound)
-        self.spaced = chunks.Memo(lambda piece: self.encode_piece(" " + piece), bound)
-        self.newline = self.encode_piece("\n")
-
-    def encode_piece(self, text: str) -> bytes:
-        return pa.array(self.library.encode(text, add_special_tokens=False).ids, pa.uint32()).buffers()[1].to_pybytes() if text else b""
+        self.fast, self.special = None, set()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        order = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        byte = {symbol: b for b, symbol in enumerate(byte_symbols())}
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        plain = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and spec["normalizer"] is None
+        if plain and all(a < b for a, b in zip(order, order[1:], strict=False)) and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+            import tiktoken
+
+            ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in added}
+            self.fast, self.special = tiktoken.Encoding("ranks", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens=added), set(added)
+
+    def by_library(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        coded = []
-        for line in chunks.lines(text):
-            first, *rest = chunks.pieces(line)
-            coded.append(self.plain[first] + b"".join(map(self.spaced.__getitem__, rest)))
-        return self.newline.join(coded)
+        if self.fast is None or not _PLAIN.fullmatch(text) or _LONG_GAP.search(text):
+            return self.by_library(text)
+        return self.fast.encode_to_numpy(text, allowed_special=self.special).astype("<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
