@@ -45,9 +45,12 @@ def _remove_all() -> None:
             return
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back under the same schema."""
+def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back under the same schema.
+
+    compact: for narrow tables; no more files than the cluster has cores.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    (df.coalesce(max(1, spark.sparkContext.defaultParallelism)) if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
