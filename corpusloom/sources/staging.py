@@ -7,8 +7,10 @@ small, and a lost executor costs a re-read instead of the whole chain.
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +56,20 @@ def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     path = new_path(spark, label)
     (df.coalesce(max(1, spark.sparkContext.defaultParallelism)) if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster without that path, submit the package with --py-files.
+    """
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
+def few_files(df: DataFrame, per_core: int = 8) -> DataFrame:
+    """df in no more partitions than per_core times the cluster's cores, for results that go to files."""
+    return df.coalesce(max(1, per_core * df.sparkSession.sparkContext.defaultParallelism))
