@@ -1,67 +1,5 @@
-"""Intermediate tables in the folder that all executors share.
+"""What the operators use of the library's staging."""
 
-``materialize`` cuts lineage with a written Parquet table, so a lost executor
-costs a re-read and not a recomputation of everything before it.
-"""
+from corpusloom.sources.staging import few_files, materialize, new_path, ship_package, shared_root
 
-from __future__ import annotations
-
-import atexit
-import os
-import tempfile
-import uuid
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where it is unset."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="corpusloom-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
-    return root.rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, removed when the driver process ends."""
-    path = f"{shared_root(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
-    if not _written:
-        atexit.register(_remove_all)
-    _written.append((spark, path))
-    return path
-
-
-def _remove_all() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session has already ended; the folder's owner cleans it
-            return
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back under the same schema."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
-
-    On a cluster without that path, submit the package with --py-files.
-    """
-    home = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if home not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+__all__ = ["few_files", "materialize", "new_path", "ship_package", "shared_root"]
