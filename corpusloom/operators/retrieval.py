@@ -6,6 +6,8 @@ windows filter on row_number, which Spark limits in each task before it shuffles
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +82,25 @@ def hash_embedding(text: Column, dimensions: int = DIMENSIONS) -> Column:
     return let(raw, lambda v: let(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)), lambda n: F.transform(v, lambda x: F.round(x / F.when(n == 0, 1.0).otherwise(n), 6))))
 
 
+def model_embedding(text: Column, model: str) -> Column:
+    """Unit vectors of an installed sentence encoder, loaded once in each Python worker. Without the package this is an error at once."""
+    try:
+        import sentence_transformers  # noqa: F401
+    except ImportError as e:
+        raise ImportError("model embeddings need the sentence-transformers package; hash_embedding needs none") from e
+    import pandas as pd
+
+    def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from sentence_transformers import SentenceTransformer
+
+        encoder = SentenceTransformer(model)
+        for part in parts:
+            yield pd.Series([v.tolist() for v in encoder.encode(part.fillna("").tolist(), normalize_embeddings=True)])
+
+    encode.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(encode, "array<float>")(text)
+
+
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
