@@ -47,14 +47,17 @@ def _remove_all() -> None:
             return
 
 
-def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
+def materialize(df: DataFrame, label: str, compact: bool = False, tiny: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back under the same schema.
 
-    compact: for narrow tables; no more files than the cluster has cores.
+    compact: for narrow tables; no more files than the cluster has cores. tiny:
+    for tables of a row a source or a query; one file.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    (df.coalesce(max(1, spark.sparkContext.defaultParallelism)) if compact else df).write.parquet(path)
+    if compact or tiny:
+        df = df.coalesce(1 if tiny else max(1, spark.sparkContext.defaultParallelism))
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,8 +71,3 @@ def ship_package(spark: SparkSession) -> None:
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if home not in paths:
         env["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
-
-
-def few_files(df: DataFrame, per_core: int = 8) -> DataFrame:
-    """df in no more partitions than per_core times the cluster's cores, for results that go to files."""
-    return df.coalesce(max(1, per_core * df.sparkSession.sparkContext.defaultParallelism))
