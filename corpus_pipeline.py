@@ -25,8 +25,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id stays; null ids stay as they are."""
     heads = near_duplicates(docs.filter("doc_id is not null")).filter(F.col("doc_id") == F.col("component_id"))
-    heads = materialize(heads.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).withColumnRenamed("doc_id", "__head"), "heads")
-    first = docs.join(heads, F.col("doc_id") == F.col("__head"))
+    heads = materialize(heads.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).withColumnRenamed("doc_id", "__head"), "heads", compact=True)
+    # heads grow with the corpus, so they are never broadcast, however few they are
+    first = docs.join(heads.hint("merge"), F.col("doc_id") == F.col("__head"))
     if heads.filter("rows > 1").limit(1).count():  # rows that repeat an id
         first = first.dropDuplicates(["doc_id"])
     return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))

@@ -16,12 +16,15 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.native import let
 from corpusloom.llm.storage import materialize, ship_package
 
 #: Kinds in the order in which spans at the same start are listed; the first three are the base.
@@ -134,12 +137,29 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return both.withColumn("spans", F.coalesce(F.array_join(F.col("found.name"), ","), F.lit("")))
 
 
+#: A text without any of these, an address with a password, or a long run of token characters can hold no candidate; the other provider tokens are long runs.
+_SIGNS = ("AKIA", "xox", "eyJ", "PRIVATE KEY-----")
+_LONG_RUNS = (r"(?<![0-9a-f])[0-9a-f]{16}", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24}")
+
+
+def may_hold_secrets(text: Column) -> Column:
+    """A cheap test that holds for every text with a candidate and for few others."""
+    text = F.coalesce(text, F.lit(""))
+    test = let(F.lower(text), lambda v: reduce(or_, (v.contains(k) for k in ("passw", "secret", "token", "api_key", "apikey"))))
+    for sign in _SIGNS:
+        test = test | text.contains(sign)
+    return test | (text.contains("://") & text.contains("@")) | text.rlike(_LONG_RUNS[0]) | text.rlike(_LONG_RUNS[1])
+
+
 def redacted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", mark: str = "[secret]") -> DataFrame:
     """docs with every reported span's text replaced; all rows stay, and n_chars follows where docs has it.
 
-    Overlapping spans are replaced as one. Rows without a span are never shuffled
-    with a partner: the join is a left one on the id and the text's hash.
+    Overlapping spans are replaced as one. Texts without a trace of any pattern
+    pass through untouched; only the others are written apart, scanned, and joined
+    with their spans on the id and the text's hash.
     """
+    suspect = may_hold_secrets(F.col(text_col).cast("string"))
+    clean, docs = docs.filter(~suspect), materialize(docs.filter(suspect), "suspects")
     spans = secret_spans(docs, id_col, text_col, repo_col).filter(F.size("found") > 0)
     spans = spans.select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"), F.transform("found", lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"))).alias("__found")).dropDuplicates(["__id", "__hash"])
     text = F.col(text_col).cast("string")
@@ -154,4 +174,4 @@ def redacted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = joined.withColumn(text_col, F.when(F.col("__found").isNull(), F.col(text_col)).otherwise(cleaned))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__found").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    return clean.unionByName(out.select(*docs.columns))
