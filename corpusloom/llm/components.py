@@ -17,7 +17,7 @@ def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """edges: longs u, v in any order. Returns (v, root) for every vertex but the roots; root is the least of its component."""
 
     def settle(df: DataFrame) -> tuple[DataFrame, tuple]:
-        df = materialize(df, "edges")
+        df = materialize(df, "edges", compact=True)
         return df, df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     stars, mark = settle(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())

@@ -62,10 +62,10 @@ def mixing_plan(keyed: DataFrame, bin_rows: int = BIN_ROWS) -> DataFrame:
     n_bins = max(1, -(-keyed.count() // bin_rows))
     bins = F.least(F.floor((1 - F.exp(-F.col("key"))) * n_bins), F.lit(n_bins - 1))
     keyed = keyed.withColumn("bin", bins)
-    binned = materialize(keyed.groupBy("source", "bin").agg(F.sum("size").alias("s")), "bins")
+    binned = keyed.groupBy("source", "bin").agg(F.sum("size").alias("s"))
     sizes = binned.groupBy("source").agg(F.sum("s").alias("source_size"))
     plan = source_targets(sizes).withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST_EPOCHS))).otherwise(0))
-    plan = materialize(plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")), "plan")
+    plan = materialize(plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")), "plan", tiny=True)
 
     upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     placed = binned.withColumn("before", F.coalesce(F.sum("s").over(upto), F.lit(0)))
@@ -80,7 +80,7 @@ def mixing_plan(keyed: DataFrame, bin_rows: int = BIN_ROWS) -> DataFrame:
     plan = plan.join(cut, plan["source"].eqNullSafe(cut["c_source"]), "left").drop("c_source")
     ends = ends.select(F.col("e_source"), F.col("e_bin"))
     plan = plan.join(ends, plan["source"].eqNullSafe(ends["e_source"]), "left").drop("e_source")
-    return materialize(plan.withColumn("n_bins", F.lit(n_bins)), "cuts")
+    return materialize(plan.withColumn("n_bins", F.lit(n_bins)), "cuts", compact=True)
 
 
 def taken_times(key: Column, doc_id: Column, size: Column, plan: str) -> Column:
