@@ -65,10 +65,13 @@ def fingerprint_links(prints: DataFrame, n_prints: int, shard_rows: int = 8192,
     """Star edges (u, v) that connect exactly the fingerprints of each component.
 
     prints: distinct longs ``fp``. shard_rows: aimed-at items of a shard, which
-    one task holds; sample_rows: bound of the fingerprints seen by the driver.
+    one task holds; sample_rows: about as many, and never twice as
+    many, fingerprints reach the driver, picked by their hash in each task.
     """
     ship_package(prints.sparkSession)
-    rows = prints.orderBy(F.xxhash64("fp")).limit(sample_rows).collect() if n_prints > shard_rows else []
+    share = min(1.0, sample_rows / max(1, n_prints))
+    chosen = prints.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = chosen.select("fp").limit(2 * sample_rows).collect() if n_prints > shard_rows else []
     sample = np.array([r[0] for r in rows], np.int64).view(np.uint64)
     leaf = max(16, int(len(sample) * shard_rows / max(1, n_prints)))
     trees = [vptree.grow(vptree.half(sample, side), leaf) if len(sample) else [] for side in (0, 1)]
@@ -97,10 +100,10 @@ def fingerprint_links(prints: DataFrame, n_prints: int, shard_rows: int = 8192,
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, shard_rows: int = 8192, sample_rows: int = 100_000) -> DataFrame:
     """Per row: the id, its fingerprint (16 hex digits) and component_id, the least id reachable over links of up to 3 bits."""
     hashed = materialize(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    distinct = materialize(hashed.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct")
+    distinct = materialize(hashed.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct", compact=True)
     stars = star_components(fingerprint_links(distinct, distinct.count(), shard_rows, sample_rows))
     rooted = distinct.join(stars.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     heads = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = materialize(rooted.join(heads, "root").select("fp", "component_id"), "components")
+    by_print = materialize(rooted.join(heads, "root").select("fp", "component_id"), "components", compact=True)
     joined = hashed.join(by_print, "fp")
     return joined.select(F.col(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
