@@ -17,7 +17,7 @@ import json
 import re
 import struct
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,10 +45,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.fast, self.special = None, set()
+        self.path, self.fast, self.special = path, None, set()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
@@ -62,6 +59,12 @@ class Encoder:
             ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in added}
             self.fast, self.special = tiktoken.Encoding("ranks", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens=added), set(added)
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def by_library(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -139,8 +142,8 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, window: int, vocab
         coder = encoder(vocabulary or default_vocabulary())
         for batch in batches:
             rows, starts, lengths, sums, totals = [], [], [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = memoryview(coder.encode(text or "") + end)
+            for row, text in enumerate(batch.column(1)):
+                ids = memoryview(coder.encode(text.as_py() or "") + end)
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     piece = ids[4 * start : 4 * (start + window)]
