@@ -139,19 +139,20 @@ def learn_stems(rows: list[tuple[str, int]], grammar: Grammar, least: int = 4, s
     Greedy: the strongest one explains its rows, and the next is sought among the
     rows that none explains yet, so words that merely stand near insults drop out.
     """
-    texts = [(set(words.split()), toxic) for words, toxic in rows]
     beginnings = lambda words: {w[:n] for w in words for n in (4, 5, 6, 7) if len(w) >= n}
-    clean: Counter[str] = Counter()
-    for words, toxic in texts:
-        if not toxic:
-            clean.update(beginnings(words))
-    n_clean = max(1, sum(not t for _, t in texts))
-    left = [beginnings(w) for w, toxic in texts if toxic and w.isdisjoint(INSULTS)]
-    n_toxic = max(1, sum(t for _, t in texts))
-    base = n_toxic / (n_toxic + n_clean)
+    left = [beginnings(words) for words in (set(r[0].split()) for r in rows if r[1]) if words.isdisjoint(INSULTS)]
     counts: Counter[str] = Counter()
     for found in left:
         counts.update(found)
+    counts = Counter({s: a for s, a in counts.items() if a >= least})
+    clean: Counter[str] = Counter()
+    for words, toxic in rows:
+        if not toxic:
+            clean.update(s for s in beginnings(set(words.split())) if s in counts)
+    n_toxic = max(1, sum(t for _, t in rows))
+    base = n_toxic / (n_toxic + max(1, len(rows) - n_toxic))
+    left = [found & counts.keys() for found in left]
+
     stems: list[str] = []
 
     def strong(stem: str) -> float:
@@ -201,7 +202,10 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, modulus: int, remainder: int, rows: int) -> DataFrame:
     """id, label and text of at most rows labelled documents outside the held-out fold, written to the shared folder."""
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label is not null").filter(~held_out(F.col("id"), modulus, remainder))
-    chosen = usable.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
+    labelled = usable.groupBy("id").agg(F.max("label").alias("label"))
+    # a hash threshold leaves little more than the bound for the ordered limit
+    share = min(1.0, 1.3 * rows / max(1, labelled.count()))
+    chosen = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("id"), "id").limit(rows)
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # at most rows ids, so the broadcast is bounded
     return materialize(text.join(F.broadcast(chosen), "id"), "labelled")
