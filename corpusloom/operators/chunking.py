@@ -18,8 +18,9 @@ SEGMENT_MIN, SEGMENT_MAX, SEGMENT_HARD = 400, 900, 1200
 _CUT = "\x01"
 
 
-def unit(index: Column, start: Column, end: Column) -> Column:
-    return F.struct(index.cast("int").alias("i"), start.cast("int").alias("s"), end.cast("int").alias("e"))
+def unit(index: Column, start: Column, text: Column) -> Column:
+    """Number, start, end and text; the text stays with its unit, so it is never cut out of a long chapter again."""
+    return F.struct(index.cast("int").alias("i"), start.cast("int").alias("s"), (start + F.length(text)).cast("int").alias("e"), text.alias("t"))
 
 
 def starts_of(pieces: Column, gap: int) -> Column:
@@ -27,23 +28,22 @@ def starts_of(pieces: Column, gap: int) -> Column:
     return F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p) + gap)))
 
 
-def located(text: Column, pieces: Column, gap: int) -> Column:
+def located(pieces: Column, gap: int) -> Column:
     """Units of the pieces that hold more than white space, numbered from 1."""
     all_units = let(pieces, lambda v: let(starts_of(v, gap), lambda at: F.filter(F.transform(v, lambda p, i: F.struct(p.alias("t"), F.get(at, i).alias("s"))), lambda u: u["t"].rlike(f"[^{WS[1:]}"))))
-    return F.transform(all_units, lambda u, i: unit(i + 1, u["s"], u["s"] + F.length(u["t"])))
+    return F.transform(all_units, lambda u, i: unit(i + 1, u["s"], u["t"]))
 
 
 def paragraph_units(content: Column) -> Column:
-    return located(content, F.split(content, "\n", -1), 1)
+    return located(F.split(content, "\n", -1), 1)
 
 
-def sentence_units(content: Column, paragraphs: Column) -> Column:
+def sentence_units(paragraphs: Column) -> Column:
     """Sentences end at . ! or ? before a space; numbered within their paragraph, whose number they carry."""
 
     def within(p: Column) -> Column:
-        text = F.substring(content, p["s"] + 1, p["e"] - p["s"])
-        pieces = F.split(F.regexp_replace(text, "([.!?]) ", f"$1{_CUT}"), _CUT, -1)
-        return F.transform(located(text, pieces, 1), lambda u: F.struct(p["i"].alias("para"), u["i"].alias("i"), (p["s"] + u["s"]).alias("s"), (p["s"] + u["e"]).alias("e")))
+        pieces = F.split(F.regexp_replace(p["t"], "([.!?]) ", f"$1{_CUT}"), _CUT, -1)
+        return F.transform(located(pieces, 1), lambda u: F.struct(p["i"].alias("para"), u["i"].alias("i"), (p["s"] + u["s"]).alias("s"), (p["s"] + u["e"]).alias("e"), u["t"].alias("t")))
 
     return F.flatten(F.transform(paragraphs, within))
 
@@ -99,8 +99,8 @@ def segment_ranges(sentences: Column, least: int = SEGMENT_MIN, most: int = SEGM
 
 def with_units(chapters: DataFrame) -> DataFrame:
     """Chapters with arrays of paragraph units (with kind) and sentence units."""
-    typed = F.transform(paragraph_units(F.col("content")), lambda p: F.struct(p["i"].alias("i"), p["s"].alias("s"), p["e"].alias("e"), paragraph_kind(F.substring(F.col("content"), p["s"] + 1, p["e"] - p["s"])).alias("kind")))
-    return chapters.withColumn("paras", typed).withColumn("sents", sentence_units(F.col("content"), F.col("paras")))
+    typed = F.transform(paragraph_units(F.col("content")), lambda p: F.struct(p["i"].alias("i"), p["s"].alias("s"), p["e"].alias("e"), paragraph_kind(p["t"]).alias("kind"), p["t"].alias("t")))
+    return chapters.withColumn("paras", typed).withColumn("sents", sentence_units(F.col("paras")))
 
 
 def cut(start: Column, end: Column) -> Column:
@@ -109,15 +109,15 @@ def cut(start: Column, end: Column) -> Column:
 
 def paragraphs(units: DataFrame) -> DataFrame:
     """One row a paragraph: coordinates, kind, text and hash."""
-    p = units.select("chapter_num", "chapter_id", "version_id", "lang", "content", F.explode("paras").alias("p"))
-    text = cut(F.col("p.s"), F.col("p.e"))
+    p = units.select("chapter_num", "chapter_id", "version_id", "lang", F.explode("paras").alias("p"))
+    text = F.col("p.t")
     return p.select("chapter_num", "chapter_id", "version_id", "lang", F.col("p.i").cast("long").alias("para_index"), F.col("p.s").cast("long").alias("start_offset"), F.col("p.e").cast("long").alias("end_offset"), (F.col("p.e") - F.col("p.s")).cast("long").alias("char_length"), F.col("p.kind").alias("para_kind"), text.alias("para_text"), sha256(text).alias("para_hash"))
 
 
 def sentences(units: DataFrame) -> DataFrame:
     """One row a sentence: coordinates, running number in the chapter, text and hash."""
-    s = units.select("chapter_num", "chapter_id", "version_id", "lang", "content", F.posexplode("sents").alias("g", "s"))
-    text = cut(F.col("s.s"), F.col("s.e"))
+    s = units.select("chapter_num", "chapter_id", "version_id", "lang", F.posexplode("sents").alias("g", "s"))
+    text = F.col("s.t")
     number = lambda c: F.lpad(c.cast("string"), 4, "0")
     para_id = F.concat_ws("_", "chapter_id", F.lit("p"), number(F.col("s.para")))
     return s.select(

@@ -20,8 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than the cluster has cores is dealt out before costly row-wise work; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def chapters(docs: DataFrame) -> DataFrame:
     """Documents as current chapters: chapter_num, chapter_id, version_id, lang, source, content, content_length."""
+    docs = spread(docs.select("doc_id", "text", "lang", "source"))
     content = F.coalesce(F.col("text"), F.lit(""))
     num = F.col("doc_id") + 1
     return docs.select(
