@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 from corpusloom.llm import queries
+from tests.llm.conftest import document_schema
 from tests.llm.test_corpus_operators import brute_components, brute_fingerprint, check_packing
 from tests.llm.test_text_operators import brute_spans
 
@@ -50,6 +51,19 @@ def test_edge_rows(spark, documents, no_documents):
         docs.count()
 
 
+def copies(spark, *rows):
+    docs = spark.createDataFrame([(i, t, "en", source, len(t)) for i, t, source in rows], document_schema()).repartition(3)
+    return sorted(tuple(r)[:2] + (r["source"],) for r in corpus_pipeline.keep_one_of_copies(spark, docs, "").collect())
+
+
+def test_copies_of_repeated_ids(spark):
+    a, b, x, y = (" ".join(f"{w}{i}" for i in range(60)) for w in ("apple", "bread", "xenon", "yacht"))
+    assert copies(spark, (5, a, "s"), (5, b, "s")) == [(5, a, "s"), (5, b, "s")]
+    assert copies(spark, (3, x, "s"), (5, x, "s"), (5, y, "s")) == [(3, x, "s"), (5, y, "s")]
+    assert copies(spark, (7, x, "s"), (7, x, "s")) == [(7, x, "s")]
+    assert len({tuple(copies(spark, *order)) for order in ([(7, x, "s"), (7, x, "t")], [(7, x, "t"), (7, x, "s")])}) == 1
+
+
 def test_run_is_the_stages(spark, tiny):
     total = corpus_pipeline.run(spark, tiny)
     assert total.columns[:3] == ["doc_id", "start", "length"] and total.count() > 0
