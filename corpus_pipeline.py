@@ -23,22 +23,22 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def row_keys(docs: DataFrame) -> DataFrame:
-    """docs with ``__row``: the id, then a digest of all columns, in the order in which rows are preferred; only rows equal in every column share one."""
+    """docs with ``__row``: whether the id is null, the id, and a digest of all columns, in the order in which rows are preferred; only rows equal in every column share one."""
     digest = F.unhex(F.sha2(F.to_json(F.struct(*docs.columns)), 256))
-    return docs.withColumn("__row", F.struct(F.col("doc_id"), digest.alias("digest")))
+    return docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), digest.alias("digest")))
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates one row stays, that of the least id and then of the least digest; null ids stay as they are."""
+    """Of each group of near-duplicates one row stays, that of the least id and then of the least digest; null ids come last."""
     keyed = row_keys(docs)
-    links = near_duplicates(keyed.filter("doc_id is not null").select("__row", "text"), "__row")
+    links = near_duplicates(keyed.select("__row", "text"), "__row")
     heads = links.filter(F.col("__row.digest") == F.col("component_id.digest")).groupBy(F.col("__row.digest").alias("__head")).agg(F.count(F.lit(1)).alias("rows"))
     heads = materialize(heads, "heads", compact=True)
     # heads grow with the corpus, so they are never broadcast, however few they are
     first = keyed.join(heads.hint("merge"), F.col("__row.digest") == F.col("__head"))
     if heads.filter("rows > 1").limit(1).count():  # rows equal in every column
         first = first.dropDuplicates(["__head"])
-    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    return first.select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,7 +53,7 @@ def test_edge_rows(spark, documents, no_documents):
 
 def copies(spark, *rows):
     docs = spark.createDataFrame([(i, t, "en", source, len(t)) for i, t, source in rows], document_schema()).repartition(3)
-    return sorted(tuple(r)[:2] + (r["source"],) for r in corpus_pipeline.keep_one_of_copies(spark, docs, "").collect())
+    return sorted(((r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.keep_one_of_copies(spark, docs, "").collect()), key=lambda r: (r[0] or 0, r[1:]))
 
 
 def test_copies_of_repeated_ids(spark):
@@ -64,6 +64,13 @@ def test_copies_of_repeated_ids(spark):
     assert len({tuple(copies(spark, *order)) for order in ([(7, x, "s"), (7, x, "t")], [(7, x, "t"), (7, x, "s")])}) == 1
 
 
+def test_copies_of_null_ids(spark):
+    a, b, near = (" ".join(f"{w}{i}" for i in range(60)) for w in ("apple", "bread", "apple"))
+    near = near.replace("apple59", "Apple59")
+    assert copies(spark, *[(None, a, "s")] * 50, (None, near, "s"), (9, a, "s"), (None, b, "s"), (None, b, "t")) in ([(None, b, "s"), (9, a, "s")], [(None, b, "t"), (9, a, "s")])
+    assert len(copies(spark, *[(None, a, "s")] * 50)) == 1
+
+
 def test_run_is_the_stages(spark, tiny):
     total = corpus_pipeline.run(spark, tiny)
     assert total.columns[:3] == ["doc_id", "start", "length"] and total.count() > 0
