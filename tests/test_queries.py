@@ -21,3 +21,8 @@ def test_against_sql(spark, tiny, con, name):
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(SQL)))
 def test_runs_without_sql(spark, tiny, name):
     assert registry.queries()[name](spark, tiny).count() > 0
+
+
+def test_as_of_answers_every_event(spark, tiny):
+    events = spark.read.parquet(f"{tiny}/events.parquet")
+    assert registry.queries()["j25_as_of_every_event"](spark, tiny).count() == events.count()
