@@ -112,6 +112,49 @@ def vector_recall(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return top(d, k, ["query_id"], F.asc("distance"), F.asc("child_segment_id"))
 
 
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, rows: int = 8192, block: int = 1024) -> DataFrame:
+    """Both: vec_id, embedding of doubles, all of one length and none null. The k exact nearest others of each query by squared distance, then by id.
+
+    Vectors are dealt by id to chunks of about ``rows``, queries to blocks of about
+    ``block``; a task holds one of each, whatever the tables' sizes, and gives on
+    k rows a query.
+    """
+    chunks, blocks = (max(1, -(-df.count() // size)) for df, size in ((vectors, rows), (queries, block)))
+    part = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    v = vectors.select("vec_id", "embedding", part(chunks).alias("chunk")).withColumn("block", each(blocks))
+    q = queries.select("vec_id", "embedding", part(blocks).alias("block")).withColumn("chunk", each(chunks))
+
+    def search(left, right):
+        import numpy as np
+        import pyarrow as pa
+
+        def unpack(t):
+            e = t.column("embedding").combine_chunks()
+            if len(set(e.value_lengths().to_pylist())) > 1:
+                raise ValueError("embeddings differ in length")
+            return t.column("vec_id").to_numpy(), e.flatten().to_numpy(zero_copy_only=False).reshape(len(e), -1)
+
+        out = ([], [], [])
+        if left.num_rows and right.num_rows:
+            (ids, x), (query_ids, y) = unpack(left), unpack(right)
+            x = np.ascontiguousarray(x.T)
+            for query_id, query in zip(query_ids, y, strict=True):
+                d = np.zeros(len(ids))
+                for column, value in zip(x, query, strict=True):  # summed in order, as SQL sums
+                    d += (column - value) ** 2
+                d = np.where(ids == query_id, np.inf, np.floor(d * 1e6 + 0.5) / 1e6)
+                near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
+                near = near[np.lexsort((ids[near], d[near]))][:k]
+                near = near[np.isfinite(d[near])]
+                out[0].append(np.full(len(near), query_id)), out[1].append(ids[near]), out[2].append(d[near])
+        columns = [np.concatenate(c) if c else np.array([], t) for c, t in zip(out, (np.int64, np.int64, np.float64), strict=True)]
+        return pa.table(dict(zip(("query_id", "vec_id", "distance"), columns, strict=True)))
+
+    best = v.groupBy("chunk", "block").cogroup(q.groupBy("chunk", "block")).applyInArrow(search, "query_id long, vec_id long, distance double")
+    return top(best, k, ["query_id"], F.asc("distance"), F.asc("vec_id"))
+
+
 def fuse(title: DataFrame, keyword: DataFrame, vector: DataFrame, k: int, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
     """One ranking a query of the three routes' hits, with the best score and the routes of each segment."""
     routes = (("sqlite_title", title, "title_score"), ("sqlite_child_keyword", keyword, "keyword_score"), ("chroma_vector", vector, "vector_score"))

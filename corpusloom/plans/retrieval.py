@@ -104,6 +104,15 @@ def x25_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.top(d, K, ["query_id"], F.asc("distance"), F.asc("vec_id"))
 
 
+@query(
+    f"SELECT q.vec_id AS query_id, v.vec_id, round(list_reduce(list_transform(list_zip(v.embedding, q.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)), lambda a, b: a + b), 6) AS distance, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_reduce(list_transform(list_zip(v.embedding, q.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)), lambda a, b: a + b), 6), v.vec_id) AS place FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q WHERE v.vec_id <> q.vec_id QUALIFY place <= {K}"
+)
+def x25_vector_neighbours_every_20th(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X25 nearest neighbours of every vector whose id is divisible by 20, among all vectors."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    return R.nearest(v, v.filter("vec_id % 20 = 0"), K)
+
+
 @query(f"{FULL_SQL} SELECT query_id, child_segment_id, chapter_num, title_score, keyword_score, vector_score, recall_sources, hybrid_score, place FROM fr")
 def p01_hybrid_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 hybrid retrieval, J16 route merge, X22 fusion, W4 fused rank."""

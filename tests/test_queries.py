@@ -2,7 +2,9 @@
 
 import pytest
 
+from corpusloom.operators.retrieval import nearest
 from corpusloom.plans import registry
+from corpusloom.plans.retrieval import K
 from tests.oracle import assert_same, connect
 
 SQL = registry.oracle_sql()
@@ -26,3 +28,11 @@ def test_runs_without_sql(spark, tiny, name):
 def test_as_of_answers_every_event(spark, tiny):
     events = spark.read.parquet(f"{tiny}/events.parquet")
     assert registry.queries()["j25_as_of_every_event"](spark, tiny).count() == events.count()
+
+
+def test_neighbours_of_every_20th_vector_in_small_blocks(spark, tiny):
+    whole = registry.queries()["x25_vector_neighbours_every_20th"](spark, tiny)
+    assert whole.select("query_id").distinct().count() == 25
+    v = spark.read.parquet(f"{tiny}/embeddings.parquet").selectExpr("vec_id", "cast(embedding as array<double>) as embedding")
+    parts = nearest(v, v.filter("vec_id % 20 = 0"), K, rows=100, block=10)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
