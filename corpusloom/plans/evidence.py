@@ -146,6 +146,16 @@ def j19_context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.groupBy("evidence_id").agg(F.array_join(F.transform(listed, lambda x: F.concat_ws(":", x["para_index"].cast("string"), x["t"])), "|").alias("context"))
 
 
+@query(
+    f"WITH {S.PARAGRAPHS}, {FOUND_SQL} SELECT evidence_id, p.para_index, p.start_offset, p.end_offset, sha256(p.para_text) AS para_hash, p.para_text FROM ev JOIN pa p ON p.chapter_num = ev.chapter_num AND p.para_index BETWEEN ev.para_index - 2 AND ev.para_index + 2"
+)
+def j19_context_every_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J19 the whole paragraphs round every hit, two on either side, a row each."""
+    paras = C.paragraphs(units(spark, sf_dir)).select("chapter_num", "para_index", "start_offset", "end_offset", "para_hash", "para_text")
+    keys = found(spark, sf_dir).select("evidence_id", "chapter_num", F.explode(F.sequence(F.col("para_index") - 2, F.col("para_index") + 2)).alias("para_index"))
+    return keys.join(paras, ["chapter_num", "para_index"]).drop("chapter_num")
+
+
 @query("SELECT doc_id, CASE WHEN contains(p, 'rules') THEN 'rule' WHEN contains(p, 'godway') THEN 'godway' WHEN contains(p, 'domain') THEN 'domain' WHEN contains(p, 'lord') THEN 'lord' WHEN contains(p, 'item') THEN 'item' ELSE 'other' END AS category FROM (SELECT doc_id, ['$.rules[0]', '$.godways[1]', 'x.domain', 'lords', 'item_2', 'zzz'][(doc_id % 6 + 1)::INT] AS p FROM documents)")
 def x56_seed_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X56 category from a seed item's path."""

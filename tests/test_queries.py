@@ -36,3 +36,12 @@ def test_neighbours_of_every_20th_vector_in_small_blocks(spark, tiny):
     v = spark.read.parquet(f"{tiny}/embeddings.parquet").selectExpr("vec_id", "cast(embedding as array<double>) as embedding")
     parts = nearest(v, v.filter("vec_id % 20 = 0"), K, rows=100, block=10)
     assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_context_of_every_hit_is_whole(spark, tiny):
+    rows = registry.queries()["j19_context_every_hit"](spark, tiny).collect()
+    assert {r["evidence_id"] for r in rows} == {r["evidence_id"] for r in registry.queries()["w05_evidence_candidates"](spark, tiny).collect()}
+    text = {r["doc_id"] + 1: r["text"] for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
+    chapter = {r["evidence_id"]: r["chapter_num"] for r in registry.queries()["w05_evidence_candidates"](spark, tiny).collect()}
+    assert all(text[chapter[r["evidence_id"]]][r["start_offset"] : r["end_offset"]] == r["para_text"] for r in rows)
+    assert max(len(r["para_text"]) for r in rows) > 20
