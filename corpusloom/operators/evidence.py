@@ -85,6 +85,28 @@ def coverage(seeds: DataFrame, found: DataFrame, decisions: DataFrame) -> DataFr
     return c.withColumns({"gap_reason": reason, "risk_level": risk}).withColumns({"coverage_status": F.when(F.col("accepted") > 0, "covered").otherwise("uncovered"), "next_action": action})
 
 
+def reader_rows(accepted: DataFrame, lock: DataFrame) -> DataFrame:
+    """A row a seed of the lock with its accepted evidence as an ordered array; fails where the lock lacks a seed.
+
+    accepted: seed_item_id, evidence_id, chapter_num; at most a few dozen a seed. lock: seed_item_id, coverage_status and columns to keep.
+    """
+    refs = accepted.groupBy("seed_item_id").agg(F.array_sort(F.collect_list(F.struct("chapter_num", "evidence_id"))).alias("evidence_refs"))
+    rows = refs.join(lock, "seed_item_id", "left")
+    missing = F.raise_error(F.concat(F.lit("coverage lock misses seed "), "seed_item_id"))
+    rows = rows.withColumn("coverage_status", F.when(F.col("coverage_status").isNotNull(), F.col("coverage_status")).otherwise(missing))
+    return rows.withColumn("accepted_evidence_count", F.size("evidence_refs").cast("long"))
+
+
+def filter_reader_rows(rows: DataFrame, chapter_num: int | None = None, **equal: str | None) -> DataFrame:
+    """Rows whose named columns equal the given values, None for any, with only the evidence of the chapter, if given; seeds without evidence left go."""
+    for name, wanted in equal.items():
+        if wanted is not None:
+            rows = rows.filter(F.col(name) == wanted)
+    if chapter_num is not None:
+        rows = rows.withColumn("evidence_refs", F.filter("evidence_refs", lambda e: e["chapter_num"] == chapter_num))
+    return rows.filter(F.size("evidence_refs") > 0).withColumn("accepted_evidence_count", F.size("evidence_refs").cast("long"))
+
+
 def lock_summary(covered: DataFrame, expected: int, most_accepted: int = 3) -> DataFrame:
     """One row: totals, coverage rate, and whether the lock holds."""
     s = covered.agg(

@@ -124,6 +124,17 @@ def f14_trusted_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.join(locked, "seed_item_id", "left_semi").filter("chapter_num <= 500").select("evidence_id", "seed_item_id", "chapter_num")
 
 
+@query(f"WITH {S.PARAGRAPHS}, {FOUND_SQL}, {COVER_SQL} SELECT seed_item_id, co.category, coverage_status, accepted AS accepted_evidence_count, evidence_id, chapter_num FROM ev JOIN de USING (evidence_id) JOIN co USING (seed_item_id) WHERE human_status = 'accepted'")
+def f14_trusted_reader_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14 the reader without a filter: all accepted evidence of locked seeds, J22 against the lock."""
+    rows = found(spark, sf_dir)
+    d = decisions(rows)
+    accepted = rows.join(d.filter("human_status = 'accepted'"), "evidence_id")
+    lock = E.coverage(E.seed_table(spark, SEEDS), rows, d).select("seed_item_id", "category", "coverage_status")
+    seeds = E.filter_reader_rows(E.reader_rows(accepted, lock))
+    return seeds.select("seed_item_id", "category", "coverage_status", "accepted_evidence_count", F.explode("evidence_refs").alias("e")).select("*", "e.evidence_id", "e.chapter_num").drop("e")
+
+
 @query(f"WITH {S.PARAGRAPHS}, {FOUND_SQL}, {DECISION_SQL}, a AS (SELECT ev.* FROM ev JOIN de USING (evidence_id) WHERE human_status = 'accepted') SELECT 'seed' AS index_name, seed_item_id AS key, string_agg(evidence_id, ',' ORDER BY evidence_id) AS ids FROM a GROUP BY seed_item_id UNION ALL SELECT 'chapter', chapter_num::VARCHAR, string_agg(evidence_id, ',' ORDER BY evidence_id) FROM a GROUP BY chapter_num UNION ALL SELECT 'category', category, string_agg(evidence_id, ',' ORDER BY evidence_id) FROM a GROUP BY category")
 def a16_inverted_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A16 inverted indexes of accepted evidence: one exploded pass for all of them."""

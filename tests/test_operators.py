@@ -7,6 +7,7 @@ from corpusloom.functions import keywords as K
 from corpusloom.functions import text as X
 from corpusloom.operators import chunking as C
 from corpusloom.operators import dictionary as D
+from corpusloom.operators import evidence as E
 from corpusloom.operators import grounding as G
 from corpusloom.operators import rules as R
 from corpusloom.operators import versioning as V
@@ -186,3 +187,23 @@ def test_streamed_upserts(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
         apply_batches(spark.readStream.schema(schema).parquet(inbox), state, str(tmp_path / "cp")).awaitTermination()
     assert sorted((r["chapter_id"], r["version_id"], r["is_current"]) for r in spark.read.parquet(f"{state}/v1").collect()) == [("a", "v1", 0), ("a", "v2", 1), ("b", "w", 1)]
+
+
+def test_reader_filters_nest_and_drop_emptied_seeds(spark):
+    accepted = spark.createDataFrame([("a", "e2", 900), ("a", "e1", 3), ("b", "e3", 900), ("c", "e4", 7)], "seed_item_id string, evidence_id string, chapter_num long")
+    seeds = [("a", "covered", "f1", "rule", "trusted"), ("b", "covered", "f1", "item", "trusted"), ("c", "covered", "f2", "rule", "partial"), ("d", "uncovered", "f1", "rule", "trusted")]
+    lock = spark.createDataFrame(seeds, "seed_item_id string, coverage_status string, seed_file string, seed_rule_type string, trusted_status string")
+    rows = E.reader_rows(accepted, lock)
+
+    def read(**filters):
+        got = E.filter_reader_rows(rows, **filters).collect()
+        assert all(r["accepted_evidence_count"] == len(r["evidence_refs"]) for r in got)
+        return {r["seed_item_id"]: [e["evidence_id"] for e in r["evidence_refs"]] for r in got}
+
+    assert read() == {"a": ["e1", "e2"], "b": ["e3"], "c": ["e4"]}
+    assert read(chapter_num=900) == {"a": ["e2"], "b": ["e3"]}
+    assert read(chapter_num=3, seed_file="f1") == {"a": ["e1"]}
+    assert read(seed_item_id="b", chapter_num=3) == {}
+    assert read(seed_rule_type="rule", trusted_status="partial") == {"c": ["e4"]}
+    with pytest.raises(Exception, match="coverage lock misses seed c"):
+        E.reader_rows(accepted, lock.filter("seed_item_id <> 'c'")).collect()
