@@ -1,4 +1,4 @@
-"""Toxicity by a weighted finite-state grammar of clauses (operator 5).
+"""Toxicity by a finite-state grammar of clauses, weighed by a logistic fit (operator 5).
 
 Tokens become classes (insult, threat, target, negation, report, boundary, other).
 Composed transducers then rewrite them: one marks insults and threats within
@@ -111,7 +111,11 @@ class Grammar:
     def token_class(self, token: str) -> str:
         found = self.classes.get(token)
         if found is None:
-            found = "I" if any(token[:n] in self.stems for n in self.lengths) else "O"
+            # outer quotes and clitics stand off: 'moron', idiot's, you're, l'abruti
+            whole = token.replace("’", "'").strip("'")
+            words = (whole, *whole.split("'"))
+            found = next((self.classes[w] for w in words if w in self.classes), None)
+            found = found or ("I" if any(w[:n] in self.stems for w in words for n in self.lengths) else "O")
         return found
 
     def triggered(self, lower: str) -> bool:

@@ -119,3 +119,12 @@ def test_media_tables():
     track = Track(stored)
     assert track.codec == "raw" and track.duration == track.ticks == len(payload)
     assert all(stored[a:b] == payload[1024 * (k - 1) : 1024 * k] for k, (a, b) in zip(track.keys, track.key_ranges(), strict=True))
+
+
+def test_quotes_and_clitics_stand_off():
+    from corpusloom.llm.toxicity import Grammar
+
+    grammar = Grammar()
+    words = ("'moron'", "idiot's", "idiot’s", "l'abruti", "you're", "they’re", "isn’t", "can't")
+    assert [grammar.token_class(w) for w in words] == ["I", "I", "I", "I", "Y", "Y", "N", "O"]
+    assert sum(grammar.features("a 'moron' here.")) > 0 and sum(grammar.features("an idiot's car.")) > 0
