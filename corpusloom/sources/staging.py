@@ -10,18 +10,22 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[tuple[SparkSession, str]] = []
+_written: dict[str, SparkSession] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where it is unset."""
+    """The folder named in spark.checkpoint.dir. Only a local session may lack it, and then gets one of its own: executors elsewhere could not see it."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="corpusloom-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -29,24 +33,45 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, removed when the driver process ends."""
+    """A fresh path under the shared folder, removed when the driver process ends if not before."""
     path = f"{shared_root(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
     if not _written:
         atexit.register(_remove_all)
-    _written.append((spark, path))
+    _written[path] = spark
     return path
 
 
+def _remove(path: str) -> None:
+    spark = _written.pop(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _remove_all() -> None:
-    for spark, path in _written:
+    for path in list(_written):
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _remove(path)
         except Exception:  # the session has already ended; the folder's owner cleans it
             return
 
 
+def release(df: DataFrame) -> None:
+    """Delete a stage table that no later step reads; df must come from materialize, and nothing derived from it may be run again."""
+    path = getattr(df, "_stage_path", None)
+    if path in _written:
+        _remove(path)
+
+
+@contextmanager
+def scratch(*keep: str) -> Iterator[None]:
+    """Stage tables written inside are deleted at the end, but for those whose label is in keep. For callers that have used up a query's rows."""
+    before = set(_written)
+    yield
+    for path in set(_written) - before:
+        if not path.rpartition("/")[2].startswith(tuple(f"{label}-" for label in keep)):
+            _remove(path)
+
+
 def materialize(df: DataFrame, label: str, compact: bool = False, tiny: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back under the same schema.
 
@@ -58,7 +83,9 @@ def materialize(df: DataFrame, label: str, compact: bool = False, tiny: bool = F
     if compact or tiny:
         df = df.coalesce(1 if tiny else max(1, spark.sparkContext.defaultParallelism))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stage_path = path
+    return back
 
 
 def ship_package(spark: SparkSession) -> None:
