@@ -2,7 +2,9 @@
 
 Each round keeps one edge table in the shared folder. Minima are pre-aggregated
 before their shuffle, joins on a hub's key are split by adaptive execution, and
-nothing is gathered on the driver but a row count and a checksum.
+nothing is gathered on the driver but a row count and a checksum. A round's table
+goes as soon as the next one is written. Rounds grow with the logarithm of the
+vertices; sixty are enough for any table, and more are an error.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.storage import materialize
+from corpusloom.llm.storage import materialize, release
 
 
 def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -30,7 +32,8 @@ def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # then the smaller neighbours of each vertex meet at the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
-        stars, now = settle(small)
+        old, (stars, now) = stars, settle(small)
+        release(old)
         if now == mark:
             return stars.select(F.col("u").alias("v"), F.col("v").alias("root"))
         mark = now

@@ -7,15 +7,22 @@ null included, has fingerprint zero and is linked like any other.
 
 Distinct fingerprints, each with its least id, are dealt to shards by trees whose
 upper levels come from a bounded sample (``sample_rows``); the sample decides
-only how work is divided, never which pairs are found. Shards emit stars, not
-pairs, so a large group costs as many rows as it has fingerprints.
+only how work is divided, never which pairs are found. Shards that hold too many
+rows all the same are dealt again, each by a tree from a sample of its own that a
+task grows, and again until all are small; fingerprints that share a half are
+split by the quarters of the other one. Shards emit stars, not pairs, so a large
+group costs as many rows as it has fingerprints.
 
 Repeated rows share a component. Null ids share their texts' components but are
-never a component's id unless it has no other. Other columns are not read.
+never a component's id unless it has no other, when it is null. Of equal least
+ids there is nothing to choose. Texts of any length are hashed whole, in blocks.
+An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,6 +35,10 @@ from corpusloom.llm.components import star_components
 from corpusloom.llm.storage import materialize, ship_package
 
 SEED = 42
+#: Least sample rows of a tree's leaf, most sample rows of a tree that a task grows, and rounds of dealing.
+_LEAST, _TREE_ROWS, _ROUNDS = 16, 16_384, 40
+_DEALT = "part int, shard long, fp long, guest boolean"
+_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("fp", pa.int64()), ("guest", pa.bool_())])
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 1 << 15
 
@@ -61,40 +72,105 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(hash_rows, schema)
 
 
-def fingerprint_links(prints: DataFrame, n_prints: int, shard_rows: int = 8192, sample_rows: int = 100_000) -> DataFrame:
-    """Star edges (u, v) that connect exactly the fingerprints of each component.
+def shards(prints: DataFrame, n_prints: int, shard_rows: int, sample_rows: int) -> DataFrame:
+    """Rows of part, shard, fp and guest, such that any two near fingerprints meet in a shard, one of them at home.
 
-    prints: distinct longs ``fp``. shard_rows: aimed-at items of a shard, which
-    one task holds; sample_rows: about as many, and never twice as
-    many, fingerprints reach the driver, picked by their hash in each task.
+    prints: distinct longs ``fp``. No shard of more than 8 * shard_rows rows
+    stays while a tree can still split it.
     """
-    ship_package(prints.sparkSession)
+    spark = prints.sparkSession
+    ship_package(spark)
     share = min(1.0, sample_rows / max(1, n_prints))
     chosen = prints.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = chosen.select("fp").limit(2 * sample_rows).collect() if n_prints > shard_rows else []
     sample = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    leaf = max(16, int(len(sample) * shard_rows / max(1, n_prints)))
-    trees = [vptree.grow(vptree.half(sample, side), leaf) if len(sample) else [] for side in (0, 1)]
+    leaf = max(_LEAST, int(len(sample) * shard_rows / max(1, n_prints)))
+    trees = [vptree.grow(vptree.take(sample, part), leaf) if len(sample) else [] for part in (0, 1)]
 
     def deal(batches):
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for side in (0, 1):
-                for shard, rows, guest in vptree.route(values.view(np.uint64), side, trees[side]):
-                    n = len(rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, 2 * shard + side), pa.int64()), pa.array(values[rows]), pa.array(guest)], names=["shard", "fp", "guest"])
+            for part in (0, 1):
+                for shard, at, guest in vptree.route(values.view(np.uint64), part, trees[part]):
+                    yield _rows(part, shard, values[at], guest)
+
+    dealt = prints.select("fp").mapInArrow(deal, _DEALT)
+    most, ready = 8 * shard_rows, []
+    for _ in range(_ROUNDS):
+        sizes = materialize(dealt.filter("part >= 0").groupBy("part", "shard").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("guest")).alias("homes")).filter(f"n > {most}"), "heavy", compact=True)
+        if not sizes.limit(1).count():
+            return reduce(DataFrame.unionByName, ready, dealt)
+        ready.append(dealt.join(sizes, ["part", "shard"], "left_anti"))
+        # a shard of guests alone has no pair to find
+        heavy = materialize(dealt.join(sizes.filter("homes > 0"), ["part", "shard"]), "redealt")
+        dealt = materialize(deal_again(heavy, sizes, shard_rows, most), "shards")
+    raise RuntimeError(f"shards did not settle in {_ROUNDS} rounds")
+
+
+def _rows(part: int, shard: int, values: np.ndarray, guest: np.ndarray) -> pa.RecordBatch:
+    n = len(values)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, shard, np.int64)), pa.array(values), pa.array(guest)], names=["part", "shard", "fp", "guest"])
+
+
+def deal_again(heavy: DataFrame, sizes: DataFrame, shard_rows: int, most: int) -> DataFrame:
+    """The rows of too large shards in smaller ones; a negative part marks those that no tree can split.
+
+    heavy: rows with n and homes of their shard. Each shard's tree is grown in one
+    task from a sample of at most about ``_TREE_ROWS`` of its own fingerprints and
+    meets the shard's rows in slices of at most about ``most`` rows.
+    """
+    wanted = F.least(F.lit(_TREE_ROWS), 2 * _LEAST * F.ceil(F.col("n") / shard_rows))
+    picked = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < F.least(F.lit(1.0), wanted / F.col("homes")) * (1 << 30)
+    slices = F.ceil(F.col("n") / most)
+
+    def grow(table: pa.Table) -> pa.Table:
+        part, shard = table.column("part")[0].as_py(), table.column("shard")[0].as_py()
+        sample = np.sort(table.column("fp").to_numpy().astype(np.int64)).view(np.uint64)
+        nodes = vptree.grow(vptree.take(sample, part), _LEAST)
+        return pa.table({"part": pa.array([part], pa.int32()), "shard": [shard], "nodes": pa.array([[x for node in nodes for x in node]], pa.list_(pa.int64()))})
+
+    def route(left: pa.Table, right: pa.Table) -> pa.Table:
+        empty = pa.table([pa.array([], f.type) for f in _ARROW], schema=_ARROW)
+        if not left.num_rows:
+            return empty
+        part, shard = left.column("part")[0].as_py(), left.column("shard")[0].as_py()
+        values, guest = left.column("fp").to_numpy().astype(np.int64), left.column("guest").to_numpy(zero_copy_only=False).astype(bool)
+        flat = right.column("nodes")[0].as_py() if right.num_rows else []
+        nodes = list(zip(*(flat[i::4] for i in range(4)), strict=True))
+        name = lambda p, leaf: xxhash.xxh64_intdigest(f"{part} {shard} {p} {leaf}") >> 1  # noqa: E731  two shards of one name would only be compared as one
+        if nodes:
+            out = [_rows(part, name(part, leaf), values[at], visiting) for leaf, at, visiting in vptree.route(values.view(np.uint64), part, nodes, guest)]
+        elif part in vptree.BEYOND:
+            out = [_rows(p, name(p, 0), values, guest) for p in vptree.BEYOND[part]]
+        else:
+            out = [_rows(~part, shard, values, guest)]
+        return pa.Table.from_batches(out).cast(_ARROW) if out else empty
+
+    trees = heavy.filter(~F.col("guest") & picked).groupBy("part", "shard").applyInArrow(grow, "part int, shard long, nodes array<long>")
+    trees = trees.join(sizes, ["part", "shard"]).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1))).select("part", "shard", "slice", "nodes")
+    rows = heavy.select("part", "shard", F.pmod(F.xxhash64("fp", "guest"), slices).alias("slice"), "fp", "guest")
+    keys = ["part", "shard", "slice"]
+    return rows.groupBy(*keys).cogroup(trees.groupBy(*keys)).applyInArrow(route, _DEALT)
+
+
+def fingerprint_links(prints: DataFrame, n_prints: int, shard_rows: int = 8192, sample_rows: int = 100_000) -> DataFrame:
+    """Star edges (u, v) that connect exactly the fingerprints of each component.
+
+    prints: distinct longs ``fp``. shard_rows: aimed-at items of a shard at home;
+    sample_rows: about as many, and never twice as many, fingerprints reach the
+    driver, picked by their hash in each task.
+    """
 
     def join_shard(table: pa.Table) -> pa.Table:
-        side = table.column("shard")[0].as_py() % 2
+        part = table.column("part")[0].as_py()
         values = table.column("fp").to_numpy().astype(np.int64)
         order = np.argsort(values, kind="stable")
         values, guest = values[order], table.column("guest").to_numpy(zero_copy_only=False)[order].astype(bool)
-        root = vptree.components(values.view(np.uint64), guest, side)
+        root = vptree.components(values.view(np.uint64), guest, part if part >= 0 else ~part)
         linked = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"u": pa.array(values[linked], pa.int64()), "v": pa.array(values[root[linked]], pa.int64())})
 
-    dealt = prints.select("fp").mapInArrow(deal, "shard long, fp long, guest boolean")
-    return dealt.groupBy("shard").applyInArrow(join_shard, "u long, v long")
+    return shards(prints, n_prints, shard_rows, sample_rows).groupBy("part", "shard").applyInArrow(join_shard, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, shard_rows: int = 8192, sample_rows: int = 100_000) -> DataFrame:

@@ -8,6 +8,10 @@ a vantage point and a distance; items nearer than or at it go left, the others
 right. A right item within the radius of the border also goes left as a guest,
 to be compared with the items there; guests go wherever their ball reaches.
 Leaves compare whole fingerprints, so the pairs are exact.
+
+Items that share a half, or nearly, can't be split by it. They still differ in at
+most three bits of the other half, so in at most one bit of one of its quarters,
+and two more trees over those quarters split them in the same way.
 """
 
 from __future__ import annotations
@@ -15,13 +19,19 @@ from __future__ import annotations
 import numpy as np
 
 DISTANCE = 3
-HALF_RADIUS = DISTANCE // 2
+#: Radius of every search in a part of the fingerprint.
+RADIUS = 1
 LEAF = 384
+#: Parts that trees are grown over, as lowest bit and width: the two halves, the quarters of the right one, those of the left one.
+PARTS = ((32, 32), (0, 32), (16, 16), (0, 16), (48, 16), (32, 16))
+#: Parts that go on where a tree over a half can't split its items.
+BEYOND = {0: (2, 3), 1: (4, 5)}
 
 
-def half(prints: np.ndarray, side: int) -> np.ndarray:
-    """prints: unsigned 64-bit. side 0 is the upper 32 bits, 1 the lower."""
-    return (prints >> np.uint64(32) if side == 0 else prints & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def take(prints: np.ndarray, part: int) -> np.ndarray:
+    """prints: unsigned 64-bit. The bits of the part."""
+    low, width = PARTS[part]
+    return (prints >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def choose(values: np.ndarray, tries: int = 8) -> tuple[int, int] | None:
@@ -30,7 +40,7 @@ def choose(values: np.ndarray, tries: int = 8) -> tuple[int, int] | None:
     for vantage in values[np.linspace(0, len(values) - 1, tries).astype(int)]:
         counts = np.bincount(np.bitwise_count(values ^ vantage), minlength=65)
         left = np.cumsum(counts)
-        border = sum(np.concatenate([counts[i:], np.zeros(i, counts.dtype)]) for i in range(1, HALF_RADIUS + 1))
+        border = sum(np.concatenate([counts[i:], np.zeros(i, counts.dtype)]) for i in range(1, RADIUS + 1))
         right = len(values) - left
         cost = left**2 + 2.0 * left * border + right**2
         at = int(np.argmin(cost))
@@ -64,16 +74,16 @@ def divide(values: np.ndarray, guest: np.ndarray, vantage: int, distance: int) -
     """Masks: goes left, is a guest on the left, goes right (as what it is)."""
     d = np.bitwise_count(values ^ np.uint32(vantage)).astype(np.int16)
     home_left = ~guest & (d <= distance)
-    border = ~guest & (d > distance) & (d <= distance + HALF_RADIUS)
-    left = home_left | border | (guest & (d <= distance + HALF_RADIUS))
-    right = (~guest & (d > distance)) | (guest & (d > distance - HALF_RADIUS))
+    border = ~guest & (d > distance) & (d <= distance + RADIUS)
+    left = home_left | border | (guest & (d <= distance + RADIUS))
+    right = (~guest & (d > distance)) | (guest & (d > distance - RADIUS))
     return left, left & ~home_left, right
 
 
-def route(prints: np.ndarray, side: int, nodes: list[tuple[int, int, int, int]]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def route(prints: np.ndarray, part: int, nodes: list[tuple[int, int, int, int]], guests: np.ndarray | None = None) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """Shards with the positions of their items and which of those are guests."""
-    values, out = half(prints, side), []
-    stack = [(0 if nodes else ~0, np.arange(len(prints)), np.zeros(len(prints), bool))]
+    values, out = take(prints, part), []
+    stack = [(0 if nodes else ~0, np.arange(len(prints)), np.zeros(len(prints), bool) if guests is None else guests)]
     while stack:
         node, rows, guest = stack.pop()
         if not len(rows):
@@ -122,22 +132,25 @@ def compare(prints: np.ndarray, rows: np.ndarray, guest: np.ndarray, labels: Lab
         labels.link(a[a != b], b[a != b])
 
 
-def components(prints: np.ndarray, guest: np.ndarray, side: int, leaf: int = LEAF) -> np.ndarray:
+def components(prints: np.ndarray, guest: np.ndarray, part: int, leaf: int = LEAF) -> np.ndarray:
     """For each fingerprint of a shard the position of its local component's first member.
 
     Only links with at least one home member are sought; the shard's tree is
     grown from its own items.
     """
-    labels, values = Labels(len(prints)), half(prints, side)
-    stack = [(np.arange(len(prints)), guest)]
+    labels = Labels(len(prints))
+    stack = [(part, np.arange(len(prints)), guest)]
     while stack:
-        rows, visiting = stack.pop()
+        part, rows, visiting = stack.pop()
         if visiting.all():
             continue
-        split = choose(values[rows[~visiting]]) if len(rows) > leaf else None
-        if split is None:
+        values = take(prints[rows], part)
+        split = choose(values[~visiting]) if len(rows) > leaf else None
+        if split is not None:
+            left, left_guest, right = divide(values, visiting, *split)
+            stack += [(part, rows[left], left_guest[left]), (part, rows[right], visiting[right])]
+        elif len(rows) > leaf and part in BEYOND:
+            stack += [(p, rows, visiting) for p in BEYOND[part]]
+        else:
             compare(prints, rows, visiting, labels)
-            continue
-        left, left_guest, right = divide(values[rows], visiting, *split)
-        stack += [(rows[left], left_guest[left]), (rows[right], visiting[right])]
     return labels.roots(np.arange(len(prints)))
