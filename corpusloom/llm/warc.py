@@ -1,99 +1,130 @@
 """Content-addressed WARC archive (operator 3).
 
 Two tables make the archive: ``payloads`` holds each distinct payload once under
-its SHA-256, and ``headers`` holds every record's exact header bytes with the
-digest that leads to its payload. Reading verifies each stored payload against
-its digest once and rebuilds the records by a join on the digest.
+its SHA-256, and ``headers`` holds every record's exact header bytes, that is the
+WARC named fields and the HTTP head that opens its block. Nothing else is kept of
+a record: reading parses those bytes, verifies each stored payload against its
+digest once, and rebuilds the records by a join on the digest.
+
+All decisions are made on digests. Payload bytes move once, to the task that
+stores them, and copies of one payload collapse in each task before they move, so
+a payload that a third of all pages share costs one copy a task. The digest is
+computed in both passes over the pages, which costs less than a copy of them.
 
 Of records with equal payloads of at least ``least_revisit`` bytes, the one with
 the smallest page id is the response and the others revisit it; shorter payloads
-are responses all. Null html is an empty payload, null url an empty target. Of
-rows that repeat the smallest page id, the first by url is the response and the
-others revisit that id. Other columns are neither read nor stored.
+are responses all. Null html is an empty payload; a null url leaves out the
+target field and comes back as null. Null ids come after all others and leave out
+their field. Of rows that tie for the smallest page id, the least by url, then by
+place in the written index, is the response and the others revisit that id. Line
+breaks in a url are stored as %0D and %0A. An empty table makes an empty archive,
+which reads as no rows. Payloads of any length are stored whole. Columns other
+than id, url and html are neither read nor stored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from datetime import UTC, datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.llm.storage import new_path
 
 _CRLF = "\r\n"
-
-
-def record_header(kind: Column, page_id: Column, url: Column, digest: Column, size: Column, refers_to: Column) -> Column:
-    """The header block of a WARC/1.1 record, with the blank line that ends it."""
-    line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(_CRLF))
-    length = F.when(kind == "revisit", F.lit("0")).otherwise(size.cast("string"))
-    return F.encode(
-        F.concat(
-            F.lit(f"WARC/1.1{_CRLF}"),
-            line("WARC-Type", kind),
-            line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))),
-            line("WARC-Target-URI", F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]", " ")),
-            line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
-            F.when(kind == "revisit", F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.coalesce(refers_to.cast("string"), F.lit("none")), F.lit(">"))))).otherwise(F.lit("")),
-            line("Content-Type", F.lit("text/html; charset=utf-8")),
-            line("Content-Length", length),
-            F.lit(_CRLF),
-        ),
-        "UTF-8",
+#: Fixed value: the profile of revisits by equal payload digest.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def record_id(page_id: Column, digest: Column, row: Column) -> Column:
+    """A name for a record that no other one has; rows of the index differ in row."""
+    h = F.md5(F.concat_ws("|", F.coalesce(page_id.cast("string"), F.lit("")), digest, row.cast("string")))
+    cut = lambda a, n: F.substring(h, a, n)
+    return F.concat_ws("-", cut(1, 8), cut(9, 4), cut(13, 4), cut(17, 4), cut(21, 12))
+
+
+def record_header(kind: Column, page_id: Column, url: Column, digest: Column, size: Column, own_id: Column, first_id: Column, first_page: Column, date: str) -> Column:
+    """The named fields of a WARC/1.1 record, the blank line after them, and the HTTP head of its block."""
+    line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(_CRLF)), F.lit(""))
+    urn = lambda i: F.concat(F.lit("<urn:uuid:"), i, F.lit(">"))
+    text = lambda v: F.url_encode(v.cast("string"))
+    revisit = lambda v: F.when(kind == "revisit", v)
+    http = F.concat(F.lit(f"HTTP/1.1 200 OK{_CRLF}Content-Type: text/html; charset=utf-8{_CRLF}Content-Length: "), size.cast("string"), F.lit(_CRLF * 2))
+    block = F.length(http) + F.when(kind == "revisit", 0).otherwise(size)
+    fields = F.concat(
+        F.lit(f"WARC/1.1{_CRLF}"),
+        line("WARC-Type", kind),
+        line("WARC-Record-ID", urn(own_id)),
+        line("WARC-Date", F.lit(date)),
+        line("WARC-Target-URI", F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
+        line("WARC-Profile", revisit(F.lit(PROFILE))),
+        line("WARC-Refers-To", revisit(urn(first_id))),
+        line("WARC-Refers-To-Date", revisit(F.lit(date))),
+        line("X-Page-ID", text(page_id)),
+        line("X-Refers-To-Page-ID", revisit(text(first_page))),
+        line("Content-Type", F.lit("application/http; msgtype=response")),
+        line("Content-Length", block.cast("string")),
+        F.lit(_CRLF),
     )
+    return F.encode(F.concat(fields, http), "UTF-8")
 
 
-def write_archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_revisit: int = 100) -> str:
+def write_archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_revisit: int = 100, date: str | None = None) -> str:
     """Write the two tables under path (a new folder of the shared one by default); returns the path.
 
-    Payload bytes are shuffled once, by page id, and only for the rows that are
-    stored; all decisions are made on digests.
+    date: the records' WARC-Date, the time of writing by default.
     """
     spark = pages.sparkSession
     path = path or new_path(spark, "warc")
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    slim = rows.select("page_id", "url", F.octet_length("payload").cast("long").alias("size"), F.sha2("payload", 256).alias("digest"))
+    slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.octet_length(payload).cast("long").alias("size"), F.sha2(payload, 256).alias("digest"), F.monotonically_increasing_id().alias("row"))
     slim.write.parquet(f"{path}/index")
     index = spark.read.schema(slim.schema).parquet(f"{path}/index")
 
-    # pre-aggregated by digest; ids that occur once are settled without a window
-    first = index.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", F.coalesce("url", F.lit("")))).alias("f"), F.count(F.lit(1)).alias("copies")).select("digest", "copies", F.col("f.page_id").alias("first_id"), F.col("f.col3").alias("first_url"))
-    single = index.join(first.filter("copies = 1").select("digest"), "digest", "left_semi").withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast("long"), "stored": F.lit(True)})
-    copies = index.join(first.filter("copies > 1"), "digest")
-    holder = F.col("page_id").eqNullSafe(F.col("first_id")) & (F.coalesce("url", F.lit("")) == F.col("first_url"))
-    # only rows that could be the holder are ranked, one partition an id and digest
-    rank = F.row_number().over(Window.partitionBy("digest").orderBy("page_id"))
-    held = copies.filter(holder).withColumn("__rank", rank)
-    typed = lambda df, is_first: df.withColumns({"record_type": F.when((F.col("size") < least_revisit) | is_first, F.lit("response")).otherwise(F.lit("revisit")), "stored": is_first}).withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("first_id")))
-    columns = ["page_id", "url", "size", "digest", "record_type", "refers_to", "stored"]
-    records = single.select(columns).unionByName(typed(held, F.col("__rank") == 1).select(columns)).unionByName(typed(copies.filter(~holder), F.lit(False)).select(columns))
-    headers = records.withColumn("header", record_header(F.col("record_type"), F.col("page_id"), F.col("url"), F.col("digest"), F.col("size"), F.col("refers_to")))
-    headers.write.parquet(f"{path}/headers")
-
-    stored = spark.read.schema(headers.schema).parquet(f"{path}/headers").filter("stored").select(F.col("page_id").alias("k"), F.col("digest").alias("d"))
-    source = rows.select("page_id", "payload", F.sha2("payload", 256).alias("digest"))
-    kept = source.join(stored, source["page_id"].eqNullSafe(stored["k"]) & (source["digest"] == stored["d"]))
-    # a repeated row of the stored id brings the same bytes again
-    kept.select("digest", "payload").dropDuplicates(["digest"]).write.parquet(f"{path}/payloads") if _repeats(index) else kept.select("digest", "payload").write.parquet(f"{path}/payloads")
+    # the least row a digest, pre-aggregated in each task; the row number makes it one
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.coalesce("url", F.lit("")).alias("url"), "row")
+    first = index.groupBy("digest").agg(F.min(order).alias("f")).select("digest", F.col("f.page_id").alias("first_page"), F.col("f.row").alias("first_row"))
+    records = index.join(first, "digest")
+    kind = F.when((F.col("size") < least_revisit) | (F.col("row") == F.col("first_row")), "response").otherwise("revisit")
+    header = record_header(F.col("kind"), F.col("page_id"), F.col("url"), F.col("digest"), F.col("size"), record_id(F.col("page_id"), F.col("digest"), F.col("row")), record_id(F.col("first_page"), F.col("digest"), F.col("first_row")), F.col("first_page"), date)
+    records.withColumn("kind", kind).select(header.alias("header"), F.lit(slim.schema["page_id"].dataType.simpleString()).alias("id_type")).write.parquet(f"{path}/headers")
+
+    stored = pages.select(F.sha2(payload, 256).alias("digest"), payload.alias("payload"))
+    stored.groupBy("digest").agg(F.any_value("payload").alias("payload")).write.parquet(f"{path}/payloads")
     return path
 
 
-def _repeats(index: DataFrame) -> bool:
-    return bool(index.groupBy("page_id").count().filter("count > 1").limit(1).count())
+def parsed_headers(headers: DataFrame, id_type: T.DataType) -> DataFrame:
+    """What the stored header bytes say: page_id, url, record_type, refers_to and payload_digest beside the bytes."""
+    head = F.decode("header", "UTF-8")
+    field = lambda name: F.nullif(F.regexp_extract(head, rf"\r\n{name}: ([^\r\n]*)\r\n", 1), F.lit(""))
+    absent = lambda name: ~head.contains(f"{_CRLF}{name}: ")
+    identity = lambda name: F.url_decode(F.when(~absent(name), F.coalesce(field(name), F.lit("")))).cast(id_type)
+    url = F.when(~absent("WARC-Target-URI"), F.coalesce(field("WARC-Target-URI"), F.lit("")))
+    return headers.select("header", identity("X-Page-ID").alias("page_id"), url.alias("url"), field("WARC-Type").alias("record_type"), identity("X-Refers-To-Page-ID").alias("refers_to"), F.regexp_replace(field("WARC-Payload-Digest"), r"\Asha256:", "").alias("payload_digest"))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The records again: page_id, url, record_type, refers_to, header, payload, payload_bytes, payload_digest, verified.
+    """The records again, from header and payload bytes alone: page_id, url, record_type, refers_to, header, payload, payload_bytes, payload_digest.
 
-    A payload that doesn't hash to the digest it is stored under is an error.
+    A payload that doesn't hash to the digest it is stored under, and a record
+    whose payload is lost, are errors.
     """
-    stored = spark.read.parquet(f"{path}/payloads").withColumn("payload_digest", F.sha2("payload", 256))
-    stored = stored.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "digest": F.when(F.col("digest") == F.col("payload_digest"), F.col("digest")).otherwise(F.raise_error(F.concat(F.lit("stored payload is damaged: "), F.col("digest"))))})
-    headers = spark.read.parquet(f"{path}/headers").drop("stored", "size")
-    return headers.join(stored, "digest").drop("digest")
+    stored = spark.read.parquet(f"{path}/payloads").withColumn("found", F.sha2("payload", 256))
+    damaged = F.raise_error(F.concat(F.lit("stored payload is damaged: "), F.col("digest")))
+    stored = stored.select(F.when(F.col("digest") == F.col("found"), F.col("digest")).otherwise(damaged).alias("digest"), "payload", F.octet_length("payload").cast("long").alias("payload_bytes"))
+    headers = spark.read.parquet(f"{path}/headers")
+    id_type = headers.select("id_type").first()
+    records = parsed_headers(headers, T._parse_datatype_string(id_type[0] if id_type else "long"))
+    lost = F.raise_error(F.concat(F.lit("stored payload is lost: "), F.col("payload_digest")))
+    joined = records.join(stored, F.col("payload_digest") == F.col("digest"), "left")
+    return joined.withColumn("payload_digest", F.when(F.col("digest").isNotNull(), F.col("payload_digest")).otherwise(lost)).drop("digest")
 
 
 def warc_bytes(records: DataFrame) -> Column:
-    """A record as it stands in a .warc file; revisits carry no payload."""
+    """A record as it stands in a .warc file; the block of a revisit is its HTTP head alone."""
     body = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     return F.concat(F.col("header"), body, F.encode(F.lit(_CRLF * 2), "UTF-8"))
