@@ -7,14 +7,19 @@ sources.
 
 A source is taken in whole epochs first. What is left of its target is filled
 with documents in the order of exponential keys -ln(u)/w, where u comes from the
-id's digest, so reruns agree, and w is the document's quality weight. Keys are
-binned; bins are summed before any shuffle, and only the one bin in each source
-where the budget ends is ordered document by document. What comes out is one cut
-key for each source, so documents are judged row by row and never shuffled.
-
-Null text has size 0; null ids hash as empty. Rows with equal source, id and size
-are one unit for the cut: all or none of them fall inside. Only the named columns
-are read.
+id's digest, so reruns agree, and w is the document's quality weight. Where the
+budget ends is narrowed down in rounds: the keys of the part that holds the end
+are binned, bins are summed before any shuffle, and the one bin with the end is
+the next part, until it holds few rows; only these are ordered row by row. Rows
+of one key, as all rows without an id have, are divided by a second number each.
+So no task sorts more than ``bin_rows`` rows of a source, whatever the weights.
+What comes out is one cut for each source, so documents are judged row by row and
+never shuffled.
+
+Null text has size 0; null ids hash as empty; a null source is one of its own.
+Repeated rows are rows of their own in ``mix_sources``: as many of them are taken
+once more as the budget still holds. An empty table gives an empty result, and
+texts of any length are counted whole. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -22,12 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.native import count_symbols, count_words
+from corpusloom.llm.native import count_symbols, count_words, free_name
 from corpusloom.llm.storage import materialize
 
-#: Rows aimed at in a bin of keys.
-BIN_ROWS = 2000
+#: Rows of a source that one task may order, and bins of a round.
+BIN_ROWS, BINS = 2000, 1024
 MOST_EPOCHS = 3
+_TIES, _ROUNDS = (1 << 52) - 1, 40
 
 
 def quality_weight(text: Column) -> Column:
@@ -57,65 +63,105 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
     return ranked.withColumn("target", F.least(level * F.col("weight"), F.col("cap").cast("double"))).select("source", "source_size", "weight", "target")
 
 
-def mixing_plan(keyed: DataFrame, bin_rows: int = BIN_ROWS) -> DataFrame:
-    """keyed: rows of source, id, size, key. One row for each source: target, epochs, and the cut up to which documents are taken once more."""
-    n_bins = max(1, -(-keyed.count() // bin_rows))
-    bins = F.least(F.floor((1 - F.exp(-F.col("key"))) * n_bins), F.lit(n_bins - 1))
-    keyed = keyed.withColumn("bin", bins)
-    binned = keyed.groupBy("source", "bin").agg(F.sum("size").alias("s"))
-    sizes = binned.groupBy("source").agg(F.sum("s").alias("source_size"))
-    plan = source_targets(sizes).withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST_EPOCHS))).otherwise(0))
+def mixing_plan(keyed: DataFrame, bin_rows: int = BIN_ROWS, bins: int = BINS) -> DataFrame:
+    """keyed: rows of source, key, tie, size. One row for each source: target, epochs, and the cut up to which rows are taken once more.
+
+    Rows before ``first``, a struct of key and tie, and those up to ``cut`` are;
+    ``cut_rows`` counts the rows of one key and tie that the budget's end divides.
+    """
+    sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    sizes = materialize(sizes, "sources", compact=True)
+    plan = source_targets(sizes.select("source", "source_size")).withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST_EPOCHS))).otherwise(0))
     plan = materialize(plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")), "plan", tiny=True)
 
-    upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    placed = binned.withColumn("before", F.coalesce(F.sum("s").over(upto), F.lit(0)))
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    ends = placed.join(plan, same(placed, plan)).filter((F.col("before") <= F.col("budget")) & (F.col("budget") < F.col("before") + F.col("s"))).select(plan["source"].alias("e_source"), F.col("bin").alias("e_bin"), "before", "budget")
-    inside = keyed.join(ends, keyed["source"].eqNullSafe(ends["e_source"]) & (keyed["bin"] == ends["e_bin"]))
-    units = inside.groupBy("source", "key", "id", "size", "before", "budget").agg(F.sum("size").alias("unit"))
-    ordered = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    # the part of each source that holds the end of its budget: keys from lo to hi, and where they are one, ties from tie_lo to tie_hi
+    part = sizes.join(plan.select(F.col("source").alias("p_source"), "budget"), F.col("source").eqNullSafe(F.col("p_source")))
+    part = part.select("source", "budget", "n", "lo", "hi", F.lit(0.0).alias("tie_lo"), F.lit(float(_TIES)).alias("tie_hi"), F.lit(0).cast("long").alias("before"))
+    for _ in range(_ROUNDS):
+        wide = (F.col("n") > bin_rows) & ((F.col("lo") < F.col("hi")) | (F.col("tie_lo") < F.col("tie_hi")))
+        if not part.filter(wide).limit(1).count():
+            break
+        part = materialize(narrowed(keyed, part, bins), "part", compact=True)
+
+    p = part.select(F.col("source").alias("p_source"), "budget", "lo", "hi", "tie_lo", "tie_hi", "before")
+    inside = keyed.join(p, F.col("source").eqNullSafe(F.col("p_source")) & F.col("key").between(F.col("lo"), F.col("hi")) & F.col("tie").between(F.col("tie_lo"), F.col("tie_hi")))
+    units = inside.groupBy("source", "key", "tie", "before", "budget").agg(F.sum("size").alias("unit"), F.count(F.lit(1)).alias("rows"))
+    ordered = Window.partitionBy("source").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, -1)
     units = units.withColumn("start", F.col("before") + F.coalesce(F.sum("unit").over(ordered), F.lit(0)))
     within = 2 * F.col("start") + F.col("unit") <= 2 * F.col("budget")
-    cut = units.groupBy("source").agg(F.max(F.when(within, F.struct("key", "id", "size"))).alias("cut")).withColumnRenamed("source", "c_source")
-    plan = plan.join(cut, plan["source"].eqNullSafe(cut["c_source"]), "left").drop("c_source")
-    ends = ends.select(F.col("e_source"), F.col("e_bin"))
-    plan = plan.join(ends, plan["source"].eqNullSafe(ends["e_source"]), "left").drop("e_source")
-    return materialize(plan.withColumn("n_bins", F.lit(n_bins)), "cuts", compact=True)
+    here = F.struct("key", "tie")
+    cut_apart = (F.col("start") < F.col("budget")) & (F.col("budget") < F.col("start") + F.col("unit"))
+    cut = units.groupBy("source").agg(F.max(F.when(within, here)).alias("cut"), F.min(here).alias("first"), F.max(F.when(cut_apart, F.col("rows"))).alias("cut_rows")).withColumnRenamed("source", "c_source")
+    plan = plan.join(cut, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
+    return materialize(plan, "cuts", compact=True)
+
+
+def narrowed(keyed: DataFrame, part: DataFrame, bins: int) -> DataFrame:
+    """One round: each source's part is cut to the bin in which its budget ends."""
+    p = part.select(F.col("source").alias("p_source"), "budget", "lo", "hi", "tie_lo", "tie_hi", "before")
+    inside = keyed.join(p, F.col("source").eqNullSafe(F.col("p_source")) & F.col("key").between(F.col("lo"), F.col("hi")) & F.col("tie").between(F.col("tie_lo"), F.col("tie_hi")))
+    share = lambda x, lo, hi: F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))
+    # keys crowd at the low end, so they are binned by 1 - exp(lo - key) over its range
+    of = lambda c: 1 - F.exp(F.col("lo") - c)
+    by_key = F.when(F.exp(F.col("lo") - F.col("hi")) < 0.5, share(of(F.col("key")), F.lit(0.0), of(F.col("hi")))).otherwise(share(F.col("key"), F.col("lo"), F.col("hi")))
+    by_tie = F.when(F.col("tie_lo") < F.col("tie_hi"), share(F.col("tie"), F.col("tie_lo"), F.col("tie_hi"))).otherwise(0)
+    binned = inside.withColumn("bin", F.when(F.col("lo") < F.col("hi"), by_key).otherwise(by_tie).cast("int"))
+    binned = binned.groupBy("source", "budget", "before", "bin").agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n"), *(f(c).alias(name) for f, c, name in ((F.min, "key", "lo"), (F.max, "key", "hi"), (F.min, "tie", "tie_lo"), (F.max, "tie", "tie_hi"))))
+    upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = binned.withColumn("before", F.col("before") + F.coalesce(F.sum("s").over(upto), F.lit(0)))
+    ends = placed.filter((F.col("before") <= F.col("budget")) & (F.col("budget") < F.col("before") + F.col("s")))
+    return ends.select("source", "budget", "n", "lo", "hi", F.col("tie_lo").cast("double").alias("tie_lo"), F.col("tie_hi").cast("double").alias("tie_hi"), "before")
 
 
-def taken_times(key: Column, doc_id: Column, size: Column, plan: str) -> Column:
+def taken_times(key: Column, tie: Column, plan: str) -> Column:
     """How often a row is taken; plan names the struct column with its source's plan."""
     of = lambda c: F.col(f"{plan}.{c}")
-    bins = F.least(F.floor((1 - F.exp(-key)) * of("n_bins")), of("n_bins") - 1)
-    here = F.struct(key.alias("key"), doc_id.alias("id"), size.alias("size"))
-    again = (bins < of("e_bin")) | ((bins == of("e_bin")) & F.coalesce(here <= of("cut"), F.lit(False)))
-    return of("epochs") + F.coalesce(again, F.lit(False)).cast("long")
+    here = F.struct(key.alias("key"), tie.alias("tie"))
+    return of("epochs") + F.coalesce((here < of("first")) | (here <= F.coalesce(of("cut"), F.struct(F.lit(-1.0).alias("key"), F.lit(0).cast("long").alias("tie")))), F.lit(False)).cast("long")
 
 
-def keyed_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, quality: Column | None = None) -> DataFrame:
+def tie_of(*values: Column) -> Column:
+    return F.xxhash64(*values).bitwiseAND(F.lit(_TIES))
+
+
+def keyed_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, quality: Column | None, tie: Column) -> DataFrame:
     text = F.col(text_col).cast("string")
-    doc_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), doc_id.alias("id"), count_words(text).alias("size"), sampling_key(F.col(id_col), quality_weight(text) if quality is None else quality).alias("key"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), count_words(text).alias("size"), sampling_key(F.col(id_col), quality_weight(text) if quality is None else quality).alias("key"), tie.alias("tie"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None) -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, bin_rows: int = BIN_ROWS, bins: int = BINS) -> DataFrame:
     """Per row: the id (as doc_id), size, source_size, target, and taken, the words that the mix takes with repeats."""
-    rows = materialize(keyed_rows(docs, id_col, text_col, source_col, quality), "keyed")
-    plan = mixing_plan(rows.drop("doc_id")).select(F.col("source").alias("__source"), F.struct("*").alias("__plan"))
+    rows = materialize(keyed_rows(docs, id_col, text_col, source_col, quality, tie_of(F.monotonically_increasing_id())), "keyed")
+    plan = mixing_plan(rows.drop("doc_id"), bin_rows, bins).select(F.col("source").alias("__source"), F.struct("*").alias("__plan"))
     joined = rows.join(plan, rows["source"].eqNullSafe(plan["__source"]))
-    times = taken_times(F.col("key"), F.col("id"), F.col("size"), "__plan")
+    times = taken_times(F.col("key"), F.col("tie"), "__plan")
     return joined.select("doc_id", "size", F.col("__plan.source_size"), F.col("__plan.target"), (times * F.col("size")).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """docs with each row repeated as often as the mix takes it; columns as before."""
-    plan = mixing_plan(materialize(keyed_rows(docs, id_col, text_col, source_col).drop("doc_id"), "keyed"))
-    plan = plan.select(F.col("source").alias("__source"), F.struct("*").alias("__plan"))
-    text = F.col(text_col).cast("string")
-    joined = docs.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
-    times = taken_times(sampling_key(F.col(id_col), quality_weight(text)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), count_words(text), "__plan")
-    repeated = joined.withColumn("__times", times).filter("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
-    return repeated.select(*docs.columns)
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bin_rows: int = BIN_ROWS, bins: int = BINS) -> DataFrame:
+    """docs with each row repeated as often as the mix takes it; columns as before.
+
+    Rows are told apart by id and text, so docs is read twice and not written.
+    Only where the cut would divide rows equal in both are docs written once with
+    a number, and divided by it.
+    """
+    text, source = F.col(text_col).cast("string"), F.col(source_col).cast("string")
+    columns, tie = docs.columns, tie_of(F.col(id_col), text)
+
+    def planned(rows: DataFrame) -> DataFrame:
+        return mixing_plan(materialize(keyed_rows(rows, id_col, text_col, source_col, None, tie).drop("doc_id"), "keyed"), bin_rows, bins)
+
+    plan = planned(docs)
+    if plan.filter("cut_rows > 1").limit(1).count():
+        number = free_name(docs, "number")
+        docs = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+        tie = tie_of(F.col(number))
+        plan = planned(docs)
+    its, mine, times, copy = (free_name(docs, c) for c in ("its_source", "plan", "times", "copy"))
+    plan = plan.select(F.col("source").alias(its), F.struct("*").alias(mine))
+    joined = docs.join(plan, source.eqNullSafe(F.col(its)))
+    repeated = joined.withColumn(times, taken_times(sampling_key(F.col(id_col), quality_weight(text)), tie, mine)).filter(F.col(times) > 0)
+    return repeated.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*columns)
 
 
 MIXING_SQL = """
