@@ -2,17 +2,20 @@
 
 A document's ids, with the end id after them, are first cut into full windows;
 those are sequences of their own. The remainders, one a document at most, are
-dealt into groups of bounded size by a hash, and each group is packed by itself:
-longest first, into the open window with the least room that still holds the
-piece. A segment tree over remaining capacities finds that window.
+dealt into groups of bounded size by their row numbers, whatever they hold, and
+each group is packed by itself: longest first, into the open window with the
+least room that still holds the piece. A segment tree over remaining capacities
+finds that window. Of equal lengths the smaller id goes first, null ids last, then
+the lower row number.
 
 Null text counts as empty: its only id is the end id. Repeated rows are packed
-each by itself. Other columns are neither read nor returned. An empty table
-gives an empty result.
+each by itself. Texts of any length are encoded whole, one at a time. Other
+columns are neither read nor returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import importlib.util
 import json
 import re
 import struct
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.native import free_name
 from corpusloom.llm.storage import materialize, ship_package
 from corpusloom.llm.token_counts import PRETOKEN, byte_symbols, default_vocabulary
 
@@ -53,7 +57,7 @@ class Encoder:
         byte = {symbol: b for b, symbol in enumerate(byte_symbols())}
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         plain = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and spec["normalizer"] is None
-        if plain and all(a < b for a, b in zip(order, order[1:], strict=False)) and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+        if importlib.util.find_spec("tiktoken") and plain and all(a < b for a, b in zip(order, order[1:], strict=False)) and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             import tiktoken
 
             ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in added}
@@ -157,6 +161,11 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, window: int, vocab
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(cut, schema)
 
 
+def dealt_rows(rest: DataFrame, row: str, groups: int) -> DataFrame:
+    """rest with ``__group``, by a hash of the stored row number: repeated rows are spread like any others."""
+    return rest.withColumn("__group", F.pmod(F.xxhash64(F.col(row)), F.lit(groups)))
+
+
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, vocabulary: str | None = None, end_id: int = 0, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Pack every document's ids into sequences of at most window tokens.
 
@@ -164,20 +173,22 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     doc_tokens, sequence_id and offset. Sequence ids are unique but not dense:
     full windows have odd ones, packed ones even ones.
     """
-    pieces = materialize(token_pieces(docs, id_col, text_col, window, vocabulary, end_id), "pieces")
+    row = free_name(docs.select(id_col), "row")
+    pieces = token_pieces(docs, id_col, text_col, window, vocabulary, end_id)
+    columns = pieces.schema.fields
+    pieces = materialize(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
     full = F.col("length") == window
-    alone = pieces.filter(full).withColumns({"sequence_id": F.monotonically_increasing_id() * 2 + 1, "offset": F.lit(0).cast("long")})
+    alone = pieces.filter(full).withColumns({"sequence_id": F.col(row) * 2 + 1, "offset": F.lit(0).cast("long")}).drop(row)
     rest = pieces.filter(~full)
     groups = max(1, -(-rest.count() // group_rows))
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType(), False), T.StructField("offset", T.LongType(), False)])
+    schema = T.StructType([*columns, T.StructField("sequence_id", T.LongType(), False), T.StructField("offset", T.LongType(), False)])
 
     def pack(table: pa.Table) -> pa.Table:
         group = table.column("__group")[0].as_py()
-        table = table.drop_columns("__group").sort_by([("length", "descending"), (id_col, "ascending"), ("ids_crc32", "ascending")])
+        table = table.drop_columns("__group").sort_by([("length", "descending"), (id_col, "ascending"), (row, "ascending")]).drop_columns(row)
         placed = best_fit_decreasing(table.column("length").to_pylist(), window)
         table = table.append_column("sequence_id", pa.array([(group << 33 | s) * 2 for s, _ in placed], pa.int64()))
         return table.append_column("offset", pa.array([o for _, o in placed], pa.int64())).cast(pa.schema([(f.name, table.schema.field(f.name).type if f.name in table.schema.names else pa.int64()) for f in schema.fields]))
 
-    dealt = rest.withColumn("__group", F.pmod(F.xxhash64(F.col(id_col), "ids_crc32"), F.lit(groups)))
-    packed = dealt.groupBy("__group").applyInArrow(pack, schema)
+    packed = dealt_rows(rest, row, groups).groupBy("__group").applyInArrow(pack, schema)
     return alone.unionByName(packed)
