@@ -3,35 +3,43 @@
 One pass over the texts finds candidates: assigned values, access keys and long
 hex runs, which are always reported, and further shapes (provider tokens, private
 key blocks, passwords in addresses, mixed-class tokens). Only digests of their
-values leave that pass. Over the corpus each digest is counted by distinct
-repositories and owners. A value that many owners carry is a copied example; one
-that stays with a few owners looks live. Of the further shapes only live-looking
-values become spans.
-
-Null text has no spans. Repeated rows each get a row. Null repositories and
-owners count as one. Offsets are code points, end exclusive.
+values, of 128 bits, leave that pass. Over the corpus each digest is counted by
+distinct repositories and by distinct owners. A value that many repositories or
+several owners carry is a copied example; one that stays with few looks live. Of
+the further shapes only live-looking values become spans. Where no repository is
+named, a document is one.
+
+Null and empty texts have no spans; an empty table gives an empty result. Texts of
+any length are searched whole, in time in proportion to their length. Repeated
+rows each get a row, and count as one repository where they share the id. Null
+repositories and owners count as one each. Of base spans at one start the kinds go
+in the order of ``KINDS``; a further span that overlaps a span found before it, by
+kind and then by start, is left out. Offsets are code points, end exclusive.
+Columns other than those named are not read, so their names can't clash.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from functools import reduce
 from operator import or_
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.native import let
+from corpusloom.llm.native import free_name, let
 from corpusloom.llm.storage import materialize, ship_package
 
 #: Kinds in the order in which spans at the same start are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "token", "pem", "url", "mixed")
 BASE = KINDS[:3]
-#: A value carried by more distinct owners than this is a copied example.
-MOST_OWNERS = 2
+#: A value carried by more distinct owners, or by more distinct repositories, than this is a copied example.
+MOST_OWNERS, MOST_REPOSITORIES = 2, 50
 
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 _KEYWORDS = ("passw", "secret", "token", "api")
@@ -40,9 +48,9 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 #: Published shapes of provider credentials.
 _TOKEN = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 _TOKEN_SIGNS = ("gh", "xox", "k_", "AIza", "eyJ")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]{0,24}PRIVATE KEY-----")
-_URL = re.compile(r"[a-z][a-z0-9+.-]{0,15}://[^\s/:@]{1,64}:([^\s/@]{6,})@")
-_MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{0,64}?[0-9])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_=-])")
+_PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END (?:[A-Z]+ )*PRIVATE KEY-----")
+_URL = re.compile(r"(?<=[a-z0-9+.-])://[^\s/:@]+:([^\s/@]{6,})@")
+_MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_=-])")
 _PLACEHOLDER = re.compile(r"example|sample|dummy|changeme|placeholder|your[-_]?|xxxx|(.)\1{7}|0123456789|123456789|abcdefgh", re.I)
 
 
@@ -71,15 +79,34 @@ def further_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tupl
         value = m[0]
         if any(c.isupper() for c in value) and any(c.islower() for c in value) and sum(c.isdigit() for c in value) >= 3:
             found.append((m.start(), 6, m.end(), value))
-    held: list[tuple[int, int, int, str]] = list(base)
-    out = []
+    held, out = Covered(), []
+    for span in base:
+        held.add(span[0], span[2])
     for span in sorted(found, key=lambda s: (s[1], s[0])):
-        if not _PLACEHOLDER.search(span[3]) and not any(h[0] < span[2] and span[0] < h[2] for h in held):
-            held.append(span)
+        if not _PLACEHOLDER.search(span[3]) and not held.meets(span[0], span[2]):
+            held.add(span[0], span[2])
             out.append(span)
     return out
 
 
+class Covered:
+    """Offsets that spans hold, as sorted disjoint intervals."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def meets(self, start: int, end: int) -> bool:
+        i = bisect_right(self.ends, start)
+        return i < len(self.starts) and self.starts[i] < end
+
+    def add(self, start: int, end: int) -> None:
+        i, j = bisect_left(self.ends, start), bisect_right(self.starts, end)
+        if i < j:
+            start, end = min(start, self.starts[i]), max(end, self.ends[j - 1])
+        self.starts[i:j], self.ends[i:j] = [start], [end]
+
+
 def span_text(spans) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end, *_ in spans)
 
@@ -87,12 +114,12 @@ def span_text(spans) -> str:
 def scan(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> DataFrame:
     """The pass over the texts: per row counts, the base digest and the candidates with their values' digests."""
     ship_package(docs.sparkSession)
-    kind = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("value", pa.int64())])
-    candidate = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("value", T.LongType())])
+    kind = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("value", pa.binary())])
+    candidate = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("value", T.BinaryType())])
     schema = T.StructType([docs.schema[id_col], T.StructField("repo", T.StringType()), T.StructField("owner", T.StringType()), *(T.StructField(f"n_{k}", T.LongType()) for k in BASE), T.StructField("base_sha256", T.StringType()), T.StructField("candidates", T.ArrayType(candidate)), T.StructField("text_hash", T.LongType())])
 
-    def digest(value: str) -> int:
-        return int.from_bytes(hashlib.sha256(value.encode("utf-8")).digest()[:8], "big", signed=True)
+    def digest(value: str) -> bytes:
+        return hashlib.sha256(value.encode("utf-8", "surrogatepass")).digest()[:16]
 
     def find(batches):
         for batch in batches:
@@ -117,16 +144,17 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return seen.groupBy("value").agg(F.count_distinct("repo").alias("repos"), F.count_distinct("owner").alias("owners"))
 
 
-def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner: Column | None = None, most_owners: int = MOST_OWNERS) -> DataFrame:
+def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None, most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES) -> DataFrame:
     """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans, n_live and n_copied candidates, found (the spans as an array), and text_hash.
 
-    owner: by default the part of the repository before a slash, or all of it.
+    repo: by default the document, by its id. owner: by default the part of ``source`` before a slash, or all of it.
     """
-    owner = F.substring_index(F.col(repo_col).cast("string"), "/", 1) if owner is None else owner
-    scanned = materialize(scan(docs, id_col, text_col, F.col(repo_col), owner).withColumn("row", F.monotonically_increasing_id()), "secrets")
+    repo = F.col(id_col) if repo is None else repo
+    owner = F.substring_index(F.col("source").cast("string"), "/", 1) if owner is None else owner
+    scanned = materialize(scan(docs, id_col, text_col, repo, owner).withColumn("row", F.monotonically_increasing_id()), "secrets")
     carried = ownership(scanned)
     each = scanned.select("row", F.explode("candidates").alias("c")).withColumn("value", F.col("c.value")).join(carried, "value")
-    live = F.col("owners") <= most_owners
+    live = (F.col("owners") <= most_owners) & (F.col("repos") <= most_repositories)
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("c.kind") + 1)
     span = F.struct(F.col("c.start").alias("start"), F.col("c.kind").alias("kind"), F.col("c.end").alias("end"), F.concat_ws(":", name, F.col("c.start"), F.col("c.end")).alias("name"), live.alias("live"))
     found = each.groupBy("row").agg(F.array_sort(F.collect_list(F.when(live | (F.col("c.kind") < len(BASE)), span))).alias("found"), F.count_if(live).alias("n_live"), F.count_if(~live).alias("n_copied"))
@@ -151,27 +179,42 @@ def may_hold_secrets(text: Column) -> Column:
     return test | (text.contains("://") & text.contains("@")) | text.rlike(_LONG_RUNS[0]) | text.rlike(_LONG_RUNS[1])
 
 
-def redacted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", mark: str = "[secret]") -> DataFrame:
+def _blanked(texts: pd.Series, spans: pd.Series, mark: str) -> pd.Series:
+    def one(text: str | None, listed: str | None) -> str | None:
+        if text is None or not listed:
+            return text
+        out, at = [], 0
+        for start, end in (map(int, s.split(":")) for s in listed.split(",")):
+            if start >= at:
+                out += [text[at:start], mark]
+            at = max(at, end)
+        return "".join([*out, text[at:]])
+
+    return pd.Series([one(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
+
+
+def redacted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None, mark: str = "[secret]") -> DataFrame:
     """docs with every reported span's text replaced; all rows stay, and n_chars follows where docs has it.
 
     Overlapping spans are replaced as one. Texts without a trace of any pattern
     pass through untouched; only the others are written apart, scanned, and joined
     with their spans on the id and the text's hash.
     """
+    ship_package(docs.sparkSession)
     suspect = may_hold_secrets(F.col(text_col).cast("string"))
     clean, docs = docs.filter(~suspect), materialize(docs.filter(suspect), "suspects")
-    spans = secret_spans(docs, id_col, text_col, repo_col).filter(F.size("found") > 0)
-    spans = spans.select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"), F.transform("found", lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"))).alias("__found")).dropDuplicates(["__id", "__hash"])
+    spans = secret_spans(docs, id_col, text_col, repo, owner).filter(F.size("found") > 0)
+    listed = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    same_id, same_text, found = (free_name(docs, c) for c in ("same_id", "same_text", "found"))
+    spans = spans.select(F.col(id_col).alias(same_id), F.col("text_hash").alias(same_text), listed.alias(found)).dropDuplicates([same_id, same_text])
     text = F.col(text_col).cast("string")
-    joined = docs.join(spans, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    joined = docs.join(spans, F.col(id_col).eqNullSafe(F.col(same_id)) & (F.xxhash64(text) == F.col(same_text)), "left")
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.when(s["s"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["s"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.concat(acc["out"], gap).alias("out"), F.greatest(acc["at"], s["e"]).alias("at"))
+    @F.pandas_udf("string")
+    def blank(texts: pd.Series, listed: pd.Series) -> pd.Series:
+        return _blanked(texts, listed, mark)
 
-    cleaned = F.aggregate("__found", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    out = joined.withColumn(text_col, F.when(F.col("__found").isNull(), F.col(text_col)).otherwise(cleaned))
+    out = joined.withColumn(text_col, F.when(F.col(found).isNull(), F.col(text_col)).otherwise(blank(text, F.col(found))))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__found").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(found).isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
     return clean.unionByName(out.select(*docs.columns))
