@@ -1,20 +1,30 @@
-"""Toxicity by a finite-state grammar of clauses, weighed by a logistic fit (operator 5).
-
-Tokens become classes (insult, threat, target, negation, report, boundary, other).
-Composed transducers then rewrite them: one marks insults and threats within
-reach of a negation, one those after a verb of reported speech or in quotes, one
-those in a clause that has named its target; the last closes each clause and
-names what was matched in it. A text's features are counts of matched clauses,
-never of isolated words, and a logistic model learned from labels weighs them.
-
-The insult lexicon has a few published words for four languages; further stems
-are learned from the labelled rows as word beginnings that set toxic texts apart.
-Labels are read only for training; language, source and id are no inputs.
-
-Null and empty texts match nothing and get the score of a text without matches.
-Repeated rows get equal scores. Duplicate labels of an id count once, as the
-larger. At most ``train_rows`` labelled rows, the first by a hash of the id, are
-used to fit; without labels the prior weights stand.
+"""Toxicity by a weighted finite-state grammar of clauses (operator 5).
+
+Tokens become classes (insult, threat, target, negation, report, quote, boundary,
+other). Five weighted transducers are composed over them: one for insults, one for
+threats, one for a clause that names its target beside either, one for those that
+a negation reaches, one for those that are reported speech. Every arc has a
+weight, weights add along the path, and a last transducer closes each clause. A
+clause with an insult or threat is matched, its score is the weight of its path,
+and a text's score is the log sum over its matched clauses: single words outside
+a clause's path count for nothing.
+
+The arcs' weights are learned from labels: run with unit vectors for weights, the
+same machine counts which arcs a path takes, and the log loss of the labelled
+texts is lowered under a normal prior round ``PRIOR``, in the order of ids, so that
+reruns agree to the last bit. The insult lexicon has published words for four
+languages; further stems are learned from the labelled rows as word beginnings
+that set toxic texts apart. Labels are read only for training; language, source
+and id are no inputs.
+
+Null and empty texts, like all without a match, get the score of the bias alone;
+texts of any length are read whole. A quotation that is never closed ends after
+``QUOTED`` clauses. Repeated rows get equal scores, a row each, and an empty table
+gives an empty result. Duplicate labels of an id count once, as the larger. Used
+to fit are at most ``train_rows`` labelled ids, the first by a hash of the id (ties
+by the id), with one text each, the least of an id's; texts of more than
+``TRAIN_CHARS`` characters are not used to fit. Without labels the prior weights
+stand. Other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -31,7 +41,8 @@ from pyspark.sql import types as T
 from corpusloom.llm.storage import materialize, ship_package
 from corpusloom.llm.transducers import ANY, Transducer
 
-TRAIN_ROWS = 12_000
+#: Bounds of the labelled sample: rows, and characters a text. Words of these rows are all that reaches the driver.
+TRAIN_ROWS, TRAIN_CHARS = 12_000, 32_000
 
 #: Word lists of the grammar, in lower case; a word in INSULTS matches as a whole word.
 INSULTS = (
@@ -44,69 +55,79 @@ NEGATIONS = "not no never isn't aren't wasn't ain't don't nicht kein keine nie n
 REPORTS = "said says say called calls quoted reported claimed wrote writes alleged told sagte sagt nannte berichtet dit disait appelé rapporté dijo llamó escribió".split()
 QUOTES = "\"“”„«»"
 
-#: Words after a negation that it still reaches.
-REACH = 3
-FEATURES = ("insult", "aimed_insult", "denied_insult", "told_insult", "threat", "aimed_threat", "denied_threat", "told_threat", "many", "share")
-#: Weights before any label is seen, and their bias: a clause with an insult is enough to pass 0.3.
-PRIOR = np.array([1.6, 2.0, 0.2, 0.4, 0.3, 1.8, 0.1, 0.2, 0.5, 0.5, -3.5])
+#: Words after a negation that it still reaches, and clauses that an unclosed quotation lasts.
+REACH, QUOTED = 3, 3
+#: The grammar's weights before any label is seen, and the bias of a text: a clause with an insult is enough to pass 0.3, one with a bare threat is not.
+PRIOR = {"insult": 4.0, "threat": 1.0, "more": 0.5, "aimed_insult": 1.5, "aimed_threat": 3.0, "denied": -2.0, "told": -2.0}
+NAMES, BIAS = tuple(PRIOR), -3.5
 
-_TOKEN = re.compile(r"[\w'’]+|[.!?;:\n\"“”„«»]")
-_BOUNDARY = frozenset(".!?;:\n")
+_TOKEN = re.compile(r"[\w'’]+|[.!?;\n\"“”„«»]")
+_BOUNDARY = frozenset(".!?;\n")
 _STEM = re.compile(r"\w+")
 
 
-def negation() -> Transducer:
-    """I and T within REACH tokens of a negation become i and t."""
+def negation(w: dict) -> Transducer:
+    """Weighs I and T within REACH tokens of a negation."""
     arcs = {}
     for left in range(REACH + 1):
-        fewer = max(0, left - 1)
-        arcs |= {(left, "N"): (REACH, "N", 0.0), (left, "."): (0, ".", 0.0), (left, ANY): (fewer, ANY, 0.0), (left, "I"): (fewer, "i" if left else "I", 0.0), (left, "T"): (fewer, "t" if left else "T", 0.0)}
+        fewer, weight = max(0, left - 1), w["denied"] if left else w[None]
+        arcs |= {(left, "N"): (REACH, "N", w[None]), (left, "."): (0, ".", w[None]), (left, ANY): (fewer, ANY, w[None]), (left, "I"): (fewer, "I", weight), (left, "T"): (fewer, "T", weight)}
     return Transducer(0, arcs)
 
 
-def reported_speech() -> Transducer:
-    """I and T after a verb of report, or between quotes that follow one, become q and w until the clause ends."""
+def reported_speech(w: dict) -> Transducer:
+    """Weighs I and T after a verb of report until the clause ends, and in a quotation that follows one until it is closed."""
+    quoted = [f"quoted{k}" for k in range(QUOTED)]
     arcs = {}
-    for state in ("plain", "told", "quoted"):
-        hit = state != "plain"
-        arcs |= {(state, "I"): (state, "q" if hit else "I", 0.0), (state, "T"): (state, "w" if hit else "T", 0.0), (state, ANY): (state, ANY, 0.0), (state, "R"): ("told" if state == "plain" else state, "R", 0.0)}
-    arcs |= {("plain", "."): ("plain", ".", 0.0), ("told", "."): ("plain", ".", 0.0), ("quoted", "."): ("quoted", ".", 0.0)}
-    arcs |= {("told", '"'): ("quoted", '"', 0.0), ("quoted", '"'): ("plain", '"', 0.0), ("plain", '"'): ("plain", '"', 0.0)}
+    for state in ("plain", "told", *quoted):
+        weight = w[None] if state == "plain" else w["told"]
+        arcs |= {(state, "I"): (state, "I", weight), (state, "T"): (state, "T", weight), (state, ANY): (state, ANY, w[None]), (state, "R"): ("told" if state == "plain" else state, "R", w[None])}
+    arcs |= {("plain", "."): ("plain", ".", w[None]), ("told", "."): ("plain", ".", w[None]), ("plain", '"'): ("plain", '"', w[None]), ("told", '"'): (quoted[0], '"', w[None])}
+    for state, later in zip(quoted, [*quoted[1:], "plain"], strict=True):
+        arcs |= {(state, "."): (later, ".", w[None]), (state, '"'): ("plain", '"', w[None])}
     return Transducer("plain", arcs)
 
 
-def clause_patterns() -> Transducer:
-    """Collects what a clause holds and names it at the boundary; the state is (target seen, what was matched)."""
+def hits(symbol: str, first, w: dict) -> Transducer:
+    """Weighs the first of a symbol in a clause, and each further one as more."""
+    arcs = {(state, "."): (0, ".", w[None]) for state in (0, 1)} | {(state, ANY): (state, ANY, w[None]) for state in (0, 1)}
+    return Transducer(0, arcs | {(0, symbol): (1, symbol, first), (1, symbol): (1, symbol, w["more"])})
 
-    class Patterns(Transducer):
-        def step(self, state, symbol):
-            arc = self.arcs.get((state, symbol))
-            if arc is None:
-                aimed, held = state
-                if symbol == ".":
-                    names = tuple(sorted(("aimed_" + x if aimed and x in ("insult", "threat") else x) for x in held))
-                    arc = ((False, frozenset()), names, 0.0)
-                else:
-                    match = {"I": "insult", "i": "denied_insult", "q": "told_insult", "T": "threat", "t": "denied_threat", "w": "told_threat"}.get(symbol)
-                    arc = ((aimed or symbol == "Y", held | {match} if match else held), (), 0.0)
-                self.arcs[(state, symbol)] = arc
-            return arc
 
-    return Patterns((False, frozenset()), {})
+def target(w: dict) -> Transducer:
+    """Weighs a clause once that names a target before or after an insult or threat."""
+    arcs = {}
+    for state in ("none", "target", "insult", "threat", "aimed"):
+        arcs |= {(state, "."): ("none", ".", w[None]), (state, ANY): (state, ANY, w[None])}
+    arcs |= {("none", "Y"): ("target", "Y", w[None]), ("none", "I"): ("insult", "I", w[None]), ("none", "T"): ("threat", "T", w[None]), ("insult", "T"): ("threat", "T", w[None])}
+    arcs |= {("target", "I"): ("aimed", "I", w["aimed_insult"]), ("target", "T"): ("aimed", "T", w["aimed_threat"]), ("insult", "Y"): ("aimed", "Y", w["aimed_insult"]), ("threat", "Y"): ("aimed", "Y", w["aimed_threat"])}
+    return Transducer("none", arcs)
+
+
+def clause_end(w: dict) -> Transducer:
+    """Says at each boundary whether the clause was matched, and nothing in between."""
+    arcs = {(state, ANY): (state, "", w[None]) for state in (False, True)} | {(state, hit): (True, "", w[None]) for state in (False, True) for hit in "IT"}
+    return Transducer(False, arcs | {(state, "."): (False, "matched" if state else "free", w[None]) for state in (False, True)})
+
+
+def machine(w: dict) -> Transducer:
+    """The composed grammar; w: a weight for each name, and the neutral weight for None."""
+    return negation(w) @ reported_speech(w) @ hits("I", w["insult"], w) @ hits("T", w["threat"], w) @ target(w) @ clause_end(w)
+
+
+UNITS = dict(zip(NAMES, np.eye(len(NAMES)), strict=True)) | {None: np.zeros(len(NAMES))}
 
 
 class Grammar:
-    """The composed transducers over a lexicon with learned stems."""
+    """The composed transducers over a lexicon with learned stems; without weights their paths count arcs."""
 
-    def __init__(self, stems: tuple[str, ...] = ()):
+    def __init__(self, stems: tuple[str, ...] = (), weights: dict[str, float] | None = None):
         self.classes = {w: c for words, c in ((TARGETS, "Y"), (NEGATIONS, "N"), (REPORTS, "R"), (THREATS, "T"), (INSULTS, "I")) for w in words}
         self.classes |= dict.fromkeys(_BOUNDARY, ".") | dict.fromkeys(QUOTES, '"')
         self.stems = frozenset(stems)
         self.lengths = sorted({len(s) for s in stems})
-        self.machine = negation() @ reported_speech() @ clause_patterns()
-        whole = "|".join(map(re.escape, sorted({*INSULTS, *THREATS}, key=len, reverse=True)))
+        self.machine = machine(weights | {None: 0.0} if weights else UNITS)
         self.whole = frozenset({*INSULTS, *THREATS})
-        self.trigger = re.compile(rf"\b(?:(?:{whole})\b" + ("|" + "|".join(map(re.escape, sorted(stems))) if stems else "") + ")")
 
     def token_class(self, token: str) -> str:
         found = self.classes.get(token)
@@ -123,25 +144,40 @@ class Grammar:
         words = set(_STEM.findall(lower))
         return not self.whole.isdisjoint(words) or any(not self.stems.isdisjoint([w[:n] for w in words]) for n in self.lengths)
 
-    def features(self, text: str | None) -> list[float]:
+    def symbols(self, lower: str) -> list[str]:
+        return [*map(self.token_class, _TOKEN.findall(lower)), "."]
+
+    def clauses(self, text: str | None) -> list:
+        """The path weight of each matched clause, in order."""
         lower = (text or "").lower()
-        counts = dict.fromkeys(FEATURES, 0.0)
-        if self.triggered(lower):
-            names, clauses, hits = self.machine.run([*map(self.token_class, _TOKEN.findall(lower)), "."])[0], 0, 0
-            for clause in names:
-                hits += bool(clause)
-                for name in clause:
-                    counts[name] += 1
-            clauses = max(1, lower.count(".") + lower.count("!") + lower.count("?") + lower.count("\n"))
-            counts = {k: float(np.log1p(v)) for k, v in counts.items()} | {"many": float(hits > 1), "share": min(1.0, hits / clauses)}
-        return [counts[f] for f in FEATURES]
-
-
-def learn_stems(rows: list[tuple[str, int]], grammar: Grammar, least: int = 4, strength: float = 15.0, most: int = 400) -> tuple[str, ...]:
+        return path_weights(self.machine, self.symbols(lower)) if self.triggered(lower) else []
+
+
+def path_weights(composed: Transducer, symbols: list[str]) -> list:
+    """Weights summed along each clause's path, for the clauses that are matched."""
+    out, total = [], 0.0
+    for said, weight in composed.run(symbols):
+        total = total + weight
+        if said:
+            if said == "matched":
+                out.append(total)
+            total = 0.0
+    return out
+
+
+def text_score(weights: list[float], bias: float) -> float:
+    """The logistic of the bias plus the log sum of the clauses' exponentials and one."""
+    logit = bias + float(np.logaddexp.reduce([0.0, *weights]))
+    return 1 / (1 + float(np.exp(-logit)))
+
+
+def learn_stems(rows: list[tuple[str, int]], grammar: Grammar, least: int = 4, strength: float = 15.0) -> tuple[str, ...]:
     """Word beginnings, 4 to 7 letters or whole words, that set toxic rows apart; rows: distinct words joined by spaces, and the label.
 
     Greedy: the strongest one explains its rows, and the next is sought among the
     rows that none explains yet, so words that merely stand near insults drop out.
+    Each explains at least ``least`` rows that no other does, so their number is
+    bounded by the rows'.
     """
     beginnings = lambda words: {w[:n] for w in words for n in (4, 5, 6, 7) if len(w) >= n}
     left = [beginnings(words) for words in (set(r[0].split()) for r in rows if r[1]) if words.isdisjoint(INSULTS)]
@@ -166,7 +202,7 @@ def learn_stems(rows: list[tuple[str, int]], grammar: Grammar, least: int = 4, s
             return 0.0
         return 2 * (a * np.log(rate / base) + (b * np.log((1 - rate) / (1 - base)) if b else 0.0))
 
-    while len(stems) < most and counts:
+    while counts:
         best = max((s for s, a in counts.items() if a >= least), key=lambda s: (strong(s), -clean[s], len(s), s), default=None)
         if best is None or strong(best) < strength:
             break
@@ -182,20 +218,23 @@ def learn_stems(rows: list[tuple[str, int]], grammar: Grammar, least: int = 4, s
     return tuple(stems)
 
 
-def fit(features: np.ndarray, toxic: np.ndarray, pull: float = 2.0, rounds: int = 30) -> np.ndarray:
-    """Logistic weights, the bias last, by Newton steps under a normal prior round PRIOR."""
-    x = np.column_stack([features, np.ones(len(features))]) if len(features) else np.zeros((0, len(PRIOR)))
-    w = PRIOR.copy()
-    inverse = np.full(len(w), pull)
-    inverse[-1] = 0.05
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - toxic) + inverse * (w - PRIOR)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(inverse), gradient)
-        w = w - step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
+def fit(clauses: list[np.ndarray], toxic: np.ndarray, pull: float = 1.0, rounds: int = 600, rate: float = 0.05) -> tuple[dict[str, float], float]:
+    """Arc weights and bias by gradient steps; clauses: for each text its matched clauses' arc counts, a row each."""
+    prior = np.array([*PRIOR.values(), BIAS])
+    if not len(toxic):
+        return dict(PRIOR), BIAS
+    x = np.concatenate([c.reshape(-1, len(NAMES)) for c in clauses])
+    text = np.repeat(np.arange(len(toxic)), [len(c) for c in clauses])
+    strength = np.array([pull] * len(NAMES) + [0.05])
+    w, m, v = prior.copy(), np.zeros(len(prior)), np.zeros(len(prior))
+    for k in range(1, rounds + 1):
+        e = np.exp(np.clip(x @ w[:-1], -30, 30))
+        z = 1 + np.bincount(text, e, len(toxic))
+        wrong = 1 / (1 + np.exp(-(w[-1] + np.log(z)))) - toxic
+        g = np.append(x.T @ (wrong[text] * e / z[text]), wrong.sum()) + strength * (w - prior)
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w = w - rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-9)
+    return dict(zip(NAMES, map(float, w), strict=False)), float(w[-1])
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -203,52 +242,54 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus)) == remainder, F.lit(True))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, modulus: int, remainder: int, rows: int) -> DataFrame:
-    """id, label and text of at most rows labelled documents outside the held-out fold, written to the shared folder."""
+def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, modulus: int, remainder: int, rows: int, chars: int = TRAIN_CHARS) -> DataFrame:
+    """id, label and text of at most rows labelled documents outside the held-out fold, one row an id and none of more than chars characters, written to the shared folder."""
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label is not null").filter(~held_out(F.col("id"), modulus, remainder))
     labelled = usable.groupBy("id").agg(F.max("label").alias("label"))
     # a hash threshold leaves little more than the bound for the ordered limit
     share = min(1.0, 1.3 * rows / max(1, labelled.count()))
     chosen = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("id"), "id").limit(rows)
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # at most rows ids, so the broadcast is bounded
-    return materialize(text.join(F.broadcast(chosen), "id"), "labelled")
+    # at most rows ids, so the broadcast is bounded; one text an id
+    found = text.join(F.broadcast(chosen), "id").filter(F.coalesce(F.length("text"), F.lit(0)) <= chars)
+    return materialize(found.groupBy("id", "label").agg(F.min("text").alias("text")), "labelled", compact=True)
 
 
-def learn_grammar(sample: DataFrame) -> tuple[tuple[str, ...], np.ndarray]:
-    """Stems and weights from id, label, text."""
+def learn_grammar(sample: DataFrame) -> tuple[tuple[str, ...], dict[str, float], float]:
+    """Stems, arc weights and bias from id, label, text."""
     ship_package(sample.sparkSession)
 
     def vocabulary(batches):
         for batch in batches:
-            words = [" ".join(set(_STEM.findall((t or "").lower()))) for t in batch.column(1).to_pylist()]
+            words = [" ".join(sorted(set(_STEM.findall((t or "").lower())))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.string())], names=["label", "words"])
 
     rows = sample.select("label", "text").mapInArrow(vocabulary, "label int, words string").collect()
-    stems = learn_stems([(r["words"], r["label"]) for r in rows], Grammar())
+    stems = learn_stems(sorted((r["words"], r["label"]) for r in rows), Grammar())
     del rows
 
     def measure(batches):
         grammar = Grammar(stems)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([grammar.features(t) for t in batch.column(1).to_pylist()], pa.list_(pa.float64()))], names=["label", "x"])
+            counts = [np.array(grammar.clauses(t)).ravel() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.list_(pa.float64()))], names=["id", "label", "x"])
 
-    measured = sample.select("label", "text").mapInArrow(measure, "label int, x array<double>").collect()
-    x = np.array([r["x"] for r in measured]).reshape(len(measured), len(FEATURES))
-    return stems, fit(x, np.array([r["label"] for r in measured], float))
+    id_type = sample.schema["id"].dataType.simpleString()
+    measured = sample.select("id", "label", "text").mapInArrow(measure, f"id {id_type}, label int, x array<double>").toArrow().sort_by("id").to_pydict()
+    clauses = [np.array(x, float).reshape(-1, len(NAMES)) for x in measured["x"]]
+    return stems, *fit(clauses, np.array(measured["label"], float))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", modulus: int = 4, remainder: int = 2, threshold: float = 0.3, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Per row: the id, held_out, score and predicted."""
-    stems, weights = learn_grammar(training_sample(docs, labels, id_col, text_col, label_col, modulus, remainder, train_rows))
+    stems, weights, bias = learn_grammar(training_sample(docs, labels, id_col, text_col, label_col, modulus, remainder, train_rows))
     schema = T.StructType([docs.schema[id_col], T.StructField("held_out", T.BooleanType(), False), T.StructField("score", T.DoubleType(), False)])
 
     def score(batches):
-        grammar = Grammar(stems)
+        grammar = Grammar(stems, weights)
         for batch in batches:
-            x = np.array([grammar.features(t.as_py()) for t in batch.column(2)]).reshape(batch.num_rows, len(FEATURES))
-            p = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p, pa.float64())], names=schema.names)
+            scores = [text_score(grammar.clauses(t.as_py()), bias) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=schema.names)
 
     rows = docs.select(F.col(id_col), held_out(F.col(id_col), modulus, remainder).alias("held_out"), F.col(text_col).cast("string").alias("__text"))
     return rows.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

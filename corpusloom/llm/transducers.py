@@ -1,8 +1,12 @@
-"""Small weighted finite-state transducers over token classes, and their composition."""
+"""Small weighted finite-state transducers over token classes, and their composition.
+
+Weights are anything that adds up: numbers to score, or vectors that count which
+arcs a path took.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 ANY = None
 
@@ -23,14 +27,12 @@ class Transducer:
     def __matmul__(self, after: Transducer) -> Transducer:
         return Composed(self, after)
 
-    def run(self, symbols: Iterable) -> tuple[list, float]:
-        """The outputs, and the sum of the weights on the path."""
-        state, out, total = self.start, [], 0.0
+    def run(self, symbols: Iterable) -> Iterator[tuple]:
+        """Each output with the weight of the arc that gave it."""
+        state = self.start
         for symbol in symbols:
-            state, symbol, weight = self.step(state, symbol)
-            out.append(symbol)
-            total += weight
-        return out, total
+            state, out, weight = self.step(state, symbol)
+            yield out, weight
 
 
 class Composed(Transducer):
