@@ -1,12 +1,18 @@
 """ISO media containers as columns (operator 7).
 
 Payloads are stored losslessly as samples of a one-track file: ftyp, moov with
-its sample tables, and mdat. The reader walks the nested boxes and decodes the
-sample tables (stsd, mdhd, stts, stss, stsz, stsc, stco), which give codec,
-duration and keyframe byte ranges without touching the payload bytes.
-
-Null text is an empty payload, which still pads to one full unit. Equal texts
-give equal values. Other columns are neither read nor returned.
+its sample tables, and mdat. The reader walks the nested boxes and decodes each
+track's own sample tables (stsd, mdhd, stts, stss, stsz, stsc, stco), which give
+codec, duration and keyframe byte ranges without touching the payload bytes. Of a
+file with several tracks each is a ``Track`` of its own; features are those of
+the first.
+
+Null and empty texts are an empty payload, which still pads to one full unit.
+Texts of any length are stored whole; a file is held in memory one at a time, and
+one beyond 4 GB gets 64-bit sizes. Equal texts and repeated rows give equal
+values, a row each; there are no ties. An empty table gives an empty result.
+Columns other than id and text are neither read nor returned, so their names
+can't clash.
 """
 
 from __future__ import annotations
@@ -102,39 +108,47 @@ def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple[b
         at += size
 
 
+def tracks(container: bytes) -> list[Track]:
+    """The tracks of a file in order, each with the tables inside its own box."""
+    data, found, end = memoryview(container), [], 0
+    for path, a, b in walk(data):
+        if path[-1] == b"trak":
+            found.append({})
+            end = b
+        elif found and a < end and path[-1] not in found[-1]:
+            found[-1][path[-1]] = (a, b)
+    return [Track(data, tables) for tables in found]
+
+
 class Track:
-    """What the sample tables of the first track say."""
+    """What the sample tables of one track say; tables: the byte range of each box's body."""
 
-    def __init__(self, container: bytes):
-        self.data = data = memoryview(container)
-        found = {path[-1]: (a, b) for path, a, b in walk(data)}
-        at = lambda kind: found[kind][0] + 4  # noqa: E731  past version and flags
+    def __init__(self, data: memoryview, tables: dict[bytes, tuple[int, int]]):
+        self.data = data
+        at = lambda kind: tables[kind][0] + 4  # noqa: E731  past version and flags
         self.codec = bytes(data[at(b"stsd") + 8 : at(b"stsd") + 12]).decode("latin-1").strip()
         a = at(b"mdhd")
         self.timescale, self.duration = struct.unpack_from(">IQ", data, a + 16) if data[a - 4] else struct.unpack_from(">II", data, a + 8)
-        a = at(b"stts")
-        runs = struct.unpack_from(f">{2 * struct.unpack_from('>I', data, a)[0]}I", data, a + 4)
+        runs = self.numbers(at(b"stts"), 2)
         self.ticks = sum(n * d for n, d in zip(runs[::2], runs[1::2], strict=True))
         a = at(b"stsz")
         same, n = struct.unpack_from(">II", data, a)
         self.sizes = [same] * n if same else list(struct.unpack_from(f">{n}I", data, a + 8))
-        wide = b"co64" in found
-        a = at(b"co64" if wide else b"stco")
-        chunks = struct.unpack_from(f">{struct.unpack_from('>I', data, a)[0]}{'Q' if wide else 'I'}", data, a + 4)
-        a = at(b"stsc")
-        n = struct.unpack_from(">I", data, a)[0]
-        spans = [struct.unpack_from(">III", data, a + 4 + 12 * i) for i in range(n)]
+        chunks = self.numbers(at(b"co64"), 1, "Q") if b"co64" in tables else self.numbers(at(b"stco"), 1)
+        spans = self.numbers(at(b"stsc"), 3)
+        firsts, counts = (*spans[::3], len(chunks) + 1), spans[1::3]
         self.offsets: list[int] = []
-        for k, offset in enumerate(chunks, 1):
-            per_chunk = next(s for first, s, _ in reversed(spans) if first <= k)
-            for size in self.sizes[len(self.offsets) : len(self.offsets) + per_chunk]:
-                self.offsets.append(offset)
-                offset += size
-        if b"stss" in found:
-            a = at(b"stss")
-            self.keys = list(struct.unpack_from(f">{struct.unpack_from('>I', data, a)[0]}I", data, a + 4))
-        else:
-            self.keys = list(range(1, len(self.sizes) + 1))
+        for k, per_chunk in enumerate(counts):
+            for offset in chunks[firsts[k] - 1 : firsts[k + 1] - 1]:
+                for size in self.sizes[len(self.offsets) : len(self.offsets) + per_chunk]:
+                    self.offsets.append(offset)
+                    offset += size
+        self.keys = list(self.numbers(at(b"stss"), 1)) if b"stss" in tables else list(range(1, len(self.sizes) + 1))
+
+    def numbers(self, at: int, width: int, kind: str = "I") -> tuple[int, ...]:
+        """A table's entries of width numbers each, after their count."""
+        n = struct.unpack_from(">I", self.data, at)[0]
+        return struct.unpack_from(f">{width * n}{kind}", self.data, at + 4)
 
     def key_ranges(self) -> list[tuple[int, int]]:
         """Byte range in the file of each keyframe, end exclusive."""
@@ -181,7 +195,7 @@ def media_features(media: DataFrame, id_col: str = "doc_id") -> DataFrame:
             rows = []
             for n, stored in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 data = stored.as_py()
-                track = Track(data)
+                track = tracks(data)[0]
                 payload = track.payload()
                 rows.append((n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(data), hashlib.sha256(data).hexdigest(), feature(track)))
             columns = list(zip(*rows, strict=True)) or [()] * len(fields)
