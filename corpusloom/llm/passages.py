@@ -4,11 +4,14 @@ A document is a bag of passages of ``WORDS`` words, all of them to its end. Ever
 passage is encoded, a gated attention (tanh times sigmoid) weighs the passages,
 and the weighted sum is scored; weights are learned from document labels alone.
 
-Null and blank texts are one passage without words. Repeated rows get equal
-scores. Duplicate labels of an id count once, as the larger. At most
-``train_rows`` labelled rows, the first by a hash of the id, are used to fit.
-Without any label the score is 0.5 for all. Labels, language, source and id are
-no inputs of a score.
+Null, empty and blank texts are one passage without words; texts of any length are
+scored by all their passages. Repeated rows get equal scores, a row each. Duplicate
+labels of an id count once, as the larger. At most ``train_rows`` labelled rows,
+the first by a hash of the id (ties by the id), one text an id, are used to fit,
+and none whose text is longer than ``toxicity.TRAIN_CHARS``; see
+``toxicity.training_sample``. Without any label the score is 0.5 for all. An empty
+table gives an empty result. Labels, language, source and id are no inputs of a
+score; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -85,24 +88,28 @@ class GatedAttention:
         score = 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))
         return score, (x, h, t, g, a, z, which)
 
+    def gradients(self, x: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss, by each trained parameter."""
+        p = self.p
+        score, (xs, h, t, g, a, z, which) = self.forward(x, starts)
+        ds = (score - labels) / len(labels)
+        dz = ds[:, None] * p["c"]
+        dh = a[:, None] * dz[which]
+        da = (dz[which] * h).sum(1)
+        dl = a * (da - np.add.reduceat(a * da, starts)[which])
+        dt, dg = dl[:, None] * p["w"] * g * (1 - t * t), dl[:, None] * p["w"] * t * g * (1 - g)
+        dh += dt @ p["V"].T + dg @ p["U"].T
+        du = dh * (1 - h * h)
+        return {"W": xs.T @ du, "b": du.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": ((t * g) * dl[:, None]).sum(0), "c": z.T @ ds, "d": np.array([ds.sum()])}
+
     def fit(self, x: np.ndarray, starts: np.ndarray, labels: np.ndarray, epochs: int = 250, rate: float = 0.02, decay: float = 1e-4) -> GatedAttention:
         p = self.p
         p["mean"], p["scale"] = x.mean(0), np.maximum(x.std(0), 0.02)
         trained = ("W", "b", "V", "U", "w", "c", "d")
         m = {k: np.zeros_like(p[k]) for k in trained}
         v = {k: np.zeros_like(p[k]) for k in trained}
-        n = len(labels)
         for epoch in range(1, epochs + 1):
-            score, (xs, h, t, g, a, z, which) = self.forward(x, starts)
-            ds = (score - labels) / n
-            dz = ds[:, None] * p["c"]
-            dh = a[:, None] * dz[which]
-            da = (dz[which] * h).sum(1)
-            dl = a * (da - np.add.reduceat(a * da, starts)[which])
-            dt, dg = dl[:, None] * p["w"] * g * (1 - t * t), dl[:, None] * p["w"] * t * g * (1 - g)
-            dh += dt @ p["V"].T + dg @ p["U"].T
-            du = dh * (1 - h * h)
-            grads = {"W": xs.T @ du, "b": du.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": ((t * g) * dl[:, None]).sum(0), "c": z.T @ ds, "d": np.array([ds.sum()])}
+            grads = self.gradients(x, starts, labels)
             for k in trained:
                 grad = grads[k] + decay * p[k]
                 m[k] = 0.9 * m[k] + 0.1 * grad

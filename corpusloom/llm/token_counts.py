@@ -5,8 +5,11 @@ adjacent pairs by merge rank and position; the lowest is popped and merged until
 no ranked pair is left. The count is the initial symbols less the merges: no
 token identifier is ever formed.
 
-Null text counts as empty: 0 bytes, 0 tokens. Repeated rows each get a row.
-Columns other than the id and the text are neither read nor returned.
+Null text counts as empty: 0 bytes, 0 tokens. Texts of any length are counted
+whole; only counts of short pieces are remembered. Equal ranks fall to the pair
+further left. Repeated rows each get a row, and an empty table none. Columns other
+than the id and the text are neither read nor returned, so their names can't
+clash.
 """
 
 from __future__ import annotations
