@@ -16,19 +16,25 @@ from corpusloom.llm.simhash import near_duplicates
 from corpusloom.llm.token_counts import token_counts
 from corpusloom.llm.toxicity import toxicity_scores
 from corpusloom.llm.warc import read_archive, write_archive
+from corpusloom.sources.corpus import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Ids and texts of all documents; a scan of fewer splits than cores is dealt out first."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *more))
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules(table(spark, sf_dir, "documents"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_words")
+    judged = quality_rules(texts(spark, sf_dir), into="q")
+    return judged.select("doc_id", "q.*").drop("clean_text")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"))
+    return token_counts(texts(spark, sf_dir))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,32 +43,32 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(texts(spark, sf_dir))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity_scores(texts(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_spans(table(spark, sf_dir, "documents"))
+    found = secret_spans(texts(spark, sf_dir, "source"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied")
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_features(store_media(table(spark, sf_dir, "documents")))
+    return media_features(store_media(texts(spark, sf_dir)))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents"))
+    return mix_sources(texts(spark, sf_dir, "source"))
 
 
 def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_scores(texts(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(texts(spark, sf_dir))
 
 
 WARC_SQL = """

@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 from corpusloom.llm import queries
+from corpusloom.llm.quality_rules import quality_rules
 from tests.llm.conftest import document_schema
 from tests.llm.test_corpus_operators import brute_components, brute_fingerprint, check_packing
 from tests.llm.test_text_operators import brute_spans
@@ -15,13 +16,17 @@ def test_stages(spark, tiny):
     before = {r["doc_id"]: r for r in docs.collect()}
     verdict = {r["doc_id"]: r["kept"] for r in queries.op1_quality_rules(spark, tiny).collect()}
 
+    judged = {r["doc_id"]: r["quality"]["clean_text"] for r in quality_rules(docs).collect()}
     kept = corpus_pipeline.keep_quality(spark, docs, tiny)
     assert kept.columns == docs.columns
-    assert {r["doc_id"]: r for r in kept.collect()} == {i: r for i, r in before.items() if verdict[i]}
+    after = {i: {**before[i].asDict(), "text": judged[i], "n_chars": len(judged[i])} for i in before if verdict[i]}
+    assert {r["doc_id"]: r.asDict() for r in kept.collect()} == after
+    assert any(after[i]["text"] != before[i]["text"] for i in after)
+    before = after
 
     single = corpus_pipeline.keep_one_of_copies(spark, kept, tiny)
-    heads = brute_components({i: brute_fingerprint(before[i]["text"]) for i in before if verdict[i]})
-    assert {r["doc_id"]: r for r in single.collect()} == {i: before[i] for i, h in heads.items() if i == h}
+    heads = brute_components({i: brute_fingerprint(r["text"]) for i, r in before.items()})
+    assert {r["doc_id"]: r.asDict() for r in single.collect()} == {i: before[i] for i, h in heads.items() if i == h}
 
     clean = corpus_pipeline.redact_secrets(spark, single, tiny)
     rows = {r["doc_id"]: r for r in clean.collect()}
@@ -41,14 +46,31 @@ def test_stages(spark, tiny):
 
 
 def test_edge_rows(spark, documents, no_documents):
-    for rows in (documents, no_documents):
-        docs = rows
-        for name, stage in corpus_pipeline.STAGES:
-            out = stage(spark, docs, "")
-            if name != "packing":
-                assert out.columns == rows.columns
-            docs = out
-        docs.count()
+    docs = no_documents
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        assert docs.count() == 0 and (name == "packing" or docs.columns == documents.columns)
+    docs = documents
+    others = [c for c in documents.columns if c not in ("text", "n_chars")]
+    known = {repr([r[c] for c in others]) for r in documents.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        if name != "packing":
+            assert docs.columns == documents.columns
+            rows = docs.collect()
+            assert rows and {repr([r[c] for c in others]) for r in rows} <= known  # clashing names keep their values
+            assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    assert docs.count() > 0
+
+
+def test_clashing_columns_keep_their_values(spark):
+    names = ["kept", "clean_text", "n_words", "kept_words", "quality", "row", "head", "rows", "plan", "times", "copy", "number", "__row", "__head", "__plan", "__found", "__id", "fp", "c", "q"]
+    words = lambda i: " ".join(f"w{i}x{k}" for k in range(60)) + " password = 'Abcdef0123456789xyz'"
+    docs = spark.createDataFrame([(i, words(i), "en", "s", len(words(i)), *(f"mine {n} {i}" for n in names)) for i in range(12)], document_schema(names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        rows = docs.collect()
+        assert len(rows) >= 10 and all(r[n] == f"mine {n} {r['doc_id']}" for r in rows for n in names), name
 
 
 def copies(spark, *rows):
