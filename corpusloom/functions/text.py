@@ -157,12 +157,3 @@ def estimate_tokens(text: Column) -> Column:
 def occurrences(text: Column, part: Column) -> Column:
     """How often part stands in text without overlap."""
     return F.when(part == "", 0).otherwise((F.length(text) - F.length(F.replace(text, part))) / F.length(part)).cast("long")
-
-
-def occurrence_starts(text: Column, part: Column) -> Column:
-    """Zero-based starts of the occurrences of part without overlap, left to right: lengths of the pieces between them."""
-    pieces = F.split(text, F.concat(F.lit(r"\Q"), part, F.lit(r"\E")), -1)
-    lengths = F.transform(pieces, F.length)
-    step = lambda acc, n: F.struct(F.concat(acc["out"], F.array(acc["at"] + n)).alias("out"), (acc["at"] + n + F.length(part)).alias("at"))
-    start = F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("at"))
-    return F.aggregate(F.slice(lengths, 1, F.greatest(F.size(lengths) - 1, F.lit(0))), start, step, lambda acc: acc["out"])

@@ -1,157 +1,247 @@
 """Offset-preserving segmentation, greedy blocks and overlapping segments.
 
-A chapter's units are arrays in its own row, folded in order by JVM expressions,
-so no unit is shuffled to find its neighbours. Offsets are code points, end
-exclusive, and always cut the unit's text out of the chapter again.
+Each operator makes one pass over the chapters' texts in Arrow batches and gives
+flat rows, in time in proportion to a text's length: packing is a fold with state,
+which array expressions can only do by copying their result at every step. No unit
+is shuffled to find its neighbours, and no row carries its chapter's text. Offsets
+are code points, end exclusive, and always cut the unit's text out of the chapter
+again.
+
+Null and empty texts have no units. Chapters that are there twice give their rows
+twice. Of a chapter only the columns of ``KEYS`` and the content are read.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.functions.text import WS, let, sha256
+from corpusloom.functions.text import sha256
+from corpusloom.sources.staging import ship_package
 
 SPECIAL_KINDS = ("separator", "author_note", "promo", "noise")
 BLOCK_MAX = 3000
 SEGMENT_MIN, SEGMENT_MAX, SEGMENT_HARD = 400, 900, 1200
-_CUT = "\x01"
-
-
-def unit(index: Column, start: Column, text: Column) -> Column:
-    """Number, start, end and text; the text stays with its unit, so it is never cut out of a long chapter again."""
-    return F.struct(index.cast("int").alias("i"), start.cast("int").alias("s"), (start + F.length(text)).cast("int").alias("e"), text.alias("t"))
-
+KEYS = ("chapter_num", "chapter_id", "version_id", "lang")
 
-def starts_of(pieces: Column, gap: int) -> Column:
-    """Offsets of pieces that were gap characters apart."""
-    return F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p) + gap)))
+#: White space as the column expressions know it.
+_BLANK = " \t\n\x0b\f\r\x85\xa0\u3000"
+_SENTENCE_END = re.compile(r"(?<=[.!?]) ")
+_SEPARATOR = re.compile(r"[-*=_~ ]{3,}")
+_ADDRESS = re.compile(r"https?://|www[.]")
+#: Rows and characters after which a batch is handed on.
+_ROWS, _CHARS = 16_384, 1 << 22
 
 
-def located(pieces: Column, gap: int) -> Column:
-    """Units of the pieces that hold more than white space, numbered from 1."""
-    all_units = let(pieces, lambda v: let(starts_of(v, gap), lambda at: F.filter(F.transform(v, lambda p, i: F.struct(p.alias("t"), F.get(at, i).alias("s"))), lambda u: u["t"].rlike(f"[^{WS[1:]}"))))
-    return F.transform(all_units, lambda u, i: unit(i + 1, u["s"], u["t"]))
+class Unit(NamedTuple):
+    """A paragraph or sentence: its paragraph's number, its own number there, offsets, kind and text."""
 
+    para: int
+    i: int
+    s: int
+    e: int
+    kind: str
+    text: str
 
-def paragraph_units(content: Column) -> Column:
-    return located(F.split(content, "\n", -1), 1)
 
+class Block(NamedTuple):
+    first: int
+    last: int
+    s: int
+    e: int
+    kind: str
+    reason: str
 
-def sentence_units(paragraphs: Column) -> Column:
-    """Sentences end at . ! or ? before a space; numbered within their paragraph, whose number they carry."""
-
-    def within(p: Column) -> Column:
-        pieces = F.split(F.regexp_replace(p["t"], "([.!?]) ", f"$1{_CUT}"), _CUT, -1)
-        return F.transform(located(pieces, 1), lambda u: F.struct(p["i"].alias("para"), u["i"].alias("i"), (p["s"] + u["s"]).alias("s"), (p["s"] + u["e"]).alias("e"), u["t"].alias("t")))
 
-    return F.flatten(F.transform(paragraphs, within))
+def located(pieces: Iterable[str], start: int) -> Iterator[tuple[int, int, int, str]]:
+    """Number, start, end and text of the pieces that hold more than white space; pieces stood one character apart."""
+    i = 0
+    for piece in pieces:
+        if piece.strip(_BLANK):
+            i += 1
+            yield i, start, start + len(piece), piece
+        start += len(piece) + 1
 
 
-def paragraph_kind(text: Column) -> Column:
+def paragraph_kind(text: str) -> str:
     """What a paragraph is by its surface; everything else is a body."""
-    return F.when(text.rlike(r"\A[-*=_~ ]{3,}\z"), "separator").when(~text.rlike(r"[\p{L}]"), "noise").when(F.lower(text).rlike("license|copyright"), "author_note").when(F.lower(text).rlike("https?://|www[.]"), "promo").otherwise("body")
+    if _SEPARATOR.fullmatch(text):
+        return "separator"
+    if not any(map(str.isalpha, text)):
+        return "noise"
+    lower = text.lower()
+    if "license" in lower or "copyright" in lower:
+        return "author_note"
+    return "promo" if _ADDRESS.search(lower) else "body"
 
 
-def block_units(paragraphs: Column, longest: int = BLOCK_MAX) -> Column:
-    """Greedy blocks over paragraphs with a kind: structs of first, last, start, end, kind and reason.
+def paragraph_units(content: str) -> list[Unit]:
+    return [Unit(i, i, s, e, paragraph_kind(t), t) for i, s, e, t in located(content.split("\n"), 0)]
 
-    Special kinds and overlong paragraphs stand alone; others are gathered while
-    the span with the next one stays within longest.
-    """
-    kinds = F.lit("normal")
-    block = lambda first, last, s, e, kind, reason: F.struct(first.alias("first"), last.alias("last"), s.alias("s"), e.alias("e"), kind.alias("kind"), reason.alias("reason"))
-    none = F.lit(0)
-    state = lambda out, first, last, s, e: F.struct(out.alias("out"), first.alias("first"), last.alias("last"), s.alias("s"), e.alias("e"))
-    empty = F.array().cast("array<struct<first:int,last:int,s:int,e:int,kind:string,reason:string>>")
 
-    def flushed(acc: Column, reason: Column | str) -> Column:
-        reason = F.lit(reason) if isinstance(reason, str) else reason
-        return F.when(acc["first"] > 0, F.concat(acc["out"], F.array(block(acc["first"], acc["last"], acc["s"], acc["e"], kinds, reason)))).otherwise(acc["out"])
+def sentence_units(paragraphs: list[Unit]) -> Iterator[Unit]:
+    """Sentences end at . ! or ? before a space; numbered within their paragraph, whose number they carry."""
+    for p in paragraphs:
+        for i, s, e, t in located(_SENTENCE_END.split(p.text), p.s):
+            yield Unit(p.i, i, s, e, p.kind, t)
+
+
+def block_units(paragraphs: Iterable[Unit], longest: int = BLOCK_MAX) -> Iterator[Block]:
+    """Greedy blocks: special kinds and overlong paragraphs stand alone, others are gathered while the span with the next one stays within longest."""
+    run: Block | None = None
+    for p in paragraphs:
+        special, overlong = p.kind in SPECIAL_KINDS, p.e - p.s > longest
+        full = run is not None and run.e - run.s + 1 + p.e - p.s > longest
+        if run and (special or overlong or full):
+            yield run._replace(reason="strong_separator_trigger" if special else "target_max_reached")
+            run = None
+        if special or overlong:
+            yield Block(p.i, p.i, p.s, p.e, p.kind if special else "normal", "strong_separator_block" if special else "single_long_paragraph")
+        else:
+            run = run._replace(last=p.i, e=p.e) if run else Block(p.i, p.i, p.s, p.e, "normal", "chapter_end")
+    if run:
+        yield run
+
+
+def segment_ranges(sentences: list[Unit], least: int = SEGMENT_MIN, most: int = SEGMENT_MAX, hard: int = SEGMENT_HARD) -> Iterator[tuple[int, int]]:
+    """Greedy runs of sentences: first and last, one-based places in the list."""
+    first = 1
+    for place in range(2, len(sentences) + 1):
+        start = sentences[first - 1].s
+        now, then = sentences[place - 2].e - start, sentences[place - 1].e - start
+        if now > hard or (now >= least and then > most) or then > hard:
+            yield first, place - 1
+            first = place
+    if sentences:
+        yield first, len(sentences)
+
+
+def blocks_with_sentences(content: str, longest: int) -> Iterator[tuple[Block, int, list[Unit]]]:
+    """Blocks in order, each with the running number of the sentence before its first one, and its sentences."""
+    paragraphs = paragraph_units(content)
+    sentences = list(sentence_units(paragraphs))
+    at = 0
+    for block in block_units(paragraphs, longest):
+        end = at
+        while end < len(sentences) and sentences[end].para <= block.last:
+            end += 1
+        yield block, at, sentences[at:end]
+        at = end
+
+
+def expand(chapters: DataFrame, fields: list[tuple[str, str]], rows_of: Callable[[str], Iterable[tuple]]) -> DataFrame:
+    """chapters' keys beside the rows that rows_of gives for each content; fields: names and Spark types."""
+    ship_package(chapters.sparkSession)
+    schema = T.StructType([chapters.schema[k] for k in KEYS] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
+    arrow = {"long": pa.int64(), "string": pa.string(), "array<struct<s:int,e:int>>": pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))}
+    kinds, names = [arrow[t] for _, t in fields], schema.names
+    texts = [k for k, (_, t) in enumerate(fields) if t == "string"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.columns[: len(KEYS)]
+            at, rows, chars = [], [], 0
+
+            def batch_of(at: list[int], rows: list[tuple], keys: list = keys) -> pa.RecordBatch:
+                columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+                return pa.RecordBatch.from_arrays([c.take(pa.array(at, pa.int64())) for c in keys] + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+            for place, content in enumerate(batch.column(len(KEYS))):
+                for row in rows_of(content.as_py() or ""):
+                    at.append(place)
+                    rows.append(row)
+                    chars += sum(len(row[k]) for k in texts if row[k])
+                    if len(rows) >= _ROWS or chars >= _CHARS:
+                        yield batch_of(at, rows)
+                        at, rows, chars = [], [], 0
+            yield batch_of(at, rows)
+
+    return chapters.select(*KEYS, "content").mapInArrow(run, schema)
+
+
+def number(value: Column | str) -> Column:
+    """Four digits at least, and never cut."""
+    return F.format_string("%04d", value)
+
+
+def paragraphs(chapters: DataFrame) -> DataFrame:
+    """One row a paragraph: coordinates, kind, text and hash."""
+    fields = [("para_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("char_length", "long"), ("para_kind", "string"), ("para_text", "string")]
+    rows = expand(chapters, fields, lambda content: ((p.i, p.s, p.e, p.e - p.s, p.kind, p.text) for p in paragraph_units(content)))
+    return rows.withColumn("para_hash", sha256(F.col("para_text")))
+
 
-    def step(acc: Column, p: Column) -> Column:
-        special, overlong = p["kind"].isin(*SPECIAL_KINDS), p["e"] - p["s"] > longest
-        alone = block(p["i"], p["i"], p["s"], p["e"], F.when(special, p["kind"]).otherwise(kinds), F.when(special, "strong_separator_block").otherwise("single_long_paragraph"))
-        closed = flushed(acc, F.when(special, "strong_separator_trigger").otherwise("target_max_reached"))
-        full = (acc["first"] > 0) & (acc["e"] - acc["s"] + 1 + p["e"] - p["s"] > longest)
-        fresh = state(closed, p["i"], p["i"], p["s"], p["e"])
-        grown = state(acc["out"], F.when(acc["first"] > 0, acc["first"]).otherwise(p["i"]), p["i"], F.when(acc["first"] > 0, acc["s"]).otherwise(p["s"]), p["e"])
-        return F.when(special | overlong, state(F.concat(closed, F.array(alone)), none, none, none, none)).when(full, fresh).otherwise(grown)
+def sentences(chapters: DataFrame) -> DataFrame:
+    """One row a sentence: coordinates, running number in the chapter, text and hash."""
+    fields = [("para_index", "long"), ("sentence_index", "long"), ("global_sentence_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("sentence_text", "string")]
+    rows = expand(chapters, fields, lambda content: ((u.para, u.i, g, u.s, u.e, u.text) for g, u in enumerate(sentence_units(paragraph_units(content)), 1)))
+    para_id = F.concat_ws("_", "chapter_id", F.lit("p"), number("para_index"))
+    return rows.select(*KEYS, para_id.alias("para_id"), F.concat_ws("_", para_id, F.lit("s"), number("sentence_index")).alias("sentence_id"), *(n for n, _ in fields), sha256(F.col("sentence_text")).alias("sentence_hash"))
 
-    return F.aggregate(paragraphs, state(empty, none, none, none, none), step, lambda acc: flushed(acc, "chapter_end"))
 
+def scene_key() -> Column:
+    return F.concat_ws(":", "chapter_id", "version_id", F.lit("scene"), F.col("scene_index").cast("string"))
 
-def segment_ranges(sentences: Column, least: int = SEGMENT_MIN, most: int = SEGMENT_MAX, hard: int = SEGMENT_HARD) -> Column:
-    """Greedy runs of sentences: structs of first and last, one-based places in the array."""
-    empty = F.array().cast("array<struct<first:int,last:int>>")
-    run = lambda first, last: F.struct(first.alias("first"), last.alias("last"))
-    state = lambda out, first, last, s, e: F.struct(out.alias("out"), first.alias("first"), last.alias("last"), s.alias("s"), e.alias("e"))
 
-    def step(acc: Column, u: Column) -> Column:
-        now, then = acc["e"] - acc["s"], u["e"] - acc["s"]
-        closes = (now > hard) | ((now >= least) & (then > most)) | (then > hard)
-        following = acc["last"] + 1
-        return F.when(acc["first"] == 0, state(acc["out"], F.lit(1), F.lit(1), u["s"], u["e"])).when(closes, state(F.concat(acc["out"], F.array(run(acc["first"], acc["last"]))), following, following, u["s"], u["e"])).otherwise(state(acc["out"], acc["first"], following, acc["s"], u["e"]))
+def blocks(chapters: DataFrame, longest: int = BLOCK_MAX) -> DataFrame:
+    """One row a block, with the running number of its first sentence and a hash of its text."""
+    fields = [("scene_index", "long"), ("start_para_index", "long"), ("end_para_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("scene_kind", "string"), ("split_reason", "string"), ("first_sentence", "long"), ("block_text", "string")]
 
-    zero = F.lit(0)
-    return F.aggregate(sentences, state(empty, zero, zero, zero, zero), step, lambda acc: F.when(acc["first"] > 0, F.concat(acc["out"], F.array(run(acc["first"], acc["last"])))).otherwise(acc["out"]))
+    def rows_of(content: str) -> Iterator[tuple]:
+        for k, (b, before, inside) in enumerate(blocks_with_sentences(content, longest), 1):
+            yield k, b.first, b.last, b.s, b.e, b.kind, b.reason, before + 1 if inside else None, content[b.s : b.e]
 
+    rows = expand(chapters, fields, rows_of)
+    return rows.select(*KEYS, scene_key().alias("scene_key"), *(n for n, _ in fields[:5]), (F.col("end_offset") - F.col("start_offset")).alias("length"), "scene_kind", "split_reason", sha256(F.col("block_text")).alias("source_hash"), "first_sentence")
 
-def with_units(chapters: DataFrame) -> DataFrame:
-    """Chapters with arrays of paragraph units (with kind) and sentence units."""
-    typed = F.transform(paragraph_units(F.col("content")), lambda p: F.struct(p["i"].alias("i"), p["s"].alias("s"), p["e"].alias("e"), paragraph_kind(p["t"]).alias("kind"), p["t"].alias("t")))
-    return chapters.withColumn("paras", typed).withColumn("sents", sentence_units(F.col("paras")))
 
+def segments(chapters: DataFrame, longest: int = BLOCK_MAX, least: int = SEGMENT_MIN, most: int = SEGMENT_MAX, hard: int = SEGMENT_HARD, overlap: int = 1) -> DataFrame:
+    """One row a segment: its sentences' offsets with the overlap before them, ids, boundary status and text."""
+    fields = [("scene_index", "long"), ("segment_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("sentence_count", "long"), ("overlap_sentences", "long"), ("boundary_status", "string"), ("sentences", "array<struct<s:int,e:int>>"), ("segment_text", "string")]
 
-def cut(start: Column, end: Column) -> Column:
-    return F.substring(F.col("content"), start + 1, end - start)
+    def rows_of(content: str) -> Iterator[tuple]:
+        for k, (_, _, inside) in enumerate(blocks_with_sentences(content, longest), 1):
+            for g, (first, last) in enumerate(segment_ranges(inside, least, most, hard), 1):
+                lead = max(1, first - overlap) if g > 1 else first
+                held = inside[lead - 1 : last]
+                start, end = held[0].s, held[-1].e
+                status = "oversized_sentence_warning" if any(u.e - u.s > hard for u in held) else "over_hard_max_warning" if end - start > hard else "ok"
+                yield k, g, start, end, len(held), first - lead, status, [{"s": u.s, "e": u.e} for u in held], content[start:end]
 
+    rows = expand(chapters, fields, rows_of).withColumn("scene_key", scene_key())
+    token = F.substring(sha256(F.concat_ws("|", F.col("chapter_num").cast("string"), "scene_key")), 1, 12)
+    child = lambda k: F.concat(F.lit("l3cs_"), number("chapter_num"), F.lit("_"), token, F.lit("_"), number(k))
+    previous = F.when(F.col("segment_index") > 1, child(F.col("segment_index") - 1))
+    return rows.select(*KEYS, "scene_key", "scene_index", "segment_index", child("segment_index").alias("child_segment_id"), previous.alias("previous_child_id"), *(n for n, _ in fields[2:]), sha256(F.col("segment_text")).alias("segment_hash"))
 
-def paragraphs(units: DataFrame) -> DataFrame:
-    """One row a paragraph: coordinates, kind, text and hash."""
-    p = units.select("chapter_num", "chapter_id", "version_id", "lang", F.explode("paras").alias("p"))
-    text = F.col("p.t")
-    return p.select("chapter_num", "chapter_id", "version_id", "lang", F.col("p.i").cast("long").alias("para_index"), F.col("p.s").cast("long").alias("start_offset"), F.col("p.e").cast("long").alias("end_offset"), (F.col("p.e") - F.col("p.s")).cast("long").alias("char_length"), F.col("p.kind").alias("para_kind"), text.alias("para_text"), sha256(text).alias("para_hash"))
 
+def cut_again(spans: DataFrame, chapters: DataFrame, id_col: str) -> DataFrame:
+    """For each span (chapter_num, id, start_offset, end_offset) its chapter's text between the offsets.
 
-def sentences(units: DataFrame) -> DataFrame:
-    """One row a sentence: coordinates, running number in the chapter, text and hash."""
-    s = units.select("chapter_num", "chapter_id", "version_id", "lang", F.posexplode("sents").alias("g", "s"))
-    text = F.col("s.t")
-    number = lambda c: F.lpad(c.cast("string"), 4, "0")
-    para_id = F.concat_ws("_", "chapter_id", F.lit("p"), number(F.col("s.para")))
-    return s.select(
-        "chapter_num", "chapter_id", "version_id", "lang", para_id.alias("para_id"), F.concat_ws("_", para_id, F.lit("s"), number(F.col("s.i"))).alias("sentence_id"), F.col("s.para").cast("long").alias("para_index"), F.col("s.i").cast("long").alias("sentence_index"),
-        (F.col("g") + 1).cast("long").alias("global_sentence_index"), F.col("s.s").cast("long").alias("start_offset"), F.col("s.e").cast("long").alias("end_offset"), text.alias("sentence_text"), sha256(text).alias("sentence_hash"),
-    )
-
-
-def blocks(units: DataFrame, longest: int = BLOCK_MAX) -> DataFrame:
-    """One row a block, with the first and last sentence inside its span."""
-    b = units.select("chapter_num", "chapter_id", "version_id", "lang", "content", "sents", F.posexplode(block_units(F.col("paras"), longest)).alias("k", "b"))
-    inside = F.filter("sents", lambda u: (u["s"] >= F.col("b.s")) & (u["e"] <= F.col("b.e")))
-    b = b.withColumn("inside", inside)
-    key = F.concat_ws(":", "chapter_id", "version_id", F.lit("scene"), (F.col("k") + 1).cast("string"))
-    return b.select(
-        "chapter_num", "chapter_id", "version_id", "lang", "content", "inside", key.alias("scene_key"), (F.col("k") + 1).cast("long").alias("scene_index"), F.col("b.first").cast("long").alias("start_para_index"), F.col("b.last").cast("long").alias("end_para_index"),
-        F.col("b.s").cast("long").alias("start_offset"), F.col("b.e").cast("long").alias("end_offset"), (F.col("b.e") - F.col("b.s")).cast("long").alias("length"), F.col("b.kind").alias("scene_kind"), F.col("b.reason").alias("split_reason"),
-        sha256(cut(F.col("b.s"), F.col("b.e"))).alias("source_hash"),
-    )
-
-
-def segments(block_rows: DataFrame, least: int = SEGMENT_MIN, most: int = SEGMENT_MAX, hard: int = SEGMENT_HARD, overlap: int = 1) -> DataFrame:
-    """One row a segment: its sentences with the overlap before them, ids, boundary status, warning and text."""
-    s = block_rows.select("chapter_num", "chapter_id", "version_id", "lang", "content", "inside", "scene_key", "scene_index", F.posexplode(segment_ranges(F.col("inside"), least, most, hard)).alias("k", "r"))
-    first = F.when(F.col("k") > 0, F.greatest(F.lit(1), F.col("r.first") - overlap)).otherwise(F.col("r.first"))
-    s = s.withColumn("first", first).withColumn("sentences", F.slice("inside", F.col("first"), F.col("r.last") - F.col("first") + 1))
-    start, end = F.get("sentences", F.lit(0))["s"], F.element_at("sentences", -1)["e"]
-    token = F.substring(sha256(F.concat_ws("|", F.col("chapter_num").cast("string"), "scene_key")), 1, 12)
-    child = lambda k: F.concat(F.lit("l3cs_"), F.format_string("%04d", "chapter_num"), F.lit("_"), token, F.lit("_"), F.format_string("%04d", k))
-    length = end - start
-    oversized = F.exists("sentences", lambda u: u["e"] - u["s"] > hard)
-    text = cut(start, end)
-    return s.select(
-        "chapter_num", "chapter_id", "version_id", "lang", "scene_key", "scene_index", (F.col("k") + 1).cast("long").alias("segment_index"), child(F.col("k") + 1).alias("child_segment_id"), F.when(F.col("k") > 0, child(F.col("k"))).alias("previous_child_id"),
-        start.cast("long").alias("start_offset"), end.cast("long").alias("end_offset"), F.size("sentences").cast("long").alias("sentence_count"), (F.col("r.first") - F.col("first")).cast("long").alias("overlap_sentences"),
-        F.when(oversized, "oversized_sentence_warning").when(length > hard, "over_hard_max_warning").otherwise("ok").alias("boundary_status"), "sentences", text.alias("segment_text"), sha256(text).alias("segment_hash"),
-    )
+    Gives chapter_num, the id as a string, has_chapter, and cut, null where the
+    offsets are missing, crossed or outside the text. A chapter's spans are
+    gathered, so its text is joined once and cut in one pass.
+    """
+    ship_package(chapters.sparkSession)
+    span = F.struct(F.col(id_col).cast("string").alias("id"), F.col("start_offset").cast("long").alias("s"), F.col("end_offset").cast("long").alias("e"))
+    gathered = spans.groupBy("chapter_num").agg(F.collect_list(span).alias("spans"))
+    text = chapters.select(F.col("chapter_num").alias("__num"), "content")
+    joined = gathered.join(text, F.col("chapter_num") == F.col("__num"), "left").select("chapter_num", "spans", "content", F.col("__num").isNotNull().alias("has_chapter"))
+    schema = T.StructType([spans.schema["chapter_num"], T.StructField(id_col, T.StringType()), T.StructField("has_chapter", T.BooleanType()), T.StructField("cut", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in range(batch.num_rows):
+                content, listed = batch.column(2)[place].as_py(), batch.column(1)[place].as_py()
+                inside = lambda s, e, n=len(content or ""): s is not None and e is not None and 0 <= s < e <= n
+                cuts = [content[x["s"] : x["e"]] if inside(x["s"], x["e"]) else None for x in listed]
+                at = pa.array([place] * len(listed), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([x["id"] for x in listed], pa.string()), batch.column(3).take(at), pa.array(cuts, pa.string())], names=schema.names)
+
+    return joined.mapInArrow(run, schema)

@@ -1,8 +1,8 @@
 """Dictionary matching with offsets, and candidates from patterns.
 
-Dictionaries are small dimension tables given by the caller as Python lists; they
-enter plans as literals or constant tables. All positions come from JVM split and
-extract expressions, so no text leaves the JVM.
+Dictionaries are dimension tables of the caller's. Their terms are found by one
+pass over each text, see ``functions.terms``, and joined to their owners on
+equality.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import occurrence_starts, sha256
+from corpusloom.functions.terms import distinct_terms, matches, term_starts
+from corpusloom.functions.text import sha256
 
 #: Words and shapes that are no person's name, and the name patterns' verbs.
 NON_PERSON_TERMS = ("灰界", "灾厄", "能力", "规则", "组织", "先生", "夫人", "姑娘", "少年", "少女", "老人", "男人", "女人", "陛下", "殿下", "众人", "人类", "所有人")
@@ -25,7 +26,7 @@ AFTER_VERB = rf"(?:看向|望向|问|叫住|对|朝着|名叫|名为|唤作)({HA
 
 def alias_table(spark: SparkSession, aliases: list[tuple[str, str, int | None, int | None]]) -> DataFrame:
     """character_id, alias_text and its first and last valid chapter (null: open)."""
-    return F.broadcast(spark.createDataFrame(aliases, "character_id string, alias_text string, valid_from long, valid_to long"))
+    return spark.createDataFrame(aliases, "character_id string, alias_text string, valid_from long, valid_to long")
 
 
 def alias_pattern(aliases: list[str]) -> str:
@@ -33,19 +34,9 @@ def alias_pattern(aliases: list[str]) -> str:
     return "|".join(re.escape(a) for a in sorted(set(aliases), key=lambda a: (-len(a), a)))
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as structs of text and zero-based start: the pieces between them give the offsets."""
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern, -1)
-    step = lambda acc, m: F.struct(F.concat(acc["out"], F.array(F.struct(m["m"].alias("m"), (acc["at"] + F.length(m["g"])).alias("s")))).alias("out"), (acc["at"] + F.length(m["g"]) + F.length(m["m"])).alias("at"))
-    pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    start = F.struct(F.array().cast("array<struct<m:string,s:int>>").alias("out"), F.lit(0).alias("at"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
-
-
 def appearances(sentences: DataFrame, aliases: DataFrame, pattern: str) -> DataFrame:
     """A row for each match and each owner whose interval holds the chapter."""
-    hit = sentences.filter(F.col("sentence_text").rlike(pattern)).withColumn("m", F.explode(spans(F.col("sentence_text"), pattern)))
+    hit = sentences.filter(F.col("sentence_text").rlike(pattern)).withColumn("m", F.explode(matches(F.col("sentence_text"), pattern)))
     hit = hit.withColumns({"matched_text": F.col("m.m"), "match_start": F.col("start_offset") + F.col("m.s")}).withColumn("match_end", F.col("match_start") + F.length("matched_text"))
     valid = F.col("chapter_num").between(F.coalesce("valid_from", F.col("chapter_num")), F.coalesce("valid_to", F.col("chapter_num")))
     owned = hit.join(aliases, (F.col("matched_text") == F.col("alias_text")) & valid)
@@ -57,8 +48,8 @@ def appearances(sentences: DataFrame, aliases: DataFrame, pattern: str) -> DataF
 def alias_occurrences(sentences: DataFrame, aliases: DataFrame) -> DataFrame:
     """Every alias by itself: non-overlapping occurrences in the sentences that contain it."""
     valid = F.col("chapter_num").between(F.coalesce("valid_from", F.col("chapter_num")), F.coalesce("valid_to", F.col("chapter_num")))
-    hit = sentences.join(aliases, F.col("sentence_text").contains(F.col("alias_text")) & valid)
-    hit = hit.withColumn("at", F.explode(occurrence_starts(F.col("sentence_text"), F.col("alias_text"))))
+    hit = sentences.withColumn("found", F.explode(term_starts(F.col("sentence_text"), distinct_terms(aliases, "alias_text"))))
+    hit = hit.join(aliases, (F.col("found.term") == F.col("alias_text")) & valid).withColumn("at", F.explode("found.starts"))
     return hit.select("character_id", "alias_text", "chapter_num", "sentence_id", (F.col("start_offset") + F.col("at")).alias("match_start"))
 
 
@@ -94,8 +85,9 @@ def candidate_characters(found: DataFrame, least: int, seeds: list[str], most_ev
 
 def pattern_spans(sentences: DataFrame, patterns: DataFrame) -> DataFrame:
     """patterns: owner_id, pattern, negatives (array). Non-overlapping spans of each pattern where no negative occurs; sentence-relative."""
-    hit = sentences.join(patterns, F.col("sentence_text").contains(F.col("pattern")) & ~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
-    return hit.withColumn("start", F.explode(occurrence_starts(F.col("sentence_text"), F.col("pattern")))).select("owner_id", "pattern", "chapter_num", "sentence_id", F.col("start").cast("long").alias("start"), (F.col("start") + F.length("pattern")).cast("long").alias("end"))
+    hit = sentences.withColumn("found", F.explode(term_starts(F.col("sentence_text"), distinct_terms(patterns, "pattern"))))
+    hit = hit.join(patterns, F.col("found.term") == F.col("pattern")).filter(~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
+    return hit.withColumn("start", F.explode("found.starts")).select("owner_id", "pattern", "chapter_num", "sentence_id", F.col("start").cast("long").alias("start"), (F.col("start") + F.length("pattern")).cast("long").alias("end"))
 
 
 def first_present(text: Column, values: list[str]) -> Column:

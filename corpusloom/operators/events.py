@@ -1,7 +1,7 @@
 """Event understanding: triggers, arguments, review, confirmation, groups, order, impacts, gate.
 
-Rules and maps are short tables of the caller's and are broadcast; every other
-step joins on ids.
+Rules are the caller's; their terms are found by one pass over each sentence and
+joined on equality. Every other step joins on ids.
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import WS, occurrence_starts, sha256, stable_id
+from corpusloom.functions.terms import distinct_terms, term_starts
+from corpusloom.functions.text import WS, sha256, stable_id
 
 #: Words and scores of the review rules.
 PRONOUNS = ("he", "she", "they", "him", "her", "他", "她", "它", "他们", "她们", "对方")
@@ -37,13 +38,14 @@ def normalized(text: Column) -> Column:
 def rule_table(spark: SparkSession, rules: list[tuple]) -> DataFrame:
     """rule_id, family, type, terms, negatives, confidence, (state type, from, to) or None; the order is the priority. One row a term."""
     rows = [(i, r[0], r[1], r[2], term, r[4], r[5], *(r[6] or (None, None, None))) for i, r in enumerate(rules) for term in r[3]]
-    return F.broadcast(spark.createDataFrame(rows, "priority int, rule_id string, event_family string, event_type string, term string, negatives array<string>, confidence string, state_type string, from_state string, to_state string"))
+    return spark.createDataFrame(rows, "priority int, rule_id string, event_family string, event_type string, term string, negatives array<string>, confidence string, state_type string, from_state string, to_state string")
 
 
 def triggers(sentences: DataFrame, rules: DataFrame) -> DataFrame:
     """All occurrences of all terms whose rule no negative vetoes; of equal spans the first by rule is kept, the others are marked as skipped."""
-    hit = sentences.join(rules, F.col("sentence_text").contains(F.col("term")) & ~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
-    hit = hit.withColumn("at", F.explode(occurrence_starts(F.col("sentence_text"), F.col("term"))))
+    hit = sentences.withColumn("found", F.explode(term_starts(F.col("sentence_text"), distinct_terms(rules, "term")))).withColumn("__term", F.col("found.term"))
+    hit = hit.join(rules, F.col("__term") == F.col("term")).filter(~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
+    hit = hit.withColumn("at", F.explode("found.starts")).drop("found", "__term")
     hit = hit.withColumns({"trigger_start": F.col("start_offset") + F.col("at")}).withColumn("trigger_end", F.col("trigger_start") + F.length("term"))
     w = Window.partitionBy("sentence_id", "trigger_start", "trigger_end").orderBy("priority", F.desc(F.length("term")))
     event_id = stable_id("evt", F.col("rule_id"), F.col("sentence_id"), F.col("trigger_start"), F.col("trigger_end"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.terms import MOST_TERMS, owners_present
 from corpusloom.functions.text import sha256, strip
 
 #: Points of the evidence score.
@@ -21,10 +22,10 @@ def normalize_keywords(values: list[str]) -> list[str]:
 
 
 def seed_table(spark: SparkSession, seeds: list[dict]) -> DataFrame:
-    """seed_item_id, category, name and keyword arrays; a short table of the caller's, so it is broadcast."""
+    """seed_item_id, category, name and keyword arrays, from the caller's list."""
     rows = [(s["seed_item_id"], s["category"], s["name"], *(normalize_keywords(s.get(f, [])) for f in FIELDS)) for s in seeds]
     kinds = ", ".join(f"{f} array<string>" for f in FIELDS)
-    return F.broadcast(spark.createDataFrame(rows, f"seed_item_id string, category string, name string, {kinds}"))
+    return spark.createDataFrame(rows, f"seed_item_id string, category string, name string, {kinds}")
 
 
 def hits(column: str) -> Column:
@@ -34,7 +35,11 @@ def hits(column: str) -> Column:
 def candidates(paragraphs: DataFrame, seeds: DataFrame, top: int = TOP) -> DataFrame:
     """The best paragraphs of each seed with score, its breakdown, matched keywords and the kind of evidence."""
     positive = F.array_distinct(F.concat(F.array("name"), "aliases", "keywords", "branches", "characters"))
-    pairs = paragraphs.join(seeds, F.exists(F.concat(positive, "rules"), lambda k: F.col("para_text").contains(k)))
+    listed = seeds.select("seed_item_id", F.explode(F.concat(positive, "rules")).alias("term")).distinct().limit(MOST_TERMS + 1).collect()
+    owners: dict[str, list[str]] = {}
+    for row in listed:
+        owners.setdefault(row["term"], []).append(row["seed_item_id"])
+    pairs = paragraphs.withColumn("seed_item_id", F.explode(owners_present(F.col("para_text"), owners))).join(seeds, "seed_item_id")
     pairs = pairs.withColumns({f"h_{f}": hits(f) for f in FIELDS} | {"matched_positive": F.filter(positive, lambda k: F.col("para_text").contains(k)), "h_name": F.col("para_text").contains(F.col("name"))})
     n = lambda f: F.size(f"h_{f}")
     distinct = F.size(F.array_distinct(F.concat("matched_positive", "h_rules")))

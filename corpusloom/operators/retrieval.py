@@ -1,7 +1,7 @@
 """Keyword, title and vector recall over segments, and their fusion.
 
-A query set is a short constant table: it is broadcast against all rows. Top-k
-windows filter on row_number, which Spark limits in each task before it shuffles.
+A query set is the caller's: its texts are found by one pass over each segment and
+joined on equality. Top-k windows filter on row_number, which Spark limits in each task before it shuffles.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.terms import distinct_terms, term_starts
 from corpusloom.functions.text import let, occurrences, sha256, squeeze
 
 WEIGHTS = (0.35, 0.30, 0.35)
@@ -30,8 +31,8 @@ def top(df: DataFrame, k: int, by: list[str], *order: Column, rank: str = "place
 
 def keyword_recall(segments: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Segments that contain the query text, by score, occurrences, length and id."""
-    hits = segments.join(queries, F.col("segment_text").contains(F.col("query_text")))
-    hits = hits.withColumn("n", occurrences(F.col("segment_text"), F.col("query_text"))).withColumn("length", F.length("segment_text"))
+    found = segments.withColumn("length", F.length("segment_text")).withColumn("found", F.explode(term_starts(F.col("segment_text"), distinct_terms(queries, "query_text"))))
+    hits = found.join(queries, F.col("found.term") == F.col("query_text")).withColumn("n", F.size("found.starts").cast("long"))
     hits = hits.withColumn("keyword_score", F.round(F.least(F.lit(1.0), 0.25 + F.col("n") / F.lit(3.0)), 6))
     hits = hits.select("query_id", "child_segment_id", "chapter_num", "scene_key", "n", "keyword_score", "length")
     return top(hits, k, ["query_id"], F.desc("keyword_score"), F.desc("n"), F.asc("length"), F.asc("child_segment_id"))

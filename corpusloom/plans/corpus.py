@@ -18,7 +18,7 @@ SEGMENTS_SQL = S.segments(BLOCK, LEAST, MOST, HARD)
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.with_units(chapters(table(spark, sf_dir, "documents")))
+    return chapters(table(spark, sf_dir, "documents"))
 
 
 def block_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,15 +26,16 @@ def block_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.segments(block_rows(spark, sf_dir), LEAST, MOST, HARD)
+    return C.segments(units(spark, sf_dir), BLOCK, LEAST, MOST, HARD)
 
 
 @query(f"WITH {S.PARAGRAPHS} SELECT lang, count(*) AS paragraphs, sum((sha256(substr(content, start_offset + 1, end_offset - start_offset)) = sha256(para_text))::INT)::BIGINT AS verified, sum(end_offset - start_offset)::BIGINT AS chars FROM pa JOIN ch USING (chapter_num) GROUP BY lang")
 def q00_backcut_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs with offsets and hashes, cut again out of their chapters (J34) and counted."""
     rows = units(spark, sf_dir)
-    paras = C.paragraphs(rows).join(rows.select(F.col("chapter_num"), "content"), "chapter_num")
-    again = sha256(F.substring("content", (F.col("start_offset") + 1).cast("int"), F.col("char_length").cast("int")))
+    paras = C.paragraphs(rows).drop("para_text")
+    cut = C.cut_again(paras, rows, "para_index").select("chapter_num", F.col("para_index").cast("long").alias("para_index"), sha256(F.col("cut")).alias("again"))
+    paras, again = paras.join(cut, ["chapter_num", "para_index"]), F.col("again")
     return paras.groupBy("lang").agg(F.count(F.lit(1)).alias("paragraphs"), F.count_if(again == F.col("para_hash")).alias("verified"), F.sum("char_length").alias("chars"))
 
 
@@ -45,7 +46,7 @@ def w14_paragraph_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {S.SENTENCES} SELECT chapter_num, chapter_id, version_id, ch.lang, chapter_id || '_p_' || lpad(para_index::VARCHAR, 4, '0') AS para_id, chapter_id || '_p_' || lpad(para_index::VARCHAR, 4, '0') || '_s_' || lpad(sentence_index::VARCHAR, 4, '0') AS sentence_id, para_index, sentence_index, global_sentence_index, start_offset, end_offset, sentence_text, sha256(sentence_text) AS sentence_hash FROM se JOIN ch USING (chapter_num)"
+    f"WITH {S.SENTENCES} SELECT chapter_num, chapter_id, version_id, ch.lang, chapter_id || '_p_' || printf('%04d', para_index) AS para_id, chapter_id || '_p_' || printf('%04d', para_index) || '_s_' || printf('%04d', sentence_index) AS sentence_id, para_index, sentence_index, global_sentence_index, start_offset, end_offset, sentence_text, sha256(sentence_text) AS sentence_hash FROM se JOIN ch USING (chapter_num)"
 )
 def w14_sentence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sentences(units(spark, sf_dir))
@@ -54,18 +55,14 @@ def w14_sentence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH RECURSIVE {S.blocks(BLOCK)} SELECT bl.*, (SELECT min(global_sentence_index) FROM se WHERE se.chapter_num = bl.chapter_num AND se.start_offset >= bl.start_offset AND se.end_offset <= bl.end_offset) AS first_sentence FROM bl")
 def g01_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 greedy paragraph packing, J4 first contained sentence."""
-    rows = block_rows(spark, sf_dir)
-    # the first sentence inside is the least running number, which counts sentences before the block's start
-    first = F.when(F.size("inside") > 0, F.size(F.filter("sents", lambda u: u["s"] < F.get("inside", F.lit(0))["s"])) + 1).cast("long")
-    rows = rows.join(units(spark, sf_dir).select("chapter_num", "sents"), "chapter_num")
-    return rows.withColumn("first_sentence", first).drop("content", "inside", "sents")
+    return block_rows(spark, sf_dir)
 
 
 @query(f"WITH RECURSIVE {S.blocks(BLOCK)}, x AS (SELECT *, lag(end_offset) OVER (PARTITION BY chapter_num ORDER BY scene_index) AS pe, lag(end_para_index) OVER (PARTITION BY chapter_num ORDER BY scene_index) AS pp FROM bl) SELECT count(*) AS blocks, sum((pe > start_offset)::INT)::BIGINT AS overlaps, sum((coalesce(pp, 0) + 1 <> start_para_index)::INT)::BIGINT AS gaps, sum((length <= 0)::INT)::BIGINT AS empty FROM x")
 def g02_block_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G2 blocks of a chapter neither overlap nor leave out a paragraph."""
     w = Window.partitionBy("chapter_num").orderBy("scene_index")
-    x = block_rows(spark, sf_dir).drop("content", "inside").withColumns({"pe": F.lag("end_offset").over(w), "pp": F.lag("end_para_index").over(w)})
+    x = block_rows(spark, sf_dir).withColumns({"pe": F.lag("end_offset").over(w), "pp": F.lag("end_para_index").over(w)})
     return x.agg(F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("pe") > F.col("start_offset")).alias("overlaps"), F.count_if(F.coalesce("pp", F.lit(0)) + 1 != F.col("start_para_index")).alias("gaps"), F.count_if(F.col("length") <= 0).alias("empty"))
 
 
@@ -87,10 +84,9 @@ def g04_segment_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def g05_segment_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G5 a segment's fingerprint over its sources, X13 hash of a structure in a fixed form."""
-    rows = C.segments(block_rows(spark, sf_dir), LEAST, MOST, HARD)
-    content = chapters(table(spark, sf_dir, "documents")).select("chapter_num", "content")
-    rows = rows.join(content, "chapter_num")
-    part = F.transform("sentences", lambda u: F.concat_ws("-", u["s"].cast("string"), u["e"].cast("string"), sha256(F.substring(F.col("content"), u["s"] + 1, u["e"] - u["s"]))))
+    rows = segment_rows(spark, sf_dir)
+    inside = lambda u: F.substring(F.col("segment_text"), (u["s"] - F.col("start_offset") + 1).cast("int"), u["e"] - u["s"])
+    part = F.transform("sentences", lambda u: F.concat_ws("-", u["s"].cast("string"), u["e"].cast("string"), sha256(inside(u))))
     return rows.select("child_segment_id", sha256(F.concat_ws("|", "scene_key", "chapter_id", "version_id", F.col("chapter_num").cast("string"), F.array_join(part, ";"))).alias("source_fingerprint"))
 
 

@@ -59,7 +59,7 @@ fs AS (SELECT chapter_num, scene_index, i, 1::BIGINT AS g, s AS ps, e AS pe FROM
 gr AS (SELECT chapter_num, scene_index, g, min(i) AS lo, max(i) AS hi FROM fs GROUP BY ALL),
 go AS (SELECT *, CASE WHEN g > 1 THEN greatest(1, lo - 1) ELSE lo END AS f FROM gr),
 ga AS (SELECT go.chapter_num, go.scene_index, g, lo, hi, f, min(s) AS start_offset, max(e) AS end_offset, count(*) AS sentence_count, max(e - s) AS widest FROM go JOIN si ON si.chapter_num = go.chapter_num AND si.scene_index = go.scene_index AND si.i BETWEEN f AND hi GROUP BY ALL),
-sg AS (SELECT ga.chapter_num, ch.chapter_id, ch.version_id, ch.lang, bl.scene_key, ga.scene_index, g AS segment_index, 'l3cs_' || lpad(ga.chapter_num::VARCHAR, greatest(4, len(ga.chapter_num::VARCHAR))::INT, '0') || '_' || substr(sha256(ga.chapter_num || '|' || bl.scene_key), 1, 12) || '_' || lpad(g::VARCHAR, 4, '0') AS child_segment_id,
+sg AS (SELECT ga.chapter_num, ch.chapter_id, ch.version_id, ch.lang, bl.scene_key, ga.scene_index, g AS segment_index, 'l3cs_' || lpad(ga.chapter_num::VARCHAR, greatest(4, len(ga.chapter_num::VARCHAR))::INT, '0') || '_' || substr(sha256(ga.chapter_num || '|' || bl.scene_key), 1, 12) || '_' || printf('%04d', g) AS child_segment_id,
   CASE WHEN g > 1 THEN 'l3cs_' || lpad(ga.chapter_num::VARCHAR, greatest(4, len(ga.chapter_num::VARCHAR))::INT, '0') || '_' || substr(sha256(ga.chapter_num || '|' || bl.scene_key), 1, 12) || '_' || lpad((g - 1)::VARCHAR, 4, '0') END AS previous_child_id,
   ga.start_offset, ga.end_offset, sentence_count, lo - f AS overlap_sentences, CASE WHEN widest > {hard} THEN 'oversized_sentence_warning' WHEN ga.end_offset - ga.start_offset > {hard} THEN 'over_hard_max_warning' ELSE 'ok' END AS boundary_status,
   substr(content, ga.start_offset + 1, ga.end_offset - ga.start_offset) AS segment_text, sha256(substr(content, ga.start_offset + 1, ga.end_offset - ga.start_offset)) AS segment_hash

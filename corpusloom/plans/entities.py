@@ -20,7 +20,7 @@ WINDOW = 200
 _val = lambda v: "NULL::BIGINT" if v is None else str(v)
 ALIAS_SQL = "al(character_id, alias_text, valid_from, valid_to) AS (VALUES " + ", ".join(f"('{c}', '{a}', {_val(f)}, {_val(t)})" for c, a, f, t in ALIASES) + ")"
 VALID_SQL = "chapter_num BETWEEN coalesce(valid_from, chapter_num) AND coalesce(valid_to, chapter_num)"
-SENT_SQL = "sn AS (SELECT chapter_num, chapter_id, version_id, chapter_id || '_p_' || lpad(para_index::VARCHAR, 4, '0') AS para_id, chapter_id || '_p_' || lpad(para_index::VARCHAR, 4, '0') || '_s_' || lpad(sentence_index::VARCHAR, 4, '0') AS sentence_id, start_offset, sentence_text FROM se JOIN ch USING (chapter_num))"
+SENT_SQL = "sn AS (SELECT chapter_num, chapter_id, version_id, chapter_id || '_p_' || printf('%04d', para_index) AS para_id, chapter_id || '_p_' || printf('%04d', para_index) || '_s_' || printf('%04d', sentence_index) AS sentence_id, start_offset, sentence_text FROM se JOIN ch USING (chapter_num))"
 APP_SQL = f"""{ALIAS_SQL}, {SENT_SQL},
 mx AS (SELECT *, regexp_extract_all(sentence_text, '{PATTERN}') AS ms, regexp_split_to_array(sentence_text, '{PATTERN}') AS gs FROM sn WHERE regexp_matches(sentence_text, '{PATTERN}')),
 mi AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM mx),
@@ -71,12 +71,12 @@ def j05_alias_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.alias_occurrences(sentences(spark, sf_dir), D.alias_table(spark, ALIASES))
 
 
-@query(f"WITH {S.SENTENCES}, {APP_SQL}, ph AS (SELECT chapter_id || '_p_' || lpad(para_index::VARCHAR, 4, '0') AS para_id, sha256(para_text) AS h, content FROM pa JOIN ch USING (chapter_num)) SELECT count(*) AS appearances, sum((ph.para_id IS NULL)::INT)::BIGINT AS no_paragraph, sum((substr(content, match_start + 1, match_end - match_start) = alias_text)::INT)::BIGINT AS verified, count(DISTINCT appearance_id) AS ids FROM ap LEFT JOIN ph USING (para_id)")
+@query(f"WITH {S.SENTENCES}, {APP_SQL}, ph AS (SELECT chapter_id || '_p_' || printf('%04d', para_index) AS para_id, sha256(para_text) AS h, content FROM pa JOIN ch USING (chapter_num)) SELECT count(*) AS appearances, sum((ph.para_id IS NULL)::INT)::BIGINT AS no_paragraph, sum((substr(content, match_start + 1, match_end - match_start) = alias_text)::INT)::BIGINT AS verified, count(DISTINCT appearance_id) AS ids FROM ap LEFT JOIN ph USING (para_id)")
 def j07_appearance_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 paragraph lookup, J31 orphans, J34 back-cut of appearances, A2 unique ids."""
     rows = units(spark, sf_dir)
     app = D.appearances(C.sentences(rows), D.alias_table(spark, ALIASES), PATTERN)
-    paras = C.paragraphs(rows).select(F.concat_ws("_", "chapter_id", F.lit("p"), F.lpad(F.col("para_index").cast("string"), 4, "0")).alias("para_id"), "start_offset", "para_text")
+    paras = C.paragraphs(rows).select(F.concat_ws("_", "chapter_id", F.lit("p"), C.number("para_index")).alias("para_id"), "start_offset", "para_text")
     again = F.substring("para_text", (F.col("match_start") - F.col("start_offset") + 1).cast("int"), (F.col("match_end") - F.col("match_start")).cast("int"))
     j = app.join(paras, "para_id", "left")
     return j.agg(F.count(F.lit(1)).alias("appearances"), F.count_if(F.col("start_offset").isNull()).alias("no_paragraph"), F.count_if(again == F.col("alias_text")).alias("verified"), F.count_distinct("appearance_id").alias("ids"))
@@ -176,7 +176,7 @@ PATTERN_SQL = "zp(owner_id, pattern, negatives) AS (VALUES " + ", ".join(f"('{z}
 def g08_zone_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G8 dictionary spans with negatives, F18 negative predicate, M5 seed dimension."""
     rows = [(z, p, NEGATIVES[z]) for z, ps in ZONES for p in ps]
-    patterns = F.broadcast(spark.createDataFrame(rows, "owner_id string, pattern string, negatives array<string>"))
+    patterns = spark.createDataFrame(rows, "owner_id string, pattern string, negatives array<string>")
     return D.pattern_spans(sentences(spark, sf_dir), patterns)
 
 

@@ -33,7 +33,7 @@ _n = lambda v: "NULL::VARCHAR" if v is None else f"'{v}'"
 _l = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]" if xs else "[]::VARCHAR[]"
 RULE_SQL = "rl(priority, rule_id, event_family, event_type, term, negatives, confidence, state_type, from_state, to_state) AS (VALUES " + ", ".join(f"({i}, '{r[0]}', '{r[1]}', '{r[2]}', '{t}', {_l(r[4])}, '{r[5]}', {', '.join(_n(x) for x in (r[6] or (None,) * 3))})" for i, r in enumerate(RULES) for t in r[3]) + ")"
 EVENT_SQL = f"""{APP_SQL}, {RULE_SQL},
-s2 AS MATERIALIZED (SELECT se.chapter_num, chapter_id, version_id, chapter_id || '_p_' || lpad(para_index::VARCHAR, 4, '0') AS para_id, chapter_id || '_p_' || lpad(para_index::VARCHAR, 4, '0') || '_s_' || lpad(sentence_index::VARCHAR, 4, '0') AS sentence_id, sentence_index, start_offset, end_offset, sentence_text, sha256(sentence_text) AS sentence_hash FROM se JOIN ch USING (chapter_num)),
+s2 AS MATERIALIZED (SELECT se.chapter_num, chapter_id, version_id, chapter_id || '_p_' || printf('%04d', para_index) AS para_id, chapter_id || '_p_' || printf('%04d', para_index) || '_s_' || printf('%04d', sentence_index) AS sentence_id, sentence_index, start_offset, end_offset, sentence_text, sha256(sentence_text) AS sentence_hash FROM se JOIN ch USING (chapter_num)),
 t0 AS (SELECT s2.*, rl.*, unnest({OCC('sentence_text', 'term')}) AS pos FROM s2 JOIN rl ON contains(sentence_text, term) AND len(list_filter(negatives, lambda n: contains(sentence_text, n))) = 0),
 t1 AS (SELECT * EXCLUDE (pos, negatives), start_offset + pos AS trigger_start, start_offset + pos + len(term) AS trigger_end FROM t0),
 tg AS MATERIALIZED (SELECT *, term AS trigger_text, row_number() OVER (PARTITION BY sentence_id, trigger_start, trigger_end ORDER BY priority, len(term) DESC) = 1 AS kept, 'evt_' || substr(sha256(rule_id || '|' || sentence_id || '|' || trigger_start || '|' || trigger_end), 1, 16) AS event_id FROM t1),
@@ -109,7 +109,7 @@ class Chain:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.units = units(spark, sf_dir)
-        self.sentences = C.sentences(self.units)
+        self.sentences = materialize(C.sentences(self.units), "sentences")
         self.triggers = E.triggers(self.sentences, E.rule_table(spark, RULES))
         self.aliases = D.alias_table(spark, ALIASES)
 
@@ -123,7 +123,7 @@ class Chain:
 
     @cached_property
     def scenes(self) -> DataFrame:
-        return E.enclosing_scene(self.events, C.blocks(self.units, BLOCK).drop("content", "inside"))
+        return E.enclosing_scene(self.events, C.blocks(self.units, BLOCK))
 
     @cached_property
     def exported(self) -> DataFrame:

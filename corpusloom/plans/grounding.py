@@ -103,7 +103,7 @@ def p05_reply_normalization(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", F.array_join("inside", ",").alias("inside"), F.array_join("outside", ",").alias("outside"), "final_status")
 
 
-@query("SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(text || ' l3cs_0001_ab ch_0001 ch_' || lpad(doc_id::VARCHAR, 4, '0'), 'l3cs_[0-9a-z_]+|ch_[0-9]{4}')), lambda x: NOT list_contains(['ch_0001'], x))), ',') AS leaks, regexp_matches(text || CASE WHEN doc_id % 8 = 0 THEN '显然' ELSE '' END, '显然|必然|毫无疑问|众所周知') AS overreaches FROM documents")
+@query("SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(text || ' l3cs_0001_ab ch_0001 ch_' || printf('%04d', doc_id), 'l3cs_[0-9a-z_]+|ch_[0-9]{4}')), lambda x: NOT list_contains(['ch_0001'], x))), ',') AS leaks, regexp_matches(text || CASE WHEN doc_id % 8 = 0 THEN '显然' ELSE '' END, '显然|必然|毫无疑问|众所周知') AS overreaches FROM documents")
 def p06_generation_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6 ids leaked by a generated text, and phrases beyond the evidence."""
     docs = table(spark, sf_dir, "documents")

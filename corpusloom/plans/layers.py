@@ -48,7 +48,7 @@ def x43_confidence_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", lookup(word, CONFIDENCE, 0.5).alias("score"), F.when(number.between(0.0, 1.0), number).alias("decision"))
 
 
-@query("SELECT doc_id, try_cast(nullif(regexp_extract('ch_' || lpad(doc_id::VARCHAR, 4, '0') || '_p_0012_s_0003', '_p_([0-9]+)', 1), '') AS BIGINT) AS para_index, try_cast(nullif(regexp_extract('ch_' || lpad(doc_id::VARCHAR, 4, '0') || '_p_0012_s_0003', '_s_([0-9]+)', 1), '') AS BIGINT) AS sentence_index, CASE WHEN doc_id % 3 = 0 THEN 'chroma_vector' WHEN doc_id % 3 = 1 THEN 'sqlite_child_keyword' ELSE 'sqlite_title' END AS source FROM documents")
+@query("SELECT doc_id, try_cast(nullif(regexp_extract('ch_' || printf('%04d', doc_id) || '_p_0012_s_0003', '_p_([0-9]+)', 1), '') AS BIGINT) AS para_index, try_cast(nullif(regexp_extract('ch_' || printf('%04d', doc_id) || '_p_0012_s_0003', '_s_([0-9]+)', 1), '') AS BIGINT) AS sentence_index, CASE WHEN doc_id % 3 = 0 THEN 'chroma_vector' WHEN doc_id % 3 = 1 THEN 'sqlite_child_keyword' ELSE 'sqlite_title' END AS source FROM documents")
 def x40_id_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X40 numbers in id suffixes, M3 coordinates from ids, X41 a hit's source by precedence."""
     i = F.col("doc_id")

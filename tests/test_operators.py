@@ -1,9 +1,12 @@
 """Operators on hand-made rows: edge cases, invariants, damage that checks must find."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import keywords as K
+from corpusloom.functions import terms
 from corpusloom.functions import text as X
 from corpusloom.operators import chunking as C
 from corpusloom.operators import dictionary as D
@@ -45,7 +48,9 @@ def test_names_and_tokens(spark):
     assert value(spark, X.estimate_tokens(F.lit("一二三"))) == 3
     assert value(spark, K.keyword_set(F.lit("Ab 一二三四五六七八九 x"))) == sorted(["ab", "一二", "二三", "三四", "四五", "五六", "六七", "七八", "八九"])
     assert value(spark, K.split_facts(F.lit("甲。乙；甲\n证据不足。evidence_refs: 丙"))) == ["甲", "乙"]
-    assert value(spark, X.occurrence_starts(F.lit("aaaa"), F.lit("aa"))) == [0, 2]
+    assert value(spark, terms.term_starts(F.lit("aaaa a\\Eb a\\E"), terms.checked(["aa", "a\\E", "b", "c", ""]))) == [("a\\E", [5, 9]), ("aa", [0, 2]), ("b", [7])]
+    with pytest.raises(ValueError, match="at most"):
+        terms.checked(map(str, range(terms.MOST_TERMS + 1)))
     assert value(spark, X.stable_id("p", F.lit("a"), F.lit(None))).startswith("p_")
 
 
@@ -57,32 +62,50 @@ def paragraphs(*kinds_and_lengths):
     return out
 
 
-def blocks(spark, paras, longest=3000):
-    df = spark.createDataFrame([(paras,)], "p array<struct<i:int,s:int,e:int,kind:string>>")
-    return [tuple(b) for b in df.select(C.block_units(F.col("p"), longest)).first()[0]]
+def blocks(paras, longest=3000):
+    return list(C.block_units([C.Unit(i, i, s, e, kind, "") for i, s, e, kind in paras], longest))
 
 
-def test_block_packing(spark):
-    got = blocks(spark, paragraphs(("body", 900), ("dialogue", 700), ("separator", 3), ("author_note", 50), ("body", 1200), ("body", 3100), ("promo", 10), ("noise", 2)))
-    assert [(b[0], b[1], b[4], b[5]) for b in got] == [
+def test_block_packing():
+    got = blocks(paragraphs(("body", 900), ("dialogue", 700), ("separator", 3), ("author_note", 50), ("body", 1200), ("body", 3100), ("promo", 10), ("noise", 2)))
+    assert [(b.first, b.last, b.kind, b.reason) for b in got] == [
         (1, 2, "normal", "strong_separator_trigger"), (3, 3, "separator", "strong_separator_block"), (4, 4, "author_note", "strong_separator_block"), (5, 5, "normal", "target_max_reached"),
         (6, 6, "normal", "single_long_paragraph"), (7, 7, "promo", "strong_separator_block"), (8, 8, "noise", "strong_separator_block"),
     ]
-    assert [b[:2] for b in blocks(spark, paragraphs(("body", 10), ("body", 10), ("body", 10)), 21)] == [(1, 2), (3, 3)]
-    assert blocks(spark, []) == []
+    assert [b[:2] for b in blocks(paragraphs(("body", 10), ("body", 10), ("body", 10)), 21)] == [(1, 2), (3, 3)]
+    assert blocks([]) == []
+
+
+def segments(lengths, *limits):
+    return list(C.segment_ranges([C.Unit(1, i, s, e, "body", "") for i, s, e, _ in paragraphs(*(("body", n) for n in lengths))], *limits))
+
+
+def test_segment_packing():
+    assert segments([200] * 6) == [(1, 4), (5, 6)]
+    assert segments([1301, 20]) == [(1, 1), (2, 2)]
+    assert segments([399, 700, 200]) == [(1, 2), (3, 3)]
+    assert segments([]) == []
+
 
+def test_segmentation_takes_time_in_proportion(spark):
+    def seconds(n, operator):
+        one = corpus(spark, "\n".join(f"Line {i} of one text. It has two sentences." if i % 5 else "***" for i in range(n))).coalesce(1)
+        best = 1e9
+        for _ in range(2):
+            began = time.perf_counter()
+            operator(one).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - began)
+        return best
 
-def segments(spark, lengths, *limits):
-    units = [(1, i, s, e) for i, s, e, _ in paragraphs(*(("body", n) for n in lengths))]
-    df = spark.createDataFrame([(units,)], "u array<struct<para:int,i:int,s:int,e:int>>")
-    return [tuple(r) for r in df.select(C.segment_ranges(F.col("u"), *limits)).first()[0]]
+    for operator in (C.paragraphs, C.sentences, C.blocks, C.segments):
+        operator(corpus(spark, "warm up.")).count()
+        assert seconds(64_000, operator) < 6 * seconds(16_000, operator) + 0.3
 
 
-def test_segment_packing(spark):
-    assert segments(spark, [200] * 6) == [(1, 4), (5, 6)]
-    assert segments(spark, [1301, 20]) == [(1, 1), (2, 2)]
-    assert segments(spark, [399, 700, 200]) == [(1, 2), (3, 3)]
-    assert segments(spark, []) == []
+def test_spans_that_cannot_be_cut(spark):
+    ch = corpus(spark, "abcdef", None)
+    spans = spark.createDataFrame([(1, "a", 0, 3), (1, "b", 4, 9), (1, "c", 3, 3), (1, "d", None, 3), (2, "e", 0, 1), (9, "f", 0, 1), (1, "g", -1, 2), (1, "h", 5, 6)], "chapter_num long, id string, start_offset long, end_offset long")
+    assert {r["id"]: (r["has_chapter"], r["cut"]) for r in C.cut_again(spans, ch, "id").collect()} == {"a": (True, "abc"), "b": (True, None), "c": (True, None), "d": (True, None), "e": (True, None), "f": (False, None), "g": (True, None), "h": (True, "f")}
 
 
 def corpus(spark, *texts):
@@ -94,7 +117,7 @@ def corpus(spark, *texts):
 
 def test_units_cut_their_text_out_again(spark):
     texts = ["One. Two! 😀 Three?\n\n  \nFour.", None, "", "no end", "a.b. c"]
-    rows = C.sentences(C.with_units(corpus(spark, *texts))).collect()
+    rows = C.sentences(corpus(spark, *texts)).collect()
     assert [r["sentence_text"] for r in sorted(rows, key=lambda r: (r["chapter_num"], r["global_sentence_index"]))] == ["One.", "Two!", "😀 Three?", "Four.", "no end", "a.b.", "c"]
     assert all(texts[r["chapter_num"] - 1][r["start_offset"] : r["end_offset"]] == r["sentence_text"] for r in rows)
 
