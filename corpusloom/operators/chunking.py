@@ -29,6 +29,8 @@ SPECIAL_KINDS = ("separator", "author_note", "promo", "noise")
 BLOCK_MAX = 3000
 SEGMENT_MIN, SEGMENT_MAX, SEGMENT_HARD = 400, 900, 1200
 KEYS = ("chapter_num", "chapter_id", "version_id", "lang")
+#: A segment's sentences: offsets, paragraph and number there.
+SENTENCES = "array<struct<s:int,e:int,para:int,i:int>>"
 
 #: White space as the column expressions know it.
 _BLANK = " \t\n\x0b\f\r\x85\xa0\u3000"
@@ -139,7 +141,7 @@ def expand(chapters: DataFrame, fields: list[tuple[str, str]], rows_of: Callable
     """chapters' keys beside the rows that rows_of gives for each content; fields: names and Spark types."""
     ship_package(chapters.sparkSession)
     schema = T.StructType([chapters.schema[k] for k in KEYS] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
-    arrow = {"long": pa.int64(), "string": pa.string(), "array<struct<s:int,e:int>>": pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))}
+    arrow = {"long": pa.int64(), "string": pa.string(), SENTENCES: pa.list_(pa.struct([(n, pa.int32()) for n in ("s", "e", "para", "i")]))}
     kinds, names = [arrow[t] for _, t in fields], schema.names
     texts = [k for k, (_, t) in enumerate(fields) if t == "string"]
 
@@ -177,12 +179,19 @@ def paragraphs(chapters: DataFrame) -> DataFrame:
     return rows.withColumn("para_hash", sha256(F.col("para_text")))
 
 
+def paragraph_id(chapter_id: Column | str, para: Column | str) -> Column:
+    return F.concat_ws("_", chapter_id, F.lit("p"), number(para))
+
+
+def sentence_id(chapter_id: Column | str, para: Column | str, i: Column | str) -> Column:
+    return F.concat_ws("_", paragraph_id(chapter_id, para), F.lit("s"), number(i))
+
+
 def sentences(chapters: DataFrame) -> DataFrame:
     """One row a sentence: coordinates, running number in the chapter, text and hash."""
     fields = [("para_index", "long"), ("sentence_index", "long"), ("global_sentence_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("sentence_text", "string")]
     rows = expand(chapters, fields, lambda content: ((u.para, u.i, g, u.s, u.e, u.text) for g, u in enumerate(sentence_units(paragraph_units(content)), 1)))
-    para_id = F.concat_ws("_", "chapter_id", F.lit("p"), number("para_index"))
-    return rows.select(*KEYS, para_id.alias("para_id"), F.concat_ws("_", para_id, F.lit("s"), number("sentence_index")).alias("sentence_id"), *(n for n, _ in fields), sha256(F.col("sentence_text")).alias("sentence_hash"))
+    return rows.select(*KEYS, paragraph_id("chapter_id", "para_index").alias("para_id"), sentence_id("chapter_id", "para_index", "sentence_index").alias("sentence_id"), *(n for n, _ in fields), sha256(F.col("sentence_text")).alias("sentence_hash"))
 
 
 def scene_key() -> Column:
@@ -203,7 +212,7 @@ def blocks(chapters: DataFrame, longest: int = BLOCK_MAX) -> DataFrame:
 
 def segments(chapters: DataFrame, longest: int = BLOCK_MAX, least: int = SEGMENT_MIN, most: int = SEGMENT_MAX, hard: int = SEGMENT_HARD, overlap: int = 1) -> DataFrame:
     """One row a segment: its sentences' offsets with the overlap before them, ids, boundary status and text."""
-    fields = [("scene_index", "long"), ("segment_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("sentence_count", "long"), ("overlap_sentences", "long"), ("boundary_status", "string"), ("sentences", "array<struct<s:int,e:int>>"), ("segment_text", "string")]
+    fields = [("scene_index", "long"), ("segment_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("sentence_count", "long"), ("overlap_sentences", "long"), ("boundary_status", "string"), ("sentences", SENTENCES), ("segment_text", "string")]
 
     def rows_of(content: str) -> Iterator[tuple]:
         for k, (_, _, inside) in enumerate(blocks_with_sentences(content, longest), 1):
@@ -212,7 +221,7 @@ def segments(chapters: DataFrame, longest: int = BLOCK_MAX, least: int = SEGMENT
                 held = inside[lead - 1 : last]
                 start, end = held[0].s, held[-1].e
                 status = "oversized_sentence_warning" if any(u.e - u.s > hard for u in held) else "over_hard_max_warning" if end - start > hard else "ok"
-                yield k, g, start, end, len(held), first - lead, status, [{"s": u.s, "e": u.e} for u in held], content[start:end]
+                yield k, g, start, end, len(held), first - lead, status, [{"s": u.s, "e": u.e, "para": u.para, "i": u.i} for u in held], content[start:end]
 
     rows = expand(chapters, fields, rows_of).withColumn("scene_key", scene_key())
     token = F.substring(sha256(F.concat_ws("|", F.col("chapter_num").cast("string"), "scene_key")), 1, 12)
@@ -221,19 +230,19 @@ def segments(chapters: DataFrame, longest: int = BLOCK_MAX, least: int = SEGMENT
     return rows.select(*KEYS, "scene_key", "scene_index", "segment_index", child("segment_index").alias("child_segment_id"), previous.alias("previous_child_id"), *(n for n, _ in fields[2:]), sha256(F.col("segment_text")).alias("segment_hash"))
 
 
-def cut_again(spans: DataFrame, chapters: DataFrame, id_col: str) -> DataFrame:
-    """For each span (chapter_num, id, start_offset, end_offset) its chapter's text between the offsets.
+def cut_again(spans: DataFrame, chapters: DataFrame, id_col: str, key: str = "chapter_num") -> DataFrame:
+    """For each span (key, id, start_offset, end_offset) the text between the offsets of the chapter with its key.
 
-    Gives chapter_num, the id as a string, has_chapter, and cut, null where the
+    Gives the key, the id as a string, has_chapter, and cut, null where the
     offsets are missing, crossed or outside the text. A chapter's spans are
     gathered, so its text is joined once and cut in one pass.
     """
     ship_package(chapters.sparkSession)
     span = F.struct(F.col(id_col).cast("string").alias("id"), F.col("start_offset").cast("long").alias("s"), F.col("end_offset").cast("long").alias("e"))
-    gathered = spans.groupBy("chapter_num").agg(F.collect_list(span).alias("spans"))
-    text = chapters.select(F.col("chapter_num").alias("__num"), "content")
-    joined = gathered.join(text, F.col("chapter_num") == F.col("__num"), "left").select("chapter_num", "spans", "content", F.col("__num").isNotNull().alias("has_chapter"))
-    schema = T.StructType([spans.schema["chapter_num"], T.StructField(id_col, T.StringType()), T.StructField("has_chapter", T.BooleanType()), T.StructField("cut", T.StringType())])
+    gathered = spans.groupBy(key).agg(F.collect_list(span).alias("spans"))
+    text = chapters.select(F.col(key).alias("of_text"), "content")
+    joined = gathered.join(text, F.col(key) == F.col("of_text"), "left").select(key, "spans", "content", F.col("of_text").isNotNull().alias("has_chapter"))
+    schema = T.StructType([spans.schema[key], T.StructField(id_col, T.StringType()), T.StructField("has_chapter", T.BooleanType()), T.StructField("cut", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -23,6 +23,10 @@ RELATIONSHIPS = (("conflict", "attack|injury|death|conflict|wound|kill"), ("coop
 STATES = (("life_status", "death|die|kill", "dead_or_at_risk", "event_type_state_hint"), ("injury_status", "injury|wound|attack", "injured_or_at_risk", "event_type_state_hint"), ("power_status", "power|upgrade|awaken|realm", "power_changed", "power_state_hint"))
 
 
+#: Parts of an order that are summed up together.
+PARTS = 1 << 16
+
+
 def lookup(value: Column, table: dict, default: object = None) -> Column:
     chain = None
     for k, v in table.items():
@@ -177,18 +181,26 @@ def groups(confirmed: DataFrame) -> DataFrame:
     return x.withColumns({"member_role": F.when(F.col("member_rank") == 1, "representative").otherwise("member"), "group_kind": F.when(several, "exact_event_signature").otherwise("singleton_group"), "group_confidence": F.when(several, 1.0).otherwise(0.5)})
 
 
-def global_positions(df: DataFrame, part: str, *order: str) -> DataFrame:
-    """Rows numbered over (part, *order) without one task for all: ranks inside a part, plus the sizes of the parts before it."""
-    sizes = df.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
-    base = sizes.withColumn("__base", F.coalesce(F.sum("__n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(part).orderBy(*order)))
-    return ranked.join(base, part).withColumn("position", F.col("__base") + F.col("__rank")).drop("__base", "__rank")
+def global_positions(df: DataFrame, part: Column, *order: str) -> DataFrame:
+    """Rows numbered over (part, *order): ranks inside a part, plus the sizes of the parts before it.
+
+    part: numbers that rise with the order and that a bounded number of rows
+    share. Parts are summed up in two levels, so no task sees all of them.
+    """
+    df = df.withColumn("__part", part.cast("long")).withColumn("__wide", F.floor(F.col("__part") / PARTS))
+    upto = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = df.groupBy("__wide", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    wide = sizes.groupBy("__wide").agg(F.sum("__n").alias("__n")).withColumn("__before", upto(Window.orderBy("__wide"))).drop("__n")
+    sizes = sizes.withColumn("__base", upto(Window.partitionBy("__wide").orderBy("__part"))).drop("__n").join(wide, "__wide")
+    base = sizes.select("__part", (F.col("__base") + F.col("__before")).alias("__base"))
+    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    return ranked.join(base, "__part").withColumn("position", F.col("__base") + F.col("__rank")).drop("__part", "__wide", "__base", "__rank")
 
 
 def timeline(members: DataFrame, eras: DataFrame) -> DataFrame:
     """One anchor a group, in narrative order, with the relation to the next one; eras: chapter_num, era."""
     g = members.groupBy("group_id").agg(F.min("chapter_num").alias("chapter_num"), F.min(F.coalesce("scene_index", F.lit(0))).alias("scene_index"), F.min(F.coalesce("trigger_start", F.lit(0))).alias("evidence_offset"), F.first("member_count").alias("member_count"))
-    placed = global_positions(g, "chapter_num", "scene_index", "evidence_offset", "group_id").join(eras, "chapter_num", "left")
+    placed = global_positions(g, F.col("chapter_num"), "scene_index", "evidence_offset", "group_id").join(eras, "chapter_num", "left")
     kind = F.when(F.col("era").isNotNull(), "era_anchor").otherwise("chapter_order_anchor")
     key = F.format_string("ch%06d:scene%06d:evidence%08d", "chapter_num", "position", "evidence_offset")
     a = placed.withColumns({"anchor_id": stable_id("tla", F.col("group_id")), "anchor_kind": kind, "anchor_confidence": F.when(F.col("era").isNotNull(), "medium").otherwise("low"), "order_key": key})
@@ -198,7 +210,10 @@ def timeline(members: DataFrame, eras: DataFrame) -> DataFrame:
 
 
 def impacts(members: DataFrame) -> DataFrame:
-    """Relationship and state impact of each confirmed event, with the audit of what it lacks."""
+    """Relationship and state impact of each confirmed event, with the audit of what it lacks.
+
+    members: confirmed events with subject_text, object_text and location_text.
+    """
     predicate = normalized(F.col("normalized_type"))
     relation = None
     for name, words in RELATIONSHIPS:
@@ -208,6 +223,9 @@ def impacts(members: DataFrame) -> DataFrame:
     for name, words, to, rule in STATES:
         value = F.struct(F.lit(name).alias("state"), F.lit(to).alias("to"), F.lit(rule).alias("rule"))
         state = F.when(both.rlike(words), value) if state is None else state.when(both.rlike(words), value)
+    place = F.coalesce(F.col("location_text"), F.lit(""))
+    moved = (place != "") & both.rlike("movement|arrive|leave|enter|escape")
+    state = state.when(moved, F.struct(F.lit("location_status").alias("state"), place.alias("to"), F.lit("location_state_hint").alias("rule")))
     state = state.when(both.rlike("reveal|identity"), F.struct(F.lit("identity_status").alias("state"), F.lit("identity_information_changed").alias("to"), F.lit("event_type_state_hint").alias("rule"))).otherwise(F.struct(F.lit("unknown_state").alias("state"), F.lit("").alias("to"), F.lit("uncertainty_fallback").alias("rule")))
     subject, thing = normalized(F.col("subject_text")), normalized(F.col("object_text"))
     audit = F.when(subject == "", "missing_subject").when(thing == "", "missing_object").when(subject == thing, "same_subject_and_object")
@@ -215,6 +233,7 @@ def impacts(members: DataFrame) -> DataFrame:
     return x.select(
         "confirmed_id", "group_id", "subject_text", "object_text", "audit", F.when(F.col("audit").isNull(), relation.otherwise("unknown_interaction")).alias("relationship_type"), F.when(subject != "", F.col("__state.state")).alias("state_impact"),
         F.when(subject != "", F.col("__state.to")).alias("state_to"), F.when(subject != "", F.col("__state.rule")).alias("state_rule"),
+        F.when((subject != "") & (F.col("__state.state") == "location_status"), place).alias("location_text"),
     )
 
 

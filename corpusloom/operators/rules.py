@@ -79,7 +79,21 @@ def file_checksum(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
+def row_digest(columns: list[str]) -> Column:
+    """The first 60 bits of the SHA-256 of a row's values, joined by bars; nulls read as None."""
+    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in columns))
+    return F.conv(F.substring(F.sha2(F.encode(text, "UTF-8"), 256), 1, 15), 16, 10).cast("long")
+
+
 def fingerprint(df: DataFrame, *columns: str) -> DataFrame:
-    """An order-free digest of any number of rows: count, xor and sum of row hashes. Before and after a stage it tells whether a source was touched."""
-    h = F.xxhash64(*(columns or df.columns))
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("xor"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("total"))
+    """An order-free digest of any number of rows: count, xor and sum of row digests. Before and after a stage it tells whether a source was touched."""
+    h = row_digest(list(columns or df.columns))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("xor"), F.coalesce(F.sum(h.cast("decimal(38,0)")).cast("string"), F.lit("0")).alias("total"))
+
+
+def source_fingerprints(tables: dict[str, DataFrame], own: list[str]) -> DataFrame:
+    """A fingerprint for each table but those of one's own layer. tables: what the caller has discovered, a name a table."""
+    parts = [fingerprint(df).select(F.lit(name).alias("table_name"), "*") for name, df in sorted(tables.items()) if name not in own]
+    if not parts:
+        raise ValueError("no source tables beside the own layer")
+    return union(*parts)

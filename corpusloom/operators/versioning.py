@@ -39,13 +39,17 @@ def missing_numbers(df: DataFrame, column: str, bucket: int = 1 << 16) -> DataFr
     """Numbers between the least and the largest of column that it lacks.
 
     Neighbours are found inside buckets of the number line; only each bucket's
-    edges meet in one window.
+    edges meet in one window. A gap is listed by the buckets that it meets, then
+    inside each, so no row holds more than bucket numbers of it.
     """
     n = df.select(F.col(column).cast("long").alias("n")).distinct().withColumn("b", F.floor(F.col("n") / bucket))
     inside = n.withColumn("next", F.lead("n").over(Window.partitionBy("b").orderBy("n")))
     edges = n.groupBy("b").agg(F.min("n").alias("lo"), F.max("n").alias("n")).withColumn("next", F.lead("lo").over(Window.orderBy("b")))
     pairs = inside.filter("next is not null").select("n", "next").unionByName(edges.filter("next is not null").select("n", "next"))
-    return pairs.filter("next > n + 1").select(F.explode(F.sequence(F.col("n") + 1, F.col("next") - 1)).alias(column))
+    gaps = pairs.filter("next > n + 1").select((F.col("n") + 1).alias("a"), (F.col("next") - 1).alias("z"))
+    gaps = gaps.withColumn("b", F.explode(F.sequence(F.floor(F.col("a") / bucket), F.floor(F.col("z") / bucket))))
+    first, last = F.greatest(F.col("a"), F.col("b") * bucket), F.least(F.col("z"), (F.col("b") + 1) * bucket - 1)
+    return gaps.select(F.explode(F.sequence(first, last)).alias(column))
 
 
 def scoped(df: DataFrame, column: str, wanted: list[int]) -> DataFrame:

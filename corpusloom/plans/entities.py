@@ -130,8 +130,8 @@ def j32_alias_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Made-up Chinese sentences for the name patterns, since the test documents have none.
-SAMPLES = ["陈伶说道：红王看向灰界。", "韩蒙问楚牧云，赵乙低声道。", "众人望向红尘界域，钱丙点头。", "少年名叫孙不眠，陈伶摇头。", "他走进城市，叫住李来德！", "没有名字。"]
-SURNAMES = "陈韩赵钱孙李楚"
+SAMPLES = ["周甲说道：吴乙看向灰界。", "郑丙问王丁云，赵乙低声道。", "众人望向青山界域，钱丙点头。", "少年名叫孙小石，周甲摇头。", "他走进城市，叫住李大木！", "没有名字。"]
+SURNAMES = "周吴郑赵钱孙李王"
 SAMPLE_SQL = "sp AS (SELECT doc_id + 1 AS chapter_num, 's' || doc_id AS sentence_id, [" + ", ".join(f"'{s}'" for s in SAMPLES) + f"][(doc_id % {len(SAMPLES) + 1} + 1)::INT] AS sentence_text FROM documents)"
 _HAN = r"[\x{4e00}-\x{9fff}]"
 NAMES_SQL = f"""{SAMPLE_SQL},
@@ -148,18 +148,18 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {NAMES_SQL} SELECT * FROM nm")
 def x32_name_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X31 name normalisation, X32 three patterns, G10 occurrence records."""
+    """X31 name normalisation, X32 three patterns, G10 occurrence records; on made-up sentences, a row a document, as no text of the tables is Chinese."""
     return D.name_candidates(samples(spark, sf_dir), SURNAMES)
 
 
 @query(
     f"""WITH {NAMES_SQL}, pl AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY chapter_num, sentence_id, source_type) AS place FROM nm),
 g AS (SELECT name, count(*) AS evidence_count, min(chapter_num) AS first_chapter, string_agg(DISTINCT source_type, ',' ORDER BY source_type) AS source_types, string_agg(sentence_id, ',' ORDER BY place) FILTER (place <= 10) AS evidence FROM pl GROUP BY name)
-SELECT 'char_' || substr(sha256(name), 1, 12) AS character_id, name, evidence_count, first_chapter, source_types, evidence FROM g WHERE evidence_count >= 20 OR name IN ('红王')"""
+SELECT 'char_' || substr(sha256(name), 1, 12) AS character_id, name, evidence_count, first_chapter, source_types, evidence FROM g WHERE evidence_count >= 20 OR name IN ('吴乙')"""
 )
 def a06_candidate_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A6 candidates by count or seed, with first sight and first evidence."""
-    return D.candidate_characters(D.name_candidates(samples(spark, sf_dir), SURNAMES), 20, ["红王"])
+    """A6 candidates by count or seed, with first sight and first evidence; on the made-up sentences of x32."""
+    return D.candidate_characters(D.name_candidates(samples(spark, sf_dir), SURNAMES), 20, ["吴乙"])
 
 
 ZONES = [("dz_gray", ["Grau", "grau"]), ("dz_tide", ["tion", "tionen"])]

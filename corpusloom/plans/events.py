@@ -79,7 +79,7 @@ cx AS (SELECT coalesce(no.normalized_event_id, cd.normalized_event_id) AS normal
 cc AS (SELECT normalized_event_id, max(contradicts::INT) = 1 AS conflict FROM ck GROUP BY normalized_event_id),
 cf AS MATERIALIZED (SELECT normalized_event_id, decision, coalesce(conflict, false) AS conflict, CASE WHEN NOT present THEN 'blocked_by_source_missing' WHEN coalesce(conflict, false) THEN 'blocked_by_conflict' WHEN decision IS NULL THEN 'blocked_by_missing_review' WHEN decision <> 'approved_candidate' THEN {_case("decision", E.BLOCKED, "'blocked_by_conflict'")} END AS block_reason,
   CASE WHEN coalesce(conflict, false) THEN 'blocked_by_conflict' WHEN decision IS NULL THEN 'missing_review_decision' WHEN decision = 'approved_candidate' THEN 'ready_for_l5_5' ELSE {_case("decision", E.BLOCKED, "'blocked_by_conflict'")} END AS readiness FROM cx LEFT JOIN cc USING (normalized_event_id)),
-cn AS MATERIALIZED (SELECT no.*, 'cev_' || substr(sha256(normalized_event_id), 1, 16) AS confirmed_id, nullif(split_part(character_texts, ',', 1), '') AS object_text FROM no JOIN cf USING (normalized_event_id) WHERE block_reason IS NULL)"""
+cn AS MATERIALIZED (SELECT no.*, 'cev_' || substr(sha256(normalized_event_id), 1, 16) AS confirmed_id, nullif(split_part(character_texts, ',', 1), '') AS object_text, CASE WHEN state_type = 'location' THEN to_state END AS location_text FROM no JOIN cf USING (normalized_event_id) WHERE block_reason IS NULL)"""
 _norm = lambda c: f"lower(regexp_replace(coalesce({c}, ''), '{_ws}+', '', 'g'))"
 GROUP_SQL = f"""{CONFIRM_SQL},
 m0 AS (SELECT *, sha256('[' || chapter_num || ',"' || {_norm("scene_key")} || '","' || {_norm("subject_text")} || '","' || {_norm("normalized_type")} || '","' || {_norm("object_text")} || '"]') AS signature FROM cn),
@@ -89,11 +89,11 @@ g0 AS (SELECT group_id, min(chapter_num) AS chapter_num, min(coalesce(scene_inde
 g1 AS (SELECT *, row_number() OVER (ORDER BY chapter_num, scene_index, evidence_offset, group_id) AS position, CASE WHEN chapter_num % 3 = 0 THEN 'era_' || chapter_num // 100 END AS era FROM g0),
 tl AS MATERIALIZED (SELECT *, 'tla_' || substr(sha256(group_id), 1, 16) AS anchor_id, CASE WHEN era IS NOT NULL THEN 'era_anchor' ELSE 'chapter_order_anchor' END AS anchor_kind, CASE WHEN era IS NOT NULL THEN 'medium' ELSE 'low' END AS anchor_confidence, 'ch' || lpad(chapter_num::VARCHAR, 6, '0') || ':scene' || lpad(position::VARCHAR, 6, '0') || ':evidence' || lpad(evidence_offset::VARCHAR, 8, '0') AS order_key,
   lead('tla_' || substr(sha256(group_id), 1, 16)) OVER (ORDER BY position) AS next_anchor_id, CASE WHEN lead(chapter_num) OVER (ORDER BY position) = chapter_num THEN 'same_chapter' WHEN lead(chapter_num) OVER (ORDER BY position) IS NOT NULL THEN 'before' END AS relation_to_next FROM g1)"""
-_state = lambda i: f"CASE WHEN regexp_matches(both_t, 'death|die|kill') THEN '{('life_status', 'dead_or_at_risk', 'event_type_state_hint')[i]}' WHEN regexp_matches(both_t, 'injury|wound|attack') THEN '{('injury_status', 'injured_or_at_risk', 'event_type_state_hint')[i]}' WHEN regexp_matches(both_t, 'power|upgrade|awaken|realm') THEN '{('power_status', 'power_changed', 'power_state_hint')[i]}' WHEN regexp_matches(both_t, 'reveal|identity') THEN '{('identity_status', 'identity_information_changed', 'event_type_state_hint')[i]}' ELSE '{('unknown_state', '', 'uncertainty_fallback')[i]}' END"
+_state = lambda i: f"CASE WHEN regexp_matches(both_t, 'death|die|kill') THEN '{('life_status', 'dead_or_at_risk', 'event_type_state_hint')[i]}' WHEN regexp_matches(both_t, 'injury|wound|attack') THEN '{('injury_status', 'injured_or_at_risk', 'event_type_state_hint')[i]}' WHEN regexp_matches(both_t, 'power|upgrade|awaken|realm') THEN '{('power_status', 'power_changed', 'power_state_hint')[i]}' WHEN coalesce(location_text, '') <> '' AND regexp_matches(both_t, 'movement|arrive|leave|enter|escape') THEN {("'location_status'", "location_text", "'location_state_hint'")[i]} WHEN regexp_matches(both_t, 'reveal|identity') THEN '{('identity_status', 'identity_information_changed', 'event_type_state_hint')[i]}' ELSE '{('unknown_state', '', 'uncertainty_fallback')[i]}' END"
 IMPACT_SQL = f"""{TIMELINE_SQL},
 i0 AS (SELECT *, {_norm("subject_text")} AS sn_, {_norm("object_text")} AS on_, {_norm("normalized_type")} AS pn_, {_norm("normalized_type || ' ' || coalesce(object_text, '')")} AS both_t FROM mg),
 im AS MATERIALIZED (SELECT confirmed_id, group_id, subject_text, object_text, CASE WHEN sn_ = '' THEN 'missing_subject' WHEN on_ = '' THEN 'missing_object' WHEN sn_ = on_ THEN 'same_subject_and_object' END AS audit, CASE WHEN sn_ <> '' AND on_ <> '' AND sn_ <> on_ THEN CASE {" ".join(f"WHEN regexp_matches(pn_, '{w}') THEN '{n}'" for n, w in E.RELATIONSHIPS)} ELSE 'unknown_interaction' END END AS relationship_type,
-  CASE WHEN sn_ <> '' THEN {_state(0)} END AS state_impact, CASE WHEN sn_ <> '' THEN {_state(1)} END AS state_to, CASE WHEN sn_ <> '' THEN {_state(2)} END AS state_rule FROM i0)"""
+  CASE WHEN sn_ <> '' THEN {_state(0)} END AS state_impact, CASE WHEN sn_ <> '' THEN {_state(1)} END AS state_to, CASE WHEN sn_ <> '' THEN {_state(2)} END AS state_rule, CASE WHEN sn_ <> '' AND {_state(0)} = 'location_status' THEN location_text END AS location_text FROM i0)"""
 GATE_SQL = f"""{IMPACT_SQL},
 q0 AS (SELECT u.normalized_event_id, cf.decision, cn.confirmed_id, mg.group_id, tl.anchor_id, im.relationship_type, im.state_impact FROM (SELECT normalized_event_id FROM no UNION SELECT normalized_event_id FROM cf) u LEFT JOIN cf USING (normalized_event_id) LEFT JOIN cn USING (normalized_event_id) LEFT JOIN mg ON mg.confirmed_id = cn.confirmed_id LEFT JOIN tl ON tl.group_id = mg.group_id LEFT JOIN im ON im.confirmed_id = cn.confirmed_id),
 qg AS (SELECT normalized_event_id, confirmed_id, group_id, anchor_id, decision, decision IS NOT NULL AS has_review, confirmed_id IS NOT NULL AS has_confirmed, group_id IS NOT NULL AS has_merge, anchor_id IS NOT NULL AS has_anchor, relationship_type IS NOT NULL AS has_relationship, state_impact IS NOT NULL AS has_state FROM q0),
@@ -153,7 +153,9 @@ class Chain:
     def members(self) -> DataFrame:
         ids = self.confirmation.filter("block_reason is null").select("normalized_event_id", "confirmed_id")
         first = F.nullif(F.substring_index("character_texts", ",", 1), F.lit(""))
-        return materialize(E.groups(self.normalized.join(ids, "normalized_event_id").withColumn("object_text", first)), "members")
+        place = F.when(F.col("state_type") == "location", F.col("to_state"))
+        confirmed = self.normalized.join(ids, "normalized_event_id").withColumns({"object_text": first, "location_text": place})
+        return materialize(E.groups(confirmed), "members")
 
     @cached_property
     def anchors(self) -> DataFrame:
@@ -167,7 +169,7 @@ class Chain:
 def made_up_decisions(events: DataFrame) -> DataFrame:
     """Review rows derived from the ids: approvals, refusals, errors of all kinds, contradictions, and ids without a source."""
     m = F.conv(F.substring("normalized_event_id", 5, 6), 16, 10).cast("long") % 10
-    k = E.global_positions(events.select("normalized_event_id", F.substring("normalized_event_id", 5, 1).alias("__part")), "__part", "normalized_event_id").select("normalized_event_id", F.col("position").alias("k"), m.alias("m"))
+    k = E.global_positions(events.select("normalized_event_id"), F.conv(F.substring("normalized_event_id", 5, 6), 16, 10), "normalized_event_id").select("normalized_event_id", F.col("position").alias("k"), m.alias("m"))
     none = F.lit(None).cast("string")
     decision = F.when(F.col("m") <= 4, "approved_candidate").when(F.col("m") == 5, "rejected").when(F.col("m") == 6, "duplicate_candidate").when(F.col("m") == 7, "needs_context").when(F.col("m") == 8, "uncertain").otherwise("bogus")
     even = F.col("k") % 2 == 0

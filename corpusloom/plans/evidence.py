@@ -114,19 +114,9 @@ def a13_coverage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.lock_summary(covered(spark, sf_dir), len(SEEDS))
 
 
-@query(f"WITH {S.PARAGRAPHS}, {FOUND_SQL}, {DECISION_SQL} SELECT evidence_id, ev.seed_item_id, chapter_num FROM ev JOIN de USING (evidence_id) WHERE human_status = 'accepted' AND seed_item_id IN (SELECT seed_item_id FROM ev JOIN de USING (evidence_id) WHERE human_status = 'accepted') AND chapter_num <= 500")
-def f14_trusted_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F14 reader filters, J21 and J22 accepted evidence against the lock."""
-    rows = found(spark, sf_dir)
-    d = decisions(rows)
-    accepted = rows.join(d.filter("human_status = 'accepted'"), "evidence_id")
-    locked = E.coverage(E.seed_table(spark, SEEDS), rows, d).filter("coverage_status = 'covered'").select("seed_item_id")
-    return accepted.join(locked, "seed_item_id", "left_semi").filter("chapter_num <= 500").select("evidence_id", "seed_item_id", "chapter_num")
-
-
 @query(f"WITH {S.PARAGRAPHS}, {FOUND_SQL}, {COVER_SQL} SELECT seed_item_id, co.category, coverage_status, accepted AS accepted_evidence_count, evidence_id, chapter_num FROM ev JOIN de USING (evidence_id) JOIN co USING (seed_item_id) WHERE human_status = 'accepted'")
-def f14_trusted_reader_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F14 the reader without a filter: all accepted evidence of locked seeds, J22 against the lock."""
+def f14_trusted_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14 the reader without a filter: all accepted evidence of locked seeds, J21 and J22 against the lock."""
     rows = found(spark, sf_dir)
     d = decisions(rows)
     accepted = rows.join(d.filter("human_status = 'accepted'"), "evidence_id")
@@ -145,22 +135,10 @@ def a16_inverted_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.groupBy("k.index_name", "k.key").agg(F.array_join(F.array_sort(F.collect_list("evidence_id")), ",").alias("ids"))
 
 
-@query(
-    f"WITH {S.PARAGRAPHS}, {FOUND_SQL} SELECT evidence_id, string_agg(p.para_index || ':' || substr(p.para_text, 1, 20), '|' ORDER BY p.para_index) AS context FROM ev JOIN pa p ON p.chapter_num = ev.chapter_num AND p.para_index BETWEEN ev.para_index - 2 AND ev.para_index + 2 WHERE place <= 10 GROUP BY evidence_id"
-)
-def j19_context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J19 two paragraphs on either side of a hit: the hit is expanded to its five keys and meets paragraphs by equality."""
-    paras = C.paragraphs(units(spark, sf_dir)).select("chapter_num", "para_index", F.substring("para_text", 1, 20).alias("t"))
-    keys = found(spark, sf_dir).filter("place <= 10").select("evidence_id", "chapter_num", F.explode(F.sequence(F.col("para_index") - 2, F.col("para_index") + 2)).alias("para_index"))
-    near = keys.join(paras, ["chapter_num", "para_index"])
-    listed = F.array_sort(F.collect_list(F.struct("para_index", "t")))
-    return near.groupBy("evidence_id").agg(F.array_join(F.transform(listed, lambda x: F.concat_ws(":", x["para_index"].cast("string"), x["t"])), "|").alias("context"))
-
-
 @query(
     f"WITH {S.PARAGRAPHS}, {FOUND_SQL} SELECT evidence_id, p.para_index, p.start_offset, p.end_offset, sha256(p.para_text) AS para_hash, p.para_text FROM ev JOIN pa p ON p.chapter_num = ev.chapter_num AND p.para_index BETWEEN ev.para_index - 2 AND ev.para_index + 2"
 )
-def j19_context_every_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def j19_context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J19 the whole paragraphs round every hit, two on either side, a row each."""
     paras = C.paragraphs(units(spark, sf_dir)).select("chapter_num", "para_index", "start_offset", "end_offset", "para_hash", "para_text")
     keys = found(spark, sf_dir).select("evidence_id", "chapter_num", F.explode(F.sequence(F.col("para_index") - 2, F.col("para_index") + 2)).alias("para_index"))

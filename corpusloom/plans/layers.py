@@ -68,10 +68,14 @@ def o01_id_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, F.col("a") == F.col("b"), "full_outer").filter("a is null or b is null").select(F.coalesce("a", "b").alias("doc_id"), side.alias("side"))
 
 
-def as_of(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Both: event_id, t in microseconds. For each left row the id of the last right row at or before it, the larger of equal times; null where there is none."""
+def as_of(left: DataFrame, right: DataFrame, bucket: int = 3_600_000_000) -> DataFrame:
+    """Both: event_id, t in microseconds. For each left row the id of the last right row at or before it, the larger of equal times; null where there is none.
+
+    Both sides meet in one ordered window inside buckets of time (an hour by
+    default), and the last row of earlier buckets is carried over, a row a bucket.
+    """
     right = right.filter("t is not null").groupBy("t").agg(F.max("event_id").alias("r"))
-    day = F.floor(F.col("t") / 86_400_000_000)
+    day = F.floor(F.col("t") / bucket)
     both = right.select("t", F.lit(0).alias("k"), "r", F.lit(None).cast("long").alias("event_id")).unionByName(left.select("t", F.lit(1).alias("k"), F.lit(None).cast("long").alias("r"), "event_id")).withColumn("day", day)
     inside = Window.partitionBy("day").orderBy("t", "k", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     last = both.groupBy("day").agg(F.max_by("r", F.when(F.col("k") == 0, F.col("t"))).alias("z"))
@@ -80,15 +84,8 @@ def as_of(left: DataFrame, right: DataFrame) -> DataFrame:
     return found.select("event_id", F.coalesce("here", "carried").alias("previous_id"))
 
 
-@query("WITH o AS (SELECT event_id, ts, value FROM events WHERE event_id % 3 = 0), n AS (SELECT event_id, ts FROM events WHERE event_id % 3 = 1 AND event_id % 40 = 1) SELECT n.event_id, o.event_id AS previous_id FROM n ASOF LEFT JOIN (SELECT max(event_id) AS event_id, ts FROM o GROUP BY ts) o ON n.ts >= o.ts")
-def j25_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J25 as-of lookup in general form: both sides in one ordered window inside buckets of time, with the last of earlier buckets carried over."""
-    e = table(spark, sf_dir, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    return as_of(e.filter("event_id % 3 = 1 and event_id % 40 = 1"), e.filter("event_id % 3 = 0"))
-
-
 @query("WITH o AS (SELECT event_id, ts FROM events WHERE event_id % 3 = 0) SELECT n.event_id, o.event_id AS previous_id FROM events n ASOF LEFT JOIN (SELECT max(event_id) AS event_id, ts FROM o GROUP BY ts) o ON n.ts >= o.ts")
-def j25_as_of_every_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+def j25_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J25 as-of lookup for every event against every third one."""
     e = table(spark, sf_dir, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
     return as_of(e, e.filter("event_id % 3 = 0"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("text", "corpus", "retrieval", "entities", "evidence", "events", "grounding", "rules", "layers")
+MODULES = ("text", "corpus", "retrieval", "entities", "evidence", "events", "grounding", "rules", "layers", "checks")
 
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
@@ -32,6 +32,11 @@ def _load() -> None:
         import_module(f"corpusloom.plans.{name}")
 
 
+def oracle_sql_of(name: str) -> str:
+    """The SQL of a query that has been registered already."""
+    return _sql[name]
+
+
 def queries() -> dict[str, Query]:
     _load()
     return dict(_queries)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import sha256, squeeze
 from corpusloom.operators import retrieval as R
+from corpusloom.operators.rules import fingerprint
 from corpusloom.plans.corpus import SEGMENTS_SQL, segment_rows
 from corpusloom.plans.registry import query
 from corpusloom.plans.text import squeeze_sql
@@ -16,7 +17,7 @@ QUERIES = ["thing", "heit und", "of the", "ción", "Zza nowhere", "est"]
 K = 10
 
 QUERY_SQL = "qs(query_id, query_text) AS (VALUES " + ", ".join(f"('q{i:03d}', '{t}')" for i, t in enumerate(QUERIES, 1)) + ")"
-TITLE_SQL = f"ti AS (SELECT doc_id + 1 AS chapter_num, substr({squeeze_sql('text')}, 1, 60) AS title FROM documents)"
+TITLE_SQL = f"ti AS (SELECT doc_id + 1 AS chapter_num, {squeeze_sql('split_part(text, chr(10), 1)')} AS title FROM documents)"
 
 
 def embedding_sql(text: str) -> str:
@@ -51,7 +52,8 @@ FULL_SQL = f"WITH RECURSIVE {SEGMENTS_SQL}, {ROUTES_SQL}"
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("chapter_num"), F.substring(squeeze(F.col("text")), 1, 60).alias("title"))
+    """A chapter's title is its first line."""
+    return table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("chapter_num"), squeeze(F.substring_index("text", "\n", 1)).alias("title"))
 
 
 def routes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -93,22 +95,11 @@ def w03_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routes(spark, sf_dir)[4].select("query_id", "child_segment_id", "distance", "vector_score", "place")
 
 
-@query(
-    f"SELECT q.vec_id AS query_id, v.vec_id, round(list_reduce(list_transform(list_zip(v.embedding, q.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)), lambda a, b: a + b), 6) AS distance, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_reduce(list_transform(list_zip(v.embedding, q.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)), lambda a, b: a + b), 6), v.vec_id) AS place FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 5) q WHERE v.vec_id <> q.vec_id QUALIFY place <= {K}"
-)
-def x25_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S11 stored vectors, X25 nearest neighbours of five of them."""
-    v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    q = v.filter("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    d = v.join(F.broadcast(q), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(R.squared_distance(F.col("embedding"), F.col("q")), 6).alias("distance"))
-    return R.top(d, K, ["query_id"], F.asc("distance"), F.asc("vec_id"))
-
-
 @query(
     f"SELECT q.vec_id AS query_id, v.vec_id, round(list_reduce(list_transform(list_zip(v.embedding, q.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)), lambda a, b: a + b), 6) AS distance, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_reduce(list_transform(list_zip(v.embedding, q.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)), lambda a, b: a + b), 6), v.vec_id) AS place FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q WHERE v.vec_id <> q.vec_id QUALIFY place <= {K}"
 )
-def x25_vector_neighbours_every_20th(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X25 nearest neighbours of every vector whose id is divisible by 20, among all vectors."""
+def x25_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 stored vectors, X25 nearest neighbours of every vector whose id is divisible by 20, among all vectors."""
     v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     return R.nearest(v, v.filter("vec_id % 20 = 0"), K)
 
@@ -158,9 +149,10 @@ def x27_quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_labels(queries, R.fuse(title, keyword, vector, K), segments, keyword, vector)
 
 
-@query()
+@query(
+    f"WITH RECURSIVE {SEGMENTS_SQL}, d AS (SELECT count(*) AS segments, bit_xor(h) AS x, sum(h)::VARCHAR AS s FROM (SELECT ('0x' || substr(sha256(child_segment_id || '|' || segment_hash), 1, 15))::BIGINT AS h FROM sg)) SELECT 'run_' || substr(sha256('200|450|600|1|' || segments || '|' || x || '|' || s), 1, 16) AS run_id, segments FROM d"
+)
 def m18_run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M18 a run's id from its parameters and an order-free digest of its inputs: sum and xor of row hashes, so nothing is gathered."""
-    rows = segment_rows(spark, sf_dir).select(F.xxhash64("child_segment_id", "segment_hash").alias("h"))
-    digest = rows.agg(F.count(F.lit(1)).alias("segments"), F.bit_xor("h").alias("x"), F.sum(F.pmod("h", F.lit(1 << 40))).alias("s"))
+    """M18 a run's id from its parameters and an order-free digest of its inputs: sum and xor of row digests, so nothing is gathered."""
+    digest = fingerprint(segment_rows(spark, sf_dir), "child_segment_id", "segment_hash").toDF("segments", "x", "s")
     return digest.select(F.concat(F.lit("run_"), F.substring(sha256(F.concat_ws("|", F.lit("200|450|600|1"), F.col("segments").cast("string"), F.col("x").cast("string"), F.col("s").cast("string"))), 1, 16)).alias("run_id"), "segments")

@@ -87,7 +87,7 @@ def x05_x10_import_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TITLE_SQL = r"len({0}) > 0 AND len({0}) <= 90 AND regexp_matches({1}, '\A{W}*(?:第{W}*{N}{W}*章|(?:序章|楔子|引子|后记|尾声)|番外(?:{W}*{N})?)(?:{W}+[^ \t\n].{{0,80}}|{W}*)\z')".replace("{W}", WS_SQL).replace("{N}", "(?:[0-9０-９]+|[零〇一二两三四五六七八九十百千万]+)").replace("{{", "{").replace("}}", "}")
-SPLIT_SQL = r"""lines AS (SELECT doc_id, unnest(list_transform(string_split(text, chr(10)), lambda s, i: {'i': i, 's': CASE WHEN i % 5 = 1 THEN '第' || i || '章 ' || substr(s, 1, 10) WHEN i % 5 = 3 THEN '番外 ' || substr(s, 1, 100) ELSE s END})) AS l FROM documents),
+SPLIT_SQL = r"""lines AS (SELECT doc_id, unnest(list_transform(flatten(list_transform(string_split(text, chr(10)), lambda s, i: CASE WHEN i % 5 = 1 THEN ['第' || i || '章 起', s] WHEN i % 5 = 3 THEN ['番外 ' || s] ELSE [s] END)), lambda s, i: {'i': i, 's': s})) AS l FROM documents),
 flagged AS (SELECT doc_id, l.i AS i, l.s AS s, (""" + TITLE_SQL.replace("{0}", strip_sql("l.s")).replace("{1}", "l.s") + r""") AS is_title FROM lines),
 numbered AS (SELECT *, sum(is_title::INT) OVER (PARTITION BY doc_id ORDER BY i) AS chapter FROM flagged)"""
 
@@ -100,10 +100,9 @@ def f01_f02_split_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 title predicate, F2 document split at title lines: the flags' running sum numbers the chapters."""
     from pyspark.sql import Window
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "s"))
-    n = F.col("i") + 1
-    s = F.when(n % 5 == 1, F.concat(F.lit("第"), n.cast("string"), F.lit("章 "), F.substring("s", 1, 10))).when(n % 5 == 3, F.concat(F.lit("番外 "), F.substring("s", 1, 100))).otherwise(F.col("s"))
-    lines = docs.select("doc_id", "i", s.alias("s")).withColumn("is_title", X.is_chapter_title(F.col("s")))
+    heads = lambda s, i: F.when(i % 5 == 0, F.array(F.concat(F.lit("第"), (i + 1).cast("string"), F.lit("章 起")), s)).when(i % 5 == 2, F.array(F.concat(F.lit("番外 "), s))).otherwise(F.array(s))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.flatten(F.transform(F.split("text", "\n", -1), heads))).alias("i", "s"))
+    lines = docs.withColumn("is_title", X.is_chapter_title(F.col("s")))
     order = Window.partitionBy("doc_id").orderBy("i")
     lines = lines.withColumn("chapter_order", F.sum(F.col("is_title").cast("long")).over(order)).filter("chapter_order > 0")
     g = lines.groupBy("doc_id", "chapter_order").agg(F.max(F.when(F.col("is_title"), X.strip(F.col("s")))).alias("title"), F.array_sort(F.collect_list(F.when(~F.col("is_title"), F.struct("i", "s")))).alias("body"))
@@ -111,7 +110,7 @@ def f01_f02_split_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", "chapter_order", "title", F.length(body).cast("long").alias("char_count"), F.md5(body).alias("md5"))
 
 
-NAME_SQL = rf"""n AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace({strip_sql("substr(text, 1, 120) || ' <a|b>?  '")}, '[<>:"/\\|?*\x00-\x1f]', '_', 'g'), '{WS_SQL}+', '_', 'g'), '\A[ ._]+|[ ._]+\z', '', 'g') AS name, text, lang FROM documents)"""
+NAME_SQL = rf"""n AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace({strip_sql("text || ' <a|b>?  '")}, '[<>:"/\\|?*\x00-\x1f]', '_', 'g'), '{WS_SQL}+', '_', 'g'), '\A[ ._]+|[ ._]+\z', '', 'g') AS name, text, lang FROM documents)"""
 
 
 @query(
@@ -123,21 +122,21 @@ def x11_x14_names_and_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11 file names and quoting, X12 digests, X14 stable ids."""
     docs = table(spark, sf_dir, "documents")
     return docs.select(
-        "doc_id", X.safe_filename(F.concat(F.substring("text", 1, 120), F.lit(" <a|b>?  "))).alias("filename"), X.yaml_quote(F.concat("lang", F.lit('\\"x'))).alias("quoted"),
+        "doc_id", X.safe_filename(F.concat("text", F.lit(" <a|b>?  "))).alias("filename"), X.yaml_quote(F.concat("lang", F.lit('\\"x'))).alias("quoted"),
         F.concat(F.lit("ver_"), X.sha256(F.col("text"))).alias("version_id"), F.md5("text").alias("md5"), X.stable_id("evt", F.col("doc_id"), F.col("lang"), F.lit(None)).alias("stable_id"),
     )
 
 
 @query(
-    "WITH t AS (SELECT doc_id, " + squeeze_sql("'第12章 ' || substr(text, 1, 60) || ' 灰界 the　x'") + r""" AS norm FROM documents),
+    "WITH t AS (SELECT doc_id, " + squeeze_sql("'第12章 ' || split_part(text, chr(10), 1) || ' 灰界 the　x'") + r""" AS norm FROM documents),
 c AS (SELECT doc_id, norm, list_distinct(list_concat(list_filter(['the', '灰界', 'der'], lambda x: instr(norm, x) > 0), regexp_extract_all(norm, '[\x{4e00}-\x{9fff}A-Za-z0-9]+'))) AS toks FROM t),
 f AS (SELECT doc_id, norm, list_filter(toks, lambda x: NOT list_contains(['的', '了', '和', '与', '在', '是', '一个', '一种', '之', '其', '这', '那', '第', '章', '卷', '篇'], x) AND NOT regexp_matches(x, '\A第?[0-9]+章?\z') AND (len(x) > 1)) AS toks FROM c)
 SELECT doc_id, norm AS title_norm, array_to_string(list_transform(list_sort(list_transform(toks, lambda x: {'p': instr(norm, x), 't': x})), lambda s: s.t), '|') AS tokens, regexp_matches(norm, '\A[^\p{L}\p{N}]+\z') AS only_punctuation FROM f"""
 )
 def x15_x16_title_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X15 title normalisation and punctuation test, X16 tokens by position, O4 ordered distinct."""
+    """X15 title normalisation and punctuation test, X16 tokens by position, O4 ordered distinct; a text's title is its first line."""
     docs = table(spark, sf_dir, "documents")
-    title = F.concat(F.lit("第12章 "), F.substring("text", 1, 60), F.lit(" 灰界 the　x"))
+    title = F.concat(F.lit("第12章 "), F.substring_index("text", "\n", 1), F.lit(" 灰界 the　x"))
     norm = K.normalize_title(title)
     return docs.select("doc_id", norm.alias("title_norm"), F.array_join(K.tokenize_title(title, ["the", "灰界", "der"]), "|").alias("tokens"), K.is_punctuation_only(norm).alias("only_punctuation"))
 

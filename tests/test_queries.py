@@ -27,11 +27,11 @@ def test_runs_without_sql(spark, tiny, name):
 
 def test_as_of_answers_every_event(spark, tiny):
     events = spark.read.parquet(f"{tiny}/events.parquet")
-    assert registry.queries()["j25_as_of_every_event"](spark, tiny).count() == events.count()
+    assert registry.queries()["j25_as_of"](spark, tiny).count() == events.count()
 
 
 def test_neighbours_of_every_20th_vector_in_small_blocks(spark, tiny):
-    whole = registry.queries()["x25_vector_neighbours_every_20th"](spark, tiny)
+    whole = registry.queries()["x25_vector_neighbours"](spark, tiny)
     assert whole.select("query_id").distinct().count() == 25
     v = spark.read.parquet(f"{tiny}/embeddings.parquet").selectExpr("vec_id", "cast(embedding as array<double>) as embedding")
     parts = nearest(v, v.filter("vec_id % 20 = 0"), K, rows=100, block=10)
@@ -39,7 +39,7 @@ def test_neighbours_of_every_20th_vector_in_small_blocks(spark, tiny):
 
 
 def test_context_of_every_hit_is_whole(spark, tiny):
-    rows = registry.queries()["j19_context_every_hit"](spark, tiny).collect()
+    rows = registry.queries()["j19_context_window"](spark, tiny).collect()
     assert {r["evidence_id"] for r in rows} == {r["evidence_id"] for r in registry.queries()["w05_evidence_candidates"](spark, tiny).collect()}
     text = {r["doc_id"] + 1: r["text"] for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
     chapter = {r["evidence_id"]: r["chapter_num"] for r in registry.queries()["w05_evidence_candidates"](spark, tiny).collect()}
