@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.sources.staging import ship_package
+from corpusloom.operators.rules import fingerprint
+from corpusloom.sources.staging import materialize, ship_package
 
 #: Encodings in the order in which they are tried.
 ENCODINGS = ("utf-8-sig", "utf-8", "gb18030", "gbk")
@@ -67,8 +68,7 @@ def seed_frame(spark: SparkSession, seed: Any, marks: tuple[str, ...]) -> DataFr
 
 def write_review(df: DataFrame, path: str) -> None:
     """A review workbook as CSV with header; nested columns go in as JSON."""
-    nested = {f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")}
-    df.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns)).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    flat(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_review(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -103,3 +103,76 @@ def markdown_report(title: str, metrics: dict[str, Any], table: DataFrame | None
         lines += ["", "| " + " | ".join(table.columns) + " |", "|" + "-|" * len(table.columns)]
         lines += ["| " + " | ".join(cell(v) for v in row) + " |" for row in table.limit(rows).collect()]
     return "\n".join(lines) + "\n"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text."""
+    nested = {f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")}
+    return df.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns))
+
+
+def write_chapters(chapters: DataFrame, path: str) -> None:
+    """Chapters as markdown, a folder a file name, and their index as CSV that opens with a byte order mark.
+
+    chapters: chapter_order, chapter_id, title, filename, markdown, char_count.
+    The index carries each markdown's MD5. Null markdown is an empty file.
+    """
+    text = F.coalesce("markdown", F.lit(""))
+    chapters.select("filename", text.alias("value")).write.mode("overwrite").partitionBy("filename").text(f"{path}/chapters")
+    index = chapters.select(F.col("chapter_order").alias("﻿chapter_order"), "chapter_id", "title", "filename", "char_count", F.md5(F.encode(text, "UTF-8")).alias("md5"))
+    index.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/index")
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Insert rows into a table by name; columns that the table lacks are an error, those that df lacks become null."""
+    spark = df.sparkSession
+    if exists(spark, path):
+        stored = spark.read.parquet(path).schema
+        if unknown := sorted(set(df.columns) - set(stored.names)):
+            raise ValueError(f"the table has no column {', '.join(unknown)}")
+        df = df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored.fields))
+    df.write.mode("append").parquet(path)
+
+
+def write_results(df: DataFrame, path: str) -> None:
+    """Results of retrieval or answers twice: JSON lines as they are, and CSV with nested columns as JSON text."""
+    df.write.mode("overwrite").json(f"{path}/json")
+    flat(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/csv")
+
+
+def upsert_vectors(vectors: DataFrame, path: str, key: str = "id", rebuild: bool = False, buckets: int = 256) -> None:
+    """A store of vectors by id: rebuilt, or with rows of known ids replaced and others added.
+
+    Rows are kept in buckets by a hash of the id, and only the buckets that the
+    delivery meets are read and written. Of several rows of one id the greatest
+    stays; rows without an id are an error. A column that the store lacks is an
+    error.
+    """
+    spark = vectors.sparkSession
+    safe = F.when(F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(F.lit("a vector without an id")))
+    rows = vectors.withColumn(key, safe).groupBy(key).agg(F.max(F.struct(*[c for c in vectors.columns if c != key])).alias("__r")).select(key, "__r.*")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int"))
+    if not rebuild and exists(spark, path):
+        stored = spark.read.parquet(path)
+        if set(stored.columns) != set(rows.columns):
+            raise ValueError(f"the store has columns {stored.columns}")
+        rows = materialize(rows, "vectors")
+        met = stored.join(rows.select("bucket").distinct(), "bucket", "left_semi")
+        rows = materialize(rows.unionByName(met.join(rows.select(key), key, "left_anti")), "vectors")
+    mode = "static" if rebuild else "dynamic"
+    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket").parquet(path)
+
+
+def write_layer_report(df: DataFrame, path: str, title: str, metrics: dict[str, Any]) -> None:
+    """A layer's report: its rows as JSON lines and CSV, a manifest with count, columns and fingerprint, and markdown."""
+    spark = df.sparkSession
+    write_results(df, path)
+    f = fingerprint(flat(df)).first()
+    manifest = {"title": title, "columns": df.columns, "rows": f["rows"], "fingerprint": [f["xor"], f["total"]], "metrics": metrics}
+    for name, text in (("manifest", json.dumps(manifest, ensure_ascii=False, sort_keys=True)), ("markdown", markdown_report(title, {**metrics, "rows": f["rows"]}, df))):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")

@@ -1,12 +1,21 @@
-"""Incremental versioned upserts from a stream of chapter deliveries."""
+"""Incremental versioned upserts from a stream of chapter deliveries, as a log of changed rows.
+
+The state is never rewritten: a batch adds only the rows that it changes, and of
+each version the row of the last batch counts. A batch that runs again replaces
+its own part of the log alone. A new checkpoint goes on with the state it finds.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.versioning import upsert
+from corpusloom.sources.files import exists
+
+SCHEMA = "chapter_id string, chapter_num long, version_id string, content_hash string, is_current int"
+_LOG = f"{SCHEMA}, run int, batch long"
 
 
 def latest_delivery(batch: DataFrame, key: str = "chapter_id") -> DataFrame:
@@ -15,16 +24,44 @@ def latest_delivery(batch: DataFrame, key: str = "chapter_id") -> DataFrame:
     return batch.groupBy(key).agg(F.max_by(F.struct(*columns), "source_order").alias("r")).select(key, "r.*").drop("source_order")
 
 
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_LOG).parquet(path) if exists(spark, path) else spark.createDataFrame([], _LOG)
+
+
+def _folded(log: DataFrame, key: str) -> DataFrame:
+    rest = [c for c in log.columns if c not in (key, "version_id", "run", "batch")]
+    last = log.groupBy(key, "version_id").agg(F.max_by(F.struct(*rest), F.struct("run", "batch")).alias("r"))
+    return last.select(key, "version_id", "r.*")
+
+
+def state(spark: SparkSession, path: str, key: str = "chapter_id") -> DataFrame:
+    """All versions as the log leaves them."""
+    return _folded(_log(spark, path), key)
+
+
+def _run_number(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The run that a checkpoint stands for: kept beside it, the next free one for a new checkpoint."""
+    mark = f"{checkpoint.rstrip('/')}/log-run"
+    if exists(spark, mark):
+        return int(spark.read.text(mark).first()[0])
+    run = (_log(spark, path).agg(F.max("run")).first()[0] or 0) + 1
+    spark.createDataFrame([(str(run),)], "value string").coalesce(1).write.text(mark)
+    return run
+
+
 def apply_batches(stream: DataFrame, path: str, checkpoint: str, key: str = "chapter_id") -> StreamingQuery:
-    """Fold each micro-batch into a new state folder under path; a batch that is run again writes the same folder again.
+    """Fold each micro-batch into the log under path, reading only the versions of the keys that it holds.
 
     stream: key, chapter_num, version_id, content_hash and source_order.
     """
     spark = stream.sparkSession
-    schema = "chapter_id string, chapter_num long, version_id string, content_hash string, is_current int"
+    run = _run_number(spark, path, checkpoint)
 
     def fold(batch: DataFrame, number: int) -> None:
-        before = spark.read.schema(schema).parquet(f"{path}/v{number - 1}") if number else spark.createDataFrame([], schema)
-        upsert(before, latest_delivery(batch, key), key).drop("action").write.mode("overwrite").parquet(f"{path}/v{number}")
+        incoming = latest_delivery(batch, key)
+        earlier = _log(spark, path).filter((F.col("run") < run) | (F.col("run") == run) & (F.col("batch") < number))
+        before = _folded(earlier.join(incoming.select(key), key, "left_semi"), key).select(*(c.split()[0] for c in SCHEMA.split(", ")))
+        changed = upsert(before, incoming, key).filter(F.col("action").isin("inserted", "new_version")).drop("action")
+        changed.write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,8 @@
 """Operators on hand-made rows: edge cases, invariants, damage that checks must find."""
 
+import csv
+import hashlib
+import json
 import time
 
 import pytest
@@ -15,7 +18,7 @@ from corpusloom.operators import grounding as G
 from corpusloom.operators import rules as R
 from corpusloom.operators import versioning as V
 from corpusloom.sources import files
-from corpusloom.streaming.upsert import apply_batches
+from corpusloom.streaming import upsert
 
 
 def value(spark, column):
@@ -48,7 +51,7 @@ def test_names_and_tokens(spark):
     assert value(spark, X.estimate_tokens(F.lit("一二三"))) == 3
     assert value(spark, K.keyword_set(F.lit("Ab 一二三四五六七八九 x"))) == sorted(["ab", "一二", "二三", "三四", "四五", "五六", "六七", "七八", "八九"])
     assert value(spark, K.split_facts(F.lit("甲。乙；甲\n证据不足。evidence_refs: 丙"))) == ["甲", "乙"]
-    assert value(spark, terms.term_starts(F.lit("aaaa a\\Eb a\\E"), terms.checked(["aa", "a\\E", "b", "c", ""]))) == [("a\\E", [5, 9]), ("aa", [0, 2]), ("b", [7])]
+    assert value(spark, terms.term_starts(F.lit("aaaa a\\Eb a\\E"), terms.checked(["aa", "a\\E", "b", "c", ""]))) == [("a\\E", [5, 10]), ("aa", [0, 2]), ("b", [8])]
     with pytest.raises(ValueError, match="at most"):
         terms.checked(map(str, range(terms.MOST_TERMS + 1)))
     assert value(spark, X.stable_id("p", F.lit("a"), F.lit(None))).startswith("p_")
@@ -145,7 +148,7 @@ def test_missing_numbers(spark):
 def test_alternation_prefers_longer_and_leftmost(spark):
     pattern = D.alias_pattern(["ab", "abc", "c.", "b"])
     assert pattern.split("|")[0] == "abc"
-    got = value(spark, D.spans(F.lit("xabcabbc.c"), pattern))
+    got = value(spark, terms.matches(F.lit("xabcabbc.c"), pattern))
     assert [(m["m"], m["s"]) for m in got] == [("abc", 1), ("ab", 4), ("b", 6), ("c.", 7)]
 
 
@@ -208,8 +211,18 @@ def test_streamed_upserts(spark, tmp_path):
     inbox, state = str(tmp_path / "in"), str(tmp_path / "state")
     for rows in ([("a", 1, "v1", "h1", 1), ("a", 1, "v0", "h0", 0)], [("a", 1, "v2", "h2", 2), ("b", 2, "w", "k", 3)]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
-        apply_batches(spark.readStream.schema(schema).parquet(inbox), state, str(tmp_path / "cp")).awaitTermination()
-    assert sorted((r["chapter_id"], r["version_id"], r["is_current"]) for r in spark.read.parquet(f"{state}/v1").collect()) == [("a", "v1", 0), ("a", "v2", 1), ("b", "w", 1)]
+        upsert.apply_batches(spark.readStream.schema(schema).parquet(inbox), state, str(tmp_path / "cp")).awaitTermination()
+    versions = lambda: sorted((r["chapter_id"], r["version_id"], r["is_current"]) for r in upsert.state(spark, state).collect())
+    assert versions() == [("a", "v1", 0), ("a", "v2", 1), ("b", "w", 1)]
+    # a batch adds only the rows it changes, and a new checkpoint goes on with the state
+    spark.createDataFrame([("c", 3, "x", "z", 4), ("b", 2, "w", "k", 5)], schema).coalesce(1).write.mode("append").parquet(inbox)
+    upsert.apply_batches(spark.readStream.schema(schema).parquet(inbox), state, str(tmp_path / "cp")).awaitTermination()
+    assert [r["chapter_id"] for r in spark.read.parquet(f"{state}/run=1/batch=2").collect()] == ["c"]
+    later = str(tmp_path / "later")
+    spark.createDataFrame([("a", 1, "v3", "h3", 6), ("d", 4, "y", "q", 7)], schema).coalesce(1).write.parquet(later)
+    upsert.apply_batches(spark.readStream.schema(schema).parquet(later), state, str(tmp_path / "cp2")).awaitTermination()
+    assert versions() == [("a", "v1", 0), ("a", "v2", 0), ("a", "v3", 1), ("b", "w", 1), ("c", "x", 1), ("d", "y", 1)]
+    assert spark.read.parquet(f"{state}/run=2/batch=0").count() == 3
 
 
 def test_reader_filters_nest_and_drop_emptied_seeds(spark):
@@ -230,3 +243,95 @@ def test_reader_filters_nest_and_drop_emptied_seeds(spark):
     assert read(seed_rule_type="rule", trusted_status="partial") == {"c": ["e4"]}
     with pytest.raises(Exception, match="coverage lock misses seed c"):
         E.reader_rows(accepted, lock.filter("seed_item_id <> 'c'")).collect()
+
+
+def test_chapter_sink(spark, tmp_path):
+    rows = [(1, "c1", 'the "first", one', "chapter_0001.md", "# one\n\ntext", 4), (2, "c2", "two", "chapter_0002.md", None, 0)]
+    files.write_chapters(spark.createDataFrame(rows, "chapter_order long, chapter_id string, title string, filename string, markdown string, char_count long"), str(tmp_path))
+    (index,) = (tmp_path / "index").glob("*.csv")
+    assert index.read_bytes().startswith(b"\xef\xbb\xbfchapter_order,")
+    lines = list(csv.DictReader(index.read_text("utf-8-sig").splitlines()))
+    assert [(r["title"], r["md5"]) for r in lines] == [('the "first", one', hashlib.md5(b"# one\n\ntext").hexdigest()), ("two", hashlib.md5(b"").hexdigest())]
+    (page,) = (tmp_path / "chapters" / "filename=chapter_0001.md").glob("*.txt")
+    assert page.read_text() == "# one\n\ntext\n"
+
+
+def test_appended_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.append_rows(spark.createDataFrame([(1, "a")], "id long, t string"), path)
+    files.append_rows(spark.createDataFrame([("b",)], "t string"), path)
+    assert sorted(map(repr, (tuple(r) for r in spark.read.parquet(path).collect()))) == ["(1, 'a')", "(None, 'b')"]
+    with pytest.raises(ValueError, match="other"):
+        files.append_rows(spark.createDataFrame([(1, 2)], "id long, other long"), path)
+
+
+def test_vector_store(spark, tmp_path):
+    path, schema = str(tmp_path / "v"), "id string, document string, embedding array<double>"
+    make = lambda *rows: spark.createDataFrame([(i, d, [float(x)]) for i, d, x in rows], schema)
+    stored = lambda: {r["id"]: (r["document"], r["embedding"]) for r in spark.read.parquet(path).collect()}
+    files.upsert_vectors(make(*((f"i{k}", "d", k) for k in range(40))), path, buckets=8)
+    files.upsert_vectors(make(("i3", "new", 9), ("i99", "e", 1), ("i99", "f", 2)), path, buckets=8)
+    assert len(stored()) == 41 and stored()["i3"] == ("new", [9.0]) and stored()["i99"] == ("f", [2.0]) and stored()["i4"] == ("d", [4.0])
+    with pytest.raises(Exception, match="without an id"):
+        files.upsert_vectors(make((None, "x", 1)), path, buckets=8)
+    with pytest.raises(ValueError, match="store has columns"):
+        files.upsert_vectors(make(("a", "x", 1)).drop("document"), path, buckets=8)
+    files.upsert_vectors(make(("z", "only", 1)), path, rebuild=True, buckets=8)
+    assert stored() == {"z": ("only", [1.0])}
+
+
+def test_results_and_layer_report(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ["a", "b"], 'x "y"'), (2, [], None)], "id long, refs array<string>, note string")
+    files.write_layer_report(rows, str(tmp_path), "Layer", {"warnings": 2})
+    back = spark.read.json(str(tmp_path / "json"))
+    assert {r["id"]: r["refs"] for r in back.collect()} == {1: ["a", "b"], 2: []}
+    flat = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
+    assert {r["id"]: (r["refs"], r["note"]) for r in flat.collect()} == {"1": ('["a","b"]', 'x "y"'), "2": ("[]", None)}
+    manifest = json.loads(spark.read.text(str(tmp_path / "manifest")).first()[0])
+    assert manifest["rows"] == 2 and manifest["metrics"] == {"warnings": 2} and manifest["columns"] == rows.columns
+    assert "- warnings: 2" in [r[0] for r in spark.read.text(str(tmp_path / "markdown")).collect()]
+
+
+def test_model_embeddings(spark, tmp_path, monkeypatch):
+    from corpusloom.operators.retrieval import model_embedding
+
+    with pytest.raises(ImportError, match="hash_embedding needs none"):
+        model_embedding(F.col("t"), "m")
+    stand_in = tmp_path / "sentence_transformers.py"
+    stand_in.write_text(
+        "import numpy as np\n\n\nclass SentenceTransformer:\n    def __init__(self, name):\n        self.name = name\n\n"
+        "    def encode(self, texts, normalize_embeddings):\n        v = np.array([[len(t), len(self.name)] for t in texts], float)\n        return v / np.linalg.norm(v, axis=1, keepdims=True)\n"
+    )
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(stand_in))
+    rows = spark.createDataFrame([("abcd",), (None,)], "t string").select(model_embedding(F.col("t"), "abc").alias("v")).collect()
+    assert [[round(x, 4) for x in r["v"]] for r in rows] == [[0.8, 0.6], [0.0, 1.0]]
+
+
+def test_orders_and_gaps_stay_small(spark, monkeypatch):
+    from corpusloom.operators import events
+
+    monkeypatch.setattr(events, "PARTS", 3)
+    rows = spark.range(200).select((F.col("id") * 7 % 23).alias("part"), F.col("id"))
+    got = {r["id"]: r["position"] for r in events.global_positions(rows, F.col("part"), "id").collect()}
+    assert got == {i: n for n, (_, i) in enumerate(sorted((i * 7 % 23, i) for i in range(200)), 1)}
+    gaps = spark.createDataFrame([(-5,), (3,), (40,), (41,)], "n long")
+    assert sorted(r["n"] for r in V.missing_numbers(gaps, "n", 8).collect()) == [x for x in range(-5, 42) if x not in (-5, 3, 40, 41)]
+
+
+def test_stage_tables_need_a_shared_folder(spark, monkeypatch):
+    from corpusloom.sources import staging
+
+    class Elsewhere:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: {})
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_root(Elsewhere)
+    with staging.scratch("kept"):
+        gone, kept = (staging.materialize(spark.range(3).toDF("id"), name) for name in ("gone", "kept"))
+    assert kept.count() == 3 and not files.exists(spark, gone._stage_path)
+    staging.release(kept)
+    assert not files.exists(spark, kept._stage_path)
