@@ -20,7 +20,13 @@ DIMENSIONS = 16
 K1, B = 1.2, 0.75
 
 
+#: Texts that a query table holds at most, so that its broadcast is bounded.
+MOST_QUERIES = 100_000
+
+
 def query_table(spark: SparkSession, texts: list[str]) -> DataFrame:
+    if len(texts) > MOST_QUERIES:
+        raise ValueError(f"a query table holds at most {MOST_QUERIES} texts; deal more out in parts")
     rows = [(f"q{i:03d}", " ".join(t.split())) for i, t in enumerate(texts, 1)]
     return F.broadcast(spark.createDataFrame(rows, "query_id string, query_text string"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("text", "corpus", "retrieval", "entities", "evidence", "events", "grounding", "rules", "layers", "checks")
+MODULES = ("text", "corpus", "retrieval", "entities", "evidence", "events", "grounding", "rules", "layers", "checks", "sinks")
 
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}

@@ -12,6 +12,7 @@ from corpusloom.plans.corpus import SEGMENTS_SQL, segment_rows
 from corpusloom.plans.registry import query
 from corpusloom.plans.text import squeeze_sql
 from corpusloom.sources.corpus import table
+from corpusloom.sources.staging import materialize
 
 QUERIES = ["thing", "heit und", "of the", "ción", "Zza nowhere", "est"]
 K = 10
@@ -57,8 +58,8 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def routes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Segments, query table, and the three routes' hits."""
-    segments, queries = segment_rows(spark, sf_dir), R.query_table(spark, QUERIES)
+    """Segments, written once for all that read them, query table, and the three routes' hits."""
+    segments, queries = materialize(segment_rows(spark, sf_dir), "segments"), R.query_table(spark, QUERIES)
     title = R.title_segments(R.title_recall(titles(spark, sf_dir), queries, K), segments, K)
     keyword = R.keyword_recall(segments, queries, K)
     vectors = segments.select("child_segment_id", "chapter_num", "scene_key", R.hash_embedding(F.col("segment_text")).alias("embedding"))
