@@ -47,9 +47,19 @@ TRAIN_ROWS, TRAIN_CHARS = 12_000, 32_000
 #: Word lists of the grammar, in lower case; a word in INSULTS matches as a whole word.
 INSULTS = (
     "idiot idiots idiotic moron morons moronic stupid scum loser losers trash worthless pathetic disgusting clown clowns dumb imbecile vermin filth garbage freak creep jerk bastard bitch whore slut "
-    "dummkopf abschaum arschloch trottel schwachkopf hurensohn drecksack mistkerl connard salaud imbécile débile ordure crétin abruti idiota imbécil estúpido estúpida basura escoria gilipollas cabrón"
+    "fool fools foolish coward cowards cretin retard retarded dimwit halfwit nitwit numbskull blockhead dunce simpleton degenerate parasite parasites maggot maggots lowlife scumbag dirtbag asshole "
+    "dickhead wanker prick cunt skank despicable repulsive revolting useless brainless clueless spineless "
+    "dummkopf abschaum arschloch trottel schwachkopf hurensohn drecksack mistkerl vollidiot depp blödmann wichser miststück schlampe hure drecksau versager nichtsnutz hornochse ekelhaft widerlich "
+    "erbärmlich wertlos feigling spinner idiotin "
+    "connard salaud imbécile débile ordure crétin abruti connasse salope raclure pourriture minable pathétique dégueulasse bouffon lâche stupide enfoiré bâtard crétine idiote "
+    "idiota imbécil estúpido estúpida basura escoria gilipollas cabrón tonto cretino pendejo puta zorra maldito asqueroso repugnante patético inútil payaso cobarde bastardo mierda"
+).split()
+THREATS = (
+    "kill murder hurt destroy beat stab shoot strangle bury burn slaughter butcher behead torture maim crush choke drown "
+    "töten umbringen vernichten erschlagen abstechen erschießen verprügeln zerstören ermorden abschlachten "
+    "tuer détruire frapper égorger assassiner massacrer étrangler poignarder écraser tabasser "
+    "matar destruir golpear apuñalar asesinar masacrar estrangular aplastar destrozar degollar"
 ).split()
-THREATS = "kill murder hurt destroy beat stab shoot strangle bury burn töten umbringen vernichten erschlagen tuer détruire frapper égorger matar destruir golpear apuñalar".split()
 TARGETS = "you your yours yourself u ur he she they them him her his their these those people du dich dir dein deine euch ihr sie er tu toi ton ta tes vous votre il elle ils elles usted ustedes tú te tus ellos ellas".split()
 NEGATIONS = "not no never isn't aren't wasn't ain't don't nicht kein keine nie niemals pas jamais aucun nunca jamás ningún tampoco".split()
 REPORTS = "said says say called calls quoted reported claimed wrote writes alleged told sagte sagt nannte berichtet dit disait appelé rapporté dijo llamó escribió".split()
