@@ -128,7 +128,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", into: str = "quality"
     """docs with one more column, a struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, kept_words and clean_text."""
     if into.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"docs already has a column {into}")
-    return docs.withColumn(into, judgement(F.col(text_col), least_words, most_repeats, least_kept))
+    # a generated column is computed once, however many filters and columns are taken from it
+    return docs.withColumn(into, F.explode(F.array(judgement(F.col(text_col), least_words, most_repeats, least_kept))))
 
 
 _PHRASES = "|".join(BOILERPLATE).replace("'", "''")
