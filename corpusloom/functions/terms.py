@@ -12,9 +12,11 @@ import re
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources.staging import ship_package
+
 MOST_TERMS = 1_000_000
 
 
@@ -56,6 +58,7 @@ def found(text: str | None, terms: tuple[str, ...]) -> dict[str, list[int]]:
 
 def term_starts(text: Column, terms: tuple[str, ...]) -> Column:
     """A struct of term and starts for each term that the text holds, in the terms' order."""
+    ship_package(SparkSession.active())
 
     @F.pandas_udf("array<struct<term:string,starts:array<int>>>")
     def starts(texts: pd.Series) -> pd.Series:
@@ -66,6 +69,7 @@ def term_starts(text: Column, terms: tuple[str, ...]) -> Column:
 
 def owners_present(text: Column, owners: dict[str, list[str]]) -> Column:
     """The distinct owners of the terms that the text holds."""
+    ship_package(SparkSession.active())
     terms = checked(owners)
 
     @F.pandas_udf("array<string>")
@@ -77,6 +81,7 @@ def owners_present(text: Column, owners: dict[str, list[str]]) -> Column:
 
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as structs of text and zero-based start."""
+    ship_package(SparkSession.active())
 
     @F.pandas_udf("array<struct<m:string,s:int>>")
     def spans(texts: pd.Series) -> pd.Series:

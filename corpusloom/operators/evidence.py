@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.terms import MOST_TERMS, owners_present
 from corpusloom.functions.text import sha256, strip
+from corpusloom.operators.chunking import cut_again
 
 #: Points of the evidence score.
 POINTS = {"name": 30, "alias": 25, "character": 15, "branch": 15, "keyword": 10, "rule": 8, "distinct": 3, "several": 5, "short": -5}
@@ -62,9 +63,8 @@ def candidates(paragraphs: DataFrame, seeds: DataFrame, top: int = TOP) -> DataF
 
 def reviewed(found: DataFrame, chapters: DataFrame) -> DataFrame:
     """Back-cut against the chapters, review flags, the suggested status and duplicate paragraphs."""
-    content = chapters.select("chapter_num", "content")
-    cut = F.substring("content", (F.col("start_offset") + 1).cast("int"), (F.col("end_offset") - F.col("start_offset")).cast("int"))
-    r = found.join(content, "chapter_num", "left").withColumn("backcut", F.coalesce(sha256(cut) == F.col("para_hash"), F.lit(False))).drop("content")
+    cut = cut_again(found, chapters, "evidence_id").select(F.col("evidence_id").alias("__id"), "cut")
+    r = found.join(cut, F.col("evidence_id") == F.col("__id"), "left").withColumn("backcut", F.coalesce(sha256(F.col("cut")) == F.col("para_hash"), F.lit(False))).drop("__id", "cut")
     weak = (F.col("matched_count") == 0) | ((F.col("matched_count") == 1) & (F.col("longest") <= 1))
     rule = F.col("evidence_type") == "rule_violation_candidate"
     strong = (F.col("score") >= 50) & (F.col("matched_count") >= 2)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.terms import distinct_terms, term_starts
-from corpusloom.functions.text import let, occurrences, sha256, squeeze
+from corpusloom.functions.text import let, sha256, squeeze
 
 WEIGHTS = (0.35, 0.30, 0.35)
 DIMENSIONS = 16
@@ -51,24 +51,24 @@ def title_tokens(title: Column) -> Column:
 def title_recall(titles: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """titles: chapter_num, title. Phrase hits ranked by BM25 where a query has any, else containment hits.
 
-    A phrase counts as one term. Corpus sizes come from one aggregate row, so its
-    broadcast is bounded.
+    A phrase counts as one term. The corpus' sizes are one row on the driver.
     """
     spaced = lambda tokens: F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
     t = titles.withColumn("tokens", title_tokens(F.col("title"))).withColumns({"flat": spaced(F.col("tokens")), "size": F.size("tokens")})
-    corpus = F.broadcast(t.agg(F.count(F.lit(1)).alias("docs"), F.avg("size").alias("mean_size")))
+    corpus = t.agg(F.count(F.lit(1)).alias("docs"), F.avg("size").alias("mean_size")).first()
+    docs, mean_size = F.lit(corpus["docs"]), F.lit(corpus["mean_size"] or 1.0)
     # neighbours share a space, so the phrase is counted with the spaces doubled
     doubled = lambda c: F.replace(c, F.lit(" "), F.lit("  "))
-    q = queries.withColumn("phrase", spaced(title_tokens(F.col("query_text"))))
-    found = t.join(F.broadcast(q), F.col("flat").contains(F.col("phrase")) & (F.trim("phrase") != ""))
-    found = found.withColumn("f", occurrences(doubled(F.col("flat")), doubled(F.col("phrase"))))
+    q = queries.withColumn("phrase", doubled(spaced(title_tokens(F.col("query_text"))))).filter(F.trim("phrase") != "")
+    found = t.withColumn("found", F.explode(term_starts(doubled(F.col("flat")), distinct_terms(q, "phrase"))))
+    found = found.join(q, F.col("found.term") == F.col("phrase")).withColumn("f", F.size("found.starts"))
     frequency = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("df"))  # a row a query
-    ranked = found.join(F.broadcast(frequency), "query_id").crossJoin(corpus)
-    idf = F.greatest(F.log((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
-    bm25 = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("size") / F.col("mean_size")))
+    ranked = found.join(frequency, "query_id")
+    idf = F.greatest(F.log((docs - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
+    bm25 = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("size") / mean_size))
     phrase_hits = ranked.select("query_id", "chapter_num", F.round(1 / (1 + F.abs(bm25)), 6).alias("title_score"), F.lit("fts").alias("tier"))
     other = queries.join(frequency, "query_id", "left_anti")
-    like = titles.join(F.broadcast(other), F.col("title").contains(F.col("query_text")))
+    like = titles.withColumn("found", F.explode(term_starts(F.col("title"), distinct_terms(queries, "query_text")))).join(other, F.col("found.term") == F.col("query_text"))
     score = F.when(F.col("title") == F.col("query_text"), 1.0).when(F.array_contains(title_tokens(F.col("title")), F.lower("query_text")), 0.9).otherwise(0.8)
     like_hits = like.select("query_id", "chapter_num", score.alias("title_score"), F.lit("like").alias("tier"))
     return top(phrase_hits.unionByName(like_hits), k, ["query_id"], F.desc("title_score"), F.asc("chapter_num"))

@@ -96,8 +96,8 @@ def m12_single_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M12 one edited chapter makes one new version, and leaves all others as they are."""
     ch = chapters(table(spark, sf_dir, "documents"))
     columns = lambda text: ["chapter_id", "chapter_num", F.sha2(F.encode(text, "UTF-8"), 256).alias("version_id"), F.sha2(F.encode(text, "UTF-8"), 256).alias("content_hash")]
-    last = ch.agg(F.max("chapter_num").alias("last"))
-    edited = ch.crossJoin(F.broadcast(last)).withColumn("content", F.when(F.col("chapter_num") == F.col("last"), F.concat("content", F.lit("!"))).otherwise(F.col("content")))
+    last = F.lit(ch.agg(F.max("chapter_num")).first()[0])
+    edited = ch.withColumn("content", F.when(F.col("chapter_num") == last, F.concat("content", F.lit("!"))).otherwise(F.col("content")))
     both = V.compare(ch.select(*columns(F.col("content")), F.lit(1).alias("is_current")), edited.select(*columns(F.col("content"))))
     return both.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 

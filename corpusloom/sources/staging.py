@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -16,7 +17,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: dict[str, SparkSession] = {}
+#: Paths written and not yet removed, with their session and the thread that wrote them.
+_written: dict[str, tuple[SparkSession, int]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -37,12 +39,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_root(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
     if not _written:
         atexit.register(_remove_all)
-    _written[path] = spark
+    _written[path] = (spark, threading.get_ident())
     return path
 
 
 def _remove(path: str) -> None:
-    spark = _written.pop(path)
+    spark, _ = _written.pop(path)
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
@@ -64,10 +66,10 @@ def release(df: DataFrame) -> None:
 
 @contextmanager
 def scratch(*keep: str) -> Iterator[None]:
-    """Stage tables written inside are deleted at the end, but for those whose label is in keep. For callers that have used up a query's rows."""
+    """Stage tables that this thread writes inside are deleted at the end, but for those whose label begins with a word of keep. For callers that have used up a query's rows."""
     before = set(_written)
     yield
-    for path in set(_written) - before:
+    for path in [p for p, (_, thread) in _written.items() if p not in before and thread == threading.get_ident()]:
         if not path.rpartition("/")[2].startswith(tuple(f"{label}-" for label in keep)):
             _remove(path)
 
