@@ -16,6 +16,7 @@ from corpusloom.plans import evidence as ev
 from corpusloom.plans.corpus import BLOCK, SEGMENTS_SQL, block_rows, segment_rows, units
 from corpusloom.plans.events import EVENT_SQL, Chain, wrap
 from corpusloom.plans.registry import oracle_sql_of, query
+from corpusloom.sources.chat import reply_contents
 from corpusloom.sources.corpus import table
 
 
@@ -306,3 +307,17 @@ def f17_scoped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F17 events of a sample's chapters, in export order."""
     events = Chain(spark, sf_dir).events.withColumn("scene_key", _none)
     return V.scoped_events(events, [21, 3, 5, 13, 8]).select("event_id", "chapter_num", "para_id", "sentence_id")
+
+
+SHAPES = (
+    ('{"choices": [{"message": {"content": "c@"}, "text": "no"}]}', "c@", "choices[0].message.content"), ('{"choices": [{"message": {"content": [{"text": "a"}, {"text": "@"}, 3]}}]}', "a@", "choices[0].message.content"), ('{"choices": [{"text": "t@"}], "output_text": "no"}', "t@", "choices[0].text"),
+    ('{"choices": [], "output_text": "o@"}', "o@", "output_text"), ('{"content": [{"text": "r@"}]}', "r@", "response.content"), ('{"choices": "odd"}', "", ""), ("[1]", "", ""), ("broken @", "", ""),
+)
+
+
+@query("SELECT conv_id, turn, " + ", ".join(f"replace([{_in([s[i] for s in SHAPES])}][((conv_id + turn) % {len(SHAPES)} + 1)::INT], '@', turn::VARCHAR) AS {name}" for i, name in ((1, "content"), (2, "place"))) + " FROM conversations")
+def m20_reply_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 the text of a service's answer in each of its shapes."""
+    raw = F.get(F.array(*(F.lit(s[0]) for s in SHAPES)), ((F.col("conv_id") + F.col("turn")) % len(SHAPES)).cast("int"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.replace(raw, F.lit("@"), F.col("turn").cast("string")).alias("raw"))
+    return rows.withColumn("r", reply_contents(F.col("raw"))).select("conv_id", "turn", "r.*")
