@@ -119,3 +119,21 @@ def m13_m24_rebuilds(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = spark.read.schema("rows long, fingerprint array<string>").json(f"{path}/report/manifest")
     report = manifest.select("rows", F.get("fingerprint", F.lit(0)).cast("long").alias("xor"), F.get("fingerprint", F.lit(1)).alias("total"), F.lit("report").alias("stage"))
     return R.union(*prints, report)
+
+
+@query("SELECT event_id, event_type, '[\"' || event_type || '\",\"a,b\"]' AS flags, CASE WHEN event_id % 3 = 0 THEN 'accepted' WHEN event_id % 3 = 1 THEN 'say \"no\", ' || event_id END AS human_note FROM events")
+def s15_review_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S15 a review workbook written as CSV and read back under its schema."""
+    path = new_path(spark, "workbook")
+    i = F.col("event_id")
+    note = F.when(i % 3 == 0, "accepted").when(i % 3 == 1, F.concat(F.lit('say "no", '), i.cast("string")))
+    files.write_review(table(spark, sf_dir, "events").select("event_id", "event_type", F.array("event_type", F.lit("a,b")).alias("flags"), note.alias("human_note")), path)
+    return files.read_review(spark, path, "event_id long, event_type string, flags string, human_note string")
+
+
+@query("SELECT line, text FROM (VALUES (0, '# Regions'), (1, ''), (2, '- rows: 5'), (3, ''), (4, '| r_regionkey | r_name |'), (5, '|-|-|')) t(line, text) UNION ALL SELECT 5 + row_number() OVER (ORDER BY r_regionkey), '| ' || r_regionkey || ' | ' || r_name || ' |' FROM region")
+def s18_markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S18 a stage's report as markdown, line by line."""
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name").orderBy("r_regionkey")
+    lines = files.markdown_report("Regions", {"rows": r.count()}, r).rstrip("\n").split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "line long, text string")
