@@ -32,7 +32,10 @@ def chosen(number: Column, cases: dict[int, Column], otherwise: Column) -> Colum
     return out.otherwise(otherwise)
 
 
-_none = F.lit(None).cast("string")
+def _none() -> Column:
+    return F.lit(None).cast("string")
+
+
 _SID = lambda c, p, i: f"{c} || '_p_' || printf('%04d', {p}) || '_s_' || printf('%04d', {i})"
 
 EVIDENCE_SQL = f"""{EVENT_SQL},
@@ -52,8 +55,8 @@ def x42_backcut_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = digits(F.col("event_id"), 5) % 13
     text = lambda name: F.col(name).cast("string")
     damaged = c.events.select(
-        F.col("event_id").alias("evidence_id"), "chapter_id", chosen(m, {7: F.lit("old")}, F.col("version_id")).alias("version_id"), chosen(m, {1: F.lit("gone"), 5: _none, 6: _none}, F.col("sentence_id")).alias("sentence_id"), chosen(m, {6: F.lit("gone")}, F.col("para_id")).alias("para_id"),
-        chosen(m, {0: F.lit("")}, text("start_offset")).alias("start_offset"), chosen(m, {2: text("start_offset"), 3: F.lit("x9"), 9: F.lit("999999999")}, text("end_offset")).alias("end_offset"), chosen(m, {4: F.lit("bad"), 8: _none}, F.col("sentence_hash")).alias("evidence_hash"),
+        F.col("event_id").alias("evidence_id"), "chapter_id", chosen(m, {7: F.lit("old")}, F.col("version_id")).alias("version_id"), chosen(m, {1: F.lit("gone"), 5: _none(), 6: _none()}, F.col("sentence_id")).alias("sentence_id"), chosen(m, {6: F.lit("gone")}, F.col("para_id")).alias("para_id"),
+        chosen(m, {0: F.lit("")}, text("start_offset")).alias("start_offset"), chosen(m, {2: text("start_offset"), 3: F.lit("x9"), 9: F.lit("999999999")}, text("end_offset")).alias("end_offset"), chosen(m, {4: F.lit("bad"), 8: _none()}, F.col("sentence_hash")).alias("evidence_hash"),
     )
     paragraphs = c.sentences.select("para_id", "version_id").distinct()
     return V.backcut_status(damaged, c.sentences, paragraphs, c.units).select("evidence_id", "status", sha256(F.col("evidence_text")).alias("text_hash"))
@@ -106,7 +109,7 @@ def m15_segment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = segments.withColumns({
         "chapter_num": chosen(m, {15: F.lit(-1).cast("long")}, c("chapter_num")), "version_id": chosen(m, {6: F.lit("old")}, c("version_id")), "scene_key": chosen(m, {3: F.lit("nowhere")}, c("scene_key")), "start_offset": chosen(m, {1: c("start_offset") + 1}, c("start_offset")),
         "sentence_count": chosen(m, {2: c("sentence_count") + 1}, c("sentence_count")), "paragraph_count": chosen(m, {7: c("paragraph_count") + 1}, c("paragraph_count")), "first_sentence_id": chosen(m, {16: F.lit("x")}, c("first_sentence_id")), "last_para_id": chosen(m, {16: F.lit("x")}, c("last_para_id")),
-        "segment_text": chosen(m, {0: F.concat("segment_text", F.lit("x"))}, c("segment_text")), "source_fingerprint": chosen(m, {8: F.lit("x")}, c("source_fingerprint")), "previous_child_id": chosen(m, {4: _none, 5: F.lit("none")}, c("previous_child_id")),
+        "segment_text": chosen(m, {0: F.concat("segment_text", F.lit("x"))}, c("segment_text")), "source_fingerprint": chosen(m, {8: F.lit("x")}, c("source_fingerprint")), "previous_child_id": chosen(m, {4: _none(), 5: F.lit("none")}, c("previous_child_id")),
     })
     last = links.groupBy(c("child_segment_id").alias("t_child")).agg(F.max("position").alias("top"))
     links = links.join(last, c("child_segment_id") == c("t_child")).filter((m != 14) & ~((m == 9) & (c("position") == c("top"))))
@@ -147,7 +150,7 @@ def m16_span_backcuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, c = (F.col("chapter_num") + F.col("start")) % 7, F.col
     text = chosen(m, {0: F.lit("wrong")}, c("pattern"))
     damaged = spans.select(
-        "owner_id", "chapter_id", chosen(m, {2: _none}, c("sentence_id")).alias("sentence_id"), "para_id", chosen(m, {2: c("start") + c("lead"), 3: c("start") + 1}, c("start")).alias("start"), chosen(m, {2: c("end") + c("lead")}, c("end")).alias("end"),
+        "owner_id", "chapter_id", chosen(m, {2: _none()}, c("sentence_id")).alias("sentence_id"), "para_id", chosen(m, {2: c("start") + c("lead"), 3: c("start") + 1}, c("start")).alias("start"), chosen(m, {2: c("end") + c("lead")}, c("end")).alias("end"),
         text.alias("evidence_text"), chosen(m, {1: F.lit("x")}, sha256(text)).alias("evidence_hash"),
     )
     return V.span_backcuts(damaged, sentences, paragraphs)
@@ -196,7 +199,7 @@ def m07_packet_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ev.found(spark, sf_dir)
     candidates = rows.select(
         "seed_item_id", "place", F.when(place % 4 == 0, c("evidence_id")).alias("candidate_id"), F.when(place % 4 == 1, F.concat(F.lit("p"), "para_index")).alias("paragraph_id"), F.when(place % 8 != 3, F.concat(F.lit("c"), "chapter_num")).alias("chapter_id"), F.when(place % 12 != 7, c("para_hash")).alias("paragraph_hash"),
-        F.when(place % 3 == 0, "").otherwise(c("para_text")).alias("evidence_text"), c("para_text").alias("paragraph_text"), F.when(place % 5 == 0, "needs_more").alias("human_status"), _none.alias("human_note"), F.lit("own").alias("review_note"),
+        F.when(place % 3 == 0, "").otherwise(c("para_text")).alias("evidence_text"), c("para_text").alias("paragraph_text"), F.when(place % 5 == 0, "needs_more").alias("human_status"), _none().alias("human_note"), F.lit("own").alias("review_note"),
     )
     identified = candidates.withColumn("entry_id", V.candidate_identity())
     reviews = identified.filter(place % 2 == 0).groupBy(c("entry_id").alias("review_key")).agg(F.min("place").alias("p")).select("review_key", F.lit("accepted").alias("human_status"), F.when(c("p") % 3 != 0, "seen").alias("human_note"), F.lit("r").alias("review_note"))
@@ -305,7 +308,7 @@ def m22_final_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(wrap(EVENT_SQL, "SELECT event_id, chapter_num, para_id, sentence_id FROM ev WHERE chapter_num IN (3, 5, 8, 13, 21)"))
 def f17_scoped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F17 events of a sample's chapters, in export order."""
-    events = Chain(spark, sf_dir).events.withColumn("scene_key", _none)
+    events = Chain(spark, sf_dir).events.withColumn("scene_key", _none())
     return V.scoped_events(events, [21, 3, 5, 13, 8]).select("event_id", "chapter_num", "para_id", "sentence_id")
 
 

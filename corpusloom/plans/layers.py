@@ -33,9 +33,12 @@ def w15_best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY coalesce(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END, chr(65535)), o_orderdate DESC, o_orderkey) AS place FROM orders")
 def w17_export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W17 an export's order over several keys, nulls as the last character; places are ranks inside a leading key plus the sizes before it."""
+    """W17 an export's order over several keys, nulls as the last character; places are ranks inside a day of a priority plus the sizes before it."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")), F.lit("￿")).alias("p"), (-F.unix_micros(F.col("o_orderdate").cast("timestamp"))).alias("late"))
-    return global_positions(o, "p", "late", "o_orderkey").select("o_orderkey", F.col("position").alias("place"))
+    # a row a priority is numbered, and its days after it
+    rank = o.select("p").distinct().withColumn("rank", F.row_number().over(Window.orderBy("p")))
+    part = F.col("rank") * 1_000_000 + F.floor(F.col("late") / 86_400_000_000) + 500_000
+    return global_positions(o.join(rank, "p"), part, "late", "o_orderkey").select("o_orderkey", F.col("position").alias("place"))
 
 
 @query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 0.8 WHEN 1 THEN 0.5 WHEN 2 THEN 0.2 ELSE 0.5 END::DOUBLE AS score, CASE doc_id % 5 WHEN 0 THEN 0.25 WHEN 1 THEN 0.6 WHEN 2 THEN 0.9 WHEN 3 THEN 0.37 END::DOUBLE AS decision FROM documents")
