@@ -67,7 +67,7 @@ def s05_chapter_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("chapter_order"), F.concat(F.lit("c"), key).alias("chapter_id"), F.col("n_name").alias("title"), F.concat(F.lit("chapter_"), key, F.lit(".md")).alias("filename"), text.alias("markdown"), F.length(text).cast("long").alias("char_count"))
     files.write_chapters(rows, path)
     index = spark.read.option("header", True).option("escape", '"').schema("chapter_order long, chapter_id string, title string, filename string, char_count long, md5 string").csv(f"{path}/index")
-    stored = spark.read.text(f"{path}/chapters", wholetext=True).select("filename", F.md5(F.encode(F.regexp_replace("value", r"\n\z", ""), "UTF-8")).alias("file_md5"))
+    stored = files.read_texts(spark, f"{path}/chapters").select("filename", F.md5(F.encode("text", "UTF-8")).alias("file_md5"))
     return index.join(stored, "filename")
 
 
@@ -137,3 +137,16 @@ def s18_markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name").orderBy("r_regionkey")
     lines = files.markdown_report("Regions", {"rows": r.count()}, r).rstrip("\n").split("\n")
     return spark.createDataFrame(list(enumerate(lines)), "line long, text string")
+
+
+@query("SELECT CASE WHEN n_nationkey % 4 = 3 THEN 'n' || n_nationkey || '.txt' ELSE 'n' || n_nationkey || '.md' END AS filename, '第' || n_nationkey || '章 ' || n_name || chr(10) || 'end' AS text, CASE WHEN n_nationkey % 2 = 0 THEN 'utf-8-sig' ELSE 'gb18030' END AS encoding FROM nation")
+def s01_s04_read_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 and S4 markdown and text files of a folder, S2 and S3 read under the first encoding that fits, line ends made uniform."""
+    path = new_path(spark, "texts")
+    n, key = table(spark, sf_dir, "nation"), F.col("n_nationkey").cast("string")
+    name = F.concat(F.lit("n"), key, F.when(F.col("n_nationkey") % 4 == 3, ".txt").otherwise(".md"))
+    rows = n.select("n_nationkey", name.alias("filename"), F.concat(F.lit("第"), key, F.lit("章 "), "n_name", F.lit("\r\nend")).alias("text"))
+    files.write_texts(rows.filter("n_nationkey % 2 = 0"), path, encoding="utf-8-sig")
+    files.write_texts(rows.filter("n_nationkey % 2 <> 0"), path, encoding="gb18030")
+    files.write_texts(rows.limit(1).withColumn("filename", F.lit("other.bin")), path)
+    return files.read_texts(spark, path).select("filename", "text", "encoding")

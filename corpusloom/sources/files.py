@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,14 +118,42 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns))
 
 
+def write_texts(texts: DataFrame, path: str, name_col: str = "filename", text_col: str = "text", encoding: str = "utf-8") -> int:
+    """One file a row, written by the tasks; returns how many. path must be one that all executors see.
+
+    A file appears under its name only when it is whole, so a task that runs again
+    replaces it. Null texts are empty files; rows without a name, and names with a
+    slash, are an error. Of rows of one name any one stays.
+    """
+    ship_package(texts.sparkSession)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        fs, root = FileSystem.from_uri(path)
+        fs.create_dir(root)
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if not name or "/" in name:
+                    raise ValueError(f"no file name: {name!r}")
+                part = f"{root}/_{uuid.uuid4().hex}"
+                with fs.open_output_stream(part) as f:
+                    f.write((text or "").encode(encoding))
+                fs.move(part, f"{root}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    rows = texts.select(F.col(name_col).cast("string"), F.col(text_col).cast("string"))
+    return rows.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def write_chapters(chapters: DataFrame, path: str) -> None:
-    """Chapters as markdown, a folder a file name, and their index as CSV that opens with a byte order mark.
+    """Chapters as markdown files, and their index as CSV that opens with a byte order mark.
 
     chapters: chapter_order, chapter_id, title, filename, markdown, char_count.
     The index carries each markdown's MD5. Null markdown is an empty file.
     """
     text = F.coalesce("markdown", F.lit(""))
-    chapters.select("filename", text.alias("value")).write.mode("overwrite").partitionBy("filename").text(f"{path}/chapters")
+    write_texts(chapters, f"{path}/chapters", "filename", "markdown")
     index = chapters.select(F.col("chapter_order").alias("﻿chapter_order"), "chapter_id", "title", "filename", "char_count", F.md5(F.encode(text, "UTF-8")).alias("md5"))
     index.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/index")
 

@@ -252,8 +252,9 @@ def test_chapter_sink(spark, tmp_path):
     assert index.read_bytes().startswith(b"\xef\xbb\xbfchapter_order,")
     lines = list(csv.DictReader(index.read_text("utf-8-sig").splitlines()))
     assert [(r["title"], r["md5"]) for r in lines] == [('the "first", one', hashlib.md5(b"# one\n\ntext").hexdigest()), ("two", hashlib.md5(b"").hexdigest())]
-    (page,) = (tmp_path / "chapters" / "filename=chapter_0001.md").glob("*.txt")
-    assert page.read_text() == "# one\n\ntext\n"
+    assert {p.name: p.read_text() for p in (tmp_path / "chapters").glob("*.md")} == {"chapter_0001.md": "# one\n\ntext", "chapter_0002.md": ""}
+    with pytest.raises(Exception, match="no file name"):
+        files.write_texts(spark.createDataFrame([("a/b", "x")], "filename string, text string"), str(tmp_path / "bad"))
 
 
 def test_appended_rows(spark, tmp_path):
