@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import rules as R
 from corpusloom.operators import versioning as V
 from corpusloom.plans.registry import query
-from corpusloom.sources import files
+from corpusloom.sources import files, guard
 from corpusloom.sources.corpus import chapters, table
 from corpusloom.sources.staging import new_path
 
@@ -150,3 +150,15 @@ def s01_s04_read_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_texts(rows.filter("n_nationkey % 2 <> 0"), path, encoding="gb18030")
     files.write_texts(rows.limit(1).withColumn("filename", F.lit("other.bin")), path)
     return files.read_texts(spark, path).select("filename", "text", "encoding")
+
+
+STATEMENTS = (
+    ("SELECT r_name FROM corpusloom_regions WHERE r_name <> 'DROP TABLE x; DELETE'", True), ("WITH a AS (SELECT 1 AS x) SELECT * FROM a -- update", True), ("INSERT INTO corpusloom_regions VALUES (1)", False), ("DROP TABLE corpusloom_regions", False),
+    ("CREATE TABLE t AS SELECT 1", False), ("WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", False), ("FROM corpusloom_regions INSERT INTO t SELECT * INSERT INTO u SELECT *", False), ("DELETE FROM corpusloom_regions", False), ("UPDATE t SET x = 1", False), ("SET spark.sql.ansi.enabled = false", False), ("TRUNCATE TABLE t", False), ("VALUES (1)", True),
+)
+
+
+@query("SELECT n, read_only FROM (VALUES " + ", ".join(f"({i}, {str(ok).lower()})" for i, (_, ok) in enumerate(STATEMENTS)) + ") t(n, read_only)")
+def s08_s09_statement_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 and S9 statements that only read, told from those that write, by their parsed plans."""
+    return spark.createDataFrame([(i, guard.is_query(spark, sql)) for i, (sql, _) in enumerate(STATEMENTS)], "n long, read_only boolean")

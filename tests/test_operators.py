@@ -336,3 +336,13 @@ def test_stage_tables_need_a_shared_folder(spark, monkeypatch):
     assert kept.count() == 3 and not files.exists(spark, gone._stage_path)
     staging.release(kept)
     assert not files.exists(spark, kept._stage_path)
+
+
+def test_read_only_statements(spark):
+    from corpusloom.sources import guard
+
+    spark.range(3).createOrReplaceTempView("corpusloom_three")
+    assert guard.read_only(spark, "SELECT sum(id) AS n FROM corpusloom_three").first()["n"] == 3
+    with pytest.raises(PermissionError, match="only queries"):
+        guard.read_only(spark, "DROP VIEW corpusloom_three")
+    assert spark.table("corpusloom_three").count() == 3
