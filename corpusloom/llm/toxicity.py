@@ -260,9 +260,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     share = min(1.0, 1.3 * rows / max(1, labelled.count()))
     chosen = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("id"), "id").limit(rows)
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # at most rows ids, so the broadcast is bounded; one text an id
-    found = text.join(F.broadcast(chosen), "id").filter(F.coalesce(F.length("text"), F.lit(0)) <= chars)
-    return materialize(found.groupBy("id", "label").agg(F.min("text").alias("text")), "labelled", compact=True)
+    # at most rows ids, so the broadcast is bounded
+    chosen = F.broadcast(materialize(chosen, "chosen", tiny=True))
+    found = text.join(chosen, "id").filter(F.coalesce(F.length("text"), F.lit(0)) <= chars)
+    if text.select("id").join(chosen, "id").groupBy("id").count().filter("count > 1").limit(1).count():  # one text an id
+        found = found.groupBy("id", "label").agg(F.min("text").alias("text"))
+    return materialize(found.select("id", "label", "text"), "labelled", compact=True)
 
 
 def learn_grammar(sample: DataFrame) -> tuple[tuple[str, ...], dict[str, float], float]:
