@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.intervals import bucket_of, over_buckets
 from corpusloom.functions.terms import distinct_terms, term_starts
 from corpusloom.functions.text import WS, sha256, stable_id
 
@@ -62,8 +63,8 @@ def state_changes(events: DataFrame) -> DataFrame:
 
 def enclosing_scene(events: DataFrame, scenes: DataFrame) -> DataFrame:
     """event_id and the first block that holds the event's sentence."""
-    s = scenes.select("chapter_id", "version_id", "scene_key", "scene_index", F.col("start_offset").alias("b_start"), F.col("end_offset").alias("b_end"))
-    inside = events.join(s, ["chapter_id", "version_id"]).filter("b_start <= start_offset and end_offset <= b_end")
+    s = scenes.select("chapter_id", "version_id", "scene_key", "scene_index", F.col("start_offset").alias("b_start"), F.col("end_offset").alias("b_end"), *over_buckets(F.col("start_offset"), F.col("end_offset")))
+    inside = events.withColumn("bucket", bucket_of(F.col("start_offset"))).join(s, ["chapter_id", "version_id", "bucket"]).filter("b_start <= start_offset and end_offset <= b_end")
     return inside.groupBy("event_id").agg(F.min_by("scene_key", "b_start").alias("scene_key"), F.min_by("scene_index", "b_start").alias("scene_index"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.intervals import bucket_of, over_buckets
 from corpusloom.functions.text import sha256
 
 UNIT = ["chapter_id", "chapter_num", "version_id"]
@@ -59,8 +60,8 @@ def same_chapter(found: DataFrame) -> DataFrame:
 
 def same_scene(found: DataFrame, scenes: DataFrame) -> DataFrame:
     """scenes: chapter_id, version_id, scene_key, start_offset, end_offset (half open)."""
-    s = scenes.select("chapter_id", "version_id", F.col("scene_key").alias("scene_block_id"), "start_offset", "end_offset")
-    inside = found.join(s, ["chapter_id", "version_id"]).filter("match_start >= start_offset and match_start < end_offset")
+    s = scenes.select("chapter_id", "version_id", F.col("scene_key").alias("scene_block_id"), "start_offset", "end_offset", *over_buckets(F.col("start_offset"), F.col("end_offset")))
+    inside = found.withColumn("bucket", bucket_of(F.col("match_start"))).join(s, ["chapter_id", "version_id", "bucket"]).filter("match_start >= start_offset and match_start < end_offset")
     return by_unit(inside, "same_scene_block", ["scene_block_id"])
 
 

@@ -119,7 +119,7 @@ class Chain:
 
     @cached_property
     def args(self) -> DataFrame:
-        return E.arguments(self.events, D.appearances(self.sentences, self.aliases, PATTERN))
+        return E.arguments(self.events, materialize(D.appearances(self.sentences, self.aliases, PATTERN), "appearances"))
 
     @cached_property
     def scenes(self) -> DataFrame:
