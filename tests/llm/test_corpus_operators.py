@@ -1,7 +1,6 @@
 """Operators over a whole corpus against brute force, and their edge cases."""
 
 import hashlib
-import json
 import math
 import random
 import re
@@ -188,7 +187,7 @@ def test_damaged_archive_is_an_error(spark):
         read_archive(spark, path).collect()
 
 
-@pytest.mark.parametrize("name, sql", sorted({"op1_quality_rules": QUALITY_SQL, "op3_warc": queries.WARC_SQL, "op8_mixing": MIXING_SQL}.items()))
+@pytest.mark.parametrize("name, sql", sorted({"op1_quality_rules": QUALITY_SQL, "op3_warc": queries.WARC_SQL, "op8_mixing": MIXING_SQL, **queries.PART_SQL}.items()))
 def test_against_sql(spark, tiny, name, sql):
     assert assert_same(queries.queries()[name](spark, tiny), sql, connect(tiny)) > 0
 
@@ -498,4 +497,4 @@ def test_attention_gradients_against_differences():
 
 def test_queries_are_registered():
     assert len([n for n in queries.queries() if re.match(r"op\d+_", n)]) == 10
-    assert json.dumps(sorted(queries.oracle_sql())) == '["op1_quality_rules", "op3_warc", "op8_mixing"]'
+    assert sorted(queries.oracle_sql()) == ["media_payloads", "op1_quality_rules", "op3_warc", "op8_mixing", "packed_whole", "secret_counts"]
