@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.native import free_name, let
+from corpusloom.llm.native import free_name
 from corpusloom.llm.storage import materialize, ship_package
 
 #: Kinds in the order in which spans at the same start are listed; the first three are the base.
@@ -165,18 +165,21 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return both.withColumn("spans", F.coalesce(F.array_join(F.col("found.name"), ","), F.lit("")))
 
 
-#: A text without any of these, an address with a password, or a long run of token characters can hold no candidate; the other provider tokens are long runs.
+#: A text without any of these, an address with a password, a hex run, or a long run of token characters that holds a digit or an underscore can hold no candidate.
 _SIGNS = ("AKIA", "xox", "eyJ", "PRIVATE KEY-----")
-_LONG_RUNS = (r"(?<![0-9a-f])[0-9a-f]{16}", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24}")
+_HEX_RUN, _LONG_RUN = r"[0-9a-f]{16}", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24}"
 
 
 def may_hold_secrets(text: Column) -> Column:
     """A cheap test that holds for every text with a candidate and for few others."""
     text = F.coalesce(text, F.lit(""))
-    test = let(F.lower(text), lambda v: reduce(or_, (v.contains(k) for k in ("passw", "secret", "token", "api_key", "apikey"))))
+    lower = F.lower(text)
+    test = reduce(or_, (lower.contains(k) for k in ("passw", "secret", "token", "api_key", "apikey")))
     for sign in _SIGNS:
         test = test | text.contains(sign)
-    return test | (text.contains("://") & text.contains("@")) | text.rlike(_LONG_RUNS[0]) | text.rlike(_LONG_RUNS[1])
+    # mixed tokens hold digits, provider tokens an underscore or AIza: most texts have none of these
+    odd = text.contains("_") | text.contains("AIza") | text.rlike("[0-9]")
+    return test | (text.contains("://") & text.contains("@")) | text.rlike(_HEX_RUN) | odd & text.rlike(_LONG_RUN)
 
 
 def _blanked(texts: pd.Series, spans: pd.Series, mark: str) -> pd.Series:

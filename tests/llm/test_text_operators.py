@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from corpusloom.llm.media import box, full_box, media_features, pad, store_media, tracks, write_container
 from corpusloom.llm.quality_rules import BOILERPLATE, PHRASE_SIGNS, quality_rules
-from corpusloom.llm.secrets import MOST_OWNERS, MOST_REPOSITORIES, Covered, further_spans, redacted_documents, secret_spans
+from corpusloom.llm.secrets import MOST_OWNERS, MOST_REPOSITORIES, Covered, further_spans, may_hold_secrets, redacted_documents, secret_spans
 from corpusloom.llm.token_counts import MergeCounter, token_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -180,6 +180,18 @@ def test_spans_have_no_length_caps():
     assert [s[3] for s in further_spans(key, [])] == [key]
 
 
+def test_the_cheap_test_misses_no_candidate(spark):
+    r = random.Random(3)
+    pick = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hold = ["AKIA" + pick("ABCDEFGH", 16), pick("abcdef", 16), "API_KEY: " + pick(letters, 14), "PassWord='" + pick(letters, 12), "ghs_" + pick(letters, 36), "sk_live_" + pick(letters, 16), "AIza" + pick(letters, 35), "x://u:secretly@h", pick(letters, 21) + "123", "eyJ" + pick(letters, 9) + "." + pick(letters, 9) + "." + pick(letters, 9), "xoxb-" + pick(letters, 12)]
+    hold = [f"{before}{h} end" for h in hold for before in ("", "a calm text ", "(")]
+    for text in hold:
+        assert further_spans(text, []) or brute_spans(text), text
+    rows = spark.createDataFrame([(t,) for t in hold], "text string").filter(may_hold_secrets(F.col("text"))).count()
+    assert rows == len(hold)
+
+
 def test_covered_intervals_against_brute_force():
     r, held, cells = random.Random(4), Covered(), set()
     for _ in range(600):
