@@ -19,6 +19,7 @@ from corpusloom.llm.quality_rules import quality_rules
 from corpusloom.llm.secrets import redacted_documents
 from corpusloom.llm.simhash import near_duplicates
 from corpusloom.llm.storage import materialize, release, scratch
+from corpusloom.sources.corpus import spread
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -104,7 +105,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order; what a stage wrote on its way goes when its result is written, and that when the next one's is."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES:
         with scratch("stage"):
             result = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
