@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from typing import Any
@@ -130,7 +131,8 @@ def write_texts(texts: DataFrame, path: str, name_col: str = "filename", text_co
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow.fs import FileSystem
 
-        fs, root = FileSystem.from_uri(path)
+        # Hadoop also writes local paths with one slash
+        fs, root = FileSystem.from_uri(re.sub(r"\Afile:(?=/[^/])", "", path))
         fs.create_dir(root)
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

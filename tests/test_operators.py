@@ -253,6 +253,8 @@ def test_chapter_sink(spark, tmp_path):
     lines = list(csv.DictReader(index.read_text("utf-8-sig").splitlines()))
     assert [(r["title"], r["md5"]) for r in lines] == [('the "first", one', hashlib.md5(b"# one\n\ntext").hexdigest()), ("two", hashlib.md5(b"").hexdigest())]
     assert {p.name: p.read_text() for p in (tmp_path / "chapters").glob("*.md")} == {"chapter_0001.md": "# one\n\ntext", "chapter_0002.md": ""}
+    assert files.write_texts(spark.createDataFrame([("a.txt", "é")], "filename string, text string"), f"file:{tmp_path}/more", encoding="latin-1") == 1
+    assert (tmp_path / "more" / "a.txt").read_bytes() == b"\xe9"
     with pytest.raises(Exception, match="no file name"):
         files.write_texts(spark.createDataFrame([("a/b", "x")], "filename string, text string"), str(tmp_path / "bad"))
 
