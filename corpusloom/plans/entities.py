@@ -12,6 +12,7 @@ from corpusloom.plans import corpus_sql as S
 from corpusloom.plans.corpus import BLOCK, block_rows, units
 from corpusloom.plans.registry import query
 from corpusloom.sources.corpus import table
+from corpusloom.sources.staging import materialize
 
 ALIASES = [("chr_a", "Thing", None, None), ("chr_a", "Thingou", None, None), ("chr_b", "Heit", None, None), ("chr_c", "Ment", 1, 700), ("chr_d", "Ción", None, None), ("chr_e", "Thing", 1, 400), ("chr_f", "Haor", 100, None), ("chr_g", "Ung", None, None), ("chr_h", "Re", None, None)]
 PATTERN = D.alias_pattern([a for _, a, _, _ in ALIASES])
@@ -37,6 +38,11 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.appearances(sentences(spark, sf_dir), D.alias_table(spark, ALIASES), PATTERN)
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appearances written once, for joins with themselves."""
+    return materialize(found(spark, sf_dir), "appearances")
+
+
 def relation_sql(scope: str, keys: str, source: str = "ap") -> str:
     """The relation rows over a source of appearances that meet where keys are equal."""
     named = {k: (k if k in keys.split(", ") else "NULL::VARCHAR") for k in ("scene_block_id", "para_id", "sentence_id")}
@@ -85,23 +91,23 @@ def j07_appearance_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {S.SENTENCES}, {APP_SQL}, {relation_sql('same_sentence', 'para_id, sentence_id')}")
 def j08_same_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J8 pairs in a sentence, J12 relation rows, X13 canonical JSON hash."""
-    return R.same_sentence(found(spark, sf_dir))
+    return R.same_sentence(stored(spark, sf_dir))
 
 
 @query(f"WITH {S.SENTENCES}, {APP_SQL}, {relation_sql('same_paragraph', 'para_id')}")
 def j09_same_paragraph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.same_paragraph(found(spark, sf_dir))
+    return R.same_paragraph(stored(spark, sf_dir))
 
 
 @query(f"WITH {S.SENTENCES}, {APP_SQL}, {relation_sql('same_chapter', '')}")
 def j09_same_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.same_chapter(found(spark, sf_dir))
+    return R.same_chapter(stored(spark, sf_dir))
 
 
 @query(f"WITH RECURSIVE {S.blocks(BLOCK)}, {APP_SQL}, sc AS (SELECT ap.*, bl.scene_key AS scene_block_id FROM ap JOIN bl ON bl.chapter_id = ap.chapter_id AND bl.version_id = ap.version_id AND match_start >= bl.start_offset AND match_start < bl.end_offset), {relation_sql('same_scene_block', 'scene_block_id', 'sc')}")
 def j10_same_scene(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J10 appearances inside half-open block intervals."""
-    return R.same_scene(found(spark, sf_dir), block_rows(spark, sf_dir))
+    return R.same_scene(stored(spark, sf_dir), block_rows(spark, sf_dir))
 
 
 _listed = lambda c: f"'[' || array_to_string(list_transform({c}, lambda i: '\"' || i || '\"'), ', ') || ']'"
@@ -117,7 +123,7 @@ gp AS (SELECT chapter_id, chapter_num, version_id, character_id_a, character_id_
 )
 def j11_nearby_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J11 band self-join over bucketed offsets; ids repeat with every pair."""
-    return R.nearby(found(spark, sf_dir), WINDOW)
+    return R.nearby(stored(spark, sf_dir), WINDOW)
 
 
 @query(f"WITH {ALIAS_SQL} SELECT x.alias_text, x.character_id AS character_id_a, y.character_id AS character_id_b FROM al x JOIN al y ON x.alias_text = y.alias_text AND x.character_id < y.character_id AND coalesce(x.valid_from, 0) <= coalesce(y.valid_to, 1099511627776) AND coalesce(y.valid_from, 0) <= coalesce(x.valid_to, 1099511627776)")

@@ -11,6 +11,7 @@ from corpusloom.plans import corpus_sql as S
 from corpusloom.plans.corpus import units
 from corpusloom.plans.registry import query
 from corpusloom.sources.corpus import chapters, table
+from corpusloom.sources.staging import materialize
 
 SEEDS = [
     {"seed_item_id": "godway:thing", "category": "godway", "name": "Thing", "aliases": ["Thingou", " things "], "characters": ["Haor"], "branches": ["tionth"], "keywords": ["ereding", "ntti", "x"], "rules": []},
@@ -51,7 +52,8 @@ co AS (SELECT *, CASE WHEN accepted > 0 THEN 'covered' ELSE 'uncovered' END AS c
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.candidates(C.paragraphs(units(spark, sf_dir)), E.seed_table(spark, SEEDS))
+    """The best paragraphs of each seed, a few dozen a seed, written once for all that read them."""
+    return materialize(E.candidates(C.paragraphs(units(spark, sf_dir)), E.seed_table(spark, SEEDS)), "evidence", compact=True)
 
 
 def decisions(rows: DataFrame) -> DataFrame:
