@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusloom.llm.media import box, full_box, media_features, pad, store_media, tracks, write_container
-from corpusloom.llm.quality_rules import BOILERPLATE, PHRASE_SIGNS, quality_rules
+from corpusloom.llm import queries
+from corpusloom.llm.quality_rules import BOILERPLATE, NAVIGATION_WORDS, PHRASE_SIGNS, QUALITY_SQL, quality_rules
 from corpusloom.llm.secrets import MOST_OWNERS, MOST_REPOSITORIES, Covered, further_spans, may_hold_secrets, redacted_documents, secret_spans
 from corpusloom.llm.token_counts import MergeCounter, token_counts
+from tests.oracle import assert_same, connect
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -245,3 +247,32 @@ def test_quotes_and_clitics_stand_off():
     words = ("'moron'", "idiot's", "idiot’s", "l'abruti", "you're", "they’re", "isn’t", "can't")
     assert [grammar.token_class(w) for w in words] == ["I", "I", "I", "I", "Y", "Y", "N", "O"]
     assert grammar.clauses("a 'moron' here.") and grammar.clauses("an idiot's car.")
+
+
+def test_line_rules_against_sql_on_made_up_lines(spark, tmp_path):
+    """Lines of all kinds in texts of all kinds: the cheap signs may not hide a line that fails."""
+    r = random.Random(21)
+    nav = NAVIGATION_WORDS.split("|")
+
+    def line():
+        kind = r.randrange(9)
+        words = [f"w{r.randrange(500)}" for _ in range(r.randint(1, 14))]
+        if kind == 0:
+            return r.choice([" | ", " ", "  ", ", ", "/"]).join(r.sample(nav, r.randint(1, 5))).title()
+        if kind == 1:
+            words.insert(r.randint(0, len(words)), r.choice(BOILERPLATE).upper() if r.random() < 0.5 else r.choice(BOILERPLATE))
+        if kind == 2:
+            words = [w + r.choice(["!!", "?!", "!", "", "!!!"]) for w in words]
+        if kind == 3:
+            words = [w + r.choice(["#", "%", "", "***", "&"]) for w in words]
+        if kind == 4:
+            words = [x for w in words for x in (w, r.choice(["|", ">", "»", "·", "-"]))]
+        return r.choice(["", " ", "\t"]) + r.choice([" ", " ", "  "]).join(words)
+
+    texts = ["\n".join([*(line() for _ in range(r.randint(0, 6))), *("clean " + " ".join(f"c{r.randrange(10**6)}" for _ in range(12)) for _ in range(r.randint(0, 8)))]) for _ in range(1500)]
+    spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    (part,) = (tmp_path / "d").glob("*.parquet")
+    part.rename(tmp_path / "documents.parquet")
+    query = queries.op1_quality_rules(spark, str(tmp_path))
+    assert assert_same(query, QUALITY_SQL, connect(str(tmp_path))) == 1502
+    assert 0 < query.filter("kept").count() < query.filter("kept_words < n_words").count()
