@@ -13,6 +13,7 @@ twice. Of a chapter only the columns of ``KEYS`` and the content are read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
@@ -200,14 +201,14 @@ def scene_key() -> Column:
 
 def blocks(chapters: DataFrame, longest: int = BLOCK_MAX) -> DataFrame:
     """One row a block, with the running number of its first sentence and a hash of its text."""
-    fields = [("scene_index", "long"), ("start_para_index", "long"), ("end_para_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("scene_kind", "string"), ("split_reason", "string"), ("first_sentence", "long"), ("block_text", "string")]
+    fields = [("scene_index", "long"), ("start_para_index", "long"), ("end_para_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("scene_kind", "string"), ("split_reason", "string"), ("source_hash", "string"), ("first_sentence", "long")]
 
     def rows_of(content: str) -> Iterator[tuple]:
         for k, (b, before, inside) in enumerate(blocks_with_sentences(content, longest), 1):
-            yield k, b.first, b.last, b.s, b.e, b.kind, b.reason, before + 1 if inside else None, content[b.s : b.e]
+            yield k, b.first, b.last, b.s, b.e, b.kind, b.reason, hashlib.sha256(content[b.s : b.e].encode("utf-8")).hexdigest(), before + 1 if inside else None
 
     rows = expand(chapters, fields, rows_of)
-    return rows.select(*KEYS, scene_key().alias("scene_key"), *(n for n, _ in fields[:5]), (F.col("end_offset") - F.col("start_offset")).alias("length"), "scene_kind", "split_reason", sha256(F.col("block_text")).alias("source_hash"), "first_sentence")
+    return rows.select(*KEYS, scene_key().alias("scene_key"), *(n for n, _ in fields[:5]), (F.col("end_offset") - F.col("start_offset")).alias("length"), "scene_kind", "split_reason", "source_hash", "first_sentence")
 
 
 def segments(chapters: DataFrame, longest: int = BLOCK_MAX, least: int = SEGMENT_MIN, most: int = SEGMENT_MAX, hard: int = SEGMENT_HARD, overlap: int = 1) -> DataFrame:
