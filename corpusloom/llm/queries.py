@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm.alignment import alignments
 from corpusloom.llm.media import media_features, store_media
 from corpusloom.llm.merkle import FIELDS, MANIFEST_SQL, verified_documents
 from corpusloom.llm.mixing import MIXING_SQL, mix_sources
@@ -77,6 +78,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_documents(spread(table(spark, sf_dir, "documents").select(*FIELDS)))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignments(texts(spark, sf_dir))
+
+
 def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op6_secrets that SQL can say."""
     return op6_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
@@ -125,7 +130,7 @@ FROM f
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_warc, op4_simhash, op5_toxicity, op6_secrets, op7_media, op8_mixing, op9_quality_mil, op10_packing, op11_merkle, secret_counts, media_payloads, packed_whole)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_warc, op4_simhash, op5_toxicity, op6_secrets, op7_media, op8_mixing, op9_quality_mil, op10_packing, op11_merkle, op13_alignment, secret_counts, media_payloads, packed_whole)}
 
 
 def oracle_sql() -> dict[str, str]:
