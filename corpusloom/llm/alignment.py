@@ -33,6 +33,8 @@ from corpusloom.llm.token_counts import byte_symbols
 LISTED = 64
 #: Most rows of pair counts that are broadcast (some 50 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Tokens of both sides that go to the JVM at once, a text more at most.
+_TOKENS = 400_000
 _SIDES = [T.StructField(c, T.ArrayType(T.IntegerType(), False), False) for c in ("a_ids", "a_ends", "b_ids", "b_ends")]
 
 
@@ -63,6 +65,8 @@ class ByteTokens:
         for token, i in spec["model"]["vocab"].items():
             self.bytes[i] = token.encode() if i in added else bytes(byte[c] for c in token)
         self.sizes = np.array([len(b) for b in self.bytes], np.int32)
+        #: Every byte has a token and nothing changes the text, so tokens always join to it.
+        self.lossless = spec["normalizer"] is None and all(s in spec["model"]["vocab"] for s in byte)
 
     def ids(self, text: str) -> np.ndarray:
         return self.coder.ids(" " + text)
@@ -71,6 +75,8 @@ class ByteTokens:
 class PieceTokens:
     """Ids and byte ends of a sentencepiece model, which puts a space before the text."""
 
+    lossless = False
+
     def __init__(self, path: str):
         import sentencepiece
 
@@ -90,6 +96,15 @@ def _sides(a: str | None, b: str | None) -> tuple[ByteTokens, PieceTokens]:
     return ByteTokens(a or public_tokenizers.path("byte_bpe_50k.json")), PieceTokens(b or public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def encode(text: str | None, sides: tuple[ByteTokens, PieceTokens]) -> list[np.ndarray]:
+    """Both sides' ids; none where a side does not give the text back."""
+    if text:
+        whole, ids = b" " + text.encode(), [side.ids(text) for side in sides]
+        if all(side.lossless or b"".join(map(side.bytes.__getitem__, x.tolist())) == whole for side, x in zip(sides, ids, strict=True)):
+            return ids
+    return [np.zeros(0, np.int32)] * 2
+
+
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: str | None = None, b: str | None = None) -> DataFrame:
     """Per row: the id, and ids and byte ends of both sides; all empty where either side does not give the text back."""
     ship_package(docs.sparkSession)
@@ -98,66 +113,105 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: s
     def run(batches):
         sides = _sides(a, b)
         for batch in batches:
-            found: list[list[np.ndarray]] = [[], [], [], []]
-            for text in batch.column(1):
-                text = text.as_py()
-                ids = [side.ids(text) for side in sides] if text else []
-                whole = b" " + text.encode() if text else b""
-                if not all(b"".join(map(side.bytes.__getitem__, x.tolist())) == whole for side, x in zip(sides, ids, strict=False)):
-                    ids = []
-                for k, side in enumerate(sides):
-                    own = ids[k] if ids else np.zeros(0, np.int32)
-                    found[2 * k].append(own)
-                    found[2 * k + 1].append(np.cumsum(side.sizes[own], dtype=np.int32))
-            lists = []
-            for column in found:
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in column])])
-                lists.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(column), pa.int32())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=schema.names)
+            at = 0
+            while at < batch.num_rows:
+                first, held, found = at, 0, ([], [], [], [])
+                while at < batch.num_rows and held < _TOKENS:
+                    ids = encode(batch.column(1)[at].as_py(), sides)
+                    for k, side in enumerate(sides):
+                        found[2 * k].append(ids[k])
+                        found[2 * k + 1].append(np.cumsum(side.sizes[ids[k]], dtype=np.int32))
+                    at, held = at + 1, held + len(ids[0]) + len(ids[1])
+                lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, column)]), pa.int32()), pa.array(np.concatenate(column), pa.int32())) for column in found]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, at - first), *lists], names=schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
 
 
-def cut_counts(ends: Column, merged: Column) -> Column:
-    """How many of the ends lie up to each shared one; merged: ends and shared ends, sorted. A shared end stands there twice."""
-    second = F.filter(F.transform(merged, lambda x, i: F.when(x == F.get(merged, i - 1), i)), lambda i: i.isNotNull())
-    return F.transform(second, lambda i, j: i - j)
+def _again(all_of: Column, some: Column) -> Column:
+    """all_of and some, sorted: what is in both stands there twice."""
+    return F.sort_array(F.concat(all_of, some))
 
 
-def _slice(ids: Column, cuts: Column, j: Column) -> Column:
-    low = F.coalesce(F.get(cuts, j - 1), F.lit(0))
-    return F.slice(ids, low + 1, F.get(cuts, j) - low)
+def _places(merged: Column, same: bool) -> Column:
+    """The indices from 1 on whose element equals the one before it, or differs from it."""
+    step = F.when(F.size(merged) > 1, F.sequence(F.lit(1), F.size(merged) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(step, lambda i: (F.get(merged, i) == F.get(merged, i - 1)) == F.lit(same))
 
 
-def _links(g: Column, width: int) -> Column:
-    """The pairs of a group as numbers, each with how often it is linked there."""
-    pair = lambda x, y: x.cast("long") * width + y
-    one = F.lit(1).cast("long")
-    listed = F.flatten(F.transform(g["a"], lambda x: F.transform(g["b"], lambda y: F.struct(pair(x, y).alias("p"), one.alias("n")))))
-    times = lambda ids, x: F.size(F.filter(ids, lambda v: v == x)).cast("long")
-    counted = F.flatten(F.transform(F.array_distinct(g["a"]), lambda x: F.transform(F.array_distinct(g["b"]), lambda y: F.struct(pair(x, y).alias("p"), (times(g["a"], x) * times(g["b"], y)).alias("n")))))
-    return F.when(F.size(g["a"]).cast("long") * F.size(g["b"]) <= LISTED, listed).otherwise(counted)
+def wide_groups(sides: DataFrame) -> DataFrame:
+    """sides: rows as tokens() gives them, and more. With shared (the common ends), wide (the numbers of the groups of more than a token on some side, from 0) and a_more and b_more.
+
+    x_more has an element for each wide group and one after them: how many tokens
+    of that side beyond one a group stand before it.
+    """
+    both = sides.withColumn("shared", F.array_intersect("a_ends", "b_ends"))
+    both = both.withColumns({f"{s}_own": F.array_except(f"{s}_ends", "shared") for s in "ab"})
+    both = both.withColumns({f"{s}_merged": _again(F.col(f"{s}_ends"), F.col(f"{s}_own")) for s in "ab"})
+    # the r-th own end, second at index i, has i - 2r - 1 shared ends before it
+    both = both.withColumns({f"{s}_in": F.transform(_places(F.col(f"{s}_merged"), True), lambda i, r: i - 2 * r - 1) for s in "ab"})
+    both = both.withColumn("wide", F.array_sort(F.array_union("a_in", "b_in"))).drop("a_own", "b_own", "a_merged", "b_merged", "a_ends", "b_ends")
+    both = both.withColumns({f"{s}_merged": _again(F.col(f"{s}_in"), F.col("wide")) for s in "ab"})
+    # the k-th wide group, first at index i, has i - k own ends before it
+    both = both.withColumns({f"{s}_more": F.transform(F.concat(F.array(F.lit(0)), _places(F.col(f"{s}_merged"), False), F.array(F.size(f"{s}_merged"))), lambda i, k: i - k) for s in "ab"})
+    # without wide groups there is nothing at index 0
+    return both.withColumns({f"{s}_more": F.when(F.size("wide") > 0, F.col(f"{s}_more")).otherwise(F.array(F.lit(0))) for s in "ab"}).drop("a_in", "b_in", "a_merged", "b_merged")
+
+
+def _stretch(values: dict[str, Column], k: Column) -> tuple[list[Column], list[Column]]:
+    """Both sides' values in the groups of a token a side before the k-th wide group, and those in it; k counts on to the end."""
+    before = F.coalesce(F.get("wide", k - 1), F.lit(-1)) + 1
+    here = F.coalesce(F.get("wide", k), F.size("shared"))
+    plain = [F.slice(values[s], before + F.get(f"{s}_more", k) + 1, here - before) for s in "ab"]
+    inside = [F.slice(values[s], here + F.get(f"{s}_more", k) + 1, 1 + F.get(f"{s}_more", k + 1) - F.get(f"{s}_more", k)) for s in "ab"]
+    return plain, inside
+
+
+def _steps() -> Column:
+    return F.sequence(F.lit(0), F.size("wide"))
+
+
+def _pairs_in(k: Column) -> Column:
+    more = [1 + F.get(f"{s}_more", k + 1) - F.get(f"{s}_more", k) for s in "ab"]
+    return more[0].cast("long") * more[1]
 
 
 def aligned(sides: DataFrame, width: int) -> DataFrame:
-    """sides: rows as tokens() gives them, and more. With groups (a and b, ids in order) and links (p = a id * width + b id, and n)."""
-    both = sides.withColumn("shared", F.array_intersect("a_ends", "b_ends"))
-    both = both.withColumns({f"{s}_merged": F.sort_array(F.concat(F.col(f"{s}_ends"), F.col("shared"))) for s in "ab"})
-    both = both.withColumns({f"{s}_cuts": cut_counts(F.col(f"{s}_ends"), F.col(f"{s}_merged")) for s in "ab"})
-    at = F.when(F.size("shared") > 0, F.sequence(F.lit(0), F.size("shared") - 1)).otherwise(F.array().cast("array<int>"))
-    groups = F.transform(at, lambda j: F.struct(_slice(F.col("a_ids"), F.col("a_cuts"), j).alias("a"), _slice(F.col("b_ids"), F.col("b_cuts"), j).alias("b")))
-    both = both.withColumn("groups", groups).drop("shared", "a_merged", "b_merged", "a_cuts", "b_cuts", "a_ends", "b_ends")
-    return both.withColumn("links", F.flatten(F.transform("groups", lambda g: _links(g, width))))
+    """sides: rows as tokens() gives them, and more. With n_groups, text (the groups as a1,a2|b1;...), p (a link's ids as a id * width + b id) and heavy (p and n, the links of groups of many)."""
+    pair = lambda x, y: x.cast("long") * width + y
+    ids = {s: F.col(f"{s}_ids") for s in "ab"}
+    rows = wide_groups(sides).withColumns({f"{s}_said": F.col(f"{s}_ids").cast("array<string>") for s in "ab"})
+    last = lambda k: k == F.size("wide")
+
+    def listed(k: Column) -> Column:
+        (a, b), (x, y) = _stretch(ids, k)
+        within = F.flatten(F.transform(x, lambda i: F.transform(y, lambda j: pair(i, j))))
+        return F.concat(F.zip_with(a, b, pair), F.when(last(k) | (_pairs_in(k) > LISTED), F.array().cast("array<bigint>")).otherwise(within))
+
+    def heavy(k: Column) -> Column:
+        _, (x, y) = _stretch(ids, k)
+        times = lambda v, i: F.size(F.filter(v, lambda u: u == i)).cast("long")
+        return F.flatten(F.transform(F.array_distinct(x), lambda i: F.transform(F.array_distinct(y), lambda j: F.struct(pair(i, j).alias("p"), (times(x, i) * times(y, j)).alias("n")))))
+
+    def said(k: Column) -> Column:
+        (a, b), (x, y) = _stretch({s: F.col(f"{s}_said") for s in "ab"}, k)
+        plain = F.zip_with(a, b, lambda i, j: F.concat(i, F.lit("|"), j))
+        return F.when(last(k), plain).otherwise(F.concat(plain, F.array(F.concat(F.array_join(x, ","), F.lit("|"), F.array_join(y, ",")))))
+
+    return rows.withColumns({
+        "n_groups": F.size("shared"), "p": F.flatten(F.transform(_steps(), listed)), "text": F.array_join(F.flatten(F.transform(_steps(), said)), ";"),
+        "heavy": F.flatten(F.transform(F.filter(_steps(), lambda k: ~last(k) & (_pairs_in(k) > LISTED)), heavy)),
+    }).drop("wide", "a_more", "b_more", "shared", "a_said", "b_said")
 
 
-def groups_text(groups: Column) -> Column:
-    side = lambda ids: F.array_join(ids.cast("array<string>"), ",")
-    return F.array_join(F.transform(groups, lambda g: F.concat(side(g["a"]), F.lit("|"), side(g["b"]))), ";")
+def held_pairs() -> Column:
+    """The pairs that a row holds linked, each once."""
+    return F.array_distinct(F.concat("p", F.transform("heavy", lambda s: s["p"])))
 
 
 def pair_counts(linked: DataFrame, width: int) -> DataFrame:
-    """linked: rows with p, their links' pairs. Each pair with docs, the rows that hold it, and best, whether no pair of the same a id has more."""
-    counts = materialize(linked.select(F.explode(F.array_distinct("p")).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("docs")), "pair-counts", compact=True)
+    """linked: rows with p and heavy. Each pair with docs, the rows that hold it, and best, whether no pair of the same a id has more."""
+    counts = materialize(linked.select(F.explode(held_pairs()).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("docs")), "pair-counts", compact=True)
     counts = counts.withColumn("a_id", F.floor(F.col("p") / width))
     best = counts.groupBy("a_id").agg(F.max("docs").alias("most"))
     return counts.join(best, "a_id").select("p", "docs", (F.col("docs") == F.col("most")).alias("best"))
@@ -173,15 +227,14 @@ def alignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     size = lambda c: F.size(c).cast("long")
     linked = aligned(tokens(docs, id_col, text_col, a, b), width).select(
-        F.col(id_col).alias("id"), size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("groups").alias("n_groups"),
-        F.aggregate("links", F.lit(0).cast("long"), lambda acc, s: acc + s["n"]).alias("n_links"), F.when(F.size("groups") > 0, F.sha2(groups_text(F.col("groups")), 256)).otherwise("").alias("groups_sha256"),
-        F.transform("links", lambda s: s["p"]).alias("p"), F.transform("links", lambda s: s["n"]).alias("n"), F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).alias("id"), size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), F.col("n_groups").cast("long").alias("n_groups"), F.when(F.col("n_groups") > 0, F.sha2("text", 256)).otherwise("").alias("groups_sha256"),
+        (size("p") + F.aggregate("heavy", F.lit(0).cast("long"), lambda acc, s: acc + s["n"])).alias("n_links"), "p", "heavy", F.monotonically_increasing_id().alias("row"),
     )
     linked = materialize(linked, "linked")
     rated = materialize(pair_counts(linked, width), "rated-pairs", compact=True)
     if rated.count() <= broadcast_rows:
         rated = F.broadcast(rated)
-    links = linked.select("row", F.explode(F.arrays_zip("p", "n")).alias("l")).select("row", F.col("l.p").alias("p"), F.col("l.n").alias("times"))
-    sums = links.join(rated, "p").groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("docs")).alias("count_sum"))
+    links = linked.select("row", F.explode("p").alias("p"), F.lit(1).cast("long").alias("n")).unionAll(linked.select("row", F.explode("heavy").alias("h")).select("row", "h.p", "h.n"))
+    sums = links.join(rated, "p").groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("n_best"), F.sum(F.col("n") * F.col("docs")).alias("count_sum"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
-    return linked.drop("p", "n").join(sums, "row", "left").select(F.col("id").alias(id_col), "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256")
+    return linked.drop("p", "heavy").join(sums, "row", "left").select(F.col("id").alias(id_col), "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256")

@@ -125,11 +125,11 @@ def plain_groups(text):
     whole = (" " + text).encode()
     if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
         return []
-    groups, own, other, x, y, i, j = [], [], [], 0, 0, 0, 0
+    ids, groups, own, other, x, y, i, j = a.ids, [], [], [], 0, 0, 0, 0
     while i < len(a_bytes) or j < len(b_bytes):
         if x <= y and i < len(a_bytes):
             x, i = x + len(a_bytes[i]), i + 1
-            own.append(a.ids[i - 1])
+            own.append(ids[i - 1])
         else:
             y, j = y + len(b_bytes[j]), j + 1
             other.append(b[j - 1])
@@ -188,4 +188,4 @@ def test_large_groups_are_listed_by_distinct_pairs(spark):
     row = ([k % 3 for k in range(300)], ends[0], [k % 2 for k in range(200)], ends[1])
     sides = spark.createDataFrame([row], "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>")
     got = alignment.aligned(sides, 1 << 20).first()
-    assert len(got["groups"]) == 1 and {(x["p"] >> 20, x["p"] & 0xFFFFF, x["n"]) for x in got["links"]} == {(a, b, 10_000) for a in range(3) for b in range(2)}
+    assert got["n_groups"] == 1 and got["p"] == [] and {(x["p"] >> 20, x["p"] & 0xFFFFF, x["n"]) for x in got["heavy"]} == {(a, b, 10_000) for a in range(3) for b in range(2)}
