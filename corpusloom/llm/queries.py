@@ -14,6 +14,7 @@ from corpusloom.llm.mixing import MIXING_SQL, mix_sources
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.passages import quality_scores
 from corpusloom.llm.quality_rules import QUALITY_SQL, quality_rules
+from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.secrets import secret_spans
 from corpusloom.llm.simhash import near_duplicates
 from corpusloom.llm.token_counts import token_counts
@@ -78,6 +79,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_documents(spread(table(spark, sf_dir, "documents").select(*FIELDS)))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(texts(spark, sf_dir))
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda acc, n: acc + n)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments(texts(spark, sf_dir))
 
@@ -130,7 +137,7 @@ FROM f
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_warc, op4_simhash, op5_toxicity, op6_secrets, op7_media, op8_mixing, op9_quality_mil, op10_packing, op11_merkle, op13_alignment, secret_counts, media_payloads, packed_whole)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_warc, op4_simhash, op5_toxicity, op6_secrets, op7_media, op8_mixing, op9_quality_mil, op10_packing, op11_merkle, op12_repeats, op13_alignment, secret_counts, media_payloads, packed_whole)}
 
 
 def oracle_sql() -> dict[str, str]:
