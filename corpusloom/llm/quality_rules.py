@@ -59,6 +59,9 @@ NAVIGATION_WORDS = (
     "|inicio|menú|iniciar sesión|registrarse|buscar|sobre nosotros|contacto|siguiente|anterior|volver|ayuda|mapa del sitio|leer más|compartir|imprimir"
 )
 NAVIGATION = rf"^(?:(?:{NAVIGATION_WORDS})(?:[\s|>»·/,-]+|$))+$"
+#: The same for Java, which runs a plain repeated group by recursion and its stack out on a long line: a possessive group, with longer entries first since it never goes back.
+_ENTRIES = "|".join(sorted(NAVIGATION_WORDS.split("|"), key=len, reverse=True))
+_NAVIGATION = rf"^(?:(?:{_ENTRIES})(?:[\s|>»·/,-]+|$))++$"
 _SIGNS = r"[#*$%&|<>»·]|[!?]{2}"
 _SHOUT = r"[!?]{2,}"
 _BAR = r"[\x20\x09][|>»·][\x20\x09]"
@@ -85,7 +88,7 @@ def line_fails(line: Column) -> Column:
         lower, n = v["lower"], v["n"]
         punctuation = line.rlike(r"[#*$%&|<>]") & (count_symbols(line) > SYMBOLS_A_WORD * n) | line.rlike(r"[!?]{2}") & (F.regexp_count(line, F.lit(_SHOUT)) > SHOUTS * n)
         menu = line.rlike(r"[|>»·]") & let(F.regexp_count(line, F.lit(_BAR)), lambda bars: (bars >= MENU_BARS) & (n <= (bars + 1) * (MENU_WORDS + 1)))
-        return punctuation | menu | (n <= 12) & lower.rlike(NAVIGATION) | has_phrase(lower)
+        return punctuation | menu | (n <= 12) & lower.rlike(_NAVIGATION) | has_phrase(lower)
 
     return let(F.struct(F.lower(line).alias("lower"), F.regexp_count(line, F.lit(WORD)).alias("n")), judge)
 
