@@ -66,8 +66,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
 def mixing_plan(keyed: DataFrame, bin_rows: int = BIN_ROWS, bins: int = BINS) -> DataFrame:
     """keyed: rows of source, key, tie, size. One row for each source: target, epochs, and the cut up to which rows are taken once more.
 
-    Rows before ``first``, a struct of key and tie, and those up to ``cut`` are;
-    ``cut_rows`` counts the rows of one key and tie that the budget's end divides.
+    Rows before ``first``, a struct of key and tie, and those up to ``cut`` are. Of
+    the rows at ``split``, two or more of one key and tie that the budget's end
+    divides, ``split_rows`` are; null where there is nothing to divide.
     """
     sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
     sizes = materialize(sizes, "sources", compact=True)
@@ -90,8 +91,11 @@ def mixing_plan(keyed: DataFrame, bin_rows: int = BIN_ROWS, bins: int = BINS) ->
     units = units.withColumn("start", F.col("before") + F.coalesce(F.sum("unit").over(ordered), F.lit(0)))
     within = 2 * F.col("start") + F.col("unit") <= 2 * F.col("budget")
     here = F.struct("key", "tie")
-    cut_apart = (F.col("start") < F.col("budget")) & (F.col("budget") < F.col("start") + F.col("unit"))
-    cut = units.groupBy("source").agg(F.max(F.when(within, here)).alias("cut"), F.min(here).alias("first"), F.max(F.when(cut_apart, F.col("rows"))).alias("cut_rows")).withColumnRenamed("source", "c_source")
+    divided = (F.col("rows") > 1) & (F.col("start") < F.col("budget")) & (F.col("budget") < F.col("start") + F.col("unit"))
+    share = F.round((F.col("budget") - F.col("start")) * F.col("rows") / F.col("unit")).cast("long")
+    at = F.struct("key", "tie", share.alias("n"))
+    cut = units.groupBy("source").agg(F.max(F.when(within & ~divided, here)).alias("cut"), F.min(here).alias("first"), F.max(F.when(divided, at)).alias("at")).withColumnRenamed("source", "c_source")
+    cut = cut.withColumns({"split": F.when(F.col("at").isNotNull(), F.struct("at.key", "at.tie")), "split_rows": F.col("at.n")}).drop("at")
     plan = plan.join(cut, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
     return materialize(plan, "cuts", compact=True)
 
@@ -113,11 +117,30 @@ def narrowed(keyed: DataFrame, part: DataFrame, bins: int) -> DataFrame:
     return ends.select("source", "budget", "n", "lo", "hi", F.col("tie_lo").cast("double").alias("tie_lo"), F.col("tie_hi").cast("double").alias("tie_hi"), "before")
 
 
-def taken_times(key: Column, tie: Column, plan: str) -> Column:
-    """How often a row is taken; plan names the struct column with its source's plan."""
+def taken_times(key: Column, tie: Column, plan: str, place: Column | None = None) -> Column:
+    """How often a row is taken; plan names the struct column with its source's plan, place the row's number among those at the split, from 1."""
     of = lambda c: F.col(f"{plan}.{c}")
     here = F.struct(key.alias("key"), tie.alias("tie"))
-    return of("epochs") + F.coalesce((here < of("first")) | (here <= F.coalesce(of("cut"), F.struct(F.lit(-1.0).alias("key"), F.lit(0).cast("long").alias("tie")))), F.lit(False)).cast("long")
+    before = F.coalesce((here < of("first")) | (here <= F.coalesce(of("cut"), F.struct(F.lit(-1.0).alias("key"), F.lit(0).cast("long").alias("tie")))), F.lit(False))
+    if place is not None:
+        before = before | F.coalesce((here == of("split")) & (place <= of("split_rows")), F.lit(False))
+    return of("epochs") + before.cast("long")
+
+
+def split_places(rows: DataFrame, plan: DataFrame, number: str) -> DataFrame:
+    """Of the rows of one key and tie that a budget's end divides: their stored number (as its_number) and their place among them, from 1.
+
+    Rows are equal there, so which of them come first changes nothing. Places are
+    ranks inside a part of the table and the sizes of the parts before it.
+    """
+    at = plan.filter("split is not null").select(F.col("source").alias("p_source"), F.col("split.key").alias("p_key"), F.col("split.tie").alias("p_tie"))
+    same = rows["source"].eqNullSafe(F.col("p_source")) & (rows["key"] == F.col("p_key")) & (rows["tie"] == F.col("p_tie"))
+    rows = rows.join(at, same).select("source", F.col(number).alias("its_number"), F.shiftright(F.col(number), 33).alias("part"))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("source", "part").orderBy("its_number")))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = rows.groupBy("source", "part").agg(F.count(F.lit(1)).alias("n")).withColumn("before", before).select(F.col("source").alias("s_source"), F.col("part").alias("s_part"), "before")
+    joined = ranked.join(sizes, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("part") == F.col("s_part")))
+    return joined.select("its_number", (F.col("before") + F.col("rank")).alias("place"))
 
 
 def tie_of(*values: Column) -> Column:
@@ -131,10 +154,14 @@ def keyed_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, qua
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, bin_rows: int = BIN_ROWS, bins: int = BINS) -> DataFrame:
     """Per row: the id (as doc_id), size, source_size, target, and taken, the words that the mix takes with repeats."""
-    rows = materialize(keyed_rows(docs, id_col, text_col, source_col, quality, tie_of(F.monotonically_increasing_id())), "keyed")
-    plan = mixing_plan(rows.drop("doc_id"), bin_rows, bins).select(F.col("source").alias("__source"), F.struct("*").alias("__plan"))
-    joined = rows.join(plan, rows["source"].eqNullSafe(plan["__source"]))
-    times = taken_times(F.col("key"), F.col("tie"), "__plan")
+    text = F.col(text_col).cast("string")
+    rows = materialize(keyed_rows(docs, id_col, text_col, source_col, quality, tie_of(F.col(id_col), text)).withColumn("number", F.monotonically_increasing_id()), "keyed")
+    found = mixing_plan(rows.drop("doc_id", "number"), bin_rows, bins)
+    plan = found.select(F.col("source").alias("__source"), F.struct("*").alias("__plan"))
+    joined, place = rows.join(plan, rows["source"].eqNullSafe(plan["__source"])), None
+    if found.filter("split is not null").limit(1).count():
+        joined, place = joined.join(split_places(rows, found, "number"), F.col("number") == F.col("its_number"), "left"), F.col("place")
+    times = taken_times(F.col("key"), F.col("tie"), "__plan", place)
     return joined.select("doc_id", "size", F.col("__plan.source_size"), F.col("__plan.target"), (times * F.col("size")).alias("taken"))
 
 
@@ -143,24 +170,24 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows are told apart by id and text, so docs is read twice and not written.
     Only where the cut would divide rows equal in both are docs written once with
-    a number, and divided by it.
+    a number, and those rows divided by it.
     """
     text, source = F.col(text_col).cast("string"), F.col(source_col).cast("string")
     columns, tie = docs.columns, tie_of(F.col(id_col), text)
 
-    def planned(rows: DataFrame) -> DataFrame:
-        return mixing_plan(materialize(keyed_rows(rows, id_col, text_col, source_col, None, tie).drop("doc_id"), "keyed"), bin_rows, bins)
-
-    plan = planned(docs)
-    if plan.filter("cut_rows > 1").limit(1).count():
-        number = free_name(docs, "number")
+    plan = mixing_plan(materialize(keyed_rows(docs, id_col, text_col, source_col, None, tie).drop("doc_id"), "keyed"), bin_rows, bins)
+    its, mine, times, copy, number, place = (free_name(docs, c) for c in ("its_source", "plan", "times", "copy", "number", "place"))
+    places = None
+    if plan.filter("split is not null").limit(1).count():
         docs = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-        tie = tie_of(F.col(number))
-        plan = planned(docs)
-    its, mine, times, copy = (free_name(docs, c) for c in ("its_source", "plan", "times", "copy"))
+        key = sampling_key(F.col(id_col), quality_weight(text))
+        rows = docs.select(source.alias("source"), key.alias("key"), tie.alias("tie"), F.col(number).alias("its"))
+        places = split_places(rows, plan, "its").withColumnsRenamed({"place": place})
     plan = plan.select(F.col("source").alias(its), F.struct("*").alias(mine))
     joined = docs.join(plan, source.eqNullSafe(F.col(its)))
-    repeated = joined.withColumn(times, taken_times(sampling_key(F.col(id_col), quality_weight(text)), tie, mine)).filter(F.col(times) > 0)
+    if places is not None:
+        joined = joined.join(places.withColumnRenamed("its_number", its + "_"), F.col(number) == F.col(its + "_"), "left")
+    repeated = joined.withColumn(times, taken_times(sampling_key(F.col(id_col), quality_weight(text)), tie, mine, None if places is None else F.col(place))).filter(F.col(times) > 0)
     return repeated.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*columns)
 
 
