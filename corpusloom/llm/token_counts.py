@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -31,6 +32,25 @@ from corpusloom.llm.storage import ship_package
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+@lru_cache(maxsize=1)
+def pretoken_pattern() -> regex.Pattern:
+    """The pattern with letters and numbers as the tokenizers library knows them.
+
+    The installed regex may follow a later Unicode version. What it takes for a
+    letter or a number and Python's own, earlier tables do not is asked of the library.
+    """
+    from tokenizers import pre_tokenizers
+
+    split, pattern = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True), PRETOKEN
+    for kind, like in (("L", "a"), ("N", "1")):
+        known = regex.compile(rf"\p{{{kind}}}")
+        late = (c for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if unicodedata.category(c)[0] != kind and known.match(c))
+        odd = "".join(map(regex.escape, (c for c in late if len(split.pre_tokenize_str(like + c + like)) > 1)))
+        if odd:
+            pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{odd}]]")
+    return regex.compile(pattern, regex.V1)
+
+
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -44,7 +64,7 @@ class MergeCounter:
     def __init__(self, ranks: dict[tuple[str, str], int], special: list[str], bound: int = 500_000):
         self.ranks = ranks
         self.symbols = byte_symbols()
-        self.pretoken = regex.compile(PRETOKEN)
+        self.pretoken = pretoken_pattern()
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.words = chunks.Memo(self.merged_length, bound)
         self.plain = chunks.Memo(self.piece, bound)
