@@ -31,8 +31,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def without_tail(text: Column, kind: str) -> Column:
+    """The text without the characters of a class at its end; a run is only tried where it starts, so long runs inside cost no more than others."""
+    return F.regexp_replace(text, rf"(?<!{kind}){kind}++\z", "")
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{WS}+|{WS}+\z", "")
+    return without_tail(F.regexp_replace(text, rf"\A{WS}++", ""), WS)
 
 
 def squeeze(text: Column) -> Column:
@@ -50,7 +55,7 @@ def full_width_punctuation(text: Column) -> Column:
 
 def clean_body(body: Column) -> Column:
     """Lines trimmed of blanks and squeezed; empty ones go; blank lines between the rest."""
-    lines = F.transform(F.split(body, "\n", -1), lambda s: F.regexp_replace(F.regexp_replace(s, r"\A[ \t]+|[ \t]+\z", ""), r"[ \t]+", " "))
+    lines = F.transform(F.split(body, "\n", -1), lambda s: F.regexp_replace(without_tail(F.regexp_replace(s, r"\A[ \t]++", ""), r"[ \t]"), r"[ \t]+", " "))
     return F.array_join(F.filter(lines, lambda s: s != ""), "\n\n")
 
 
@@ -63,13 +68,17 @@ def after_front_matter(text: Column) -> Column:
     return F.regexp_replace(text, FRONT_MATTER, "")
 
 
+#: Possessive: Java runs a plain repeated group by recursion, and many blank lines run its stack out.
+_BLANK_LINES = r"\A(?:[ \t\r\f\x0B]*+\n)*+"
+
+
 def title_block(rest: Column) -> Column:
     """The first line with anything on it, if it is a level-one heading; else empty."""
-    return F.regexp_replace(F.regexp_extract(rest, r"\A(?:[ \t\r\f\x0B]*\n)*(# [^\n]*)", 1), rf"{WS}+\z", "")
+    return without_tail(F.regexp_extract(rest, rf"{_BLANK_LINES}(# [^\n]*)", 1), WS)
 
 
 def after_title(rest: Column) -> Column:
-    return F.regexp_replace(rest, r"\A(?:[ \t\r\f\x0B]*\n)*# [^\n]*(?:\n|\z)", "")
+    return F.regexp_replace(rest, rf"{_BLANK_LINES}# [^\n]*(?:\n|\z)", "")
 
 
 def clean_markdown(text: Column) -> Column:
@@ -82,7 +91,7 @@ def clean_markdown(text: Column) -> Column:
         head = front_matter(text)
         counted = F.regexp_replace(head, CHAR_COUNT, F.concat(F.lit("char_count: "), F.length(c)))
         parts = F.filter(F.array(counted, title_block(rest), c), lambda s: s != "")
-        joined = F.regexp_replace(F.array_join(parts, "\n\n"), r"\n+\z", "")
+        joined = without_tail(F.array_join(parts, "\n\n"), r"\n")
         return F.struct(F.concat(joined, F.lit("\n")).alias("cleaned"), F.length(body).alias("before_chars"), F.length(c).alias("after_chars"))
 
     return let(cleaned, build)
@@ -124,9 +133,9 @@ def is_chapter_title(line: Column) -> Column:
 
 
 def safe_filename(value: Column, longest: int = 80) -> Column:
-    edges = r"\A[ ._]+|[ ._]+\z"
-    name = F.regexp_replace(F.regexp_replace(F.regexp_replace(strip(value), FORBIDDEN_IN_NAMES, "_"), f"{WS}+", "_"), edges, "")
-    return F.regexp_replace(F.substring(F.when(name == "", "untitled").otherwise(name), 1, longest), r"[ ._]+\z", "")
+    name = F.regexp_replace(F.regexp_replace(strip(value), FORBIDDEN_IN_NAMES, "_"), f"{WS}+", "_")
+    name = without_tail(F.regexp_replace(name, r"\A[ ._]++", ""), "[ ._]")
+    return without_tail(F.substring(F.when(name == "", "untitled").otherwise(name), 1, longest), "[ ._]")
 
 
 def yaml_quote(value: Column) -> Column:

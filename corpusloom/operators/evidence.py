@@ -37,6 +37,8 @@ def candidates(paragraphs: DataFrame, seeds: DataFrame, top: int = TOP) -> DataF
     """The best paragraphs of each seed with score, its breakdown, matched keywords and the kind of evidence."""
     positive = F.array_distinct(F.concat(F.array("name"), "aliases", "keywords", "branches", "characters"))
     listed = seeds.select("seed_item_id", F.explode(F.concat(positive, "rules")).alias("term")).distinct().limit(MOST_TERMS + 1).collect()
+    if len(listed) > MOST_TERMS:
+        raise ValueError(f"seeds may name at most {MOST_TERMS} terms, each counted once a seed")
     owners: dict[str, list[str]] = {}
     for row in listed:
         owners.setdefault(row["term"], []).append(row["seed_item_id"])

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SNAKE = r"\A[a-z][a-z0-9]*(?:_[a-z0-9]+)*\z"
+SNAKE = r"\A[a-z][a-z0-9]*+(?:_[a-z0-9]++)*+\z"
 
 
 def finding(df: DataFrame, code: str, item: Column | str) -> DataFrame:

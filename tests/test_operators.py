@@ -36,6 +36,27 @@ def test_markdown_cleaning(spark):
     assert row["cleaned"] == "---\ntitle: \"a\"\nchar_count: 11\n---\n\n# 第1章 起\n\n你好，世界！\n\nx y\n" and row["after_chars"] == 11
 
 
+@pytest.mark.parametrize("blank", ["\n", " \n", "\t \n", "　\n"])
+def test_a_million_blank_lines(spark, blank):
+    """Before the heading, inside the body and at its end."""
+    n = 1_000_000
+    raw = "---\norder: 1\n---\n" + blank * n + "# 第1章 起\nx" + blank * n + "y" + blank * n
+    cleaned = spark.createDataFrame([(raw,)], "raw string").select(X.clean_markdown(F.col("raw")).alias("c"), X.h1_title(F.col("raw"), 2 * n).alias("h1"), X.normalize_text(X.strip_front_matter(F.col("raw"))).alias("n"), X.strip(F.col("raw")).alias("s")).first()
+    want = "---\norder: 1\n---\n\n# 第1章 起\n\nx\n\ny\n"
+    if blank.strip("\t\r\n "):  # an ideographic space is no blank of a line, so the heading isn't the first line with anything on it
+        assert cleaned["c"]["cleaned"].count("\n") > n
+    else:
+        assert cleaned["c"]["cleaned"] == want
+    assert cleaned["n"].startswith("# 第1章 起") and cleaned["n"].endswith("y") and cleaned["s"] == raw.strip() and cleaned["h1"] == "第1章 起"
+
+
+def test_too_many_seed_terms_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(E, "MOST_TERMS", 10)
+    seeds = E.seed_table(spark, [{"seed_item_id": f"s{i}", "category": "c", "name": f"name {i % 2}", "keywords": ["shared"]} for i in range(30)])
+    with pytest.raises(ValueError, match="at most 10"):
+        E.candidates(spark.createDataFrame([("p", "shared", 1, 1, "h")], "para_id string, para_text string, chapter_num long, para_index long, para_hash string"), seeds)
+
+
 def test_import_fields(spark):
     text = "---\ntitle: '第7章 名'\n---\n\r\n##  第8章 名\tx　y\n\n\n\nend  "
     content = X.normalize_text(X.strip_front_matter(F.lit(text)))
