@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.native import let
 from corpusloom.llm.packing import _LONG_GAP, _PLAIN, Encoder
 from corpusloom.llm.storage import materialize, ship_package
 from corpusloom.llm.token_counts import byte_symbols
@@ -68,15 +69,10 @@ class ByteTokens:
         #: Every byte has a token and nothing changes the text, so tokens always join to it.
         self.lossless = spec["normalizer"] is None and all(s in spec["model"]["vocab"] for s in byte)
 
-    def ids(self, text: str) -> np.ndarray:
-        return self.coder.ids(" " + text)
-
 
 class PieceTokens:
     """Ids and byte ends of a sentencepiece model, which puts a space before the text."""
 
-    lossless = False
-
     def __init__(self, path: str):
         import sentencepiece
 
@@ -85,24 +81,27 @@ class PieceTokens:
         self.bytes = [bytes([int(piece(i)[3:5], 16)]) if self.model.is_byte(i) else piece(i).replace("▁", " ").encode() for i in range(self.model.get_piece_size())]
         self.sizes = np.array([len(b) for b in self.bytes], np.int32)
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, num_threads=1), np.int32)
 
+class Sides:
+    """Both sides' ids of whole texts, by the libraries, a text at a time."""
 
-@lru_cache(maxsize=2)
-def _sides(a: str | None, b: str | None) -> tuple[ByteTokens, PieceTokens]:
-    import public_tokenizers
+    def __init__(self, a: str | None, b: str | None):
+        import public_tokenizers
 
-    return ByteTokens(a or public_tokenizers.path("byte_bpe_50k.json")), PieceTokens(b or public_tokenizers.path("piece_bpe_32k.model"))
+        self.a, self.b = ByteTokens(a or public_tokenizers.path("byte_bpe_50k.json")), PieceTokens(b or public_tokenizers.path("piece_bpe_32k.model"))
 
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """None on both sides where a side does not give the text back."""
+        if text:
+            a, b, whole = self.a.coder.ids(" " + text), self.b.model.encode(text, num_threads=1), b" " + text.encode()
+            if b"".join(map(self.b.bytes.__getitem__, b)) == whole and (self.a.lossless or b"".join(map(self.a.bytes.__getitem__, a.tolist())) == whole):
+                return a, np.array(b, np.int32)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
 
-def encode(text: str | None, sides: tuple[ByteTokens, PieceTokens]) -> list[np.ndarray]:
-    """Both sides' ids; none where a side does not give the text back."""
-    if text:
-        whole, ids = b" " + text.encode(), [side.ids(text) for side in sides]
-        if all(side.lossless or b"".join(map(side.bytes.__getitem__, x.tolist())) == whole for side, x in zip(sides, ids, strict=True)):
-            return ids
-    return [np.zeros(0, np.int32)] * 2
+
+@lru_cache(maxsize=2)
+def _sides(a: str | None, b: str | None) -> Sides:
+    return Sides(a, b)
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: str | None = None, b: str | None = None) -> DataFrame:
@@ -117,8 +116,8 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: s
             while at < batch.num_rows:
                 first, held, found = at, 0, ([], [], [], [])
                 while at < batch.num_rows and held < _TOKENS:
-                    ids = encode(batch.column(1)[at].as_py(), sides)
-                    for k, side in enumerate(sides):
+                    ids = sides.encode(batch.column(1)[at].as_py())
+                    for k, side in enumerate((sides.a, sides.b)):
                         found[2 * k].append(ids[k])
                         found[2 * k + 1].append(np.cumsum(side.sizes[ids[k]], dtype=np.int32))
                     at, held = at + 1, held + len(ids[0]) + len(ids[1])
@@ -136,7 +135,7 @@ def _again(all_of: Column, some: Column) -> Column:
 def _places(merged: Column, same: bool) -> Column:
     """The indices from 1 on whose element equals the one before it, or differs from it."""
     step = F.when(F.size(merged) > 1, F.sequence(F.lit(1), F.size(merged) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.filter(step, lambda i: (F.get(merged, i) == F.get(merged, i - 1)) == F.lit(same))
+    return F.filter(step, lambda i: F.get(merged, i) == F.get(merged, i - 1) if same else F.get(merged, i) != F.get(merged, i - 1))
 
 
 def wide_groups(sides: DataFrame) -> DataFrame:
@@ -158,13 +157,32 @@ def wide_groups(sides: DataFrame) -> DataFrame:
     return both.withColumns({f"{s}_more": F.when(F.size("wide") > 0, F.col(f"{s}_more")).otherwise(F.array(F.lit(0))) for s in "ab"}).drop("a_in", "b_in", "a_merged", "b_merged")
 
 
-def _stretch(values: dict[str, Column], k: Column) -> tuple[list[Column], list[Column]]:
-    """Both sides' values in the groups of a token a side before the k-th wide group, and those in it; k counts on to the end."""
-    before = F.coalesce(F.get("wide", k - 1), F.lit(-1)) + 1
-    here = F.coalesce(F.get("wide", k), F.size("shared"))
-    plain = [F.slice(values[s], before + F.get(f"{s}_more", k) + 1, here - before) for s in "ab"]
-    inside = [F.slice(values[s], here + F.get(f"{s}_more", k) + 1, 1 + F.get(f"{s}_more", k + 1) - F.get(f"{s}_more", k)) for s in "ab"]
-    return plain, inside
+def _run(first: Column, n: Column, value) -> Column:
+    """value(i) for n indices from first on. Slices of a long array would copy it for each stretch."""
+    return F.when(n > 0, F.transform(F.sequence(first, first + n - 1), value))
+
+
+def _before(k: Column) -> Column:
+    """The first group after the wide one before the k-th; k counts on to the end."""
+    return F.coalesce(F.get("wide", k - 1), F.lit(-1)) + 1
+
+
+def _here(k: Column) -> Column:
+    return F.coalesce(F.get("wide", k), F.size("shared"))
+
+
+def _one_to_one(k: Column, value) -> Column:
+    """value(i, j) for the tokens at index i of a and j of b that are a group each, before the k-th wide group."""
+    n = _here(k) - _before(k)
+    places = [_before(k) + F.get(f"{s}_more", k) for s in "ab"]
+    none = F.array().cast("array<int>")
+    a, b = (F.when(n > 0, F.sequence(first, first + n - 1)).otherwise(none) for first in places)
+    return F.zip_with(a, b, value)
+
+
+def _inside(k: Column, side: str, value) -> Column:
+    """value(i) for the tokens of one side in the k-th wide group."""
+    return _run(_here(k) + F.get(f"{side}_more", k), 1 + F.get(f"{side}_more", k + 1) - F.get(f"{side}_more", k), value)
 
 
 def _steps() -> Column:
@@ -178,30 +196,31 @@ def _pairs_in(k: Column) -> Column:
 
 def aligned(sides: DataFrame, width: int) -> DataFrame:
     """sides: rows as tokens() gives them, and more. With n_groups, text (the groups as a1,a2|b1;...), p (a link's ids as a id * width + b id) and heavy (p and n, the links of groups of many)."""
+    rows = wide_groups(sides)
+    a, b = lambda i: F.get("a_ids", i), lambda i: F.get("b_ids", i)
     pair = lambda x, y: x.cast("long") * width + y
-    ids = {s: F.col(f"{s}_ids") for s in "ab"}
-    rows = wide_groups(sides).withColumns({f"{s}_said": F.col(f"{s}_ids").cast("array<string>") for s in "ab"})
     last = lambda k: k == F.size("wide")
+    none = F.array().cast("array<bigint>")
 
     def listed(k: Column) -> Column:
-        (a, b), (x, y) = _stretch(ids, k)
-        within = F.flatten(F.transform(x, lambda i: F.transform(y, lambda j: pair(i, j))))
-        return F.concat(F.zip_with(a, b, pair), F.when(last(k) | (_pairs_in(k) > LISTED), F.array().cast("array<bigint>")).otherwise(within))
+        within = F.flatten(_inside(k, "a", lambda i: _inside(k, "b", lambda j: pair(a(i), b(j)))))
+        return F.concat(_one_to_one(k, lambda i, j: pair(a(i), b(j))), F.when(last(k) | (_pairs_in(k) > LISTED), none).otherwise(within))
 
     def heavy(k: Column) -> Column:
-        _, (x, y) = _stretch(ids, k)
+        of = lambda x, y: F.flatten(F.transform(F.array_distinct(x), lambda i: F.transform(F.array_distinct(y), lambda j: F.struct(pair(i, j).alias("p"), (times(x, i) * times(y, j)).alias("n")))))
         times = lambda v, i: F.size(F.filter(v, lambda u: u == i)).cast("long")
-        return F.flatten(F.transform(F.array_distinct(x), lambda i: F.transform(F.array_distinct(y), lambda j: F.struct(pair(i, j).alias("p"), (times(x, i) * times(y, j)).alias("n")))))
+        both = F.struct(_inside(k, "a", a).alias("x"), _inside(k, "b", b).alias("y"))
+        return let(both, lambda g: of(g["x"], g["y"]))
 
     def said(k: Column) -> Column:
-        (a, b), (x, y) = _stretch({s: F.col(f"{s}_said") for s in "ab"}, k)
-        plain = F.zip_with(a, b, lambda i, j: F.concat(i, F.lit("|"), j))
-        return F.when(last(k), plain).otherwise(F.concat(plain, F.array(F.concat(F.array_join(x, ","), F.lit("|"), F.array_join(y, ",")))))
+        plain = _one_to_one(k, lambda i, j: F.concat(a(i).cast("string"), F.lit("|"), b(j).cast("string")))
+        side = lambda s, ids: F.array_join(_inside(k, s, lambda i: ids(i).cast("string")), ",")
+        return F.when(last(k), plain).otherwise(F.concat(plain, F.array(F.concat(side("a", a), F.lit("|"), side("b", b)))))
 
     return rows.withColumns({
         "n_groups": F.size("shared"), "p": F.flatten(F.transform(_steps(), listed)), "text": F.array_join(F.flatten(F.transform(_steps(), said)), ";"),
         "heavy": F.flatten(F.transform(F.filter(_steps(), lambda k: ~last(k) & (_pairs_in(k) > LISTED)), heavy)),
-    }).drop("wide", "a_more", "b_more", "shared", "a_said", "b_said")
+    }).drop("wide", "a_more", "b_more", "shared")
 
 
 def held_pairs() -> Column:
