@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.intervals import bucket_of, over_buckets
 from corpusloom.functions.terms import distinct_terms, term_starts
 from corpusloom.functions.text import WS, sha256, stable_id
+from corpusloom.sources.staging import materialize, release
 
 #: Words and scores of the review rules.
 PRONOUNS = ("he", "she", "they", "him", "her", "他", "她", "它", "他们", "她们", "对方")
@@ -157,9 +158,57 @@ def current_decisions(checked: DataFrame) -> DataFrame:
     return valid.groupBy("normalized_event_id").agg(F.max_by(F.struct("decision", "duplicate_target", "reason", "confidence_value", "source_row"), "source_row").alias("d")).select("normalized_event_id", "d.*")
 
 
-def confirm(events: DataFrame, checked: DataFrame) -> DataFrame:
-    """Each event or decided id: confirmed, or the first reason that blocks it."""
-    conflict = checked.groupBy("normalized_event_id").agg(F.max("contradicts").alias("conflict"))
+def cycles(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """edges: node, target, a row a node. The nodes that lie on a cycle, with the cycle's least node as cycle_id and its length.
+
+    Pointer doubling. After k rounds every node that still has one points 2 ** k
+    steps on. The set of what is pointed at shrinks until only cycles are left, and
+    once a round leaves its size as it was, it is they: rounds grow with the
+    logarithm of the longest tail. A second doubling, on cycles alone, carries their
+    least node round them.
+    """
+
+    def step(df: DataFrame) -> DataFrame:
+        ahead = df.select(F.col("node").alias("at"), F.col("at").alias("then"), *(F.col(c).alias(f"{c}_then") for c in df.columns if c == "least"))
+        least = [F.least("least", "least_then").alias("least"), (F.col("least_then") < F.col("least")).alias("moved")] if "least" in df.columns else []
+        return df.join(ahead, "at").select("node", F.col("then").alias("at"), *least)
+
+    jumps, held = materialize(edges.select("node", F.col("target").alias("at")), "jumps", compact=True), None
+    for _ in range(most_rounds):
+        now = jumps.select("at").distinct().count()
+        if now == held:
+            break
+        old, held, jumps = jumps, now, materialize(step(jumps), "jumps", compact=True)
+        release(old)
+    else:
+        raise RuntimeError(f"cycles did not settle in {most_rounds} rounds")
+    on = jumps.select(F.col("at").alias("node")).distinct()
+    around = materialize(edges.join(on, "node").select("node", F.col("target").alias("at"), F.col("node").alias("least")), "around", compact=True)
+    for _ in range(most_rounds):
+        old, around = around, materialize(step(around), "around", compact=True)
+        release(old)
+        if not around.filter("moved").limit(1).count():
+            break
+    return around.select("node", F.col("least").alias("cycle_id")).join(around.groupBy(F.col("least").alias("cycle_id")).agg(F.count(F.lit(1)).alias("cycle_length")), "cycle_id").select("node", "cycle_id", "cycle_length")
+
+
+def duplicate_conflicts(current: DataFrame) -> DataFrame:
+    """What is wrong with current duplicate decisions taken together: cycles of any length, and targets that are rejected.
+
+    normalized_event_id, duplicate_target, conflict_type, and for cycles their least id and length.
+    """
+    d = current.filter("decision = 'duplicate_candidate'").select("normalized_event_id", "duplicate_target")
+    around = cycles(d.select(F.col("normalized_event_id").alias("node"), F.col("duplicate_target").alias("target")))
+    turning = d.join(around.withColumnRenamed("node", "normalized_event_id"), "normalized_event_id").withColumn("conflict_type", F.lit("duplicate_cycle"))
+    rejected = current.filter("decision = 'rejected'").select(F.col("normalized_event_id").alias("duplicate_target"))
+    refused = d.join(rejected, "duplicate_target").select("normalized_event_id", "duplicate_target", F.lit("duplicate_target_rejected").alias("conflict_type"), F.lit(None).cast("string").alias("cycle_id"), F.lit(None).cast("long").alias("cycle_length"))
+    return turning.select(refused.columns).unionByName(refused)
+
+
+def confirm(events: DataFrame, checked: DataFrame, conflicts: DataFrame) -> DataFrame:
+    """Each event or decided id: confirmed, or the first reason that blocks it. conflicts: normalized_event_id of decisions that are in conflict with others."""
+    against = conflicts.select("normalized_event_id", F.lit(True).alias("contradicts"))
+    conflict = checked.select("normalized_event_id", "contradicts").unionByName(against).groupBy("normalized_event_id").agg(F.max("contradicts").alias("conflict"))
     d = current_decisions(checked).select("normalized_event_id", "decision")
     e = events.select("normalized_event_id", F.lit(True).alias("present"))
     x = e.join(d, "normalized_event_id", "full_outer").join(conflict, "normalized_event_id", "left")

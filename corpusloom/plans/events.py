@@ -64,7 +64,10 @@ no AS MATERIALIZED (SELECT * FROM na WHERE skip_reason IS NULL)"""
 _m = "(('0x' || substr(normalized_event_id, 5, 6))::BIGINT % 10)"
 DECISION_SQL = f"""{NORMAL_SQL},
 d0 AS (SELECT normalized_event_id, {_m} AS m, row_number() OVER (ORDER BY normalized_event_id) AS k FROM no),
-dr AS (SELECT 'b1' AS batch, 2 * k AS source_row, normalized_event_id, CASE WHEN m <= 4 THEN 'approved_candidate' WHEN m = 5 THEN 'rejected' WHEN m = 6 THEN 'duplicate_candidate' WHEN m = 7 THEN 'needs_context' WHEN m = 8 THEN 'uncertain' ELSE 'bogus' END AS decision, CASE WHEN m = 6 AND k % 2 = 0 THEN normalized_event_id WHEN m = 6 THEN 'nev_nowhere' END AS duplicate_target, CASE WHEN m = 7 OR (m = 5 AND k % 2 = 0) THEN 'because' END AS reason, CASE WHEN m = 3 THEN 'low' WHEN m = 4 THEN '1.5' WHEN m = 2 THEN 'high' ELSE '' END AS confidence_text FROM d0
+dj AS (SELECT *, row_number() OVER (PARTITION BY m, k % 2 ORDER BY k) - 1 AS j FROM d0),
+dt AS (SELECT a.normalized_event_id, CASE WHEN a.j % 9 = 7 THEN a.normalized_event_id WHEN a.j % 9 = 8 THEN 'nev_nowhere' WHEN a.j % 9 = 6 THEN r.normalized_event_id ELSE b.normalized_event_id END AS target FROM dj a
+  LEFT JOIN dj b ON b.m = 6 AND b.k % 2 = a.k % 2 AND b.j = a.j + CASE a.j % 9 WHEN 0 THEN 1 WHEN 1 THEN -1 WHEN 4 THEN -2 WHEN 5 THEN -1 ELSE 1 END LEFT JOIN dj r ON r.m = 5 AND r.k % 2 = 0 AND r.j = a.j WHERE a.m = 6),
+dr AS (SELECT 'b1' AS batch, 2 * k AS source_row, normalized_event_id, CASE WHEN m <= 4 THEN 'approved_candidate' WHEN m = 5 THEN 'rejected' WHEN m = 6 THEN 'duplicate_candidate' WHEN m = 7 THEN 'needs_context' WHEN m = 8 THEN 'uncertain' ELSE 'bogus' END AS decision, target AS duplicate_target, CASE WHEN m = 7 OR (m = 5 AND k % 2 = 0) THEN 'because' END AS reason, CASE WHEN m = 3 THEN 'low' WHEN m = 4 THEN '1.5' WHEN m = 2 THEN 'high' ELSE '' END AS confidence_text FROM d0 LEFT JOIN dt USING (normalized_event_id)
   UNION ALL SELECT 'b1', 2 * k + 1, normalized_event_id, CASE WHEN k % 2 = 0 THEN 'approved_candidate' ELSE 'rejected' END, NULL, CASE WHEN k % 2 = 1 THEN 'second look' END, '' FROM d0 WHERE m = 1
   UNION ALL SELECT 'b2', 1000000 + k, 'nev_ghost' || k, 'approved_candidate', NULL, NULL, '0.7' FROM d0 WHERE k <= 3),
 c0 AS (SELECT dr.*, k.normalized_event_id AS known_id, t.normalized_event_id AS target_id, CASE lower(trim(confidence_text)) WHEN 'low' THEN 0.25 WHEN 'medium' THEN 0.6 WHEN 'high' THEN 0.9 ELSE try_cast(confidence_text AS DOUBLE) END::DOUBLE AS cr FROM dr LEFT JOIN no k USING (normalized_event_id) LEFT JOIN no t ON t.normalized_event_id = duplicate_target),
@@ -73,10 +76,15 @@ sg2 AS (SELECT batch, normalized_event_id, count(DISTINCT decision || '~' || coa
 ck AS MATERIALIZED (SELECT batch, source_row, normalized_event_id, decision, duplicate_target, reason, confidence_text, confidence_value, contradicts, array_to_string(list_filter([CASE WHEN known_id IS NULL THEN 'unknown_event' END, CASE WHEN decision NOT IN ({", ".join(f"'{d}'" for d in E.DECISIONS)}) THEN 'invalid_decision' END, CASE WHEN trim(confidence_text) <> '' AND confidence_value IS NULL THEN 'invalid_confidence' END,
   CASE WHEN decision = 'duplicate_candidate' AND duplicate_target IS NULL THEN 'duplicate_target_missing' END, CASE WHEN decision = 'duplicate_candidate' AND duplicate_target = normalized_event_id THEN 'duplicate_target_self' END, CASE WHEN decision = 'duplicate_candidate' AND duplicate_target IS NOT NULL AND target_id IS NULL THEN 'duplicate_target_not_found' END,
   CASE WHEN decision = 'needs_context' AND reason IS NULL THEN 'context_reason_missing' END, CASE WHEN decision = 'rejected' AND reason IS NULL THEN 'reject_reason_missing' END], lambda x: x IS NOT NULL), ',') AS errors, CASE WHEN decision = 'approved_candidate' AND confidence_value < 0.5 THEN 'approved_with_low_confidence' END AS warning FROM c1 JOIN sg2 USING (batch, normalized_event_id)),
-cd AS MATERIALIZED (SELECT normalized_event_id, arg_max(decision, source_row) AS decision, arg_max(source_row, source_row) AS source_row FROM ck WHERE errors = '' AND NOT contradicts GROUP BY normalized_event_id)"""
-CONFIRM_SQL = f"""{DECISION_SQL},
+cd AS MATERIALIZED (SELECT * EXCLUDE (contradicts, errors, warning, batch) FROM ck WHERE errors = '' AND NOT contradicts QUALIFY row_number() OVER (PARTITION BY normalized_event_id ORDER BY source_row DESC) = 1)"""
+CONFLICT_SQL = f"""{DECISION_SQL},
+du AS (SELECT normalized_event_id AS id, duplicate_target AS target FROM cd WHERE decision = 'duplicate_candidate'),
+wk(id, stop, steps, low) AS (SELECT id, target, 1, least(id, target) FROM du UNION ALL SELECT wk.id, du.target, steps + 1, least(low, du.target) FROM wk JOIN du ON du.id = stop WHERE stop <> wk.id AND steps < 50),
+pc AS MATERIALIZED (SELECT id AS normalized_event_id, target AS duplicate_target, 'duplicate_cycle' AS conflict_type, low AS cycle_id, steps::BIGINT AS cycle_length FROM wk JOIN du USING (id) WHERE stop = id
+  UNION ALL SELECT id, target, 'duplicate_target_rejected', NULL, NULL FROM du JOIN cd ON cd.normalized_event_id = target AND cd.decision = 'rejected')"""
+CONFIRM_SQL = f"""{CONFLICT_SQL},
 cx AS (SELECT coalesce(no.normalized_event_id, cd.normalized_event_id) AS normalized_event_id, no.normalized_event_id IS NOT NULL AS present, decision FROM no FULL JOIN cd ON no.normalized_event_id = cd.normalized_event_id),
-cc AS (SELECT normalized_event_id, max(contradicts::INT) = 1 AS conflict FROM ck GROUP BY normalized_event_id),
+cc AS (SELECT normalized_event_id, max(c) = 1 AS conflict FROM (SELECT normalized_event_id, contradicts::INT AS c FROM ck UNION ALL SELECT normalized_event_id, 1 FROM pc) GROUP BY normalized_event_id),
 cf AS MATERIALIZED (SELECT normalized_event_id, decision, coalesce(conflict, false) AS conflict, CASE WHEN NOT present THEN 'blocked_by_source_missing' WHEN coalesce(conflict, false) THEN 'blocked_by_conflict' WHEN decision IS NULL THEN 'blocked_by_missing_review' WHEN decision <> 'approved_candidate' THEN {_case("decision", E.BLOCKED, "'blocked_by_conflict'")} END AS block_reason,
   CASE WHEN coalesce(conflict, false) THEN 'blocked_by_conflict' WHEN decision IS NULL THEN 'missing_review_decision' WHEN decision = 'approved_candidate' THEN 'ready_for_l5_5' ELSE {_case("decision", E.BLOCKED, "'blocked_by_conflict'")} END AS readiness FROM cx LEFT JOIN cc USING (normalized_event_id)),
 cn AS MATERIALIZED (SELECT no.*, 'cev_' || substr(sha256(normalized_event_id), 1, 16) AS confirmed_id, nullif(split_part(character_texts, ',', 1), '') AS object_text, CASE WHEN state_type = 'location' THEN to_state END AS location_text FROM no JOIN cf USING (normalized_event_id) WHERE block_reason IS NULL)"""
@@ -147,7 +155,11 @@ class Chain:
 
     @cached_property
     def confirmation(self) -> DataFrame:
-        return materialize(E.confirm(self.normalized, self.checked), "confirmation")
+        return materialize(E.confirm(self.normalized, self.checked, self.conflicts), "confirmation")
+
+    @cached_property
+    def conflicts(self) -> DataFrame:
+        return E.duplicate_conflicts(materialize(E.current_decisions(self.checked), "current"))
 
     @cached_property
     def members(self) -> DataFrame:
@@ -167,14 +179,28 @@ class Chain:
 
 
 def made_up_decisions(events: DataFrame) -> DataFrame:
-    """Review rows derived from the ids: approvals, refusals, errors of all kinds, contradictions, and ids without a source."""
+    """Review rows derived from the ids: approvals, refusals, errors of all kinds, contradictions, and ids without a source.
+
+    Of nine duplicate decisions two point at each other, three in a circle, one into
+    it, one at a rejected event, one at itself and one nowhere.
+    """
     m = F.conv(F.substring("normalized_event_id", 5, 6), 16, 10).cast("long") % 10
     k = E.global_positions(events.select("normalized_event_id"), F.conv(F.substring("normalized_event_id", 5, 6), 16, 10), "normalized_event_id").select("normalized_event_id", F.col("position").alias("k"), m.alias("m"))
+    # places among the events of one kind and parity, for the targets of duplicates
+    kinds = k.withColumn("kind", F.col("m") * 2 + F.col("k") % 2)
+    placed = E.global_positions(kinds.filter("m in (5, 6)"), F.col("kind") * (1 << 30) + F.conv(F.substring("normalized_event_id", 5, 6), 16, 10).cast("long"), "normalized_event_id")
+    first = placed.groupBy("kind").agg(F.min("position").alias("first"))
+    placed = placed.join(first, "kind").select("normalized_event_id", "m", "kind", (F.col("position") - F.col("first")).alias("j"))
+    onward = F.col("j") + F.element_at(F.array(*(F.lit(n) for n in (1, -1, 1, 1, -2, -1, 1, 1, 1))), (F.col("j") % 9 + 1).cast("int"))
+    at = lambda rows: rows.select(F.col("kind").alias("t_kind"), F.col("j").alias("t_j"), F.col("normalized_event_id").alias("t"))
+    duplicates = placed.filter("m = 6").withColumns({"t_j": F.when(F.col("j") % 9 == 6, F.col("j")).otherwise(onward), "t_kind": F.when(F.col("j") % 9 == 6, 10).otherwise(F.col("kind"))})
+    target = F.when(F.col("j") % 9 == 7, F.col("normalized_event_id")).when(F.col("j") % 9 == 8, "nev_nowhere").otherwise(F.col("t")).alias("target")
+    k = k.join(duplicates.join(at(placed), ["t_kind", "t_j"], "left").select("normalized_event_id", target), "normalized_event_id", "left")
     none = F.lit(None).cast("string")
     decision = F.when(F.col("m") <= 4, "approved_candidate").when(F.col("m") == 5, "rejected").when(F.col("m") == 6, "duplicate_candidate").when(F.col("m") == 7, "needs_context").when(F.col("m") == 8, "uncertain").otherwise("bogus")
     even = F.col("k") % 2 == 0
     row = lambda batch, source, event, decision, target, reason, confidence: [F.lit(batch).alias("batch"), source.alias("source_row"), event.alias("normalized_event_id"), decision.alias("decision"), target.alias("duplicate_target"), reason.alias("reason"), confidence.alias("confidence_text")]
-    first = k.select(*row("b1", 2 * F.col("k"), F.col("normalized_event_id"), decision, F.when((F.col("m") == 6) & even, F.col("normalized_event_id")).when(F.col("m") == 6, "nev_nowhere"), F.when((F.col("m") == 7) | ((F.col("m") == 5) & even), "because"), F.when(F.col("m") == 3, "low").when(F.col("m") == 4, "1.5").when(F.col("m") == 2, "high").otherwise("")))
+    first = k.select(*row("b1", 2 * F.col("k"), F.col("normalized_event_id"), decision, F.col("target"), F.when((F.col("m") == 7) | ((F.col("m") == 5) & even), "because"), F.when(F.col("m") == 3, "low").when(F.col("m") == 4, "1.5").when(F.col("m") == 2, "high").otherwise("")))
     second = k.filter("m = 1").select(*row("b1", 2 * F.col("k") + 1, F.col("normalized_event_id"), F.when(even, "approved_candidate").otherwise("rejected"), none, F.when(~even, "second look"), F.lit("")))
     ghosts = k.filter("k <= 3").select(*row("b2", 1000000 + F.col("k"), F.concat(F.lit("nev_ghost"), F.col("k").cast("string")), F.lit("approved_candidate"), none, none, F.lit("0.7")))
     return first.unionByName(second).unionByName(ghosts)
@@ -244,10 +270,16 @@ def f16_skip_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(wrap(DECISION_SQL, "SELECT batch, source_row, normalized_event_id, decision, confidence_value, errors, contradicts, warning FROM ck", True))
 def p14_decision_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P14 validation of imported decisions and their contradictions, J33 targets."""
+    """P14 validation of imported decisions and their contradictions."""
     return Chain(spark, sf_dir).checked.select("batch", "source_row", "normalized_event_id", "decision", "confidence_value", "errors", "contradicts", "warning")
 
 
+@query(wrap(CONFLICT_SQL, "SELECT * FROM pc", True))
+def j33_duplicate_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J33, P14 current duplicate decisions that point in a circle or at a rejected event."""
+    return Chain(spark, sf_dir).conflicts
+
+
 @query(wrap(DECISION_SQL, "SELECT normalized_event_id, decision, source_row FROM cd", True))
 def w07_current_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7 the latest valid decision of each event."""

@@ -13,6 +13,7 @@ from corpusloom.functions import terms
 from corpusloom.functions import text as X
 from corpusloom.operators import chunking as C
 from corpusloom.operators import dictionary as D
+from corpusloom.operators import events as EV
 from corpusloom.operators import evidence as E
 from corpusloom.operators import grounding as G
 from corpusloom.operators import rules as R
@@ -57,6 +58,37 @@ def test_too_many_seed_terms_are_an_error(spark, monkeypatch):
         E.candidates(spark.createDataFrame([("p", "shared", 1, 1, "h")], "para_id string, para_text string, chapter_num long, para_index long, para_hash string"), seeds)
 
 
+def test_cycles_against_plain_walks(spark):
+    """Tails of all lengths, cycles of one to forty nodes, ends outside."""
+    import random
+
+    r = random.Random(3)
+    for n in (1, 2, 7, 150):
+        nxt = {f"n{i}": f"n{r.randrange(n + n // 4 + 1)}" for i in range(n)}
+        nxt |= {f"t{i}": f"t{i + 1}" for i in range(70)} | {"t70": "n0"} | {f"c{i}": f"c{(i + 1) % 40}" for i in range(40)} | {"a": "b", "b": "a", "s": "s", "e": "outside"}
+        want = {}
+        for node in nxt:
+            path, at = [node], nxt.get(node)
+            while at is not None and at != node and len(path) <= len(nxt):
+                path.append(at)
+                at = nxt.get(at)
+            if at == node:
+                want[node] = (min(path), len(path))
+        got = EV.cycles(spark.createDataFrame(list(nxt.items()), "node string, target string"))
+        assert {x["node"]: (x["cycle_id"], x["cycle_length"]) for x in got.collect()} == want
+    assert EV.cycles(spark.createDataFrame([], "node string, target string")).collect() == []
+
+
+def test_duplicate_conflicts_block(spark):
+    rows = [("a", "duplicate_candidate", "b"), ("b", "duplicate_candidate", "a"), ("c", "duplicate_candidate", "r"), ("d", "duplicate_candidate", "x"), ("r", "rejected", None), ("x", "approved_candidate", None), ("t", "duplicate_candidate", "a")]
+    current = spark.createDataFrame(rows, "normalized_event_id string, decision string, duplicate_target string")
+    conflicts = EV.duplicate_conflicts(current)
+    assert sorted(map(tuple, conflicts.collect())) == [("a", "b", "duplicate_cycle", "a", 2), ("b", "a", "duplicate_cycle", "a", 2), ("c", "r", "duplicate_target_rejected", None, None)]
+    checked = current.withColumns({"errors": F.lit(""), "contradicts": F.lit(False), "reason": F.lit("x"), "confidence_value": F.lit(0.5), "source_row": F.lit(1), "batch": F.lit("b")})
+    reasons = {x["normalized_event_id"]: x["block_reason"] for x in EV.confirm(current.select("normalized_event_id"), checked, conflicts).collect()}
+    assert reasons == {"a": "blocked_by_conflict", "b": "blocked_by_conflict", "c": "blocked_by_conflict", "d": "blocked_by_duplicate", "r": "blocked_by_rejected", "x": None, "t": "blocked_by_duplicate"}
+
+
 def test_import_fields(spark):
     text = "---\ntitle: '第7章 名'\n---\n\r\n##  第8章 名\tx　y\n\n\n\nend  "
     content = X.normalize_text(X.strip_front_matter(F.lit(text)))
