@@ -7,8 +7,6 @@ equality.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +27,9 @@ def alias_table(spark: SparkSession, aliases: list[tuple[str, str, int | None, i
     return spark.createDataFrame(aliases, "character_id string, alias_text string, valid_from long, valid_to long")
 
 
-def alias_pattern(aliases: list[str]) -> str:
-    """One alternation of all aliases, longest first, then by text."""
-    return "|".join(re.escape(a) for a in sorted(set(aliases), key=lambda a: (-len(a), a)))
-
-
-def appearances(sentences: DataFrame, aliases: DataFrame, pattern: str) -> DataFrame:
-    """A row for each match and each owner whose interval holds the chapter."""
-    hit = sentences.filter(F.col("sentence_text").rlike(pattern)).withColumn("m", F.explode(matches(F.col("sentence_text"), pattern)))
+def appearances(sentences: DataFrame, aliases: DataFrame) -> DataFrame:
+    """A row for each leftmost longest match of the aliases and each owner whose interval holds the chapter."""
+    hit = sentences.withColumn("m", F.explode(matches(F.col("sentence_text"), distinct_terms(aliases, "alias_text"))))
     hit = hit.withColumns({"matched_text": F.col("m.m"), "match_start": F.col("start_offset") + F.col("m.s")}).withColumn("match_end", F.col("match_start") + F.length("matched_text"))
     valid = F.col("chapter_num").between(F.coalesce("valid_from", F.col("chapter_num")), F.coalesce("valid_to", F.col("chapter_num")))
     owned = hit.join(aliases, (F.col("matched_text") == F.col("alias_text")) & valid)

@@ -15,7 +15,6 @@ from corpusloom.sources.corpus import table
 from corpusloom.sources.staging import materialize
 
 ALIASES = [("chr_a", "Thing", None, None), ("chr_a", "Thingou", None, None), ("chr_b", "Heit", None, None), ("chr_c", "Ment", 1, 700), ("chr_d", "Ción", None, None), ("chr_e", "Thing", 1, 400), ("chr_f", "Haor", 100, None), ("chr_g", "Ung", None, None), ("chr_h", "Re", None, None)]
-PATTERN = D.alias_pattern([a for _, a, _, _ in ALIASES])
 WINDOW = 200
 
 _val = lambda v: "NULL::BIGINT" if v is None else str(v)
@@ -35,7 +34,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.appearances(sentences(spark, sf_dir), D.alias_table(spark, ALIASES), PATTERN)
+    return D.appearances(sentences(spark, sf_dir), D.alias_table(spark, ALIASES))
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +80,7 @@ def j05_alias_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j07_appearance_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 paragraph lookup, J31 orphans, J34 back-cut of appearances, A2 unique ids."""
     rows = units(spark, sf_dir)
-    app = D.appearances(C.sentences(rows), D.alias_table(spark, ALIASES), PATTERN)
+    app = D.appearances(C.sentences(rows), D.alias_table(spark, ALIASES))
     paras = C.paragraphs(rows).select(F.concat_ws("_", "chapter_id", F.lit("p"), C.number("para_index")).alias("para_id"), "start_offset", "para_text")
     again = F.substring("para_text", (F.col("match_start") - F.col("start_offset") + 1).cast("int"), (F.col("match_end") - F.col("match_start")).cast("int"))
     j = app.join(paras, "para_id", "left")

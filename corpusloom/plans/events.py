@@ -12,7 +12,7 @@ from corpusloom.operators import dictionary as D
 from corpusloom.operators import events as E
 from corpusloom.plans import corpus_sql as S
 from corpusloom.plans.corpus import BLOCK, units
-from corpusloom.plans.entities import ALIASES, APP_SQL, OCC, PATTERN
+from corpusloom.plans.entities import ALIASES, APP_SQL, OCC
 from corpusloom.plans.registry import query
 from corpusloom.sources.staging import materialize
 
@@ -127,7 +127,7 @@ class Chain:
 
     @cached_property
     def args(self) -> DataFrame:
-        return E.arguments(self.events, materialize(D.appearances(self.sentences, self.aliases, PATTERN), "appearances"))
+        return E.arguments(self.events, materialize(D.appearances(self.sentences, self.aliases), "appearances"))
 
     @cached_property
     def scenes(self) -> DataFrame:

@@ -198,11 +198,36 @@ def test_missing_numbers(spark):
         V.scoped(df, "n", [3, 8])
 
 
-def test_alternation_prefers_longer_and_leftmost(spark):
-    pattern = D.alias_pattern(["ab", "abc", "c.", "b"])
-    assert pattern.split("|")[0] == "abc"
-    got = value(spark, terms.matches(F.lit("xabcabbc.c"), pattern))
-    assert [(m["m"], m["s"]) for m in got] == [("abc", 1), ("ab", 4), ("b", 6), ("c.", 7)]
+def test_longest_terms_equal_an_alternation(spark):
+    """Random dictionaries with shared prefixes, terms inside terms and signs of regular expressions."""
+    import random
+    import re
+
+    r = random.Random(1)
+    for _ in range(3000):
+        words = tuple(sorted({"".join(r.choice("ab.(") for _ in range(r.randrange(1, 6))) for _ in range(r.randrange(8))}))
+        text = "".join(r.choice("ab.(c") for _ in range(r.randrange(30)))
+        pattern = "|".join(map(re.escape, sorted(words, key=lambda w: (-len(w), w))))
+        assert terms.longest(text, terms.automaton(words)) == ([(m.start(), m[0]) for m in re.finditer(pattern, text)] if words else [])
+    assert [(m["m"], m["s"]) for m in value(spark, terms.matches(F.lit("xabcabbc.c"), ("ab", "abc", "b", "c.")))] == [("abc", 1), ("ab", 4), ("b", 6), ("c.", 7)]
+
+
+def test_a_large_dictionary_costs_no_more(spark):
+    import random
+
+    r = random.Random(2)
+    text = "".join(r.choice("abcdefgh ") for _ in range(200_000))
+    took = []
+    for n in (100, 100_000):
+        a = terms.automaton(tuple("z" + "".join(r.choice("abcdefgh") for _ in range(9)) + str(i) for i in range(n)))
+        took.append(min(_timed(lambda a=a: terms.longest(text, a)) for _ in range(5)))
+    assert took[1] < 3 * took[0] + 0.01
+
+
+def _timed(f):
+    began = time.perf_counter()
+    f()
+    return time.perf_counter() - began
 
 
 @pytest.mark.parametrize("text, how, a", [('{"a": 1}', "plain", 1), ('x ```json\n{"a": 2}\n``` y', "fenced", 2), ('so {"a": 3, "b": "}"} end }', "balanced", 3), ("{a", "invalid", None), (" ", "empty", None), (None, "empty", None)])
