@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from corpusloom.sources.corpus import table
 from corpusloom.sources.staging import materialize
 
 ALIASES = [("chr_a", "Thing", None, None), ("chr_a", "Thingou", None, None), ("chr_b", "Heit", None, None), ("chr_c", "Ment", 1, 700), ("chr_d", "Ción", None, None), ("chr_e", "Thing", 1, 400), ("chr_f", "Haor", 100, None), ("chr_g", "Ung", None, None), ("chr_h", "Re", None, None)]
+#: For SQL: the aliases as one alternation, longest first.
+PATTERN = "|".join(re.escape(a) for a in sorted({a for _, a, _, _ in ALIASES}, key=lambda a: (-len(a), a)))
 WINDOW = 200
 
 _val = lambda v: "NULL::BIGINT" if v is None else str(v)
