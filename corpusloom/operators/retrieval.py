@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.terms import distinct_terms, term_starts
 from corpusloom.functions.text import let, sha256, squeeze
+from corpusloom.sources.staging import materialize
 
 WEIGHTS = (0.35, 0.30, 0.35)
 DIMENSIONS = 16
@@ -119,49 +120,155 @@ def vector_recall(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return top(d, k, ["query_id"], F.asc("distance"), F.asc("child_segment_id"))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, rows: int = 8192, block: int = 1024) -> DataFrame:
-    """Both: vec_id, embedding of doubles, all of one length and none null. The k exact nearest others of each query by squared distance, then by id.
+class Cells:
+    """Vectors by their nearest pivot, each with its distance to it, and what is known of each cell.
 
-    Vectors are dealt by id to chunks of about ``rows``, queries to blocks of about
-    ``block``; a task holds one of each, whatever the tables' sizes, and gives on
-    k rows a query.
+    Pivots are a bounded sample, picked by a hash of the ids: at most ``most``
+    vectors reach the driver, and a row a cell of sizes and radii. Cells of more than
+    ``rows`` vectors are met in slices. Of equal vectors only the ``copies`` of the
+    least ids are kept: no search for fewer needs another.
     """
-    chunks, blocks = (max(1, -(-df.count() // size)) for df, size in ((vectors, rows), (queries, block)))
-    part = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    v = vectors.select("vec_id", "embedding", part(chunks).alias("chunk")).withColumn("block", each(blocks))
-    q = queries.select("vec_id", "embedding", part(blocks).alias("block")).withColumn("chunk", each(chunks))
 
-    def search(left, right):
+    def __init__(self, vectors: DataFrame, copies: int, rows: int, most: int):
+        import numpy as np
+
+        self.kind, self.rows = vectors.schema["vec_id"].dataType, rows
+        place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+        kept = materialize(vectors.select("vec_id", "embedding", place.alias("place")).filter(F.col("place") <= copies).drop("place"), "vectors")
+        n = kept.count()
+        chosen = kept.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, min(most, n // rows + 1))).collect()
+        if len({len(r["embedding"]) for r in chosen}) > 1:
+            raise ValueError("embeddings differ in length")
+        self.pivots = np.array([r["embedding"] for r in chosen])
+        pivots = self.pivots
+
+        def assign(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                x = unpacked(batch.column("embedding"), pivots.shape[1])
+                cell = pivot_distances(x, pivots).argmin(axis=1)
+                reach = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
+                yield pa.record_batch([pa.array(cell, pa.int32()), pa.array(reach, pa.float64()), batch.column("vec_id"), batch.column("embedding")], ["cell", "reach", "vec_id", "embedding"])
+
+        schema = f"cell int, reach double, vec_id {self.kind.simpleString()}, embedding array<double>"
+        self.table = materialize(kept.mapInArrow(assign, schema), "cells") if n else None
+        known = self.table.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect() if n else []
+        self.size, self.radius = np.zeros(len(self.pivots), np.int64), np.zeros(len(self.pivots))
+        for r in known:
+            self.size[r["cell"]], self.radius[r["cell"]] = r["n"], r["radius"]
+
+
+def unpacked(column, length: int):
+    """An Arrow column of lists as a matrix."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if (lengths != length).any():
+        raise ValueError("embeddings differ in length")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), length)
+
+
+def pivot_distances(x, pivots):
+    import numpy as np
+
+    return np.sqrt(np.maximum(0, (x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None] - 2 * (x @ pivots.T)))
+
+
+#: What rounding may add to a distance; nothing nearer to a bound than this is pruned.
+SLACK = 1e-5
+
+
+def visits(cells: Cells, queries: DataFrame, k: int, known: DataFrame | None = None) -> DataFrame:
+    """The cells that each query must look into: cell, vec_id, embedding, away (to the pivot) and tau.
+
+    Without known: the nearest cells that hold k + 1 vectors together. known: vec_id
+    and tau, the k-th least distance so far; then the other cells that the
+    triangle inequality does not rule out.
+    """
+    size, radius, pivots, bounded = cells.size, cells.radius, cells.pivots, known is not None
+    rows = queries.select("vec_id", "embedding", F.lit(float("inf")).alias("tau")) if known is None else queries.select("vec_id", "embedding").join(known, "vec_id", "left").select("vec_id", "embedding", F.coalesce("tau", F.lit(float("inf"))).alias("tau"))
+
+    def find(batches):
         import numpy as np
         import pyarrow as pa
 
-        def unpack(t):
-            e = t.column("embedding").combine_chunks()
-            if len(set(e.value_lengths().to_pylist())) > 1:
-                raise ValueError("embeddings differ in length")
-            return t.column("vec_id").to_numpy(), e.flatten().to_numpy(zero_copy_only=False).reshape(len(e), -1)
+        for batch in batches:
+            away = pivot_distances(unpacked(batch.column("embedding"), pivots.shape[1]), pivots)
+            order = np.argsort(away, axis=1, kind="stable")
+            first = np.zeros(away.shape, bool)
+            held = np.cumsum(size[order], axis=1) - size[order]
+            np.put_along_axis(first, order, held <= k, axis=1)
+            first &= size > 0
+            tau = batch.column("tau").to_numpy(zero_copy_only=False)
+            chosen = first if not bounded else ~first & (size > 0) & (away - radius <= tau[:, None] + SLACK)
+            row, cell = np.nonzero(chosen)
+            for at in range(0, len(row), 10_000):
+                r, c = row[at : at + 10_000], cell[at : at + 10_000]
+                taken = batch.take(pa.array(r))
+                yield pa.record_batch([pa.array(c, pa.int32()), taken.column("vec_id"), taken.column("embedding"), pa.array(away[r, c]), taken.column("tau")], ["cell", "vec_id", "embedding", "away", "tau"])
+
+    return rows.mapInArrow(find, f"cell int, vec_id {cells.kind.simpleString()}, embedding array<double>, away double, tau double")
+
+
+def search_cells(cells: Cells, asked: DataFrame, k: int, block: int) -> DataFrame:
+    """The k nearest others of each query in each cell that it looks into: query_id, vec_id, distance. A task holds a slice of a cell and about block queries."""
+    spark = asked.sparkSession
+    turns = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("asked")).collect()  # a row a cell
+    shape = spark.createDataFrame([(r["cell"], -(-int(cells.size[r["cell"]]) // cells.rows), -(-r["asked"] // block)) for r in turns], "cell int, slices int, turns int")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    part = lambda c: F.pmod(F.xxhash64("vec_id"), F.col(c)).cast("int")
+    v = cells.table.join(F.broadcast(shape), "cell").select("cell", "reach", "vec_id", "embedding", part("slices").alias("slice"), each("turns").alias("turn"))
+    q = asked.join(F.broadcast(shape), "cell").select("cell", "away", "tau", "vec_id", "embedding", part("turns").alias("turn"), each("slices").alias("slice"))
+    length = cells.pivots.shape[1]
+
+    def search(left, right):
+        import numpy as np
+        import pyarrow as pa
 
         out = ([], [], [])
         if left.num_rows and right.num_rows:
-            (ids, x), (query_ids, y) = unpack(left), unpack(right)
-            x = np.ascontiguousarray(x.T)
-            for query_id, query in zip(query_ids, y, strict=True):
-                d = np.zeros(len(ids))
+            ids, reach, x = left.column("vec_id").to_numpy(), left.column("reach").to_numpy(), unpacked(left.column("embedding").combine_chunks(), length)
+            order = np.argsort(reach, kind="stable")
+            ids, reach, x = ids[order], reach[order], np.ascontiguousarray(x[order].T)
+            queries = zip(right.column("vec_id").to_numpy(), right.column("away").to_numpy(), right.column("tau").to_numpy(), unpacked(right.column("embedding").combine_chunks(), length), strict=True)
+            for query_id, away, tau, query in queries:
+                # a vector further from or nearer to the pivot than this is too far from the query
+                low, high = np.searchsorted(reach, (away - tau - SLACK, away + tau + SLACK))
+                d = np.zeros(high - low)
                 for column, value in zip(x, query, strict=True):  # summed in order, as SQL sums
-                    d += (column - value) ** 2
-                d = np.where(ids == query_id, np.inf, np.floor(d * 1e6 + 0.5) / 1e6)
+                    d += (column[low:high] - value) ** 2
+                near_ids = ids[low:high]
+                d = np.where(near_ids == query_id, np.inf, np.floor(d * 1e6 + 0.5) / 1e6)
                 near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-                near = near[np.lexsort((ids[near], d[near]))][:k]
+                near = near[np.lexsort((near_ids[near], d[near]))][:k]
                 near = near[np.isfinite(d[near])]
-                out[0].append(np.full(len(near), query_id)), out[1].append(ids[near]), out[2].append(d[near])
+                out[0].append(np.full(len(near), query_id)), out[1].append(near_ids[near]), out[2].append(d[near])
         columns = [np.concatenate(c) if c else np.array([], t) for c, t in zip(out, (np.int64, np.int64, np.float64), strict=True)]
         return pa.table(dict(zip(("query_id", "vec_id", "distance"), columns, strict=True)))
 
-    best = v.groupBy("chunk", "block").cogroup(q.groupBy("chunk", "block")).applyInArrow(search, "query_id long, vec_id long, distance double")
+    keys = ["cell", "slice", "turn"]
+    best = v.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, distance double")
     return top(best, k, ["query_id"], F.asc("distance"), F.asc("vec_id"))
 
 
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, rows: int = 1024, block: int = 4096, most: int = 2048) -> DataFrame:
+    """Both: vec_id, embedding of doubles, all of one length and none null. The k exact nearest others of each query by squared distance, then by id.
+
+    Each query looks into the nearest cells first. Its k-th least distance there
+    bounds it, and of the other cells it meets only those, and in those only the
+    vectors, that the triangle inequality leaves. Equal vectors beyond the first
+    k + 1 ids are never met.
+    """
+    cells = Cells(vectors, k + 1, rows, most)
+    if cells.table is None:
+        return queries.sparkSession.createDataFrame([], "query_id long, vec_id long, distance double, place int")
+    first = materialize(search_cells(cells, visits(cells, queries, k), k, block), "first-cells")
+    # distances are squared and rounded, bounds are neither
+    tau = first.filter(F.col("place") == k).select(F.col("query_id").alias("vec_id"), F.sqrt(F.col("distance") + 1e-6).alias("tau"))
+    more = materialize(visits(cells, queries, k, tau), "visits")
+    both = first.drop("place").unionByName(search_cells(cells, more, k, block).drop("place"))
+    return top(both, k, ["query_id"], F.asc("distance"), F.asc("vec_id"))
+
+
 def fuse(title: DataFrame, keyword: DataFrame, vector: DataFrame, k: int, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
     """One ranking a query of the three routes' hits, with the best score and the routes of each segment."""
     routes = (("sqlite_title", title, "title_score"), ("sqlite_child_keyword", keyword, "keyword_score"), ("chroma_vector", vector, "vector_score"))
