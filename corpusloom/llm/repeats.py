@@ -38,10 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm import suffixes as sx
-from corpusloom.llm.storage import materialize, ship_package
+from corpusloom.llm.storage import bucketed, materialize, ship_package
 
 #: Bytes of text in a block, suffixes in a bucket of anchors, bytes of text a range of keys, suffixes of an anchor that make it hot.
-BLOCK_BYTES, BUCKET_ROWS, RANGE_BYTES, HOT = 8 << 20, 400_000, 4 << 20, 8192
+BLOCK_BYTES, BUCKET_ROWS, RANGE_BYTES, HOT = 4 << 20, 400_000, 4 << 20, 8192
+_UPPER = np.uint64(((1 << 48) - 1) << 16)
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -57,6 +58,24 @@ def _unpacked(data: bytes) -> pa.RecordBatch:
         return stream.read_next_batch()
 
 
+def _narrow(keys: np.ndarray) -> bytes:
+    """The upper 48 bits of each key. More would tell a little more apart, but only ever which suffixes need no sorting."""
+    return (keys >> np.uint64(32)).astype(np.uint32).tobytes() + (keys >> np.uint64(16)).astype(np.uint16).tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    n = len(data) // 6
+    return (np.frombuffer(data[: 4 * n], np.uint32).astype(np.uint64) << np.uint64(16)) | np.frombuffer(data[4 * n :], np.uint16).astype(np.uint64)
+
+
+def _small(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _full(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
 class Block:
     """The distinct texts of a block, and which of them each row has."""
 
@@ -78,9 +97,10 @@ class Block:
     def shared(self, keys: np.ndarray, hot: np.ndarray) -> sx.Suffixes:
         """The suffixes under some anchors; keys in order. Under hot ones each window by itself."""
         every = self.suffixes()
-        at = np.searchsorted(keys, every.key)
+        short = every.key >> np.uint64(16)
+        at = np.searchsorted(keys, short)
         at[at == len(keys)] = 0
-        kept = keys[at] == every.key if len(keys) else np.zeros(len(at), bool)
+        kept = keys[at] == short if len(keys) else np.zeros(len(at), bool)
         burning = kept & hot[at] if len(keys) else kept
         plain = sx.Suffixes(*(x[kept & ~burning] for x in every))
         return sx.Suffixes(*map(np.concatenate, zip(plain, sx.spread_windows(self.buffer, sx.Suffixes(*(x[burning] for x in every))), strict=True)))
@@ -128,13 +148,14 @@ def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for block, found in _blocks(batches):
             s = found.suffixes()
-            order = np.argsort(s.key, kind="stable")
-            key, text = s.key[order], s.text[order]
+            key = s.key & _UPPER
+            order = np.argsort(key, kind="stable")
+            key, text = key[order], s.text[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
             last = np.concatenate([first[1:], [len(key)]]).astype(np.int64) - 1 if len(key) else first
             count, several, key = np.minimum(last - first + 1, 65_535).astype(np.uint16), (text[first] != text[last]).astype(np.uint8), key[first]
             cuts = [0, *np.searchsorted(key, edges).tolist(), len(key)]
-            yield from _rows(block, [(b, (key[x:y].tobytes(), several[x:y].tobytes(), count[x:y].tobytes())) for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y], ("bucket", "hashes", "several", "counts"))
+            yield from _rows(block, [(b, (_narrow(key[x:y]), several[x:y].tobytes(), count[x:y].tobytes())) for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y], ("bucket", "hashes", "several", "counts"))
 
     return blocks.select("block", "texts", "rows").mapInArrow(run, "block long, bucket long, hashes binary, several binary, counts binary")
 
@@ -160,8 +181,9 @@ def shared_anchors(found: DataFrame, hot: int) -> DataFrame:
 
     def meet(table: pa.Table) -> pa.Table:
         block = table.column("block").to_numpy()
-        hashes, several, counts = _joined(table.column("hashes"), np.uint64), _joined(table.column("several"), np.uint8), _joined(table.column("counts"), np.uint16)
-        of = np.repeat(np.arange(len(block)), [len(h) // 8 for h in table.column("hashes").to_pylist()])
+        lists = [_wide(h) for h in table.column("hashes").to_pylist()]
+        hashes, several, counts = np.concatenate(lists), _joined(table.column("several"), np.uint8), _joined(table.column("counts"), np.uint16)
+        of = np.repeat(np.arange(len(block)), [len(h) for h in lists])
         order = np.argsort(hashes, kind="stable")
         first = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
         group, opens = np.cumsum(first) - 1, np.flatnonzero(first)
@@ -172,7 +194,7 @@ def shared_anchors(found: DataFrame, hot: int) -> DataFrame:
         by_row = np.argsort(of[at], kind="stable")
         at, burning = at[by_row], burning[by_row].astype(np.uint8)
         cuts = np.searchsorted(of[at], np.arange(len(block) + 1))
-        rows = [(int(block[k]), hashes[at[x:y]].tobytes(), burning[x:y].tobytes()) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
+        rows = [(int(block[k]), _narrow(hashes[at[x:y]] << np.uint64(16)), burning[x:y].tobytes()) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
         return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "kind": pa.array([0] * len(rows), pa.int32()), "data": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
 
     return found.groupBy("bucket").applyInArrow(meet, "block long, kind int, data binary, more binary")
@@ -180,7 +202,7 @@ def shared_anchors(found: DataFrame, hot: int) -> DataFrame:
 
 def _told(notes) -> tuple[np.ndarray, np.ndarray]:
     """The anchors of a block that others share, in order, and which are hot; notes: its rows of kind 0."""
-    keys = np.frombuffer(b"".join(n["data"] for n in notes), np.uint64)
+    keys = np.concatenate([np.zeros(0, np.uint64), *(_wide(n["data"]) for n in notes)])
     order = np.argsort(keys)
     return keys[order], np.frombuffer(b"".join(n["more"] for n in notes), np.uint8)[order].astype(bool)
 
@@ -214,17 +236,23 @@ def runs(blocks: DataFrame, notes: DataFrame, ranges: int) -> DataFrame:
             np.maximum.at(most, place, found.most[s.text])
             shared = sx.common_prefixes(distinct)
             cuts = [0, *(bisect_left(distinct, e) for e in edges), len(distinct)]
-            yield from _rows(block, [(r, (x.to_bytes(8), *sx.front_coded(distinct[x:y], shared[x:y]), least[x:y].tobytes(), most[x:y].tobytes())) for r, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y], ("range", "first", "shared", "sizes", "rest", "least", "most"))
+            yield from _rows(block, [(r, _sent(x, sx.front_coded(distinct[x:y], shared[x:y]), least[x:y], most[x:y])) for r, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y], ("range", "first", "shared", "sizes", "rest", "least", "most"))
 
     return with_notes(blocks, notes).mapInArrow(run, "block long, range long, first binary, shared binary, sizes binary, rest binary, least binary, most binary")
 
 
+def _sent(first: int, coded: tuple[bytes, bytes, bytes], least: np.ndarray, most: np.ndarray) -> tuple[bytes, ...]:
+    shared, sizes, rest = coded
+    return first.to_bytes(8), shared, sizes, _small(rest), _small(least.tobytes()), _small((most - least).tobytes())
+
+
 def covered(sent: DataFrame, at_once: int = 200_000) -> DataFrame:
     """What smaller ids cover, by block (kind 1): data has the places of suffixes in its run, more the first window, the windows and the least id of each piece."""
 
     def merge(table: pa.Table) -> pa.Table:
         column = lambda c: table.column(c).to_pylist()
-        lists = [sx.decoded(*x) for x in zip(column("shared"), column("sizes"), column("rest"), strict=True)]
+        lists = [sx.decoded(shared, sizes, _full(rest, sum(sizes))) for shared, sizes, rest in zip(column("shared"), column("sizes"), column("rest"), strict=True)]
+        ids = lambda c: np.frombuffer(b"".join(_full(x, 8 * len(run)) for x, run in zip(column(c), lists, strict=True)), np.int64)
         order, common = sx.merged(lists, column("shared"))
         run = np.array(order, np.int64)
         nth = np.empty(len(run), np.int64)  # its place in its run
@@ -232,7 +260,8 @@ def covered(sent: DataFrame, at_once: int = 200_000) -> DataFrame:
             nth[run == r] = np.arange(len(lists[r]))
         opens = np.cumsum([0, *map(len, lists)])[:-1]
         flat = opens[run] + nth
-        least, most = _joined(table.column("least"), np.int64)[flat], _joined(table.column("most"), np.int64)[flat]
+        least = ids("least")[flat]
+        most = least + ids("most")[flat]
         length = np.fromiter((len(lists[r][k]) for r, k in zip(order, nth.tolist(), strict=True)), np.int64, len(run))
         common = np.array(common)
         new = np.concatenate([[True], (common[1:] < length[1:]) | (length[1:] != length[:-1])])
@@ -304,10 +333,10 @@ def _mask(found: Block, said: list) -> np.ndarray:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, bucket_rows: int = BUCKET_ROWS, range_bytes: int = RANGE_BYTES, hot: int = HOT) -> DataFrame:
     """Per row: the id, n_bytes, starts and ends of the removed runs of bytes, and kept, the remaining bytes. The id must be integral."""
     kind = docs.schema[id_col].dataType
-    blocks = materialize(packed_blocks(docs, id_col, text_col, block_bytes), "blocks")
+    blocks = bucketed(packed_blocks(docs, id_col, text_col, block_bytes), "block", "blocks")
     total = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     # an anchor stands for some 14 windows
-    notes = materialize(shared_anchors(anchors(blocks, max(1, total // (14 * bucket_rows))), hot), "shared")
+    notes = materialize(shared_anchors(anchors(blocks, max(1, total // (14 * bucket_rows))), hot), "shared", compact=True)
     pieces = covered(runs(blocks, notes, max(1, total // range_bytes)))
     schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("n_bytes", T.LongType(), False), *(T.StructField(c, T.ArrayType(T.LongType(), False), False) for c in ("starts", "ends")), T.StructField("kept", T.BinaryType(), False)])
 

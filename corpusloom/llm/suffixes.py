@@ -86,8 +86,8 @@ def suffixes(buffer: bytes, ends: np.ndarray) -> Suffixes:
         starts.append(here + at)
         keys.append(least[here])
     start, key = np.concatenate(starts), np.concatenate(keys)
-    count = np.cumsum(valid, dtype=np.int64)
-    windows = np.diff(np.concatenate([count[start] - 1, count[-1:]])) if len(start) else start
+    count = np.cumsum(valid, dtype=np.int32 if total < 1 << 31 else np.int64)
+    windows = np.diff(np.concatenate([count[start] - 1, count[-1:]])).astype(np.int64) if len(start) else start
     if len(windows) and windows.max() > _LONGEST:
         pieces = -(-windows // _LONGEST)
         of = np.repeat(np.arange(len(start)), pieces)
