@@ -66,12 +66,14 @@ def release(df: DataFrame) -> None:
 
 @contextmanager
 def scratch(*keep: str) -> Iterator[None]:
-    """Stage tables that this thread writes inside are deleted at the end, but for those whose label begins with a word of keep. For callers that have used up a query's rows."""
+    """Stage tables that this thread writes inside are deleted at the end, failed or not, but for those whose label begins with a word of keep. For callers that have used up a query's rows."""
     before = set(_written)
-    yield
-    for path in [p for p, (_, thread) in _written.items() if p not in before and thread == threading.get_ident()]:
-        if not path.rpartition("/")[2].startswith(tuple(f"{label}-" for label in keep)):
-            _remove(path)
+    try:
+        yield
+    finally:
+        for path in [p for p, (_, thread) in _written.items() if p not in before and thread == threading.get_ident()]:
+            if not path.rpartition("/")[2].startswith(tuple(f"{label}-" for label in keep)):
+                _remove(path)
 
 
 def materialize(df: DataFrame, label: str, compact: bool = False, tiny: bool = False) -> DataFrame:
@@ -90,6 +92,20 @@ def materialize(df: DataFrame, label: str, compact: bool = False, tiny: bool = F
     return back
 
 
+def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Like materialize, in as many buckets of a column as a shuffle has partitions: joins on it don't move the table.
+
+    Bucketed files are read through the session's catalog, where the table is an external one.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    name = f"{label.replace('-', '_')}_{path.rpartition('-')[2]}"
+    df.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", path).saveAsTable(name)
+    back = spark.table(name)
+    back._stage_path = path
+    return back
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
