@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import sha256, squeeze
+from corpusloom.operators import inverted as I
 from corpusloom.operators import retrieval as R
 from corpusloom.operators.rules import fingerprint
 from corpusloom.plans.corpus import SEGMENTS_SQL, segment_rows
@@ -84,6 +85,32 @@ def w02_title_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.title_recall(titles(spark, sf_dir), R.query_table(spark, QUERIES), K)
 
 
+def indexed_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return titles(spark, sf_dir).select(F.col("chapter_num").alias("id"), F.lit(1).alias("version"), R.title_tokens(F.col("title")).alias("tokens"))
+
+
+@query(f"{FULL_SQL} SELECT query_id, chapter_num, title_score, place FROM tr WHERE tier = 'fts'")
+def w02_indexed_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2, X21 the phrase tier of the title route from a stored inverted index that skips blocks by their bounds."""
+    rows = indexed_titles(spark, sf_dir)
+    size = rows.agg(F.count("tokens").alias("n"), F.avg(F.size("tokens")).alias("mean")).first()
+    queries = R.query_table(spark, QUERIES).select("query_id", R.title_tokens(F.col("query_text")).alias("tokens"))
+    hits, _ = I.search(I.build(rows), queries, K, size["n"], size["mean"])
+    return hits.select("query_id", F.col("id").alias("chapter_num"), F.col("score").alias("title_score"), "place")
+
+
+@query(f"WITH {TITLE_SQL}, m AS (SELECT chapter_num, regexp_extract_all(lower(title), '[\\p{{L}}\\p{{N}}]+') AS tokens FROM ti WHERE chapter_num % 7 <> 0) SELECT count(*) FILTER (len(tokens) > 0) AS main_rows, count(*) FILTER (len(tokens) > 0) AS index_rows, 0::BIGINT AS missing, 0::BIGINT AS orphans, 0::BIGINT AS damaged FROM m")
+def m02_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 index against main table in both directions, after every fifth title has got a new version and every seventh has gone."""
+    rows = indexed_titles(spark, sf_dir)
+    # every fifth row is first indexed with its tokens in the reverse order and its text doubled, under version 0
+    stale = F.col("id") % 5 == 0
+    first = rows.select("id", F.when(stale, 0).otherwise(1).alias("version"), F.when(stale, F.concat("tokens", F.reverse("tokens"))).otherwise(F.col("tokens")).alias("tokens"))
+    removed = first.filter(stale | (F.col("id") % 7 == 0)).select("id", "version")
+    index, _ = I.changed(I.build(first), removed, rows.filter(stale & (F.col("id") % 7 != 0)))
+    return I.differences(index, rows.filter("id % 7 <> 0"))
+
+
 @query(f"{FULL_SQL} SELECT query_id, chapter_num, child_segment_id, title_score FROM ts")
 def j14_title_to_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J14 the first segments of a chapter whose title was hit."""

@@ -44,3 +44,32 @@ def test_context_of_every_hit_is_whole(spark, tiny):
     chapter = {r["evidence_id"]: r["chapter_num"] for r in registry.queries()["w05_evidence_candidates"](spark, tiny).collect()}
     assert all(text[chapter[r["evidence_id"]]][r["start_offset"] : r["end_offset"]] == r["para_text"] for r in rows)
     assert max(len(r["para_text"]) for r in rows) > 20
+
+
+def test_neighbours_prune_and_survive_copies(spark):
+    """Clustered vectors with 4,000 copies of one and one far away: exact, with few of all pairs compared."""
+    import numpy as np
+
+    from corpusloom.operators import retrieval as R
+
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(40, 8)) * 20
+    x = np.concatenate([centres[r.integers(0, 40, 4000)] + r.normal(size=(4000, 8)), np.tile(centres[0], (4000, 1)), [[1e3] * 8]])
+    ids = r.permutation(len(x))
+    v = spark.createDataFrame([(int(i), row.tolist()) for i, row in zip(ids, x, strict=True)], "vec_id long, embedding array<double>").repartition(4)
+    asked = v.filter("vec_id % 40 = 0")
+    got = {}
+    for q in R.nearest(v, asked, 5, rows=100, block=64).collect():
+        got.setdefault(q["query_id"], []).append((q["distance"], q["vec_id"]))
+    for i, row in zip(ids, x, strict=True):
+        if i % 40 == 0:
+            d = np.floor(((x - row) ** 2).sum(axis=1) * 1e6 + 0.5) / 1e6
+            want = sorted((float(a), int(b)) for a, b in zip(d, ids, strict=True) if b != i)[:5]
+            assert [b for _, b in sorted(got[i])] == [b for _, b in want]
+    cells = R.Cells(v, 6, 100, 2048)
+    assert cells.size.sum() == 4000 + 6 + 1 and len(cells.size) > 30
+    first = R.visits(cells, asked, 5)
+    tau = R.search_cells(cells, first, 5, 64).filter("place = 5").selectExpr("query_id as vec_id", "sqrt(distance) as tau")
+    met = sum(int(cells.size[c["cell"]]) for c in first.select("cell").collect() + R.visits(cells, asked, 5, tau).select("cell").collect())
+    assert met < 0.2 * asked.count() * 8001
+    assert R.nearest(v.limit(0), asked, 5).collect() == [] and R.nearest(v, asked.limit(0), 5).collect() == []
