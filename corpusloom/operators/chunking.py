@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.text import sha256
-from corpusloom.sources.staging import ship_package
+from corpusloom.sources.staging import materialize, ship_package
 
 SPECIAL_KINDS = ("separator", "author_note", "promo", "noise")
 BLOCK_MAX = 3000
@@ -231,18 +231,28 @@ def segments(chapters: DataFrame, longest: int = BLOCK_MAX, least: int = SEGMENT
     return rows.select(*KEYS, "scene_key", "scene_index", "segment_index", child("segment_index").alias("child_segment_id"), previous.alias("previous_child_id"), *(n for n, _ in fields[2:]), sha256(F.col("segment_text")).alias("segment_hash"))
 
 
+#: Characters of a chapter whose spans are gathered together.
+STRETCH = 1 << 20
+
+
 def cut_again(spans: DataFrame, chapters: DataFrame, id_col: str, key: str = "chapter_num") -> DataFrame:
     """For each span (key, id, start_offset, end_offset) the text between the offsets of the chapter with its key.
 
     Gives the key, the id as a string, has_chapter, and cut, null where the
-    offsets are missing, crossed or outside the text. A chapter's spans are
-    gathered, so its text is joined once and cut in one pass.
+    offsets are missing, crossed or outside the text. Spans that have a chapter and
+    offsets in order are gathered by stretches of it, so a text is joined once a
+    stretch and cut in one pass; all others are never gathered, however many
+    share a key. Repeated and null ids give a row each.
     """
     ship_package(chapters.sparkSession)
-    span = F.struct(F.col(id_col).cast("string").alias("id"), F.col("start_offset").cast("long").alias("s"), F.col("end_offset").cast("long").alias("e"))
-    gathered = spans.groupBy(key).agg(F.collect_list(span).alias("spans"))
+    has = chapters.select(F.col(key).alias("of_key")).distinct()
+    narrow = spans.select(key, F.col(id_col).cast("string").alias("id"), F.col("start_offset").cast("long").alias("s"), F.col("end_offset").cast("long").alias("e"))
+    narrow = narrow.join(has, F.col(key) == F.col("of_key"), "left").withColumn("has_chapter", F.col("of_key").isNotNull()).drop("of_key")
+    narrow = materialize(narrow.withColumn("sound", F.coalesce(F.col("has_chapter") & (F.col("s") >= 0) & (F.col("s") < F.col("e")), F.lit(False))), "spans")
+    gathered = narrow.filter("sound").groupBy(key, F.floor(F.col("s") / STRETCH).alias("stretch")).agg(F.collect_list(F.struct("id", "s", "e")).alias("spans"))
     text = chapters.select(F.col(key).alias("of_text"), "content")
-    joined = gathered.join(text, F.col(key) == F.col("of_text"), "left").select(key, "spans", "content", F.col("of_text").isNotNull().alias("has_chapter"))
+    joined = gathered.join(text, F.col(key) == F.col("of_text")).select(key, "spans", "content", F.lit(True).alias("has_chapter"))
+    rest = narrow.filter("not sound").select(key, F.col("id").alias(id_col), "has_chapter", F.lit(None).cast("string").alias("cut"))
     schema = T.StructType([spans.schema[key], T.StructField(id_col, T.StringType()), T.StructField("has_chapter", T.BooleanType()), T.StructField("cut", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,4 +264,4 @@ def cut_again(spans: DataFrame, chapters: DataFrame, id_col: str, key: str = "ch
                 at = pa.array([place] * len(listed), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([x["id"] for x in listed], pa.string()), batch.column(3).take(at), pa.array(cuts, pa.string())], names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).unionByName(rest)

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.intervals import bucket_of, over_buckets
 from corpusloom.functions.terms import distinct_terms, term_starts
-from corpusloom.functions.text import WS, sha256, stable_id
+from corpusloom.functions.text import WS, let, sha256, stable_id
 from corpusloom.sources.staging import materialize, release
 
 #: Words and scores of the review rules.
 PRONOUNS = ("he", "she", "they", "him", "her", "他", "她", "它", "他们", "她们", "对方")
+SUBJECT_LIKE = ("subject", "agent", "speaker", "mover", "discoverer", "attacker", "defender", "actor", "performer", "observer")
+NO_NAMES = ("the", "this", "that", "room", "door", "view", "chapter", "he", "she", "they", "him", "her", "他们", "我们", "你们", "众人", "所有人", "男人", "女人", "少年", "少女", "老人", "孩子", "灾厄", "怪物", "声音", "目光", "身体", "空气", "世界")
 SPEECH = ("said", "asked", "answered", "shouted", "whispered", "说道", "说", "问", "喊", "开口", "回答", "冷笑")
 CONFIDENCE = {"high": 0.8, "medium": 0.5, "low": 0.2}
 DECISION_CONFIDENCE = {"low": 0.25, "medium": 0.6, "high": 0.9}
@@ -85,42 +87,112 @@ def arguments(events: DataFrame, appearances: DataFrame) -> DataFrame:
     return found.unionByName(bare.select("event_id", F.lit("unknown").alias("role"), F.lit(None).cast("string").alias("character_id"), F.col("trigger_text").alias("entity_text"), F.lit("raw_trigger").alias("scope"), F.lit(None).cast("long").alias("match_start")))
 
 
-def review_export(events: DataFrame, args: DataFrame, scenes: DataFrame) -> DataFrame:
-    """Events with their argument bucket, scene, and warnings in a fixed order; duplicates are counted over keys."""
-    bucket = args.groupBy("event_id").agg(F.count_if(F.col("role") == "character").alias("characters"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "character", F.struct("match_start", "character_id", "entity_text")))), lambda x: x["entity_text"]), ",").alias("character_texts"))
-    x = events.join(bucket, "event_id", "left").join(scenes, "event_id", "left")
+#: Characters between a name and the trigger after it at which the name is the trigger's subject, or its agent.
+SUBJECT_GAP, AGENT_GAP = 1, 20
+
+
+def placed_roles(args: DataFrame, events: DataFrame) -> DataFrame:
+    """args with roles by place and trigger: of names of the sentence that end before the trigger the speaker of speech, the mover of a movement, the subject right before it, the agent near it."""
+    e = events.select("event_id", "trigger_text", "event_family", "trigger_start")
+    gap = F.col("trigger_start") - F.col("match_start") - F.length("entity_text")
+    near = (F.col("role") == "character") & (F.col("scope") == "same_sentence") & (gap >= 0)
+    role = (
+        F.when(near & F.col("trigger_text").isin(*SPEECH), "speaker")
+        .when(near & (gap <= SUBJECT_GAP), "subject")
+        .when(near & (F.col("event_family") == "movement"), "mover")
+        .when(near & (gap <= AGENT_GAP), "agent")
+        .otherwise(F.col("role"))
+    )
+    return args.join(e, "event_id").withColumn("role", role).select(args.columns)
+
+
+def review_export(events: DataFrame, args: DataFrame, scenes: DataFrame, backcut: DataFrame) -> DataFrame:
+    """Events with their arguments in order, scene, state of the back-cut, and sorted warnings; duplicates are counted over keys.
+
+    backcut: event_id and status of the evidence that each event has.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("match_start", "character_id", "entity_text", "role")))
+    bucket = args.groupBy("event_id").agg(listed.alias("arguments"))
+    people = F.filter("arguments", lambda x: x["character_id"].isNotNull())
+    x = events.join(bucket, "event_id", "left").join(scenes, "event_id", "left").join(backcut.select("event_id", F.col("status").alias("backcut_status")), "event_id", "left")
+    x = x.withColumns({"characters": F.coalesce(F.size(people).cast("long"), F.lit(0).cast("long")), "character_texts": F.coalesce(F.array_join(F.transform(people, lambda a: a["entity_text"]), ","), F.lit(""))})
     same_trigger = F.count(F.lit(1)).over(Window.partitionBy("chapter_num", "sentence_id", "trigger_text", "rule_id"))
     same_evidence = F.count(F.lit(1)).over(Window.partitionBy("chapter_num", "sentence_hash"))
     x = x.withColumns({"same_trigger": same_trigger, "same_evidence": same_evidence})
+    has = lambda role: F.coalesce(F.exists("arguments", lambda a: a["role"] == role), F.lit(False))
     warnings = F.array_compact(F.array(
-        F.lit("missing_subject"), F.when(F.coalesce("characters", F.lit(0)) == 0, "missing_character"), F.when(F.col("scene_key").isNull(), "missing_scene"), F.when(F.col("confidence") == "low", "weak_candidate"),
-        F.when(F.col("same_trigger") > 1, "duplicate_trigger_same_sentence"), F.when(F.col("same_evidence") > 1, "duplicate_event_same_evidence"),
+        F.when(F.col("backcut_status").isNull(), "missing_evidence_span"), F.when(F.coalesce(F.col("trigger_text"), F.lit("")) == "", "missing_trigger_text"), F.when(F.coalesce(F.size("arguments"), F.lit(0)) <= 0, "missing_argument"),
+        F.when(~has("subject"), "missing_subject_candidate"), F.when(F.col("scene_key").isNull(), "missing_scene_block"), F.when(F.coalesce(F.col("backcut_status"), F.lit("")) != "ok", "evidence_backcut_not_ok"),
+        F.when(F.col("confidence") == "low", "weak_candidate"), F.when(F.col("state_type").isNull(), "event_without_state_change"), F.when(F.col("same_trigger") > 1, "duplicate_trigger_same_sentence"), F.when(F.col("same_evidence") > 1, "duplicate_event_same_evidence"),
     ))
-    return x.withColumns({"warnings": warnings, "confidence_score": lookup(F.col("confidence"), CONFIDENCE, 0.5)}).drop("same_trigger", "same_evidence")
+    return x.withColumns({"warnings": F.array_sort(warnings), "confidence_score": lookup(F.col("confidence"), CONFIDENCE, 0.5)}).drop("same_trigger", "same_evidence")
+
+
+def _place(start: Column, text: Column) -> Column:
+    return F.struct(start.cast("long").alias("start"), (start + F.length(text)).cast("long").alias("end"), text.alias("text"))
+
+
+def _last_place(before: Column, text: Column) -> Column:
+    """Where a text stands for the last time, or null."""
+    at = F.instr(F.reverse(before), F.reverse(text))
+    return F.when((text != "") & (at > 0), _place(F.length(before) - at - F.length(text) + 1, text))
+
+
+_WORD = r"[\p{L}\p{N}_]"
+_CAPITAL = rf"(?s)\A(.*)(?<!{_WORD})(?!(?i:{'|'.join(n for n in NO_NAMES if n.isascii())})(?!{_WORD}))([A-Z][a-z]{{1,32}})(?!{_WORD})"
+
+
+def name_before(text: Column, trigger: Column, arguments: Column) -> Column:
+    """The name that stands last before the trigger's first occurrence: an argument's text, a capitalised word, or two to four Han characters; null if none."""
+    before = F.when(F.instr(text, trigger) > 0, F.substring(text, F.lit(1), F.instr(text, trigger) - 1)).otherwise(text)
+
+    def last(b: Column) -> Column:
+        own = F.transform(arguments, lambda a: F.when(~F.lower(a["entity_text"]).isin(*NO_NAMES), _last_place(b, a["entity_text"])))
+        capital = F.when(F.regexp_extract(b, _CAPITAL, 2) != "", _place(F.length(F.regexp_extract(b, _CAPITAL, 1)), F.regexp_extract(b, _CAPITAL, 2)))
+        han = F.filter(F.regexp_extract_all(b, F.lit(r"[\x{4e00}-\x{9fff}]{2,4}"), F.lit(0)), lambda w: ~w.isin(*NO_NAMES) & ~w.startswith("第"))
+        return F.array_max(F.array_compact(F.concat(F.coalesce(own, F.array().cast("array<struct<start:bigint,end:bigint,text:string>>")), F.array(capital, _last_place(b, F.try_element_at(han, F.lit(-1)))))))["text"]
+
+    return let(before, last)
 
 
-def names(text: Column) -> Column:
-    """Capitalised Latin words in order."""
-    return F.filter(F.regexp_extract_all(text, F.lit(r"\p{L}+"), F.lit(0)), lambda w: w.rlike(r"\A[A-Z][a-z]{1,32}\z") & ~F.lower(w).isin(*PRONOUNS, "the", "and"))
+#: Confidence of each rule that finds a subject.
+SUBJECT_RULES = {"existing_subject_candidate": 0.9, "l5_argument_agent": 0.82, "l5_argument_speaker": 0.82, "l5_argument_subject": 0.82, "pronoun_back_reference": 0.45, "quoted_speech_speaker_pattern": 0.82, "nearest_character_before_trigger": 0.72}
 
 
 def enhance(exported: DataFrame, sentences: DataFrame) -> DataFrame:
     """A subject by the first rule that finds one, with score and recommendation; the previous sentence is met by its number."""
     before = sentences.select(F.col("para_id"), (F.col("sentence_index") + 1).alias("sentence_index"), F.col("sentence_text").alias("previous"))
     x = exported.join(before, ["para_id", "sentence_index"], "left")
-    lead = F.substring("sentence_text", F.lit(1), (F.col("trigger_start") - F.col("start_offset")).cast("int"))
     first = F.lower(F.regexp_extract("sentence_text", rf"\A{WS}*([A-Za-z\x{{4e00}}-\x{{9fff}}]+)", 1))
-    x = x.withColumns({"here": F.try_element_at(names(lead), F.lit(-1)), "there": F.try_element_at(names(F.coalesce("previous", F.lit(""))), F.lit(-1)), "pronoun": first.isin(*PRONOUNS)})
-    back = F.col("pronoun") & F.col("there").isNotNull()
-    speech = F.col("trigger_text").isin(*SPEECH) & F.col("here").isNotNull()
-    rule = F.when(back, "pronoun_back_reference").when(speech, "quoted_speech_speaker_pattern").when(F.col("here").isNotNull(), "nearest_character_before_trigger").otherwise("not_found")
+    named = F.filter("arguments", lambda a: F.coalesce(a["entity_text"], F.lit("")) != "")
+    given = F.get(F.filter(named, lambda a: a["role"] == "subject"), 0)
+    like = F.get(F.filter(named, lambda a: a["role"].isin(*SUBJECT_LIKE)), 0)
+    x = x.withColumns({"given": given["entity_text"], "like": like["entity_text"], "like_role": like["role"], "pronoun": first.isin(*PRONOUNS), "named": named})
+    x = x.withColumns({"here": name_before(F.col("sentence_text"), F.col("trigger_text"), F.col("named")), "there": F.when(F.col("pronoun"), name_before(F.concat(F.coalesce("previous", F.lit("")), F.lit(" "), "trigger_text"), F.col("trigger_text"), F.col("named")))})
+    rule = (
+        F.when(F.col("given").isNotNull(), "existing_subject_candidate")
+        .when(F.col("like_role").isin("agent", "speaker"), F.concat(F.lit("l5_argument_"), "like_role"))
+        .when(F.col("like").isNotNull(), "l5_argument_subject")
+        .when(F.col("there").isNotNull(), "pronoun_back_reference")
+        .when(F.col("here").isNotNull() & F.col("trigger_text").isin(*SPEECH), "quoted_speech_speaker_pattern")
+        .when(F.col("here").isNotNull(), "nearest_character_before_trigger")
+        .otherwise("not_found")
+    )
     x = x.withColumn("subject_rule", rule)
-    x = x.withColumns({"subject_text": F.when(F.col("subject_rule") == "pronoun_back_reference", F.col("there")).when(F.col("subject_rule") != "not_found", F.col("here")), "subject_confidence": lookup(F.col("subject_rule"), {"pronoun_back_reference": 0.45, "quoted_speech_speaker_pattern": 0.82, "nearest_character_before_trigger": 0.72}, 0.0)})
-    has, weak = F.col("subject_text").isNotNull(), F.col("subject_confidence") < 0.6
+    by_rule = F.when(F.col("subject_rule") != "not_found", F.coalesce("given", "like", "there", "here"))
+    x = x.withColumns({"subject_text": by_rule, "subject_confidence": lookup(F.col("subject_rule"), SUBJECT_RULES, 0.0)})
+    has, weak, sound = F.col("subject_text").isNotNull(), F.col("subject_confidence") < 0.6, F.col("backcut_status") == "ok"
     repeated = F.array_contains("warnings", "duplicate_event_same_evidence")
-    score = F.col("confidence_score") + F.when(has, 0.15).otherwise(0.0) + 0.05 + F.when(F.col("scene_key").isNotNull(), 0.05).otherwise(0.0) - F.when(has & weak, 0.10).otherwise(0.0) - F.when(repeated, 0.10).otherwise(0.0)
-    advice = F.when(repeated | F.array_contains("warnings", "duplicate_trigger_same_sentence"), "likely_duplicate").when(~has | (F.col("subject_confidence") < 0.5), "needs_context").when(F.array_contains("warnings", "weak_candidate"), "weak_candidate").otherwise("ready_for_l5_3_candidate")
-    return x.withColumns({"quality_score": F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(score, 2))), "recommendation": advice}).drop("here", "there", "pronoun", "previous")
+    points = lambda when, n: F.when(when, n).otherwise(0.0)
+    score = F.col("confidence_score") + points(has, 0.15) + points(sound, 0.05) + points(F.col("scene_key").isNotNull(), 0.05) - points(has & weak, 0.10) - points(F.coalesce(~sound, F.lit(True)), 0.15) - points(repeated, 0.10)
+    advice = (
+        F.when(repeated | F.array_contains("warnings", "duplicate_trigger_same_sentence"), "likely_duplicate")
+        .when(~has | (F.col("subject_confidence") < 0.5), "needs_context")
+        .when(F.array_contains("warnings", "weak_candidate"), "weak_candidate")
+        .when(sound, "ready_for_l5_3_candidate")
+        .otherwise("review_candidate")
+    )
+    return x.withColumns({"quality_score": F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(score, 2))), "recommendation": advice}).drop("here", "there", "pronoun", "previous", "given", "like", "like_role", "named")
 
 
 def normalize(enhanced: DataFrame, direct: tuple[str, ...], by_candidate: dict[str, str], by_category: dict[str, str], importance: dict[str, str]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import sha256
 from corpusloom.operators.chunking import cut_again
 from corpusloom.operators.grounding import recover_json
+from corpusloom.sources.staging import materialize
 
 #: States of evidence that is cut out of its chapter again, in the order in which they are tried.
 BACKCUT = ("missing_coordinate", "missing_l2_source", "offset_invalid", "empty_text", "hash_mismatch", "ok")
@@ -31,16 +32,17 @@ def backcut_status(evidence: DataFrame, sentences: DataFrame, paragraphs: DataFr
 
     evidence: evidence_id, chapter_id, version_id, sentence_id, para_id,
     start_offset and end_offset as text, evidence_hash. The sentence decides
-    where one is named, else the paragraph.
+    where one is named, else the paragraph. Rows are told apart by a number of
+    their own: repeated and null ids give a row each.
     """
-    e = evidence.withColumns({"__key": F.concat_ws("|", "chapter_id", "version_id"), "__s": F.col("start_offset").try_cast("long"), "__e": F.col("end_offset").try_cast("long")})
+    e = materialize(evidence.withColumn("__row", F.monotonically_increasing_id()), "evidence").withColumns({"__key": F.concat_ws("|", "chapter_id", "version_id"), "__s": F.col("start_offset").try_cast("long"), "__e": F.col("end_offset").try_cast("long")})
     known = lambda df, c, name: df.select(F.col(c).alias(f"__{c}"), F.col("version_id").alias(f"__{c}_version"), F.lit(True).alias(name))
     for df, c, name in ((sentences, "sentence_id", "__in_sentences"), (paragraphs, "para_id", "__in_paragraphs")):
         k = known(df, c, name)
         e = e.join(k, (e[c] == k[f"__{c}"]) & (e["version_id"] == k[f"__{c}_version"]), "left").drop(f"__{c}", f"__{c}_version")
     keyed = chapters.withColumn("__key", F.concat_ws("|", "chapter_id", "version_id"))
-    cut = cut_again(e.select("__key", "evidence_id", F.col("__s").alias("start_offset"), F.col("__e").alias("end_offset")), keyed, "evidence_id", "__key").drop("__key")
-    e = e.join(cut.withColumnRenamed("evidence_id", "__id"), F.col("evidence_id").cast("string") == F.col("__id")).drop("__id")
+    cut = cut_again(e.select("__key", "__row", F.col("__s").alias("start_offset"), F.col("__e").alias("end_offset")), keyed, "__row", "__key").select(F.col("__row").cast("long").alias("__row"), "has_chapter", "cut")
+    e = e.join(cut, "__row").drop("__row")
     lacks = given(F.col("start_offset")).isNull() | given(F.col("end_offset")).isNull() | given(F.col("chapter_id")).isNull() | given(F.col("version_id")).isNull()
     traced = F.when(given(F.col("sentence_id")).isNotNull(), F.col("__in_sentences")).when(given(F.col("para_id")).isNotNull(), F.col("__in_paragraphs")).otherwise(True)
     status = (

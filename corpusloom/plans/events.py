@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from corpusloom.operators import chunking as C
 from corpusloom.operators import dictionary as D
 from corpusloom.operators import events as E
+from corpusloom.operators import verification as V
 from corpusloom.plans import corpus_sql as S
 from corpusloom.plans.corpus import BLOCK, units
 from corpusloom.plans.entities import ALIASES, APP_SQL, OCC
 from corpusloom.plans.registry import query
+from corpusloom.sources.corpus import chapters, table
 from corpusloom.sources.staging import materialize
 
 RULES = [
@@ -45,17 +47,33 @@ ar AS MATERIALIZED (SELECT event_id, 'character' AS role, character_id, alias_te
 SCENE_SQL = f"""{ARG_SQL},
 sc AS MATERIALIZED (SELECT event_id, arg_min(scene_key, bl.start_offset) AS scene_key, arg_min(scene_index, bl.start_offset) AS scene_index FROM ev JOIN bl ON bl.chapter_id = ev.chapter_id AND bl.version_id = ev.version_id AND bl.start_offset <= ev.start_offset AND ev.end_offset <= bl.end_offset GROUP BY event_id)"""
 EXPORT_SQL = f"""{SCENE_SQL},
-bu AS (SELECT event_id, count(*) FILTER (role = 'character') AS characters, coalesce(string_agg(entity_text, ',' ORDER BY match_start, character_id, entity_text) FILTER (role = 'character'), '') AS character_texts FROM ar GROUP BY event_id),
-x0 AS (SELECT ev.*, characters, character_texts, scene_key, scene_index, count(*) OVER (PARTITION BY chapter_num, sentence_id, trigger_text, rule_id) AS st, count(*) OVER (PARTITION BY chapter_num, sentence_hash) AS sv FROM ev LEFT JOIN bu USING (event_id) LEFT JOIN sc USING (event_id)),
-ex AS MATERIALIZED (SELECT *, list_filter(['missing_subject', CASE WHEN coalesce(characters, 0) = 0 THEN 'missing_character' END, CASE WHEN scene_key IS NULL THEN 'missing_scene' END, CASE WHEN confidence = 'low' THEN 'weak_candidate' END, CASE WHEN st > 1 THEN 'duplicate_trigger_same_sentence' END, CASE WHEN sv > 1 THEN 'duplicate_event_same_evidence' END], lambda w: w IS NOT NULL) AS warnings, CASE confidence WHEN 'high' THEN 0.8 WHEN 'medium' THEN 0.5 ELSE 0.2 END::DOUBLE AS confidence_score FROM x0)"""
-_names = lambda t: f"list_filter(regexp_extract_all({t}, '\\p{{L}}+'), lambda w: regexp_matches(w, '\\A[A-Z][a-z]{{1,32}}\\z') AND NOT list_contains({_l([*E.PRONOUNS, 'the', 'and'])}, lower(w)))[-1]"
+pl AS (SELECT ar.*, trigger_text, event_family, trigger_start - match_start - len(entity_text) AS gap FROM ar JOIN ev USING (event_id)),
+rr AS (SELECT event_id, character_id, entity_text, match_start, CASE WHEN role = 'character' AND scope = 'same_sentence' AND gap >= 0 THEN CASE WHEN list_contains({_l(E.SPEECH)}, trigger_text) THEN 'speaker' WHEN gap <= {E.SUBJECT_GAP} THEN 'subject' WHEN event_family = 'movement' THEN 'mover' WHEN gap <= {E.AGENT_GAP} THEN 'agent' ELSE role END ELSE role END AS role FROM pl),
+bu AS (SELECT event_id, list({{'t': entity_text, 'r': role}} ORDER BY match_start NULLS FIRST, character_id NULLS FIRST, entity_text) AS arr, count(character_id) AS characters, coalesce(string_agg(entity_text, ',' ORDER BY match_start, character_id, entity_text) FILTER (character_id IS NOT NULL), '') AS character_texts FROM rr GROUP BY event_id),
+x0 AS (SELECT ev.*, arr, characters, character_texts, scene_key, scene_index, CASE WHEN chapter_num % 11 = 5 THEN 'hash_mismatch' ELSE 'ok' END AS backcut_status, count(*) OVER (PARTITION BY chapter_num, sentence_id, trigger_text, rule_id) AS st, count(*) OVER (PARTITION BY chapter_num, sentence_hash) AS sv FROM ev LEFT JOIN bu USING (event_id) LEFT JOIN sc USING (event_id)),
+ex AS MATERIALIZED (SELECT *, list_sort(list_filter([CASE WHEN len(list_filter(arr, lambda a: a.r = 'subject')) = 0 THEN 'missing_subject_candidate' END, CASE WHEN scene_key IS NULL THEN 'missing_scene_block' END, CASE WHEN backcut_status <> 'ok' THEN 'evidence_backcut_not_ok' END, CASE WHEN confidence = 'low' THEN 'weak_candidate' END, CASE WHEN state_type IS NULL THEN 'event_without_state_change' END, CASE WHEN st > 1 THEN 'duplicate_trigger_same_sentence' END, CASE WHEN sv > 1 THEN 'duplicate_event_same_evidence' END], lambda w: w IS NOT NULL)) AS warnings, CASE confidence WHEN 'high' THEN 0.8 WHEN 'medium' THEN 0.5 ELSE 0.2 END::DOUBLE AS confidence_score FROM x0)"""
 _ws = r"[ \t\n\x0B\f\r\x{85}\x{a0}\x{3000}]"
+_rfind = lambda b, t: f"CASE WHEN strpos(reverse({b}), reverse({t})) > 0 THEN len({b}) - strpos(reverse({b}), reverse({t})) - len({t}) + 1 ELSE -1 END"
+_upto = lambda t: f"CASE WHEN strpos({t}, trigger_text) > 0 THEN substr({t}, 1, strpos({t}, trigger_text) - 1) ELSE {t} END"
+
+
+def _named_sql(b: str) -> str:
+    """All names in a text with their places, the last one taken."""
+    stop = _l(E.NO_NAMES)
+    words = f"regexp_extract_all({b}, '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]+')"
+    own = f"list_transform(arr, lambda a: {{'s': ({_rfind(b, 'a.t')})::BIGINT, 'n': len(a.t)::BIGINT, 't': a.t}})"
+    capital = f"list_transform(range(1, len({words}) + 1), lambda i: {{'s': (CASE WHEN regexp_full_match({words}[i], '[A-Z][a-z]{{1,32}}') THEN len(array_to_string({words}[1:i - 1], '')) ELSE -1 END)::BIGINT, 'n': len({words}[i])::BIGINT, 't': {words}[i]}})"
+    han = f"list_transform(list_filter(regexp_extract_all({b}, '[\\x{{4e00}}-\\x{{9fff}}]{{2,4}}'), lambda w: NOT starts_with(w, '第')), lambda w: {{'s': ({_rfind(b, 'w')})::BIGINT, 'n': len(w)::BIGINT, 't': w}})"
+    return f"list_sort(list_transform(list_filter(list_concat({own}, {capital}, {han}), lambda x: x.s >= 0 AND NOT list_contains({stop}, lower(x.t))), lambda x: {{'s': x.s, 'e': x.s + x.n, 't': x.t}}))[-1].t"
+
+
 ENHANCE_SQL = f"""{EXPORT_SQL},
-n0 AS (SELECT ex.*, {_names("substr(ex.sentence_text, 1, trigger_start - ex.start_offset)")} AS here, {_names("coalesce(p.sentence_text, '')")} AS there, list_contains({_l(E.PRONOUNS)}, lower(regexp_extract(ex.sentence_text, '\\A{_ws}*([A-Za-z\\x{{4e00}}-\\x{{9fff}}]+)', 1))) AS pronoun FROM ex LEFT JOIN s2 p ON p.para_id = ex.para_id AND p.sentence_index = ex.sentence_index - 1),
-n1 AS (SELECT *, CASE WHEN pronoun AND there IS NOT NULL THEN 'pronoun_back_reference' WHEN list_contains({_l(E.SPEECH)}, trigger_text) AND here IS NOT NULL THEN 'quoted_speech_speaker_pattern' WHEN here IS NOT NULL THEN 'nearest_character_before_trigger' ELSE 'not_found' END AS subject_rule FROM n0),
-n2 AS (SELECT *, CASE subject_rule WHEN 'pronoun_back_reference' THEN there WHEN 'not_found' THEN NULL ELSE here END AS subject_text, CASE subject_rule WHEN 'pronoun_back_reference' THEN 0.45 WHEN 'quoted_speech_speaker_pattern' THEN 0.82 WHEN 'nearest_character_before_trigger' THEN 0.72 ELSE 0.0 END::DOUBLE AS subject_confidence, list_contains(warnings, 'duplicate_event_same_evidence') AS rep FROM n1),
-en AS MATERIALIZED (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, round(confidence_score + (CASE WHEN subject_text IS NOT NULL THEN 0.15 ELSE 0.0 END)::DOUBLE + 0.05::DOUBLE + (CASE WHEN scene_key IS NOT NULL THEN 0.05 ELSE 0.0 END)::DOUBLE - (CASE WHEN subject_text IS NOT NULL AND subject_confidence < 0.6 THEN 0.10 ELSE 0.0 END)::DOUBLE - (CASE WHEN rep THEN 0.10 ELSE 0.0 END)::DOUBLE, 2))) AS quality_score,
-  CASE WHEN rep OR list_contains(warnings, 'duplicate_trigger_same_sentence') THEN 'likely_duplicate' WHEN subject_text IS NULL OR subject_confidence < 0.5 THEN 'needs_context' WHEN list_contains(warnings, 'weak_candidate') THEN 'weak_candidate' ELSE 'ready_for_l5_3_candidate' END AS recommendation FROM n2)"""
+nb AS (SELECT ex.*, {_upto("ex.sentence_text")} AS bf, {_upto("(coalesce(p.sentence_text, '') || ' ' || trigger_text)")} AS bp, list_contains({_l(E.PRONOUNS)}, lower(regexp_extract(ex.sentence_text, '\\A{_ws}*([A-Za-z\\x{{4e00}}-\\x{{9fff}}]+)', 1))) AS pronoun, list_filter(arr, lambda a: a.r = 'subject')[1].t AS given, list_filter(arr, lambda a: list_contains({_l(E.SUBJECT_LIKE)}, a.r))[1] AS lk FROM ex LEFT JOIN s2 p ON p.para_id = ex.para_id AND p.sentence_index = ex.sentence_index - 1),
+n0 AS (SELECT *, {_named_sql("bf")} AS here, CASE WHEN pronoun THEN {_named_sql("bp")} END AS there FROM nb),
+n1 AS (SELECT *, CASE WHEN given IS NOT NULL THEN 'existing_subject_candidate' WHEN lk.r IN ('agent', 'speaker') THEN 'l5_argument_' || lk.r WHEN lk IS NOT NULL THEN 'l5_argument_subject' WHEN pronoun AND there IS NOT NULL THEN 'pronoun_back_reference' WHEN here IS NULL THEN 'not_found' WHEN list_contains({_l(E.SPEECH)}, trigger_text) THEN 'quoted_speech_speaker_pattern' ELSE 'nearest_character_before_trigger' END AS subject_rule FROM n0),
+n2 AS (SELECT *, CASE subject_rule WHEN 'existing_subject_candidate' THEN given WHEN 'pronoun_back_reference' THEN there WHEN 'not_found' THEN NULL WHEN 'quoted_speech_speaker_pattern' THEN here WHEN 'nearest_character_before_trigger' THEN here ELSE lk.t END AS subject_text, CASE subject_rule WHEN 'existing_subject_candidate' THEN 0.9 WHEN 'pronoun_back_reference' THEN 0.45 WHEN 'nearest_character_before_trigger' THEN 0.72 WHEN 'not_found' THEN 0.0 ELSE 0.82 END::DOUBLE AS subject_confidence, list_contains(warnings, 'duplicate_event_same_evidence') AS rep FROM n1),
+en AS MATERIALIZED (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, round(confidence_score + (CASE WHEN subject_text IS NOT NULL THEN 0.15 ELSE 0.0 END)::DOUBLE + (CASE WHEN backcut_status = 'ok' THEN 0.05 ELSE 0.0 END)::DOUBLE + (CASE WHEN scene_key IS NOT NULL THEN 0.05 ELSE 0.0 END)::DOUBLE - (CASE WHEN subject_text IS NOT NULL AND subject_confidence < 0.6 THEN 0.10 ELSE 0.0 END)::DOUBLE - (CASE WHEN backcut_status <> 'ok' THEN 0.15 ELSE 0.0 END)::DOUBLE - (CASE WHEN rep THEN 0.10 ELSE 0.0 END)::DOUBLE, 2))) AS quality_score,
+  CASE WHEN rep OR list_contains(warnings, 'duplicate_trigger_same_sentence') THEN 'likely_duplicate' WHEN subject_text IS NULL OR subject_confidence < 0.5 THEN 'needs_context' WHEN list_contains(warnings, 'weak_candidate') THEN 'weak_candidate' WHEN backcut_status = 'ok' THEN 'ready_for_l5_3_candidate' ELSE 'review_candidate' END AS recommendation FROM n2)"""
 _case = lambda c, d, e="NULL": f"CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in d.items()) + f" ELSE {e} END"
 NORMAL_SQL = f"""{ENHANCE_SQL},
 o0 AS (SELECT *, coalesce(CASE WHEN event_type IN ({", ".join(f"'{d}'" for d in DIRECT)}) THEN event_type END, {_case("event_type", BY_CANDIDATE)}, {_case("event_family", BY_CATEGORY)}) AS normalized_type FROM en),
@@ -116,6 +134,7 @@ class Chain:
     """The stages over one corpus. Like the layers of an index, stages that many later ones read are written once as tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         self.units = units(spark, sf_dir)
         self.sentences = materialize(C.sentences(self.units), "sentences")
         self.triggers = E.triggers(self.sentences, E.rule_table(spark, RULES))
@@ -135,7 +154,15 @@ class Chain:
 
     @cached_property
     def exported(self) -> DataFrame:
-        return materialize(E.review_export(self.events, self.args, self.scenes), "export")
+        return materialize(E.review_export(self.events, E.placed_roles(self.args, self.events), self.scenes, self.backcuts), "export")
+
+    @cached_property
+    def backcuts(self) -> DataFrame:
+        """The evidence of each event cut out of its chapter again; the stored hashes of every eleventh chapter are stale."""
+        stored = F.when(F.col("chapter_num") % 11 == 5, "stale").otherwise(F.col("sentence_hash"))
+        evidence = self.events.select(F.col("event_id").alias("evidence_id"), "chapter_id", "version_id", "sentence_id", "para_id", F.col("start_offset").cast("string").alias("start_offset"), F.col("end_offset").cast("string").alias("end_offset"), stored.alias("evidence_hash"))
+        paragraphs = self.sentences.select("para_id", "version_id").distinct()
+        return V.backcut_status(evidence, self.sentences, paragraphs, chapters(table(self.spark, self.sf_dir, "documents"))).select(F.col("evidence_id").alias("event_id"), "status")
 
     @cached_property
     def enhanced(self) -> DataFrame:
@@ -237,7 +264,7 @@ def j23_event_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(wrap(EXPORT_SQL, "SELECT event_id, coalesce(characters, 0) AS characters, character_texts, scene_key, array_to_string(warnings, ',') AS warnings, confidence_score FROM ex", True))
 def p11_review_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P11 export rows, A10 duplicate flags, X43 confidence scores."""
+    """P11 export rows with their ordered checks and back-cuts, A10 duplicate flags, X43 confidence scores."""
     return Chain(spark, sf_dir).exported.select("event_id", F.coalesce("characters", F.lit(0)).alias("characters"), "character_texts", "scene_key", F.array_join("warnings", ",").alias("warnings"), "confidence_score")
 
 

@@ -68,15 +68,15 @@ def p04_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT conv_id, turn, CASE conv_id % 6 WHEN 0 THEN 'plain' WHEN 1 THEN 'fenced' WHEN 2 THEN 'balanced' WHEN 3 THEN 'invalid' WHEN 4 THEN 'empty' ELSE 'balanced' END AS how, CASE WHEN conv_id % 6 IN (0, 1, 2, 5) THEN conv_id END AS a, CASE WHEN conv_id % 6 IN (0, 1, 2, 5) THEN 'x}"{' || turn END AS b FROM conversations"""
+    """SELECT conv_id, turn, CASE conv_id % 7 WHEN 0 THEN 'plain' WHEN 1 THEN 'fenced' WHEN 3 THEN 'invalid' WHEN 4 THEN 'empty' ELSE 'balanced' END AS how, CASE WHEN conv_id % 7 NOT IN (3, 4) THEN conv_id END AS a, CASE WHEN conv_id % 7 NOT IN (3, 4) THEN 'x}"{' || turn END AS b FROM conversations"""
 )
 def x54_json_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X54 plain, fenced, or first balanced object, M20 reply contents; an Arrow function, since balance is beyond expressions."""
+    """X54 plain, fenced, or first balanced object after broken ones, M20 reply contents; an Arrow function, since balance is beyond expressions."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn")
     good = F.concat(F.lit('{"a": '), F.col("conv_id").cast("string"), F.lit(', "b": "x}\\"{'), F.col("turn").cast("string"), F.lit('"}'))
-    m = F.col("conv_id") % 6
+    m = F.col("conv_id") % 7
     fenced = F.concat(F.lit("Here:\n```json\n"), good, F.lit("\n```\nbye"))
-    text = F.when(m == 0, good).when(m == 1, fenced).when(m == 2, F.concat(F.lit("sure: "), good)).when(m == 3, "{broken: true").when(m == 4, "  \n").otherwise(F.concat(F.lit("Answer: "), good, F.lit(" and {more}")))
+    text = F.when(m == 0, good).when(m == 1, fenced).when(m == 2, F.concat(F.lit("sure: "), good)).when(m == 3, "{broken: true").when(m == 4, "  \n").when(m == 6, F.concat(F.lit('use {x} or {"a": {"b": then '), good)).otherwise(F.concat(F.lit("Answer: "), good, F.lit(" and {more}")))
     r = rows.withColumn("r", G.recover_json(text))
     return r.select("conv_id", "turn", F.col("r.how").alias("how"), F.get_json_object("r.json", "$.a").cast("long").alias("a"), F.get_json_object("r.json", "$.b").alias("b"))
 

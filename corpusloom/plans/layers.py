@@ -9,6 +9,7 @@ from corpusloom.functions.text import let
 from corpusloom.operators.events import CONFIDENCE, DECISION_CONFIDENCE, global_positions, lookup
 from corpusloom.plans.registry import query
 from corpusloom.sources.corpus import table
+from corpusloom.sources.staging import materialize
 
 ROLES = ["subject", "agent", "speaker", "object"]
 _roles = "[" + ", ".join(f"'{r}'" for r in ROLES) + "]"
@@ -71,19 +72,25 @@ def o01_id_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, F.col("a") == F.col("b"), "full_outer").filter("a is null or b is null").select(F.coalesce("a", "b").alias("doc_id"), side.alias("side"))
 
 
-def as_of(left: DataFrame, right: DataFrame, bucket: int = 3_600_000_000) -> DataFrame:
+def in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """df sorted and dealt by ranges of the order, written with its part and its place there: rows of one time are spread like any others."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    return materialize(ordered, "ordered").withColumns({"part": F.shiftright("at", 33), "place": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("at")
+
+
+def as_of(left: DataFrame, right: DataFrame) -> DataFrame:
     """Both: event_id, t in microseconds. For each left row the id of the last right row at or before it, the larger of equal times; null where there is none.
 
-    Both sides meet in one ordered window inside buckets of time (an hour by
-    default), and the last row of earlier buckets is carried over, a row a bucket.
+    Both sides are sorted together in ranges; inside a range a window carries the
+    last right row on, and the last one of earlier ranges is carried over, a row a range.
     """
     right = right.filter("t is not null").groupBy("t").agg(F.max("event_id").alias("r"))
-    day = F.floor(F.col("t") / bucket)
-    both = right.select("t", F.lit(0).alias("k"), "r", F.lit(None).cast("long").alias("event_id")).unionByName(left.select("t", F.lit(1).alias("k"), F.lit(None).cast("long").alias("r"), "event_id")).withColumn("day", day)
-    inside = Window.partitionBy("day").orderBy("t", "k", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    last = both.groupBy("day").agg(F.max_by("r", F.when(F.col("k") == 0, F.col("t"))).alias("z"))
-    earlier = last.select("day", F.last("z", ignorenulls=True).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    found = both.withColumn("here", F.last("r", ignorenulls=True).over(inside)).filter("k = 1").join(earlier, "day", "left")
+    both = right.select("t", F.lit(0).alias("k"), "r", F.lit(None).cast("long").alias("event_id")).unionByName(left.select("t", F.lit(1).alias("k"), F.lit(None).cast("long").alias("r"), "event_id"))
+    ordered = in_ranges(both, "t", "k", "event_id")
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    last = ordered.groupBy("part").agg(F.max_by("r", F.when(F.col("k") == 0, F.col("place"))).alias("z"))
+    earlier = last.select("part", F.last("z", ignorenulls=True).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    found = ordered.withColumn("here", F.last("r", ignorenulls=True).over(inside)).filter("k = 1").join(earlier, "part")
     return found.select("event_id", F.coalesce("here", "carried").alias("previous_id"))
 
 

@@ -230,12 +230,46 @@ def _timed(f):
     return time.perf_counter() - began
 
 
-@pytest.mark.parametrize("text, how, a", [('{"a": 1}', "plain", 1), ('x ```json\n{"a": 2}\n``` y', "fenced", 2), ('so {"a": 3, "b": "}"} end }', "balanced", 3), ("{a", "invalid", None), (" ", "empty", None), (None, "empty", None)])
+@pytest.mark.parametrize("text, how, a", [('{"a": 1}', "plain", 1), ('x ```json\n{"a": 2}\n``` y', "fenced", 2), ('so {"a": 3, "b": "}"} end }', "balanced", 3), ("{a", "invalid", None), ('use {x} then {"a": 4}', "balanced", 4), ('{"b": [1, {"a": 5}, {"c": ', "balanced", 5), ('{"b": "see {\\"a\\": 1} or', "invalid", None), ('{"b": "{}', "balanced", None), ("[1, {}]", "balanced", None), (" ", "empty", None), (None, "empty", None)])
 def test_json_recovery(spark, text, how, a):
     row = spark.createDataFrame([(text,)], "t string").select(G.recover_json("t").alias("r")).select("r.how", F.get_json_object("r.json", "$.a").cast("int").alias("a")).first()
     assert tuple(row) == (how, a)
 
 
+def test_broken_objects_take_time_in_proportion():
+    for text in ('{"a":' * 200_000, "{" * 500_000, '{"a": {"b": "' * 100_000, "{x} " * 200_000 + '{"a": 1}'):
+        began = time.perf_counter()
+        got = G.first_object(text)
+        assert got == ('{"a": 1}' if text.endswith("1}") else None) and time.perf_counter() - began < 5
+
+
+def test_spans_without_a_chapter_are_not_gathered(spark):
+    chapters = spark.createDataFrame([(1, "abcdef"), (2, "x" * 3)], "chapter_num long, content string")
+    lost = spark.range(100_000).select(F.lit(9).cast("long").alias("chapter_num"), F.lit(None).cast("string").alias("k"), F.lit(0).alias("start_offset"), F.lit(2).alias("end_offset"))
+    rows = [(1, "a", 0, 2), (1, "a", 0, 2), (1, None, 4, 6), (1, "b", 4, 7), (2, "c", None, 1), (2, "d", 2, 1), (None, "e", 0, 1)]
+    spans = spark.createDataFrame(rows, "chapter_num long, k string, start_offset int, end_offset int")
+    got = C.cut_again(spans.unionByName(lost), chapters, "k")
+    assert got.filter("chapter_num = 9 and k is null and not has_chapter and cut is null").count() == 100_000
+    small = sorted(((r["chapter_num"], r["k"], r["has_chapter"], r["cut"]) for r in got.filter("chapter_num is null or chapter_num < 9").collect()), key=repr)
+    assert small == sorted([(1, "a", True, "ab"), (1, "a", True, "ab"), (1, None, True, "ef"), (1, "b", True, None), (2, "c", True, None), (2, "d", True, None), (None, "e", False, None)], key=repr)
+
+
+def test_as_of_of_one_second_is_spread(spark):
+    import random
+
+    from corpusloom.plans import layers
+
+    r = random.Random(6)
+    one = spark.range(200_000).select(F.col("id").alias("event_id"), F.lit(5_000_000).cast("long").alias("t"))
+    sizes = [x["count"] for x in layers.in_ranges(one, "t", "event_id").groupBy("part").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 120_000
+    times = [(i, r.choice((None, 1, 2, 3, 5, 9, 400, 10**13)) if i % 3 else r.randrange(50)) for i in range(900)]
+    right = [(1000 + i, r.choice((None, *range(0, 60, 7)))) for i in range(60)]
+    got = layers.as_of(spark.createDataFrame(times, "event_id long, t long"), spark.createDataFrame(right, "event_id long, t long"))
+    before = lambda t: max(((u, i) for i, u in right if u is not None and t is not None and u <= t), default=(0, None))[1]
+    assert {x["event_id"]: x["previous_id"] for x in got.collect()} == {i: before(t) for i, t in times}
+
+
 def test_rule_checks(spark):
     rules = spark.createDataFrame([("a_b", 0.1, 0.0, 1.0), ("x_penalty", 0.1, 0.5, 0.2)], "rule_id string, delta double, floor double, ceiling double")
     assert sorted(map(tuple, R.bound_violations(rules).collect())) == [("bounds_invalid", "x_penalty"), ("penalty_not_negative", "x_penalty")]
