@@ -256,9 +256,9 @@ def covered(sent: DataFrame, at_once: int = 200_000) -> DataFrame:
         order, common = sx.merged(lists, column("shared"))
         run = np.array(order, np.int64)
         nth = np.empty(len(run), np.int64)  # its place in its run
-        for r in range(len(lists)):
-            nth[run == r] = np.arange(len(lists[r]))
         opens = np.cumsum([0, *map(len, lists)])[:-1]
+        by_run = np.argsort(run, kind="stable")
+        nth[by_run] = np.arange(len(run)) - opens[run[by_run]]
         flat = opens[run] + nth
         least = ids("least")[flat]
         most = least + ids("most")[flat]
@@ -298,10 +298,11 @@ def covered(sent: DataFrame, at_once: int = 200_000) -> DataFrame:
         entry, piece = entry[needed], piece[needed]
         firsts = np.array([int.from_bytes(x) for x in column("first")], np.int64)
         rows = []
+        by_run = np.argsort(run[entry], kind="stable")
+        cuts = np.searchsorted(run[entry][by_run], np.arange(len(lists) + 1))
         for r, block in enumerate(column("block")):
-            own = run[entry] == r
-            if own.any():
-                e, p = entry[own], piece[own]
+            e, p = entry[by_run[cuts[r] : cuts[r + 1]]], piece[by_run[cuts[r] : cuts[r + 1]]]
+            if len(e):
                 rows.append((block, (firsts[r] + nth[e]).tobytes(), start[p].astype(np.uint8).tobytes() + count[p].astype(np.uint8).tobytes() + value[p].tobytes()))
         return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "kind": pa.array([1] * len(rows), pa.int32()), "data": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
 
@@ -313,7 +314,7 @@ def _mask(found: Block, said: list) -> np.ndarray:
     s = found.shared(*_told([n for n in said if n["kind"] == 0]))
     _, place = sx.sorted_run(found.buffer, s)
     total = int(found.ends[-1]) if len(found.ends) else 0
-    opened = np.zeros(total + 1, np.int32)
+    begins, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     occurrence = np.argsort(place, kind="stable")
     of = place[occurrence]
     for note in (n for n in said if n["kind"] == 1):
@@ -325,8 +326,11 @@ def _mask(found: Block, said: list) -> np.ndarray:
         which = occurrence[low[k] + np.arange(len(k)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
         k, which = (x[value[k] < found.least[s.text[which]]] for x in (k, which))
         begin = s.start[which] + start[k]
-        opened += np.bincount(begin, minlength=total + 1).astype(np.int32)
-        opened -= np.bincount(begin + count[k] + sx.WINDOW - 1, minlength=total + 1).astype(np.int32)
+        begins.append(begin)
+        ends.append(begin + count[k] + sx.WINDOW - 1)
+    opened = np.zeros(total + 1, np.int32)
+    np.add.at(opened, np.concatenate(begins), 1)
+    np.subtract.at(opened, np.concatenate(ends), 1)
     return np.cumsum(opened[:total]) > 0
 
 
