@@ -15,7 +15,7 @@ whose rows are never parted again:
    the blocks as pieces of their runs.
 4. Every block removes what is covered.
 
-An anchor of more than ``hot`` suffixes is not a key: its windows are, each under its
+An anchor of more than ``hot`` different suffixes is not a key: its windows are, each under its
 own hash, so no range grows with one passage. A run holds a suffix once however many
 documents repeat it. Nothing is gathered on the driver but two numbers.
 
@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from corpusloom.llm import suffixes as sx
 from corpusloom.llm.storage import bucketed, materialize, ship_package
 
-#: Bytes of text in a block, suffixes in a bucket of anchors, bytes of text a range of keys, suffixes of an anchor that make it hot.
+#: Bytes of text in a block, suffixes in a bucket of anchors, bytes of text a range of keys, different suffixes of an anchor that make it hot.
 BLOCK_BYTES, BUCKET_ROWS, RANGE_BYTES, HOT = 4 << 20, 400_000, 4 << 20, 8192
 _UPPER = np.uint64(((1 << 48) - 1) << 16)
 _NO_ID = np.iinfo(np.int64).max
@@ -142,7 +142,7 @@ def packed_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int)
 
 
 def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
-    """A row for each block and bucket of hashes: hashes, whether two texts of the block hold each, and how many suffixes it has there (65,535 at most)."""
+    """A row for each block and bucket of hashes: hashes, whether two texts of the block hold each, and how many different suffixes it has there (65,535 at most)."""
     edges = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
 
     def run(batches):
@@ -153,7 +153,17 @@ def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
             key, text = key[order], s.text[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
             last = np.concatenate([first[1:], [len(key)]]).astype(np.int64) - 1 if len(key) else first
-            count, several, key = np.minimum(last - first + 1, 65_535).astype(np.uint16), (text[first] != text[last]).astype(np.uint8), key[first]
+            several = (text[first] != text[last]).astype(np.uint8)
+            # suffixes of one anchor are alike if their first and last windows are
+            count, often = np.ones(len(first), np.int64), np.flatnonzero(last > first)
+            at = np.repeat(first[often], (last - first + 1)[often])
+            at += np.arange(len(at)) - np.repeat(np.cumsum((last - first + 1)[often]) - (last - first + 1)[often], (last - first + 1)[often])
+            start, group = s.start[order[at]], np.repeat(often, (last - first + 1)[often])
+            look = sx.window_keys(found.buffer, start) ^ (sx.window_keys(found.buffer, start + s.windows[order[at]] - 1) << np.uint64(1))
+            by_look = np.lexsort((look, group))
+            group, look = group[by_look], look[by_look]
+            np.add.at(count, group[1:][(group[1:] == group[:-1]) & (look[1:] != look[:-1])], 1)
+            count, key = np.minimum(count, 65_535).astype(np.uint16), key[first]
             cuts = [0, *np.searchsorted(key, edges).tolist(), len(key)]
             yield from _rows(block, [(b, (_narrow(key[x:y]), several[x:y].tobytes(), count[x:y].tobytes())) for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y], ("bucket", "hashes", "several", "counts"))
 

@@ -31,9 +31,7 @@ class Suffixes(NamedTuple):
     key: np.ndarray
 
 
-def _hashes(buffer: bytes, at: int, n: int, offsets: tuple[int, ...]) -> np.ndarray:
-    """Hashes of n places from at on, over the eight bytes at each offset from them."""
-    words = [np.ndarray((n,), "<u8", buffer, at + o, (1,)) for o in offsets]
+def _mixed(words: list[np.ndarray]) -> np.ndarray:
     h = words[0] * _ODD[0]
     for k, word in enumerate(words[1:], 1):
         h ^= h >> np.uint64(29)
@@ -45,6 +43,11 @@ def _hashes(buffer: bytes, at: int, n: int, offsets: tuple[int, ...]) -> np.ndar
     return h
 
 
+def _hashes(buffer: bytes, at: int, n: int, offsets: tuple[int, ...]) -> np.ndarray:
+    """Hashes of n places from at on, over the eight bytes at each offset from them."""
+    return _mixed([np.ndarray((n,), "<u8", buffer, at + o, (1,)) for o in offsets])
+
+
 def _least(h: np.ndarray, width: int) -> np.ndarray:
     """The minimum of each width places."""
     reach = 1
@@ -55,15 +58,7 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 def window_keys(buffer: bytes, at: np.ndarray) -> np.ndarray:
     """Hashes of the whole windows at some places."""
-    out = np.empty(len(at), np.uint64)
-    for first in range(0, len(at), _STEP):
-        part = at[first : first + _STEP]
-        low, n = int(part.min()), int(part.max() - part.min()) + 1
-        if n <= 8 * _STEP:
-            out[first : first + _STEP] = _hashes(buffer, low, n, (0, 8, 16, 24, 32, 40, 42))[part - low]
-        else:
-            out[first : first + _STEP] = [_hashes(buffer, int(p), 1, (0, 8, 16, 24, 32, 40, 42))[0] for p in part]
-    return out
+    return _mixed([np.ndarray((len(buffer) - 8 - o,), "<u8", buffer, o, (1,))[at] for o in (0, 8, 16, 24, 32, 40, WINDOW - 8)])
 
 
 def suffixes(buffer: bytes, ends: np.ndarray) -> Suffixes:
