@@ -113,6 +113,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if there is none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def flat(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text."""
     nested = {f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")}

@@ -337,6 +337,28 @@ def test_streamed_upserts(spark, tmp_path):
     assert spark.read.parquet(f"{state}/run=2/batch=0").count() == 3
 
 
+def test_log_is_folded_and_batches_read_no_more(spark, tmp_path):
+    """Many batches over few keys: later ones read no more files, old parts go, and killed or repeated batches change nothing."""
+    schema = "chapter_id string, chapter_num long, version_id string, content_hash string, source_order long"
+    inbox, log = str(tmp_path / "in"), str(tmp_path / "log")
+    for n in range(14):
+        spark.createDataFrame([("a", 1, f"v{n}", f"h{n}", n), (f"c{n % 3}", 2, f"w{n // 6}", f"k{n // 6}", n)], schema).coalesce(1).write.mode("append").parquet(inbox)
+        upsert.apply_batches(spark.readStream.schema(schema).parquet(inbox), log, str(tmp_path / "cp"), fold_every=4).awaitTermination()
+    versions = lambda: sorted((r["chapter_id"], r["version_id"], r["is_current"]) for r in upsert.state(spark, log).collect())
+    want = sorted([("a", f"v{n}", int(n == 13)) for n in range(14)] + [(f"c{k}", f"w{w}", int(w == 2 if k < 2 else w == 1)) for k in range(3) for w in range(3 if k < 2 else 2)])
+    assert versions() == want
+    a = spark.createDataFrame([("a",)], "chapter_id string").select(upsert.bucket_of("chapter_id")).first()[0]
+    read = [upsert.earlier_rows(spark, log, (1, n), [a]).select(F.input_file_name()).distinct().count() for n in (10, 11, 12, 13, 14)]
+    assert max(read) <= 6 and upsert._marked(spark, log) == [(1, 3), (1, 7), (1, 11)]
+    assert upsert._parts(spark, log) and min(upsert._parts(spark, log)) == (1, 8) and sorted(upsert._parts(spark, f"{log}-base")) == [(1, 7), (1, 11)]
+    # a base that was cut short has no mark and is written anew; a folded batch that is repeated gives the same
+    spark.createDataFrame([("z", 0)], "chapter_id string, bucket int").write.partitionBy("bucket").parquet(f"{log}-base/run=1/batch=13")
+    assert versions() == want
+    upsert.compact(spark, log, (1, 14), "chapter_id")
+    upsert.compact(spark, log, (1, 14), "chapter_id")
+    assert versions() == want
+
+
 def test_reader_filters_nest_and_drop_emptied_seeds(spark):
     accepted = spark.createDataFrame([("a", "e2", 900), ("a", "e1", 3), ("b", "e3", 900), ("c", "e4", 7)], "seed_item_id string, evidence_id string, chapter_num long")
     seeds = [("a", "covered", "f1", "rule", "trusted"), ("b", "covered", "f1", "item", "trusted"), ("c", "covered", "f2", "rule", "partial"), ("d", "uncovered", "f1", "rule", "trusted")]
