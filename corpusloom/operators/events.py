@@ -325,12 +325,25 @@ def timeline(members: DataFrame, eras: DataFrame) -> DataFrame:
     placed = global_positions(g, F.col("chapter_num"), "scene_index", "evidence_offset", "group_id").join(eras, "chapter_num", "left")
     kind = F.when(F.col("era").isNotNull(), "era_anchor").otherwise("chapter_order_anchor")
     key = F.format_string("ch%06d:scene%06d:evidence%08d", "chapter_num", "position", "evidence_offset")
-    a = placed.withColumns({"anchor_id": stable_id("tla", F.col("group_id")), "anchor_kind": kind, "anchor_confidence": F.when(F.col("era").isNotNull(), "medium").otherwise("low"), "order_key": key})
+    a = placed.withColumns({"anchor_id": stable_id("tla", F.col("group_id")), "anchor_kind": kind, "anchor_confidence": F.when(F.col("era").isNotNull(), "medium").otherwise("low"), "order_key": key, "absolute_order_key": F.when(F.col("era").isNotNull(), F.concat(F.lit("era:"), F.col("era"), F.lit(":"), key)).otherwise("")})
     following = a.select((F.col("position") - 1).alias("position"), F.col("anchor_id").alias("next_anchor_id"), F.col("chapter_num").alias("next_chapter"))
     relation = F.when(F.col("next_anchor_id").isNull(), None).when(F.col("next_chapter") == F.col("chapter_num"), "same_chapter").otherwise("before")
     return a.join(following, "position", "left").withColumn("relation_to_next", relation).drop("next_chapter")
 
 
+def timeline_audit(anchors: DataFrame) -> DataFrame:
+    """A row for each anchor that only its chapter's place could order."""
+    kind = F.lit("fallback_to_chapter_order")
+    return anchors.filter("era is null").select(stable_id("tla_aud", F.col("anchor_id"), kind).alias("audit_id"), "anchor_id", "group_id", kind.alias("audit_type"), F.lit("info").alias("severity"))
+
+
+def role_or_fallback(role: Column, fallback: Column, allowed: tuple[str, ...]) -> Column:
+    """The role if it is an allowed one, else the first allowed of the fallback, subject, object and unknown, else the least allowed one; a missing role is its fallback, and a missing fallback subject."""
+    given = lambda c: F.nullif(c, F.lit(""))
+    tried = F.array(F.coalesce(given(role), given(fallback), F.lit("subject")), given(fallback), *map(F.lit, ("subject", "object", "unknown")))
+    return F.coalesce(F.get(F.filter(tried, lambda r: r.isin(*allowed)), 0), F.lit(min(allowed)))
+
+
 def impacts(members: DataFrame) -> DataFrame:
     """Relationship and state impact of each confirmed event, with the audit of what it lacks.
 

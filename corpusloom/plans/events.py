@@ -113,7 +113,7 @@ mg AS MATERIALIZED (SELECT *, 'mg_' || substr(signature, 1, 16) AS group_id, row
 TIMELINE_SQL = f"""{GROUP_SQL},
 g0 AS (SELECT group_id, min(chapter_num) AS chapter_num, min(coalesce(scene_index, 0)) AS scene_index, min(coalesce(trigger_start, 0)) AS evidence_offset, min(member_count) AS member_count FROM mg GROUP BY group_id),
 g1 AS (SELECT *, row_number() OVER (ORDER BY chapter_num, scene_index, evidence_offset, group_id) AS position, CASE WHEN chapter_num % 3 = 0 THEN 'era_' || chapter_num // 100 END AS era FROM g0),
-tl AS MATERIALIZED (SELECT *, 'tla_' || substr(sha256(group_id), 1, 16) AS anchor_id, CASE WHEN era IS NOT NULL THEN 'era_anchor' ELSE 'chapter_order_anchor' END AS anchor_kind, CASE WHEN era IS NOT NULL THEN 'medium' ELSE 'low' END AS anchor_confidence, 'ch' || lpad(chapter_num::VARCHAR, 6, '0') || ':scene' || lpad(position::VARCHAR, 6, '0') || ':evidence' || lpad(evidence_offset::VARCHAR, 8, '0') AS order_key,
+tl AS MATERIALIZED (SELECT *, 'tla_' || substr(sha256(group_id), 1, 16) AS anchor_id, CASE WHEN era IS NOT NULL THEN 'era_anchor' ELSE 'chapter_order_anchor' END AS anchor_kind, CASE WHEN era IS NOT NULL THEN 'medium' ELSE 'low' END AS anchor_confidence, 'ch' || lpad(chapter_num::VARCHAR, 6, '0') || ':scene' || lpad(position::VARCHAR, 6, '0') || ':evidence' || lpad(evidence_offset::VARCHAR, 8, '0') AS order_key, CASE WHEN era IS NOT NULL THEN 'era:' || era || ':ch' || lpad(chapter_num::VARCHAR, 6, '0') || ':scene' || lpad(position::VARCHAR, 6, '0') || ':evidence' || lpad(evidence_offset::VARCHAR, 8, '0') ELSE '' END AS absolute_order_key,
   lead('tla_' || substr(sha256(group_id), 1, 16)) OVER (ORDER BY position) AS next_anchor_id, CASE WHEN lead(chapter_num) OVER (ORDER BY position) = chapter_num THEN 'same_chapter' WHEN lead(chapter_num) OVER (ORDER BY position) IS NOT NULL THEN 'before' END AS relation_to_next FROM g1)"""
 _state = lambda i: f"CASE WHEN regexp_matches(both_t, 'death|die|kill') THEN '{('life_status', 'dead_or_at_risk', 'event_type_state_hint')[i]}' WHEN regexp_matches(both_t, 'injury|wound|attack') THEN '{('injury_status', 'injured_or_at_risk', 'event_type_state_hint')[i]}' WHEN regexp_matches(both_t, 'power|upgrade|awaken|realm') THEN '{('power_status', 'power_changed', 'power_state_hint')[i]}' WHEN coalesce(location_text, '') <> '' AND regexp_matches(both_t, 'movement|arrive|leave|enter|escape') THEN {("'location_status'", "location_text", "'location_state_hint'")[i]} WHEN regexp_matches(both_t, 'reveal|identity') THEN '{('identity_status', 'identity_information_changed', 'event_type_state_hint')[i]}' ELSE '{('unknown_state', '', 'uncertainty_fallback')[i]}' END"
 IMPACT_SQL = f"""{TIMELINE_SQL},
@@ -330,12 +330,29 @@ def eras(events: DataFrame) -> DataFrame:
     return events.select("chapter_num").distinct().filter("chapter_num % 3 = 0").withColumn("era", F.concat(F.lit("era_"), F.floor(F.col("chapter_num") / 100).cast("string")))
 
 
-@query(wrap(TIMELINE_SQL, "SELECT group_id, chapter_num, scene_index, evidence_offset, member_count, position, era, anchor_id, anchor_kind, anchor_confidence, order_key, next_anchor_id, relation_to_next FROM tl", True))
+@query(wrap(TIMELINE_SQL, "SELECT group_id, chapter_num, scene_index, evidence_offset, member_count, position, era, anchor_id, anchor_kind, anchor_confidence, order_key, absolute_order_key, next_anchor_id, relation_to_next FROM tl", True))
 def p17_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P17 anchors, W10 global order, W11 chain, J29 eras, A14 offsets, X52 order keys."""
     return Chain(spark, sf_dir).anchors
 
 
+@query(wrap(TIMELINE_SQL, "SELECT 'tla_aud_' || substr(sha256(anchor_id || '|fallback_to_chapter_order'), 1, 16) AS audit_id, anchor_id, group_id, 'fallback_to_chapter_order' AS audit_type, 'info' AS severity FROM tl WHERE era IS NULL", True))
+def p17_fallback_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P17 anchors that were ordered by their chapter for want of an era."""
+    return E.timeline_audit(Chain(spark, sf_dir).anchors)
+
+
+ROLES = ("object", "speaker", "subject")
+
+
+@query(wrap(EXPORT_SQL, f"SELECT event_id, a.t AS entity_text, a.r AS role, CASE WHEN a.r IN ('object', 'speaker', 'subject') THEN a.r WHEN a.r = 'unknown' THEN 'object' ELSE 'subject' END AS argument_role FROM (SELECT event_id, unnest(arr) AS a FROM ex)", True))
+def x48_argument_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X48 roles that the normalized layer does not have fall back by fixed steps; nobody's role falls back to the object, others' to one that is not allowed either."""
+    a = Chain(spark, sf_dir).exported.select("event_id", F.explode("arguments").alias("a")).select("event_id", "a.entity_text", "a.role")
+    fallback = F.when(F.col("role") == "unknown", "object").otherwise("character")
+    return a.withColumn("argument_role", E.role_or_fallback(F.col("role"), fallback, ROLES))
+
+
 @query(wrap(IMPACT_SQL, "SELECT * FROM im", True))
 def p18_impacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P18 relationship and state impacts, J28 chain of lookups, X51 classifiers, W16 first role values."""

@@ -270,6 +270,39 @@ def test_as_of_of_one_second_is_spread(spark):
     assert {x["event_id"]: x["previous_id"] for x in got.collect()} == {i: before(t) for i, t in times}
 
 
+@pytest.mark.parametrize("role, fallback, allowed, want", [("a", "b", ("a", "b"), "a"), ("x", "b", ("a", "b"), "b"), ("x", "y", ("object", "unknown"), "object"), (None, "b", ("b", "subject"), "b"), ("", None, ("subject", "z"), "subject"), ("x", None, ("q", "p"), "p")])
+def test_roles_fall_back(spark, role, fallback, allowed, want):
+    assert value(spark, EV.role_or_fallback(F.lit(role).cast("string"), F.lit(fallback).cast("string"), allowed)) == want
+
+
+def test_subject_rules_in_their_order(spark):
+    """Each rule by a hand-made event, and each one's loss against the rules before it."""
+    arg = lambda text, role, at=1: (at, "c", text, role)
+    rows = [
+        ("a", "Then Bob said hello", "said", [arg("Amy", "agent"), arg("Bob", "subject", 2)], None),
+        ("b", "Then Bob said hello", "said", [arg("Amy", "character"), arg("Kim", "agent", 2)], None),
+        ("c", "Then Bob said hello", "said", [arg("Kim", "mover")], None),
+        ("d", "She ran off", "ran", [arg("ran", "unknown")], "Old Mary slept."),
+        ("e", "Then Bob said hello", "said", [arg("said", "unknown")], None),
+        ("f", "At dawn Bob left Ann", "left", [], None),
+        ("g", "The door left open", "left", [], None),
+        ("h", "he left", "left", [], "nobody was there"),
+        ("i", "老王走进房间 x 开口", "开口", [], None),
+        ("j", "x amy b amy left", "left", [arg("amy", "character")], None),
+    ]
+    schema = "event_id string, sentence_text string, trigger_text string, arguments array<struct<match_start:long,character_id:string,entity_text:string,role:string>>, previous string"
+    made = spark.createDataFrame(rows, schema)
+    sentences = made.filter("previous is not null").select(F.col("event_id").alias("para_id"), F.lit(0).alias("sentence_index"), F.col("previous").alias("sentence_text"))
+    events = made.select(F.col("event_id").alias("para_id"), F.lit(1).alias("sentence_index"), "event_id", "sentence_text", "trigger_text", "arguments", F.array(F.lit("x")).alias("warnings"), F.when(F.col("event_id") == "a", "hash_mismatch").otherwise("ok").alias("backcut_status"), F.lit("s").alias("scene_key"), F.lit(0.5).alias("confidence_score"))
+    got = {r["event_id"]: (r["subject_rule"], r["subject_text"], r["recommendation"], r["quality_score"]) for r in EV.enhance(events, sentences).collect()}
+    ready = "ready_for_l5_3_candidate"
+    assert got == {
+        "a": ("existing_subject_candidate", "Bob", "review_candidate", 0.55), "b": ("l5_argument_agent", "Kim", ready, 0.75), "c": ("l5_argument_subject", "Kim", ready, 0.75),
+        "d": ("pronoun_back_reference", "Mary", "needs_context", 0.65), "e": ("quoted_speech_speaker_pattern", "Bob", ready, 0.75), "f": ("nearest_character_before_trigger", "Bob", ready, 0.75),
+        "g": ("not_found", None, "needs_context", 0.6), "h": ("not_found", None, "needs_context", 0.6), "i": ("quoted_speech_speaker_pattern", "房间", ready, 0.75), "j": ("nearest_character_before_trigger", "amy", ready, 0.75),
+    }
+
+
 def test_rule_checks(spark):
     rules = spark.createDataFrame([("a_b", 0.1, 0.0, 1.0), ("x_penalty", 0.1, 0.5, 0.2)], "rule_id string, delta double, floor double, ceiling double")
     assert sorted(map(tuple, R.bound_violations(rules).collect())) == [("bounds_invalid", "x_penalty"), ("penalty_not_negative", "x_penalty")]
