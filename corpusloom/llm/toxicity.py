@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -136,6 +137,7 @@ class Grammar:
         self.classes |= dict.fromkeys(_BOUNDARY, ".") | dict.fromkeys(QUOTES, '"')
         self.stems = frozenset(stems)
         self.lengths = sorted({len(s) for s in stems})
+        self.heads = frozenset(s[: self.lengths[0]] for s in stems)
         self.machine = machine(weights | {None: 0.0} if weights else UNITS)
         self.whole = frozenset({*INSULTS, *THREATS})
 
@@ -152,7 +154,10 @@ class Grammar:
     def triggered(self, lower: str) -> bool:
         """Whether any word could be an insult or a threat: most texts end here."""
         words = set(_STEM.findall(lower))
-        return not self.whole.isdisjoint(words) or any(not self.stems.isdisjoint([w[:n] for w in words]) for n in self.lengths)
+        if not self.whole.isdisjoint(words):
+            return True
+        # few words share a stem's first letters, and only these are looked at further
+        return bool(self.lengths) and not self.heads.isdisjoint([w[: self.lengths[0]] for w in words]) and any(not self.stems.isdisjoint([w[:n] for w in words]) for n in self.lengths)
 
     def symbols(self, lower: str) -> list[str]:
         return [*map(self.token_class, _TOKEN.findall(lower)), "."]
@@ -181,50 +186,78 @@ def text_score(weights: list[float], bias: float) -> float:
     return 1 / (1 + float(np.exp(-logit)))
 
 
-def learn_stems(rows: list[tuple[str, int]], grammar: Grammar, least: int = 4, strength: float = 15.0) -> tuple[str, ...]:
-    """Word beginnings, 4 to 7 letters or whole words, that set toxic rows apart; rows: distinct words joined by spaces, and the label.
+def beginnings(words: set[str], longest: int = 12) -> set[str]:
+    """Word beginnings of 4 to longest letters."""
+    return {w[:n] for w in words for n in range(4, min(len(w), longest) + 1)}
+
+
+def unlike(rows: list[set[str]], size: int = 16) -> list[set[str]]:
+    """Of word sets that share half of their words or more, as the words of least hash tell, the first one; in time in proportion."""
+    out: list[set[str]] = []
+    holders: dict[str, list[tuple[int, int]]] = {}
+    for words in rows:
+        sketch = sorted(words, key=lambda w: (crc32(w.encode()), w))[:size]
+        shared: Counter[tuple[int, int]] = Counter()
+        for w in sketch:
+            shared.update(holders.get(w, ()))
+        if not any(2 * n >= max(length, len(sketch)) for (_, length), n in shared.items()):
+            for w in sketch:
+                holders.setdefault(w, []).append((len(out), len(sketch)))
+            out.append(words)
+    return out
+
+
+def learn_stems(rows: list[tuple[str, int]], least: int = 4, strength: float = 12.0, purity: float = 0.95, again: float = 0.5) -> tuple[str, ...]:
+    """Word beginnings that set toxic rows apart; rows: distinct words joined by spaces, and the label.
 
-    Greedy: the strongest one explains its rows, and the next is sought among the
-    rows that none explains yet, so words that merely stand near insults drop out.
-    Each explains at least ``least`` rows that no other does, so their number is
-    bounded by the rows'.
+    Greedy: the strongest one explains its rows, which count for ``again`` as much each
+    time that they are explained. So words that merely stand near insults drop out, while
+    a root that many endings follow gets the beginnings that clean texts hardly hold. At
+    least ``purity`` of the rows with a stem are toxic, and ``least`` of them are. Texts
+    that are nearly copies count once, so what they share is no evidence.
     """
-    beginnings = lambda words: {w[:n] for w in words for n in (4, 5, 6, 7) if len(w) >= n}
-    left = [beginnings(words) for words in (set(r[0].split()) for r in rows if r[1]) if words.isdisjoint(INSULTS)]
+    rows = sorted(set(rows))
+    toxic = [words for words, label in rows if label]
+    unknown = unlike([w for w in (set(words.split()) for words in toxic) if w.isdisjoint(INSULTS)])
     counts: Counter[str] = Counter()
-    for found in left:
-        counts.update(found)
+    for words in unknown:
+        counts.update(beginnings(words))
     counts = Counter({s: a for s, a in counts.items() if a >= least})
     clean: Counter[str] = Counter()
-    for words, toxic in rows:
-        if not toxic:
-            clean.update(s for s in beginnings(set(words.split())) if s in counts)
-    n_toxic = max(1, sum(t for _, t in rows))
-    base = n_toxic / (n_toxic + max(1, len(rows) - n_toxic))
-    left = [found & counts.keys() for found in left]
-
-    stems: list[str] = []
+    for words, label in rows:
+        if not label:
+            clean.update(beginnings(set(words.split())) & counts.keys())
+    pure = {s for s, a in counts.items() if a >= purity * (a + clean[s])}
+    base = max(1, len(toxic)) / (max(1, len(toxic)) + max(1, len(rows) - len(toxic)))
+    counts = Counter({s: counts[s] for s in pure})
+    left = [(beginnings(words) & pure, 1.0) for words in unknown]
 
     def strong(stem: str) -> float:
         a, b = counts[stem], clean[stem]
         rate = a / (a + b)
-        if a < least or rate < 0.9:
+        if rate <= base:
             return 0.0
         return 2 * (a * np.log(rate / base) + (b * np.log((1 - rate) / (1 - base)) if b else 0.0))
 
+    stems: list[str] = []
     while counts:
-        best = max((s for s, a in counts.items() if a >= least), key=lambda s: (strong(s), -clean[s], len(s), s), default=None)
-        if best is None or strong(best) < strength:
+        best = max(counts, key=lambda s: (strong(s), -clean[s], len(s), s))
+        if strong(best) < strength:
             break
         stems.append(best)
+        for longer in [s for s in counts if s.startswith(best)]:
+            del counts[longer]
+        shorter = {best[:n] for n in range(4, len(best))}
         rest = []
-        for found in left:
+        for found, worth in left:
             if best in found:
-                counts.subtract(found)
-            else:
-                rest.append(found)
+                # the same words are no second reason for a shorter beginning
+                for s in found & counts.keys():
+                    counts[s] -= worth if s in shorter else worth * (1 - again)
+                found, worth = (found - shorter) & counts.keys(), worth * again
+            rest.append((found, worth))
         left = rest
-        counts += Counter()
+        counts = Counter({s: a for s, a in counts.items() if a > 1})
     return tuple(stems)
 
 
@@ -278,7 +311,7 @@ def learn_grammar(sample: DataFrame) -> tuple[tuple[str, ...], dict[str, float],
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.string())], names=["label", "words"])
 
     rows = sample.select("label", "text").mapInArrow(vocabulary, "label int, words string").collect()
-    stems = learn_stems(sorted((r["words"], r["label"]) for r in rows), Grammar())
+    stems = learn_stems([(r["words"], r["label"]) for r in rows])
     del rows
 
     def measure(batches):

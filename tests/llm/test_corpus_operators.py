@@ -431,6 +431,36 @@ def accuracy(rows, labels):
     return sum(p == y for p, y in held) / len(held)
 
 
+def test_stems_are_learned_at_any_length():
+    r = random.Random(4)
+    noise = lambda: " ".join(sorted({"".join(r.choices("abcdefghij", k=6)) for _ in range(30)}))
+    endings = ("kopf", "mann", "tum")
+    toxic = [(f"{noise()} schandfleck{e}", 1) for e in endings for _ in range(6)]
+    # the root alone is a clean word here, and so are its first seven letters
+    clean = [(f"{noise()} {w}", 0) for w in ("schandf", "schandfuss", "wort") for _ in range(60)]
+    assert toxicity.learn_stems(toxic + clean) == ("schandfleck",)
+    # a word in copies of one toxic text is no evidence, however many there are
+    copied = noise()
+    copies = [(f"{copied} ende{k:04d}", 1) for k in range(400)]
+    assert toxicity.learn_stems(copies + clean) == () == toxicity.learn_stems([]) == toxicity.learn_stems([("", 1)] * 9)
+    assert len(toxicity.unlike([set(words.split()) for words, _ in copies])) == 1
+    assert len(toxicity.unlike([set(words.split()) for words, _ in toxic])) == len(toxic)
+
+
+def test_toxic_texts_are_found_in_every_language(spark):
+    """By language over the held-out fold, with scores by the plain reading of the grammar for every text."""
+    sf = "/root/testdata/sf0.1"
+    docs, marks = queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")
+    held = toxicity_scores(docs, marks).filter("held_out").join(marks.select("doc_id", "toxic"), "doc_id").join(docs.select("doc_id", "lang", "text"), "doc_id").toPandas()
+    for lang, least in (("en", 0.9), ("de", 0.7), ("fr", 0.8), ("es", 0.4)):
+        assert held[(held.lang == lang) & (held.toxic == 1)].predicted.mean() >= least, lang
+    assert held[held.predicted == 1].toxic.mean() >= 0.95
+    stems, weights, bias = toxicity.learn_grammar(toxicity.training_sample(docs, marks, "doc_id", "text", "toxic", 4, 2, toxicity.TRAIN_ROWS))
+    grammar = Grammar(stems)
+    for text, score in zip(held.text, held.score, strict=True):
+        assert score == pytest.approx(toxicity.text_score(read_clauses(grammar.symbols((text or "").lower()), weights), bias))
+
+
 @pytest.mark.parametrize("score, column, modulus, remainder", [(toxicity_scores, "toxic", 4, 2), (quality_scores, "quality", 5, 0)])
 def test_classifiers(spark, documents, no_documents, labels, score, column, modulus, remainder):
     sf = "/root/testdata/sf0.01"
