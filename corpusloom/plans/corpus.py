@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import sha256
 from corpusloom.operators import chunking as C
+from corpusloom.operators import hashtree as H
 from corpusloom.operators import versioning as V
 from corpusloom.plans import corpus_sql as S
 from corpusloom.plans.registry import query
 from corpusloom.sources.corpus import LAST_MAIN, RANGES, chapters, table, version_ranges
+from corpusloom.sources.staging import new_path
 
 #: Limits of the queries over the test documents, which are shorter than a novel's chapters.
 BLOCK, LEAST, MOST, HARD = 1200, 200, 450, 600
@@ -216,6 +218,42 @@ def a20_dataset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("lang").agg(sha256(F.array_join(listed, "")).alias("fingerprint"), F.sum("n_rows").alias("n_rows"), F.sum("chars").alias("chars"))
 
 
+_encoded = " || ".join(f"CASE WHEN {c} IS NULL THEN '|' ELSE length({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("doc_id", "lang", "n_chars", "source", "text"))
+_sums = " || '|' || ".join(f"sum(('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT)::VARCHAR" for i in range(4))
+
+
+@query(
+    f"""WITH r AS (SELECT substr(sha256(CASE WHEN doc_id IS NULL THEN '|' ELSE length(doc_id::VARCHAR) || ':' || doc_id END), 1, 2) AS node, sha256({_encoded}) AS h FROM documents),
+n2 AS (SELECT node, count(*) AS n_rows, sha256(count(*) || '|' || {_sums}) AS digest FROM r GROUP BY node),
+n1 AS (SELECT substr(node, 1, 1) AS node, sum(n_rows)::BIGINT AS n_rows, sha256(string_agg(node || ':' || digest, '|' ORDER BY node)) AS digest FROM n2 GROUP BY 1),
+n0 AS (SELECT '' AS node, sum(n_rows)::BIGINT AS n_rows, sha256(string_agg(node || ':' || digest, '|' ORDER BY node)) AS digest FROM n1)
+SELECT length(node)::INT AS level, * FROM (SELECT * FROM n0 UNION ALL SELECT * FROM n1 UNION ALL SELECT * FROM n2)"""
+)
+def a20_fingerprint_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A20 and A21 as a stored tree: the root is the table's fingerprint, its nodes those of key ranges."""
+    path = new_path(spark, "tree")
+    H.write_tree(table(spark, sf_dir, "documents"), "doc_id", path, levels=2)
+    return H.nodes(spark, path)
+
+
+@query(
+    """WITH d AS (SELECT doc_id AS key, doc_id % 41 AS m, text FROM documents)
+SELECT key, 'missing' AS state, 1::BIGINT AS left_rows, 0::BIGINT AS right_rows FROM d WHERE m IN (0, 2)
+UNION ALL SELECT key + 1000000000, 'extra', 0, 1 FROM d WHERE m = 2
+UNION ALL SELECT key, 'changed', 1, CASE m WHEN 3 THEN 2 ELSE 1 END FROM d WHERE m = 3 OR (m = 1 AND text IS NOT NULL)"""
+)
+def m13_located_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13 and J18 two stores compared by their trees: of every 41 documents one is dropped, one edited, one moved to another id, one doubled."""
+    docs, m = table(spark, sf_dir, "documents"), F.col("doc_id") % 41
+    text = F.when(m == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    times = F.when(m == 0, F.array()).when(m == 3, F.array(F.lit(1), F.lit(1))).otherwise(F.array(F.lit(1)))
+    other = docs.withColumn("__n", F.explode(times)).drop("__n").withColumn("text", text).withColumn("doc_id", F.when(m == 2, F.col("doc_id") + 1_000_000_000).otherwise(F.col("doc_id")))
+    left, right = new_path(spark, "left-tree"), new_path(spark, "right-tree")
+    H.write_tree(docs, "doc_id", left)
+    H.write_tree(other, "doc_id", right)
+    return H.differing_keys(spark, left, right)
+
+
 @query("SELECT doc_id, text FROM documents ORDER BY sha256(doc_id || ':42') LIMIT 5")
 def a22_seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A22 a seeded sample of five rows: the feature is its fixed size."""
