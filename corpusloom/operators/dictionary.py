@@ -2,7 +2,8 @@
 
 Dictionaries are dimension tables of the caller's. Their terms are found by one
 pass over each text, see ``functions.terms``, and joined to their owners on
-equality.
+equality. The dictionary goes to the matches, as its terms have gone already: a
+shuffle by term would put all that one term finds in one task.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def appearances(sentences: DataFrame, aliases: DataFrame) -> DataFrame:
     hit = sentences.withColumn("m", F.explode(matches(F.col("sentence_text"), distinct_terms(aliases, "alias_text"))))
     hit = hit.withColumns({"matched_text": F.col("m.m"), "match_start": F.col("start_offset") + F.col("m.s")}).withColumn("match_end", F.col("match_start") + F.length("matched_text"))
     valid = F.col("chapter_num").between(F.coalesce("valid_from", F.col("chapter_num")), F.coalesce("valid_to", F.col("chapter_num")))
-    owned = hit.join(aliases, (F.col("matched_text") == F.col("alias_text")) & valid)
+    owned = hit.join(F.broadcast(aliases), (F.col("matched_text") == F.col("alias_text")) & valid)
     key = F.concat_ws("|", "character_id", "alias_text", "version_id", "sentence_id", F.col("match_start").cast("string"), F.col("match_end").cast("string"))
     columns = ["character_id", "alias_text", "chapter_num", "chapter_id", "version_id", "para_id", "sentence_id", "match_start", "match_end"]
     return owned.select(F.concat(F.lit("app_"), F.substring(sha256(key), 1, 16)).alias("appearance_id"), *columns)
@@ -42,7 +43,7 @@ def alias_occurrences(sentences: DataFrame, aliases: DataFrame) -> DataFrame:
     """Every alias by itself: non-overlapping occurrences in the sentences that contain it."""
     valid = F.col("chapter_num").between(F.coalesce("valid_from", F.col("chapter_num")), F.coalesce("valid_to", F.col("chapter_num")))
     hit = sentences.withColumn("found", F.explode(term_starts(F.col("sentence_text"), distinct_terms(aliases, "alias_text"))))
-    hit = hit.join(aliases, (F.col("found.term") == F.col("alias_text")) & valid).withColumn("at", F.explode("found.starts"))
+    hit = hit.join(F.broadcast(aliases), (F.col("found.term") == F.col("alias_text")) & valid).withColumn("at", F.explode("found.starts"))
     return hit.select("character_id", "alias_text", "chapter_num", "sentence_id", (F.col("start_offset") + F.col("at")).alias("match_start"))
 
 
@@ -79,7 +80,7 @@ def candidate_characters(found: DataFrame, least: int, seeds: list[str], most_ev
 def pattern_spans(sentences: DataFrame, patterns: DataFrame) -> DataFrame:
     """patterns: owner_id, pattern, negatives (array). Non-overlapping spans of each pattern where no negative occurs; sentence-relative."""
     hit = sentences.withColumn("found", F.explode(term_starts(F.col("sentence_text"), distinct_terms(patterns, "pattern"))))
-    hit = hit.join(patterns, F.col("found.term") == F.col("pattern")).filter(~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
+    hit = hit.join(F.broadcast(patterns), F.col("found.term") == F.col("pattern")).filter(~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
     return hit.withColumn("start", F.explode("found.starts")).select("owner_id", "pattern", "chapter_num", "sentence_id", F.col("start").cast("long").alias("start"), (F.col("start") + F.length("pattern")).cast("long").alias("end"))
 
 

@@ -50,9 +50,12 @@ def rule_table(spark: SparkSession, rules: list[tuple]) -> DataFrame:
 
 
 def triggers(sentences: DataFrame, rules: DataFrame) -> DataFrame:
-    """All occurrences of all terms whose rule no negative vetoes; of equal spans the first by rule is kept, the others are marked as skipped."""
+    """All occurrences of all terms whose rule no negative vetoes; of equal spans the first by rule is kept, the others are marked as skipped.
+
+    The rules, whose terms the driver has held already, go to the sentences: a shuffle by term would put all that one term finds in one task.
+    """
     hit = sentences.withColumn("found", F.explode(term_starts(F.col("sentence_text"), distinct_terms(rules, "term")))).withColumn("__term", F.col("found.term"))
-    hit = hit.join(rules, F.col("__term") == F.col("term")).filter(~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
+    hit = hit.join(F.broadcast(rules), F.col("__term") == F.col("term")).filter(~F.exists("negatives", lambda n: F.col("sentence_text").contains(n)))
     hit = hit.withColumn("at", F.explode("found.starts")).drop("found", "__term")
     hit = hit.withColumns({"trigger_start": F.col("start_offset") + F.col("at")}).withColumn("trigger_end", F.col("trigger_start") + F.length("term"))
     w = Window.partitionBy("sentence_id", "trigger_start", "trigger_end").orderBy("priority", F.desc(F.length("term")))

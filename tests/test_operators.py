@@ -515,3 +515,13 @@ def test_read_only_statements(spark):
     with pytest.raises(PermissionError, match="only queries"):
         guard.read_only(spark, "DROP VIEW corpusloom_three")
     assert spark.table("corpusloom_three").count() == 3
+
+
+def test_rows_of_one_term_stay_where_they_are(spark):
+    near = spark.range(400).select((F.col("id") + 1).alias("chapter_num"), F.lit("c").alias("chapter_id"), F.lit("v").alias("version_id"), F.lit("p").alias("para_id"), F.col("id").cast("string").alias("sentence_id"), F.lit(0).cast("long").alias("start_offset"), F.lit("Heit said").alias("sentence_text")).repartition(4, "chapter_num")
+    spread = lambda df: df.select(F.spark_partition_id().alias("part")).distinct().count()
+    aliases = D.alias_table(spark, [("a", "Heit", None, None)])
+    patterns = spark.createDataFrame([("a", "Heit", [])], "owner_id string, pattern string, negatives array<string>")
+    assert [spread(df) for df in (D.appearances(near, aliases), D.alias_occurrences(near, aliases), D.pattern_spans(near, patterns))] == [4] * 3
+    plan = EV.triggers(near, EV.rule_table(spark, [("r", "speech", "speak", ["said"], [], "high", None)]))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(term" not in plan and "hashpartitioning(__term" not in plan
