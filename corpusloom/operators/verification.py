@@ -7,7 +7,7 @@ are reported as untraceable.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import sha256
@@ -61,6 +61,60 @@ def fingerprint_of(parts: Column) -> Column:
     return sha256(F.concat_ws("|", "scene_key", "chapter_id", "version_id", F.col("chapter_num").cast("string"), parts))
 
 
+def violated(rules: list[tuple[Column, str]]) -> Column:
+    return F.array_compact(F.array(*(F.when(v, F.lit(n)) for v, n in rules)))
+
+
+def packed(value: Column) -> Column:
+    """A hexadecimal SHA-256 in 33 bytes, anything else as its text behind a zero byte: equal where the texts are."""
+    mark = lambda n: F.lit(bytearray([n]))
+    return F.when(value.rlike(r"\A[0-9a-f]{64}\z"), F.concat(mark(1), F.unhex(value))).otherwise(F.concat(mark(0), F.encode(value, "UTF-8")))
+
+
+def unpacked(value: Column) -> Column:
+    rest = F.substring(value, F.lit(2), F.length(value))
+    return F.when(F.substring(value, 1, 1) == F.lit(bytearray([1])), F.lower(F.hex(rest))).otherwise(F.decode(rest, "UTF-8"))
+
+
+def digest(value: Column) -> Column:
+    """16 bytes of a text's SHA-256, to compare it by."""
+    return F.substring(F.unhex(sha256(value)), 1, 16)
+
+
+def traced_links(links: DataFrame, sentences: DataFrame) -> DataFrame:
+    """Links by child_segment_id: position, what they say of chapter and overlap, the sentence of their id, and whether they differ from it. A link is there once for each sentence of its id, or once without.
+
+    Links and sentences meet by what stands before the paragraph in a sentence's
+    id, so a chapter's rows lie together and what they share is packed; a
+    segment's links are gathered there, before they move to it.
+    """
+    place = F.substring_index("sentence_id", "_p_", 1).alias("place")
+    of_id = F.substring_index("sentence_id", "_s_", 1)
+    truth = F.struct(F.nullif(F.col("para_id"), of_id).alias("para"), F.col("para_id").eqNullSafe(of_id).alias("para_of_id"), F.col("chapter_id").alias("chapter"), F.col("version_id").alias("version"), F.col("start_offset").alias("s"), F.col("end_offset").alias("e"), packed(F.col("sentence_hash")).alias("hash"))
+    link = F.struct("child_segment_id", "chapter_id", "version_id", "position", "start_offset", "end_offset", digest(F.col("sentence_hash")).alias("hash"), "is_overlap")
+    known = sentences.filter("sentence_id is not null").select(place, "sentence_id", truth.alias("t"))
+    both = links.select(place, "sentence_id", link.alias("link")).unionByName(known, allowMissingColumns=True).repartition("place")
+    met = both.withColumn("ts", F.collect_list("t").over(Window.partitionBy("place", "sentence_id"))).filter("link is not null").select("sentence_id", "link", F.explode_outer("ts").alias("t"))
+    same = F.col("link.chapter_id").eqNullSafe(F.col("t.chapter")) & F.col("link.version_id").eqNullSafe(F.col("t.version"))
+    row = F.struct(
+        "link.position", "link.chapter_id", "link.version_id", "link.is_overlap", F.when(F.col("t").isNotNull(), F.col("sentence_id")).alias("t_id"), F.col("t.para").alias("t_para"), F.col("t.para_of_id").alias("para_of_id"), same.alias("same"), F.when(~same, F.col("t.chapter")).alias("t_chapter"), F.when(~same, F.col("t.version")).alias("t_version"), F.col("t.s").alias("t_start"), F.col("t.e").alias("t_end"), F.col("t.hash").alias("t_hash"),
+        (F.col("link.start_offset") != F.col("t.s")).alias("start_differs"), (F.col("link.end_offset") != F.col("t.e")).alias("end_differs"), (F.col("link.hash") != digest(unpacked(F.col("t.hash")))).alias("hash_differs"),
+    )
+    gathered = met.groupBy(F.col("link.child_segment_id").alias("child_segment_id")).agg(F.collect_list(row).alias("links"))
+    found = gathered.select("child_segment_id", F.explode("links").alias("l")).select("child_segment_id", "l.*")
+    whole = {"t_para": F.when(F.col("para_of_id"), F.substring_index("t_id", "_s_", 1)).otherwise(F.col("t_para"))}
+    whole |= {f"t_{k}": F.when(F.col("same"), F.col(f"{k}_id")).otherwise(F.col(f"t_{k}")) for k in ("chapter", "version")}
+    return found.withColumns(whole).drop("para_of_id", "same")
+
+
+def stray_overlaps(links: DataFrame, segments: DataFrame) -> DataFrame:
+    """child_segment_id of segments with an overlapping link whose sentence the previous segment, or no previous one, holds not."""
+    held = links.groupBy(F.col("child_segment_id").alias("p_child")).agg(F.collect_set("sentence_id").alias("held"))
+    asked = links.filter("is_overlap").select("child_segment_id", "sentence_id").join(segments, "child_segment_id")
+    there = F.coalesce(F.array_contains("held", F.col("sentence_id")), F.lit(False))
+    return asked.join(held, F.col("previous_child_id") == F.col("p_child"), "left").filter(~there).select("child_segment_id").distinct()
+
+
 def segment_violations(segments: DataFrame, links: DataFrame, scenes: DataFrame, sentences: DataFrame, chapters: DataFrame) -> DataFrame:
     """child_segment_id and code, a row for each rule that a stored segment breaks.
 
@@ -73,45 +127,47 @@ def segment_violations(segments: DataFrame, links: DataFrame, scenes: DataFrame,
     """
     ch = chapters.select(F.col("chapter_num").alias("c_num"), F.col("chapter_id").alias("c_id"), F.col("version_id").alias("c_version"))
     sc = scenes.select(F.col("scene_key").alias("b_key"), F.col("chapter_id").alias("b_chapter"), F.col("version_id").alias("b_version"), F.col("start_offset").alias("b_start"), F.col("end_offset").alias("b_end"))
-    g = segments.join(ch, F.col("chapter_num") == F.col("c_num"), "left").join(sc, F.col("scene_key") == F.col("b_key"), "left")
-
-    se = sentences.select(F.col("sentence_id").alias("t_id"), F.col("para_id").alias("t_para"), F.col("chapter_id").alias("t_chapter"), F.col("version_id").alias("t_version"), F.col("start_offset").alias("t_start"), F.col("end_offset").alias("t_end"), F.col("sentence_hash").alias("t_hash"))
-    own = g.select("child_segment_id", F.col("chapter_id").alias("g_chapter"), F.col("version_id").alias("g_version"), "b_start", "b_end", "previous_child_id")
-    k = links.join(own, "child_segment_id").join(se, F.col("sentence_id") == F.col("t_id"), "left")
-    before = links.select(F.col("child_segment_id").alias("p_child"), F.col("sentence_id").alias("p_sentence"), F.lit(True).alias("from_previous")).distinct()
-    k = k.join(before, F.col("is_overlap") & (F.col("previous_child_id") == F.col("p_child")) & (F.col("sentence_id") == F.col("p_sentence")), "left")
-    some = lambda condition: F.coalesce(F.bool_or(condition), F.lit(False))
-    found = k.groupBy("child_segment_id").agg(
-        F.count(F.lit(1)).alias("n"), ((F.min("position") != 1) | (F.max("position") != F.count(F.lit(1))) | (F.count_distinct("position") != F.count(F.lit(1)))).alias("gap"), some((F.col("chapter_id") != F.col("g_chapter")) | (F.col("version_id") != F.col("g_version"))).alias("identity"),
-        some(F.col("t_id").isNull()).alias("untraced"), some((F.col("t_chapter") != F.col("g_chapter")) | (F.col("t_version") != F.col("g_version"))).alias("other_chapter"), some((F.col("t_start") < F.col("b_start")) | (F.col("t_end") > F.col("b_end"))).alias("out_of_scene"),
-        some(F.col("start_offset") != F.col("t_start")).alias("start"), some(F.col("end_offset") != F.col("t_end")).alias("end"), some(F.col("sentence_hash") != F.col("t_hash")).alias("hash"), some("is_overlap").alias("overlaps"), some(F.col("is_overlap") & F.col("from_previous").isNull()).alias("stray_overlap"),
-        F.min_by(F.struct("t_id", "t_para", "t_start"), "position").alias("first"), F.max_by(F.struct("t_id", "t_para", "t_end"), "position").alias("last"), F.count_distinct("t_para").alias("paras"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", F.concat_ws("-", F.col("t_start").cast("string"), F.col("t_end").cast("string"), "t_hash").alias("part")))), lambda x: x["part"]), ";").alias("parts"),
-    )
-    cut = cut_again(g.select("chapter_num", "child_segment_id", "start_offset", "end_offset"), chapters, "child_segment_id").select("child_segment_id", "cut")
-    x = g.join(found.select("child_segment_id", F.struct("*").alias("k")), "child_segment_id", "left").join(cut, "child_segment_id", "left")
-
+    # texts are read where they are and only their digests move
+    g = segments.withColumns({"own_digest": digest(F.col("segment_text")), "own_hash_differs": F.col("segment_hash") != sha256(F.col("segment_text"))})
+    g = g.select("child_segment_id", "chapter_num", "chapter_id", "version_id", "scene_key", "start_offset", "end_offset", "sentence_count", "paragraph_count", "first_sentence_id", "last_sentence_id", "first_para_id", "last_para_id", packed(F.col("source_fingerprint")).alias("source_fingerprint"), "has_overlap", "previous_child_id", "own_digest", "own_hash_differs")
+    g = g.join(ch, F.col("chapter_num") == F.col("c_num"), "left").join(sc, F.col("scene_key") == F.col("b_key"), "left")
     c = F.col
     early = [
         (c("c_num").isNull(), "chapter_missing"),
         (c("c_num").isNotNull() & ((c("chapter_id") != c("c_id")) | (c("version_id") != c("c_version"))), "chapter_identity"),
         (c("c_num").isNotNull() & c("b_key").isNull(), "scene_missing"),
     ]
-    scene = [
-        ((c("chapter_id") != c("b_chapter")) | (c("version_id") != c("b_version")), "scene_identity"), ((c("start_offset") < c("b_start")) | (c("end_offset") > c("b_end")), "scene_boundary"), (c("sentence_count") < 1, "no_sentences"),
-        (F.coalesce(c("k.n"), F.lit(0)) != c("sentence_count"), "link_count"), (c("k.n").isNull(), "no_links"),
-    ]
+    has_scene = c("b_key").isNotNull() & c("c_num").isNotNull()
+    scene = [((c("chapter_id") != c("b_chapter")) | (c("version_id") != c("b_version")), "scene_identity"), ((c("start_offset") < c("b_start")) | (c("end_offset") > c("b_end")), "scene_boundary"), (c("sentence_count") < 1, "no_sentences")]
+    g = g.withColumns({"has_scene": has_scene, "early": violated([*early, *((has_scene & v, n) for v, n in scene)])})
+    g = materialize(g.drop("c_num", "c_id", "c_version", "b_key", "b_chapter", "b_version"), "checked-segments")
+
+    own = g.select("child_segment_id", F.col("chapter_id").alias("g_chapter"), F.col("version_id").alias("g_version"), "b_start", "b_end")
+    k = traced_links(links, sentences).join(own, "child_segment_id")
+    some = lambda condition: F.coalesce(F.bool_or(condition), F.lit(False))
+    different = lambda column: F.size(F.collect_set(column))
+    found = k.groupBy("child_segment_id").agg(
+        F.count(F.lit(1)).alias("n"), ((F.min("position") != 1) | (F.max("position") != F.count(F.lit(1))) | (different("position") != F.count(F.lit(1)))).alias("gap"), some((F.col("chapter_id") != F.col("g_chapter")) | (F.col("version_id") != F.col("g_version"))).alias("identity"),
+        some(F.col("t_id").isNull()).alias("untraced"), some((F.col("t_chapter") != F.col("g_chapter")) | (F.col("t_version") != F.col("g_version"))).alias("other_chapter"), some((F.col("t_start") < F.col("b_start")) | (F.col("t_end") > F.col("b_end"))).alias("out_of_scene"),
+        some("start_differs").alias("start"), some("end_differs").alias("end"), some("hash_differs").alias("hash"), some("is_overlap").alias("overlaps"),
+        F.min_by(F.struct("t_id", "t_para", "t_start"), "position").alias("first"), F.max_by(F.struct("t_id", "t_para", "t_end"), "position").alias("last"), different("t_para").alias("paras"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", F.concat_ws("-", F.col("t_start").cast("string"), F.col("t_end").cast("string"), unpacked(F.col("t_hash"))).alias("part")))), lambda x: x["part"]), ";").alias("parts"),
+    )
+    stray = stray_overlaps(links, g.select("child_segment_id", "previous_child_id")).withColumn("stray_overlap", F.lit(True))
+    cut = cut_again(g.select("chapter_num", "child_segment_id", "start_offset", "end_offset"), chapters, "child_segment_id").select("child_segment_id", digest(F.col("cut")).alias("cut_digest"))
+    x = g.join(found.select("child_segment_id", F.struct("*").alias("k")), "child_segment_id", "left").join(cut, "child_segment_id", "left").join(stray, "child_segment_id", "left")
+
+    scene = [(F.coalesce(c("k.n"), F.lit(0)) != c("sentence_count"), "link_count"), (c("k.n").isNull(), "no_links")]
     linked = [(c(f"k.{flag}"), code) for flag, code in (("gap", "link_position_gap"), ("identity", "link_identity"), ("untraced", "sentence_untraced"), ("other_chapter", "sentence_of_other_chapter"), ("out_of_scene", "sentence_out_of_scene"), ("start", "link_start"), ("end", "link_end"), ("hash", "link_hash"))]
     whole = [
         (c("first_sentence_id") != c("k.first.t_id"), "first_sentence"), (c("last_sentence_id") != c("k.last.t_id"), "last_sentence"), (c("start_offset") != c("k.first.t_start"), "starts_inside_sentence"), (c("end_offset") != c("k.last.t_end"), "ends_inside_sentence"),
-        (~c("segment_text").eqNullSafe(c("cut")), "text_backcut"), (c("segment_hash") != sha256(c("segment_text")), "text_hash"), (c("source_fingerprint") != fingerprint_of(c("k.parts")), "source_fingerprint"), (c("paragraph_count") != c("k.paras"), "paragraph_count"),
+        (~c("own_digest").eqNullSafe(c("cut_digest")), "text_backcut"), (c("own_hash_differs"), "text_hash"), (c("source_fingerprint") != packed(fingerprint_of(c("k.parts"))), "source_fingerprint"), (c("paragraph_count") != c("k.paras"), "paragraph_count"),
         ((c("first_para_id") != c("k.first.t_para")) | (c("last_para_id") != c("k.last.t_para")), "paragraph_boundary"), (c("has_overlap") & given(c("previous_child_id")).isNull(), "overlap_without_source"),
-        (c("has_overlap") & given(c("previous_child_id")).isNotNull() & ~c("k.overlaps"), "overlap_without_links"), (c("has_overlap") & given(c("previous_child_id")).isNotNull() & c("k.stray_overlap"), "overlap_not_from_previous"),
+        (c("has_overlap") & given(c("previous_child_id")).isNotNull() & ~c("k.overlaps"), "overlap_without_links"), (c("has_overlap") & given(c("previous_child_id")).isNotNull() & c("stray_overlap"), "overlap_not_from_previous"),
     ]
-    has_scene, has_links, traced = c("b_key").isNotNull() & c("c_num").isNotNull(), c("k.n").isNotNull(), ~c("k.untraced")
-    rules = [*early, *((has_scene & v, n) for v, n in scene), *((has_scene & has_links & v, n) for v, n in linked), *((has_scene & has_links & traced & v, n) for v, n in whole)]
-    codes = F.array_compact(F.array(*(F.when(v, F.lit(n)) for v, n in rules)))
-    return x.select("child_segment_id", F.explode(codes).alias("code"))
+    has_scene, has_links, traced = c("has_scene"), c("k.n").isNotNull(), ~c("k.untraced")
+    rules = [*((has_scene & v, n) for v, n in scene), *((has_scene & has_links & v, n) for v, n in linked), *((has_scene & has_links & traced & v, n) for v, n in whole)]
+    return x.select("child_segment_id", F.explode(F.concat("early", violated(rules))).alias("code"))
 
 
 def span_backcuts(spans: DataFrame, sentences: DataFrame, paragraphs: DataFrame) -> DataFrame:

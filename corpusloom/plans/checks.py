@@ -63,7 +63,7 @@ def x42_backcut_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_segments(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Segments and links as they are stored."""
+    """Segments and links as they are stored; beside a link its segment's last position."""
     inside = lambda u: F.substring(F.col("segment_text"), (u["s"] - F.col("start_offset") + 1).cast("int"), u["e"] - u["s"])
     first, last = F.get("sentences", F.lit(0)), F.element_at("sentences", -1)
     part = F.transform("sentences", lambda u: F.concat_ws("-", u["s"].cast("string"), u["e"].cast("string"), sha256(inside(u))))
@@ -72,8 +72,8 @@ def stored_segments(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         "first_sentence_id": sid(first), "last_sentence_id": sid(last), "first_para_id": C.paragraph_id("chapter_id", first["para"]), "last_para_id": C.paragraph_id("chapter_id", last["para"]), "paragraph_count": F.size(F.array_distinct(F.transform("sentences", lambda u: u["para"]))).cast("long"),
         "has_overlap": F.col("overlap_sentences") > 0, "source_fingerprint": V.fingerprint_of(F.array_join(part, ";")),
     })
-    linked = rows.select("child_segment_id", "chapter_id", "version_id", "segment_hash", "overlap_sentences", F.posexplode(F.transform("sentences", lambda u: F.struct(u["s"].alias("s"), u["e"].alias("e"), u["para"].alias("para"), u["i"].alias("i"), sha256(inside(u)).alias("h")))).alias("k", "u"))
-    links = linked.select("child_segment_id", "chapter_id", "version_id", "segment_hash", (F.col("k") + 1).cast("long").alias("position"), sid(F.col("u")).alias("sentence_id"), F.col("u.s").cast("long").alias("start_offset"), F.col("u.e").cast("long").alias("end_offset"), F.col("u.h").alias("sentence_hash"), (F.col("k") < F.col("overlap_sentences")).alias("is_overlap"))
+    linked = rows.select("child_segment_id", "chapter_id", "version_id", "segment_hash", "overlap_sentences", F.size("sentences").alias("top"), F.posexplode(F.transform("sentences", lambda u: F.struct(u["s"].alias("s"), u["e"].alias("e"), u["para"].alias("para"), u["i"].alias("i"), sha256(inside(u)).alias("h")))).alias("k", "u"))
+    links = linked.select("child_segment_id", "chapter_id", "version_id", "segment_hash", (F.col("k") + 1).cast("long").alias("position"), sid(F.col("u")).alias("sentence_id"), F.col("u.s").cast("long").alias("start_offset"), F.col("u.e").cast("long").alias("end_offset"), F.col("u.h").alias("sentence_hash"), (F.col("k") < F.col("overlap_sentences")).alias("is_overlap"), "top")
     return segments.drop("sentences"), links
 
 
@@ -111,8 +111,7 @@ def m15_segment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sentence_count": chosen(m, {2: c("sentence_count") + 1}, c("sentence_count")), "paragraph_count": chosen(m, {7: c("paragraph_count") + 1}, c("paragraph_count")), "first_sentence_id": chosen(m, {16: F.lit("x")}, c("first_sentence_id")), "last_para_id": chosen(m, {16: F.lit("x")}, c("last_para_id")),
         "segment_text": chosen(m, {0: F.concat("segment_text", F.lit("x"))}, c("segment_text")), "source_fingerprint": chosen(m, {8: F.lit("x")}, c("source_fingerprint")), "previous_child_id": chosen(m, {4: _none(), 5: F.lit("none")}, c("previous_child_id")),
     })
-    last = links.groupBy(c("child_segment_id").alias("t_child")).agg(F.max("position").alias("top"))
-    links = links.join(last, c("child_segment_id") == c("t_child")).filter((m != 14) & ~((m == 9) & (c("position") == c("top"))))
+    links = links.filter((m != 14) & ~((m == 9) & (c("position") == c("top"))))
     links = links.withColumns({"sentence_id": F.when((m == 11) & (c("position") == 1), "gone").otherwise(c("sentence_id")), "start_offset": chosen(m, {12: c("start_offset") + 1}, c("start_offset")), "sentence_hash": chosen(m, {13: F.lit("x")}, c("sentence_hash"))}).withColumn("position", chosen(m, {10: c("position") + 1}, c("position")))
     return V.segment_violations(segments, links, block_rows(spark, sf_dir), C.sentences(chapters), chapters)
 

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.plans import registry
 from corpusloom.operators import chunking as C
 from corpusloom.operators import verification as V
 from corpusloom.sources.corpus import chapters
@@ -73,3 +74,16 @@ def test_runs_and_replies(spark):
     assert sorted(r["error"] for r in errors.collect()) == ["fake_ok must PASS", "fixture_empty_response must FAIL"]
     runs = spark.createDataFrame([(1, "FAIL"), (3, "BLOCKED"), (4, None)], "run_id long, status string")
     assert {r["run_id"]: (r["status"], r["errors"]) for r in V.run_verdicts(runs, errors).collect()} == {1: ("FAIL", 1), 3: ("BLOCKED", 0), 4: ("PASS", 0)}
+
+
+def test_segment_rules_move_few_bytes(spark, tiny):
+    """Links and segments once carried texts, hexadecimal hashes and three copies of a row through every join."""
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    size = spark.read.parquet(f"{tiny}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
+    before, key = written(), "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        registry.queries()["m15_segment_rules"](spark, tiny).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset(key)
+    assert written() - before < 10 * size
