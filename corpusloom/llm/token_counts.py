@@ -33,22 +33,24 @@ PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 
 
 @lru_cache(maxsize=1)
-def pretoken_pattern() -> regex.Pattern:
-    """The pattern with letters and numbers as the tokenizers library knows them.
+def pretoken_patterns() -> tuple[regex.Pattern, regex.Pattern, frozenset[str]]:
+    """The published pattern, the pattern with letters and numbers as the tokenizers library knows them, and the characters on which they differ.
+
+    Leaving these out one by one makes a pattern several times as slow, so it is for the texts that hold one.
 
     The installed regex may follow a later Unicode version. What it takes for a
     letter or a number and Python's own, earlier tables do not is asked of the library.
     """
     from tokenizers import pre_tokenizers
 
-    split, pattern = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True), PRETOKEN
+    split, pattern, differ = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True), PRETOKEN, set()
     for kind, like in (("L", "a"), ("N", "1")):
         known = regex.compile(rf"\p{{{kind}}}")
         late = (c for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if unicodedata.category(c)[0] != kind and known.match(c))
-        odd = "".join(map(regex.escape, (c for c in late if len(split.pre_tokenize_str(like + c + like)) > 1)))
-        if odd:
-            pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{odd}]]")
-    return regex.compile(pattern, regex.V1)
+        if odd := [c for c in late if len(split.pre_tokenize_str(like + c + like)) > 1]:
+            differ |= set(odd)
+            pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{''.join(map(regex.escape, odd))}]]")
+    return regex.compile(PRETOKEN), regex.compile(pattern, regex.V1), frozenset(differ)
 
 
 def byte_symbols() -> list[str]:
@@ -64,7 +66,7 @@ class MergeCounter:
     def __init__(self, ranks: dict[tuple[str, str], int], special: list[str], bound: int = 500_000):
         self.ranks = ranks
         self.symbols = byte_symbols()
-        self.pretoken = pretoken_pattern()
+        self.published, self.exact, self.odd = pretoken_patterns()
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.words = chunks.Memo(self.merged_length, bound)
         self.plain = chunks.Memo(self.piece, bound)
@@ -112,7 +114,8 @@ class MergeCounter:
         """Tokens of a text that is counted by itself; special strings are one token each."""
         found = self.special.findall(text) if self.special else ()
         parts = self.special.split(text) if found else (text,)
-        return len(found) + sum(self.words[w] for part in parts for w in self.pretoken.findall(part))
+        pretoken = self.published if text.isascii() or self.odd.isdisjoint(text) else self.exact
+        return len(found) + sum(self.words[w] for part in parts for w in pretoken.findall(part))
 
     def count(self, text: str) -> int:
         total = -1

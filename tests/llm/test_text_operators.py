@@ -301,3 +301,18 @@ def test_line_rules_against_sql_on_made_up_lines(spark, tmp_path):
     query = queries.op1_quality_rules(spark, str(tmp_path))
     assert assert_same(query, QUALITY_SQL, connect(str(tmp_path))) == 1502
     assert 0 < query.filter("kept").count() < query.filter("kept_words < n_words").count()
+
+
+def test_only_texts_with_characters_of_later_unicode_take_the_slow_pattern():
+    from tokenizers import Tokenizer
+
+    from corpusloom.llm import token_counts
+
+    path = token_counts.default_vocabulary()
+    slow, quick, library = (token_counts.MergeCounter.from_file(path) for _ in "ab"), token_counts.MergeCounter.from_file(path), Tokenizer.from_file(path)
+    quick.exact = None
+    for text in ("plain words, 12 of them", "Élan vital – 你好 ١٢٣ ²", "a\n\n  b　c"):
+        assert quick.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    late = sorted(quick.odd)[:3]
+    for text in ("ab" + "x".join(late) + " 1", " ".join(late) + "."):
+        assert next(slow).count(text) == len(library.encode(text, add_special_tokens=False).ids)
