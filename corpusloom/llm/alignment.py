@@ -1,10 +1,12 @@
 """Alignment of two tokenizers' tokens over the same bytes (operator 13).
 
-A task tokenises its texts and gives ids and byte ends, nothing else. All that
-follows is column functions: the ends that both sides share (array_intersect) are
-found again in each side's ends by one sort, cut both sides into groups, and every
-pair inside a group is a link. An id pair's count is the number of rows that hold it
-linked, wherever they are.
+A task tokenises its texts and gives ids and byte ends, nothing else. Column
+functions over the end arrays find each side's own ends, those that the other side
+lacks (array_except); all others are shared and cut both sides into groups. What the
+groups say of their ids, the digest and the pairs, is listed by numpy a stretch of rows
+at a time, as a lambda over arrays is interpreted element by element. Every pair inside
+a group is a link. An id pair's count is the number of rows that hold it linked,
+wherever they are.
 
 Null and empty texts, and texts that either side does not give back byte for byte,
 have no tokens. Every row counts by itself, repeated rows too, and ids may be null.
@@ -16,16 +18,18 @@ read, so their names can't clash.
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.native import let
 from corpusloom.llm.packing import _LONG_GAP, _PLAIN, Encoder
 from corpusloom.llm.storage import materialize, ship_package
 from corpusloom.llm.token_counts import byte_symbols
@@ -34,8 +38,10 @@ from corpusloom.llm.token_counts import byte_symbols
 LISTED = 64
 #: Most rows of pair counts that are broadcast (some 50 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Tokens of both sides that go to the JVM at once, a text more at most.
+#: Tokens of both sides that are worked on and go to the JVM at once, a text more at most.
 _TOKENS = 400_000
+#: Most rows and bytes of an Arrow batch while tokens go to the workers: a batch of 10,000 rows of token arrays is over 100 MB, in the JVM and again in the worker.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _SIDES = [T.StructField(c, T.ArrayType(T.IntegerType(), False), False) for c in ("a_ids", "a_ends", "b_ids", "b_ends")]
 
 
@@ -127,100 +133,109 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: s
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
 
 
-def _again(all_of: Column, some: Column) -> Column:
-    """all_of and some, sorted: what is in both stands there twice."""
-    return F.sort_array(F.concat(all_of, some))
+#: What follows an id in a row's groups: in its group, after the last id of a, after the last id of b.
+_AFTER = (b",", b"|", b";")
+_said: list[bytes] = []
+
+
+def _ids_said(most: int) -> list[bytes]:
+    """The ids up to most with what may follow them, at 3 * id + its place in _AFTER; each worker writes them once."""
+    for i in range(len(_said) // 3, most + 1):
+        _said.extend(b"%d%s" % (i, after) for after in _AFTER)
+    return _said
+
+
+def _values(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """A list column's values, and where each row's begin, with their end."""
+    at = column.offsets.to_numpy()
+    return column.values.to_numpy()[at[0] : at[-1]], (at - at[0]).astype(np.int64)
+
+
+class Groups:
+    """The groups of some rows' tokens, one row after another: no group passes a row's end, which both sides share."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.rows = batch.num_rows
+        for s in "ab":
+            ids, at = _values(batch.column(f"{s}_ids"))
+            ends, own = (self._keys(batch.column(f"{s}_{kind}")) for kind in ("ends", "own"))
+            last = np.ones(len(ids), bool)
+            last[np.searchsorted(ends, own)] = False
+            stop = np.flatnonzero(last) + 1
+            start = np.concatenate([np.zeros(1, np.int64), stop])[:-1]
+            setattr(self, s, (ids.astype(np.int64), at, last, start, stop))
+        #: The first group of each row, and their number.
+        self.first = np.searchsorted(self.a[4], self.a[1], "right")
+        self.pairs = (self.a[4] - self.a[3]) * (self.b[4] - self.b[3])
+
+    @staticmethod
+    def _keys(column: pa.ListArray) -> np.ndarray:
+        """Ends that rise over all rows."""
+        ends, at = _values(column)
+        return ends + (np.repeat(np.arange(len(at) - 1, dtype=np.int64), np.diff(at)) << 32)
+
+    def digests(self) -> list[str]:
+        (a_ids, a_at, a_last, _, a_stop), (b_ids, b_at, b_last, b_start, _) = self.a, self.b
+        of = lambda last: np.cumsum(last) - last
+        order = np.empty(len(a_ids) + len(b_ids), np.int64)
+        order[np.arange(len(a_ids)) + b_start[of(a_last)]] = 3 * a_ids + a_last
+        order[np.arange(len(b_ids)) + a_stop[of(b_last)]] = 3 * b_ids + 2 * b_last
+        said, at = _ids_said(int(order.max()) // 3 if len(order) else -1), a_at + b_at
+        words = [list(map(said.__getitem__, order[m:n].tolist())) for m, n in zip(at[:-1], at[1:], strict=True)]
+        return [hashlib.sha256(b"".join(w)[:-1]).hexdigest() if w else "" for w in words]
+
+    def listed(self, width: int) -> pa.ListArray:
+        """The pairs of all groups of at most LISTED pairs."""
+        n = np.where(self.pairs > LISTED, 0, self.pairs)
+        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+        k = np.repeat(np.arange(len(n)), n)
+        x, y = np.divmod(np.arange(upto[-1]) - upto[k], (self.b[4] - self.b[3])[k])
+        pairs = self.a[0][self.a[3][k] + x] * width + self.b[0][self.b[3][k] + y]
+        return pa.ListArray.from_arrays(pa.array(upto[self.first], pa.int32()), pa.array(pairs))
+
+    def heavy(self, width: int) -> pa.ListArray:
+        """The distinct pairs of larger groups with their multiplicity."""
+        rows: list[list[dict]] = [[] for _ in range(self.rows)]
+        for g in np.flatnonzero(self.pairs > LISTED):
+            (x, n), (y, m) = (np.unique(side[0][side[3][g] : side[4][g]], return_counts=True) for side in (self.a, self.b))
+            pairs, times = (x[:, None] * width + y).ravel().tolist(), (n[:, None] * m).ravel().tolist()
+            rows[np.searchsorted(self.first, g, "right") - 1] += ({"p": p, "n": t} for p, t in zip(pairs, times, strict=True))
+        return pa.array(rows, pa.list_(pa.struct([("p", pa.int64()), ("n", pa.int64())])))
 
 
-def _places(merged: Column, same: bool) -> Column:
-    """The indices from 1 on whose element equals the one before it, or differs from it."""
-    step = F.when(F.size(merged) > 1, F.sequence(F.lit(1), F.size(merged) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.filter(step, lambda i: F.get(merged, i) == F.get(merged, i - 1) if same else F.get(merged, i) != F.get(merged, i - 1))
-
-
-def wide_groups(sides: DataFrame) -> DataFrame:
-    """sides: rows as tokens() gives them, and more. With shared (the common ends), wide (the numbers of the groups of more than a token on some side, from 0) and a_more and b_more.
-
-    x_more has an element for each wide group and one after them: how many tokens
-    of that side beyond one a group stand before it.
-    """
-    both = sides.withColumn("shared", F.array_intersect("a_ends", "b_ends"))
-    both = both.withColumns({f"{s}_own": F.array_except(f"{s}_ends", "shared") for s in "ab"})
-    both = both.withColumns({f"{s}_merged": _again(F.col(f"{s}_ends"), F.col(f"{s}_own")) for s in "ab"})
-    # the r-th own end, second at index i, has i - 2r - 1 shared ends before it
-    both = both.withColumns({f"{s}_in": F.transform(_places(F.col(f"{s}_merged"), True), lambda i, r: i - 2 * r - 1) for s in "ab"})
-    both = both.withColumn("wide", F.array_sort(F.array_union("a_in", "b_in"))).drop("a_own", "b_own", "a_merged", "b_merged", "a_ends", "b_ends")
-    both = both.withColumns({f"{s}_merged": _again(F.col(f"{s}_in"), F.col("wide")) for s in "ab"})
-    # the k-th wide group, first at index i, has i - k own ends before it
-    both = both.withColumns({f"{s}_more": F.transform(F.concat(F.array(F.lit(0)), _places(F.col(f"{s}_merged"), False), F.array(F.size(f"{s}_merged"))), lambda i, k: i - k) for s in "ab"})
-    # without wide groups there is nothing at index 0
-    return both.withColumns({f"{s}_more": F.when(F.size("wide") > 0, F.col(f"{s}_more")).otherwise(F.array(F.lit(0))) for s in "ab"}).drop("a_in", "b_in", "a_merged", "b_merged")
-
-
-def _run(first: Column, n: Column, value) -> Column:
-    """value(i) for n indices from first on. Slices of a long array would copy it for each stretch."""
-    return F.when(n > 0, F.transform(F.sequence(first, first + n - 1), value))
-
-
-def _before(k: Column) -> Column:
-    """The first group after the wide one before the k-th; k counts on to the end."""
-    return F.coalesce(F.get("wide", k - 1), F.lit(-1)) + 1
-
-
-def _here(k: Column) -> Column:
-    return F.coalesce(F.get("wide", k), F.size("shared"))
-
-
-def _one_to_one(k: Column, value) -> Column:
-    """value(i, j) for the tokens at index i of a and j of b that are a group each, before the k-th wide group."""
-    n = _here(k) - _before(k)
-    places = [_before(k) + F.get(f"{s}_more", k) for s in "ab"]
-    none = F.array().cast("array<int>")
-    a, b = (F.when(n > 0, F.sequence(first, first + n - 1)).otherwise(none) for first in places)
-    return F.zip_with(a, b, value)
-
-
-def _inside(k: Column, side: str, value) -> Column:
-    """value(i) for the tokens of one side in the k-th wide group."""
-    return _run(_here(k) + F.get(f"{side}_more", k), 1 + F.get(f"{side}_more", k + 1) - F.get(f"{side}_more", k), value)
-
-
-def _steps() -> Column:
-    return F.sequence(F.lit(0), F.size("wide"))
+def aligned(sides: DataFrame, width: int) -> DataFrame:
+    """sides: rows as tokens() gives them, and more. With n_a, n_b, n_groups, groups_sha256 (of the groups as a1,a2|b1;...), p (a link's ids as a id * width + b id) and heavy (p and n, the links of groups of many)."""
+    ship_package(sides.sparkSession)
+    size = lambda c: F.size(c).cast("long")
+    cut = sides.withColumns({"a_own": F.array_except("a_ends", "b_ends"), "b_own": F.array_except("b_ends", "a_ends")})
+    cut = cut.withColumns({"n_a": size("a_ids"), "n_b": size("b_ids"), "n_groups": size("a_ends") - size("a_own")})
+    kept = [f for f in cut.schema if f.name not in ("a_ids", "a_ends", "b_ids", "b_ends", "a_own", "b_own")]
+    pairs = T.ArrayType(T.StructType([T.StructField(c, T.LongType(), False) for c in "pn"]), False)
+    schema = T.StructType([*kept, T.StructField("groups_sha256", T.StringType(), False), T.StructField("p", T.ArrayType(T.LongType(), False), False), T.StructField("heavy", pairs, False)])
 
+    def run(batches):
+        for batch in batches:
+            held, at = np.add(*(batch.column(f"{s}_ids").offsets.to_numpy().astype(np.int64) for s in "ab")), 0
+            while at < batch.num_rows:
+                end = min(batch.num_rows, int(np.searchsorted(held, held[at] + _TOKENS)))
+                part = batch.slice(at, max(1, end - at))
+                groups, at = Groups(part), at + part.num_rows
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), pa.array(groups.digests(), pa.string()), groups.listed(width), groups.heavy(width)], names=schema.names)
 
-def _pairs_in(k: Column) -> Column:
-    more = [1 + F.get(f"{s}_more", k + 1) - F.get(f"{s}_more", k) for s in "ab"]
-    return more[0].cast("long") * more[1]
+    return cut.mapInArrow(run, schema)
 
 
-def aligned(sides: DataFrame, width: int) -> DataFrame:
-    """sides: rows as tokens() gives them, and more. With n_groups, text (the groups as a1,a2|b1;...), p (a link's ids as a id * width + b id) and heavy (p and n, the links of groups of many)."""
-    rows = wide_groups(sides)
-    a, b = lambda i: F.get("a_ids", i), lambda i: F.get("b_ids", i)
-    pair = lambda x, y: x.cast("long") * width + y
-    last = lambda k: k == F.size("wide")
-    none = F.array().cast("array<bigint>")
-
-    def listed(k: Column) -> Column:
-        within = F.flatten(_inside(k, "a", lambda i: _inside(k, "b", lambda j: pair(a(i), b(j)))))
-        return F.concat(_one_to_one(k, lambda i, j: pair(a(i), b(j))), F.when(last(k) | (_pairs_in(k) > LISTED), none).otherwise(within))
-
-    def heavy(k: Column) -> Column:
-        of = lambda x, y: F.flatten(F.transform(F.array_distinct(x), lambda i: F.transform(F.array_distinct(y), lambda j: F.struct(pair(i, j).alias("p"), (times(x, i) * times(y, j)).alias("n")))))
-        times = lambda v, i: F.size(F.filter(v, lambda u: u == i)).cast("long")
-        both = F.struct(_inside(k, "a", a).alias("x"), _inside(k, "b", b).alias("y"))
-        return let(both, lambda g: of(g["x"], g["y"]))
-
-    def said(k: Column) -> Column:
-        plain = _one_to_one(k, lambda i, j: F.concat(a(i).cast("string"), F.lit("|"), b(j).cast("string")))
-        side = lambda s, ids: F.array_join(_inside(k, s, lambda i: ids(i).cast("string")), ",")
-        return F.when(last(k), plain).otherwise(F.concat(plain, F.array(F.concat(side("a", a), F.lit("|"), side("b", b)))))
-
-    return rows.withColumns({
-        "n_groups": F.size("shared"), "p": F.flatten(F.transform(_steps(), listed)), "text": F.array_join(F.flatten(F.transform(_steps(), said)), ";"),
-        "heavy": F.flatten(F.transform(F.filter(_steps(), lambda k: ~last(k) & (_pairs_in(k) > LISTED)), heavy)),
-    }).drop("wide", "a_more", "b_more", "shared")
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The session's Arrow batches are at most _BATCHES inside, and as before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in _BATCHES}
+    try:
+        for k, v in _BATCHES.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def held_pairs() -> Column:
@@ -244,12 +259,13 @@ def alignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     exceeds in count; count_sum: counts summed over links. Counts go to the rows by
     a broadcast where there are at most broadcast_rows of them, else by a shuffle.
     """
-    size = lambda c: F.size(c).cast("long")
-    linked = aligned(tokens(docs, id_col, text_col, a, b), width).select(
-        F.col(id_col).alias("id"), size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), F.col("n_groups").cast("long").alias("n_groups"), F.when(F.col("n_groups") > 0, F.sha2("text", 256)).otherwise("").alias("groups_sha256"),
-        (size("p") + F.aggregate("heavy", F.lit(0).cast("long"), lambda acc, s: acc + s["n"])).alias("n_links"), "p", "heavy", F.monotonically_increasing_id().alias("row"),
+    linked = aligned(tokens(docs, id_col, text_col, a, b), width)
+    linked = linked.select(
+        F.col(id_col).alias("id"), "n_a", "n_b", "n_groups", "groups_sha256",
+        (F.size("p").cast("long") + F.aggregate("heavy", F.lit(0).cast("long"), lambda acc, s: acc + s["n"])).alias("n_links"), "p", "heavy", F.monotonically_increasing_id().alias("row"),
     )
-    linked = materialize(linked, "linked")
+    with small_batches(docs.sparkSession):
+        linked = materialize(linked, "linked")
     rated = materialize(pair_counts(linked, width), "rated-pairs", compact=True)
     if rated.count() <= broadcast_rows:
         rated = F.broadcast(rated)

@@ -189,3 +189,35 @@ def test_large_groups_are_listed_by_distinct_pairs(spark):
     sides = spark.createDataFrame([row], "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>")
     got = alignment.aligned(sides, 1 << 20).first()
     assert got["n_groups"] == 1 and got["p"] == [] and {(x["p"] >> 20, x["p"] & 0xFFFFF, x["n"]) for x in got["heavy"]} == {(a, b, 10_000) for a in range(3) for b in range(2)}
+
+
+def test_groups_of_rows_together_equal_plain(spark):
+    """Rows with and without tokens, small and large groups, side by side in a batch; no lambda runs over the tokens, and the session's batches stay as they were."""
+    r, width = random.Random(13), 1 << 20
+    rows, want = [], {}
+    for i in range(60):
+        groups = [([r.randrange(5) for _ in range(r.choice((1, 1, 1, 2, 3, 12)))], [r.randrange(7) for _ in range(r.choice((1, 1, 2, 9)))]) for _ in range(r.choice((0, 1, 2, 40)))]
+        sides, upto = ([], [], [], []), 0
+        for a, b in groups:
+            inside = r.sample(range(upto + 1, upto + 100), len(a) + len(b) - 2)
+            for k, ids, own in ((0, a, inside[: len(a) - 1]), (2, b, inside[len(a) - 1 :])):
+                sides[k].extend(ids)
+                sides[k + 1].extend([*sorted(own), upto + 100])
+            upto += 100
+        rows.append((i, *sides))
+        links = Counter(x * width + y for a, b in groups for x in a for y in b)
+        want[i] = (len(groups), digest(";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)) if groups else "", links)
+    sides = spark.createDataFrame(rows, "k int, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>").coalesce(1)
+    found = alignment.aligned(sides, width)
+    assert "lambda" not in found._jdf.queryExecution().toString()
+    got = {x["k"]: (x["n_groups"], x["groups_sha256"], Counter(x["p"]) + Counter({h["p"]: 0 for h in x["heavy"]}), x["heavy"]) for x in found.collect()}
+    for i, (n, said, links) in want.items():
+        total = got[i][2].copy()
+        for h in got[i][3]:
+            total[h["p"]] += h["n"]
+        assert got[i][:2] == (n, said) and total == links
+    before = [spark.conf.get(k) for k in alignment._BATCHES]
+    with pytest.raises(ZeroDivisionError), alignment.small_batches(spark):
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "500"
+        raise ZeroDivisionError
+    assert [spark.conf.get(k) for k in alignment._BATCHES] == before
