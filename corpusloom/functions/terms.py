@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.sources.staging import ship_package
@@ -25,6 +25,14 @@ def distinct_terms(df: DataFrame, column: str) -> tuple[str, ...]:
     return checked([r[0] for r in rows])
 
 
+def held(df: DataFrame) -> list[Row]:
+    """The rows of a caller's dictionary on the driver; too many are an error."""
+    rows = df.limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"a dictionary holds at most {MOST_TERMS} rows")
+    return rows
+
+
 def checked(terms) -> tuple[str, ...]:
     terms = tuple(sorted({t for t in terms if t}))
     if len(terms) > MOST_TERMS:

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.functions.text import sha256
 from corpusloom.sources.staging import materialize, ship_package
@@ -138,12 +139,11 @@ def blocks_with_sentences(content: str, longest: int) -> Iterator[tuple[Block, i
         at = end
 
 
-def expand(chapters: DataFrame, fields: list[tuple[str, str]], rows_of: Callable[[str], Iterable[tuple]]) -> DataFrame:
-    """chapters' keys beside the rows that rows_of gives for each content; fields: names and Spark types."""
+def expand(chapters: DataFrame, fields: list[tuple[str, str]], rows_of: Callable[[str, int | None], Iterable[tuple]]) -> DataFrame:
+    """chapters' keys beside the rows that rows_of gives for each content and chapter number; fields: names and Spark types."""
     ship_package(chapters.sparkSession)
     schema = T.StructType([chapters.schema[k] for k in KEYS] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
-    arrow = {"long": pa.int64(), "string": pa.string(), SENTENCES: pa.list_(pa.struct([(n, pa.int32()) for n in ("s", "e", "para", "i")]))}
-    kinds, names = [arrow[t] for _, t in fields], schema.names
+    kinds, names = [to_arrow_type(f.dataType) for f in schema.fields[len(KEYS) :]], schema.names
     texts = [k for k, (_, t) in enumerate(fields) if t == "string"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,8 +155,8 @@ def expand(chapters: DataFrame, fields: list[tuple[str, str]], rows_of: Callable
                 columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
                 return pa.RecordBatch.from_arrays([c.take(pa.array(at, pa.int64())) for c in keys] + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-            for place, content in enumerate(batch.column(len(KEYS))):
-                for row in rows_of(content.as_py() or ""):
+            for place, (num, content) in enumerate(zip(keys[0], batch.column(len(KEYS)), strict=True)):
+                for row in rows_of(content.as_py() or "", num.as_py()):
                     at.append(place)
                     rows.append(row)
                     chars += sum(len(row[k]) for k in texts if row[k])
@@ -176,7 +176,7 @@ def number(value: Column | str) -> Column:
 def paragraphs(chapters: DataFrame) -> DataFrame:
     """One row a paragraph: coordinates, kind, text and hash."""
     fields = [("para_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("char_length", "long"), ("para_kind", "string"), ("para_text", "string")]
-    rows = expand(chapters, fields, lambda content: ((p.i, p.s, p.e, p.e - p.s, p.kind, p.text) for p in paragraph_units(content)))
+    rows = expand(chapters, fields, lambda content, _: ((p.i, p.s, p.e, p.e - p.s, p.kind, p.text) for p in paragraph_units(content)))
     return rows.withColumn("para_hash", sha256(F.col("para_text")))
 
 
@@ -191,7 +191,7 @@ def sentence_id(chapter_id: Column | str, para: Column | str, i: Column | str) -
 def sentences(chapters: DataFrame) -> DataFrame:
     """One row a sentence: coordinates, running number in the chapter, text and hash."""
     fields = [("para_index", "long"), ("sentence_index", "long"), ("global_sentence_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("sentence_text", "string")]
-    rows = expand(chapters, fields, lambda content: ((u.para, u.i, g, u.s, u.e, u.text) for g, u in enumerate(sentence_units(paragraph_units(content)), 1)))
+    rows = expand(chapters, fields, lambda content, _: ((u.para, u.i, g, u.s, u.e, u.text) for g, u in enumerate(sentence_units(paragraph_units(content)), 1)))
     return rows.select(*KEYS, paragraph_id("chapter_id", "para_index").alias("para_id"), sentence_id("chapter_id", "para_index", "sentence_index").alias("sentence_id"), *(n for n, _ in fields), sha256(F.col("sentence_text")).alias("sentence_hash"))
 
 
@@ -203,7 +203,7 @@ def blocks(chapters: DataFrame, longest: int = BLOCK_MAX) -> DataFrame:
     """One row a block, with the running number of its first sentence and a hash of its text."""
     fields = [("scene_index", "long"), ("start_para_index", "long"), ("end_para_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("scene_kind", "string"), ("split_reason", "string"), ("source_hash", "string"), ("first_sentence", "long")]
 
-    def rows_of(content: str) -> Iterator[tuple]:
+    def rows_of(content: str, _: int | None) -> Iterator[tuple]:
         for k, (b, before, inside) in enumerate(blocks_with_sentences(content, longest), 1):
             yield k, b.first, b.last, b.s, b.e, b.kind, b.reason, hashlib.sha256(content[b.s : b.e].encode("utf-8")).hexdigest(), before + 1 if inside else None
 
@@ -215,7 +215,7 @@ def segments(chapters: DataFrame, longest: int = BLOCK_MAX, least: int = SEGMENT
     """One row a segment: its sentences' offsets with the overlap before them, ids, boundary status and text."""
     fields = [("scene_index", "long"), ("segment_index", "long"), ("start_offset", "long"), ("end_offset", "long"), ("sentence_count", "long"), ("overlap_sentences", "long"), ("boundary_status", "string"), ("sentences", SENTENCES), ("segment_text", "string")]
 
-    def rows_of(content: str) -> Iterator[tuple]:
+    def rows_of(content: str, _: int | None) -> Iterator[tuple]:
         for k, (_, _, inside) in enumerate(blocks_with_sentences(content, longest), 1):
             for g, (first, last) in enumerate(segment_ranges(inside, least, most, hard), 1):
                 lead = max(1, first - overlap) if g > 1 else first

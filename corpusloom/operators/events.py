@@ -1,17 +1,24 @@
 """Event understanding: triggers, arguments, review, confirmation, groups, order, impacts, gate.
 
 Rules are the caller's; their terms are found by one pass over each sentence and
-joined on equality. Every other step joins on ids.
+joined on equality. The review takes events with their context from one pass over
+each chapter. Every other step joins on ids.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.intervals import bucket_of, over_buckets
-from corpusloom.functions.terms import distinct_terms, term_starts
+from corpusloom.functions.terms import automaton, checked, distinct_terms, found, held, term_starts
+from corpusloom.functions.terms import longest as longest_terms
 from corpusloom.functions.text import WS, let, sha256, stable_id
+from corpusloom.operators import chunking as C
 from corpusloom.sources.staging import materialize, release
 
 #: Words and scores of the review rules.
@@ -59,8 +66,11 @@ def triggers(sentences: DataFrame, rules: DataFrame) -> DataFrame:
     hit = hit.withColumn("at", F.explode("found.starts")).drop("found", "__term")
     hit = hit.withColumns({"trigger_start": F.col("start_offset") + F.col("at")}).withColumn("trigger_end", F.col("trigger_start") + F.length("term"))
     w = Window.partitionBy("sentence_id", "trigger_start", "trigger_end").orderBy("priority", F.desc(F.length("term")))
-    event_id = stable_id("evt", F.col("rule_id"), F.col("sentence_id"), F.col("trigger_start"), F.col("trigger_end"))
-    return hit.withColumn("kept", F.row_number().over(w) == 1).withColumn("event_id", event_id).withColumnRenamed("term", "trigger_text").drop("negatives", "at")
+    return hit.withColumn("kept", F.row_number().over(w) == 1).withColumn("event_id", event_id()).withColumnRenamed("term", "trigger_text").drop("negatives", "at")
+
+
+def event_id() -> Column:
+    return stable_id("evt", F.col("rule_id"), F.col("sentence_id"), F.col("trigger_start"), F.col("trigger_end"))
 
 
 def state_changes(events: DataFrame) -> DataFrame:
@@ -94,41 +104,103 @@ def arguments(events: DataFrame, appearances: DataFrame) -> DataFrame:
 SUBJECT_GAP, AGENT_GAP = 1, 20
 
 
-def placed_roles(args: DataFrame, events: DataFrame) -> DataFrame:
-    """args with roles by place and trigger: of names of the sentence that end before the trigger the speaker of speech, the mover of a movement, the subject right before it, the agent near it."""
-    e = events.select("event_id", "trigger_text", "event_family", "trigger_start")
-    gap = F.col("trigger_start") - F.col("match_start") - F.length("entity_text")
-    near = (F.col("role") == "character") & (F.col("scope") == "same_sentence") & (gap >= 0)
-    role = (
+def placed_role(name: Column) -> Column:
+    """A name's role by its place and the event's trigger: of names of the sentence that end before the trigger the speaker of speech, the mover of a movement, the subject right before it, the agent near it."""
+    gap = F.col("trigger_start") - name["match_start"] - F.length(name["entity_text"])
+    near = (name["scope"] == "same_sentence") & (gap >= 0)
+    return (
         F.when(near & F.col("trigger_text").isin(*SPEECH), "speaker")
         .when(near & (gap <= SUBJECT_GAP), "subject")
         .when(near & (F.col("event_family") == "movement"), "mover")
         .when(near & (gap <= AGENT_GAP), "agent")
-        .otherwise(F.col("role"))
+        .otherwise("character")
     )
-    return args.join(e, "event_id").withColumn("role", role).select(args.columns)
 
 
-def review_export(events: DataFrame, args: DataFrame, scenes: DataFrame, backcut: DataFrame) -> DataFrame:
-    """Events with their arguments in order, scene, state of the back-cut, and sorted warnings; duplicates are counted over keys.
+#: The names around an event.
+NAMES = "array<struct<match_start:long,character_id:string,entity_text:string,scope:string>>"
+_RULE = ("rule_id", "event_family", "event_type", "confidence", "state_type", "from_state", "to_state")
 
-    backcut: event_id and status of the evidence that each event has.
+
+def in_context(chapters: DataFrame, rules: DataFrame, aliases: DataFrame, longest: int = C.BLOCK_MAX) -> DataFrame:
+    """The kept triggers with what their chapters hold around them: sentence, the one before it in the paragraph, text that the offsets cut, block, names, and how many events have the same trigger in the sentence and the same evidence in the chapter.
+
+    What ``triggers``, ``arguments`` and ``enclosing_scene`` find in stored layers,
+    by one pass over each chapter: no layer is written, and nothing moves to meet
+    its neighbours. Rules and aliases travel to the workers whole.
+    """
+    of_term: dict[str, list[tuple]] = {}
+    for r in sorted(held(rules), key=lambda r: r["priority"]):
+        if r["term"] and r["negatives"] is not None:
+            of_term.setdefault(r["term"], []).append((r["negatives"], tuple(r[c] for c in _RULE)))
+    owners: dict[str, list[tuple]] = {}
+    for r in held(aliases):
+        if r["alias_text"]:
+            owners.setdefault(r["alias_text"], []).append((r["character_id"], r["valid_from"], r["valid_to"]))
+    terms, names = checked(of_term), checked(owners)
+    fields = [(n, "long") for n in ("para_index", "sentence_index", "start_offset", "end_offset", "scene_index", "trigger_start", "trigger_end", "same_trigger", "same_evidence")] + [(n, "string") for n in ("sentence_text", "previous", "cut", "trigger_text", *_RULE)] + [("names", NAMES)]
+
+    def fired(text: str) -> Iterator[tuple[str, list[int], tuple]]:
+        """Terms with their places and the first rule that nothing vetoes; equal spans are of one term."""
+        for term, starts in found(text, automaton(terms)).items():
+            for negatives, rule in of_term[term]:
+                if not any(n is None or n in text for n in negatives):
+                    yield term, starts, rule
+                    break
+
+    def named(u: C.Unit, num: int | None) -> dict[tuple, int]:
+        """The first place of each character's alias that is valid in the chapter."""
+        first: dict[tuple, int] = {}
+        for at, alias in longest_terms(u.text, automaton(names)):
+            for character, low, high in owners[alias]:
+                if num is not None and (low is None or low <= num) and (high is None or num <= high):
+                    first.setdefault((character, alias), u.s + at)
+        return first
+
+    def rows_of(content: str, num: int | None) -> Iterator[tuple]:
+        hits, evidence = [], Counter()
+        for k, (_, _, inside) in enumerate(C.blocks_with_sentences(content, longest), 1):
+            for _, units in groupby(inside, key=lambda u: u.para):
+                units = list(units)
+                hit = [(j, u, f) for j, u in enumerate(units) if (f := list(fired(u.text)))]
+                near = [named(u, num) for u in units] if hit else []
+                wide: dict[tuple, int] = {}
+                for first in near:
+                    wide = first | wide
+                for j, u, f in hit:
+                    around = [{"match_start": at, "character_id": c, "entity_text": t, "scope": "same_sentence" if (c, t) in near[j] else "same_paragraph"} for (c, t), at in (wide | near[j]).items()]
+                    hits.append((k, u, units[j - 1].text if j else None, f, around))
+                    evidence[u.text] += sum(len(starts) for _, starts, _ in f)
+        for k, u, previous, f, around in hits:
+            cut = content[u.s : u.e]
+            for term, starts, rule in f:
+                for at in starts:
+                    yield u.para, u.i, u.s, u.e, k, u.s + at, u.s + at + len(term), len(starts), evidence[u.text], u.text, previous, cut, term, *rule, around
+
+    x = C.expand(chapters, fields, rows_of)
+    x = x.withColumns({"para_id": C.paragraph_id("chapter_id", "para_index"), "sentence_id": C.sentence_id("chapter_id", "para_index", "sentence_index"), "scene_key": C.scene_key(), "sentence_hash": sha256(F.col("sentence_text"))})
+    return x.withColumn("event_id", event_id())
+
+
+def review_export(events: DataFrame) -> DataFrame:
+    """Events in context with their arguments in order and sorted warnings; the bare trigger is the argument where there is no name.
+
+    events: as ``in_context`` gives them, with backcut_status of the evidence that each has.
     """
-    listed = F.array_sort(F.collect_list(F.struct("match_start", "character_id", "entity_text", "role")))
-    bucket = args.groupBy("event_id").agg(listed.alias("arguments"))
+    argument = lambda start, character, text, role: F.struct(start.alias("match_start"), character.alias("character_id"), text.alias("entity_text"), role.alias("role"))
+    none = lambda kind: F.lit(None).cast(kind)
+    listed = F.array_sort(F.transform("names", lambda n: argument(n["match_start"], n["character_id"], n["entity_text"], placed_role(n))))
+    bare = F.array(argument(none("long"), none("string"), F.col("trigger_text"), F.lit("unknown")))
     people = F.filter("arguments", lambda x: x["character_id"].isNotNull())
-    x = events.join(bucket, "event_id", "left").join(scenes, "event_id", "left").join(backcut.select("event_id", F.col("status").alias("backcut_status")), "event_id", "left")
-    x = x.withColumns({"characters": F.coalesce(F.size(people).cast("long"), F.lit(0).cast("long")), "character_texts": F.coalesce(F.array_join(F.transform(people, lambda a: a["entity_text"]), ","), F.lit(""))})
-    same_trigger = F.count(F.lit(1)).over(Window.partitionBy("chapter_num", "sentence_id", "trigger_text", "rule_id"))
-    same_evidence = F.count(F.lit(1)).over(Window.partitionBy("chapter_num", "sentence_hash"))
-    x = x.withColumns({"same_trigger": same_trigger, "same_evidence": same_evidence})
-    has = lambda role: F.coalesce(F.exists("arguments", lambda a: a["role"] == role), F.lit(False))
+    x = events.withColumn("arguments", F.when(F.size("names") > 0, listed).otherwise(bare)).withColumn("__people", people)
+    x = x.withColumns({"characters": F.size("__people").cast("long"), "character_texts": F.array_join(F.transform("__people", lambda a: a["entity_text"]), ",")})
+    has = lambda role: F.exists("arguments", lambda a: a["role"] == role)
     warnings = F.array_compact(F.array(
-        F.when(F.col("backcut_status").isNull(), "missing_evidence_span"), F.when(F.coalesce(F.col("trigger_text"), F.lit("")) == "", "missing_trigger_text"), F.when(F.coalesce(F.size("arguments"), F.lit(0)) <= 0, "missing_argument"),
+        F.when(F.col("backcut_status").isNull(), "missing_evidence_span"), F.when(F.coalesce(F.col("trigger_text"), F.lit("")) == "", "missing_trigger_text"), F.when(F.size("arguments") <= 0, "missing_argument"),
         F.when(~has("subject"), "missing_subject_candidate"), F.when(F.col("scene_key").isNull(), "missing_scene_block"), F.when(F.coalesce(F.col("backcut_status"), F.lit("")) != "ok", "evidence_backcut_not_ok"),
         F.when(F.col("confidence") == "low", "weak_candidate"), F.when(F.col("state_type").isNull(), "event_without_state_change"), F.when(F.col("same_trigger") > 1, "duplicate_trigger_same_sentence"), F.when(F.col("same_evidence") > 1, "duplicate_event_same_evidence"),
     ))
-    return x.withColumns({"warnings": F.array_sort(warnings), "confidence_score": lookup(F.col("confidence"), CONFIDENCE, 0.5)}).drop("same_trigger", "same_evidence")
+    return x.withColumns({"warnings": F.array_sort(warnings), "confidence_score": lookup(F.col("confidence"), CONFIDENCE, 0.5)}).drop("__people", "names", "cut", "same_trigger", "same_evidence")
 
 
 def _place(start: Column, text: Column) -> Column:
@@ -162,10 +234,15 @@ def name_before(text: Column, trigger: Column, arguments: Column) -> Column:
 SUBJECT_RULES = {"existing_subject_candidate": 0.9, "l5_argument_agent": 0.82, "l5_argument_speaker": 0.82, "l5_argument_subject": 0.82, "pronoun_back_reference": 0.45, "quoted_speech_speaker_pattern": 0.82, "nearest_character_before_trigger": 0.72}
 
 
-def enhance(exported: DataFrame, sentences: DataFrame) -> DataFrame:
-    """A subject by the first rule that finds one, with score and recommendation; the previous sentence is met by its number."""
-    before = sentences.select(F.col("para_id"), (F.col("sentence_index") + 1).alias("sentence_index"), F.col("sentence_text").alias("previous"))
-    x = exported.join(before, ["para_id", "sentence_index"], "left")
+def enhance(exported: DataFrame, sentences: DataFrame | None = None) -> DataFrame:
+    """A subject by the first rule that finds one, with score and recommendation.
+
+    The previous sentence is in exported, or is met by its number in sentences.
+    """
+    x = exported
+    if sentences is not None:
+        before = sentences.select(F.col("para_id"), (F.col("sentence_index") + 1).alias("sentence_index"), F.col("sentence_text").alias("previous"))
+        x = exported.join(before, ["para_id", "sentence_index"], "left")
     first = F.lower(F.regexp_extract("sentence_text", rf"\A{WS}*([A-Za-z\x{{4e00}}-\x{{9fff}}]+)", 1))
     named = F.filter("arguments", lambda a: F.coalesce(a["entity_text"], F.lit("")) != "")
     given = F.get(F.filter(named, lambda a: a["role"] == "subject"), 0)
@@ -293,15 +370,19 @@ def confirm(events: DataFrame, checked: DataFrame, conflicts: DataFrame) -> Data
     return x.select("normalized_event_id", "decision", conflicted.alias("conflict"), reason.alias("block_reason"), readiness.alias("readiness"), F.when(reason.isNull(), stable_id("cev", F.col("normalized_event_id"))).alias("confirmed_id"))
 
 
+def signature() -> Column:
+    """The digest of what events of one group have in common."""
+    parts = [F.col("chapter_num").cast("string"), *(F.concat(F.lit('"'), normalized(F.col(c)), F.lit('"')) for c in ("scene_key", "subject_text", "normalized_type", "object_text"))]
+    return F.unhex(sha256(F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))))
+
+
 def groups(confirmed: DataFrame) -> DataFrame:
     """Members of merge groups with their rank; a signature's members are one group."""
-    parts = [F.col("chapter_num").cast("string"), *(F.concat(F.lit('"'), normalized(F.col(c)), F.lit('"')) for c in ("scene_key", "subject_text", "normalized_type", "object_text"))]
-    signature = sha256(F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]")))
-    x = confirmed.withColumn("signature", signature)
+    x = confirmed
     by = Window.partitionBy("signature")
     rank = F.row_number().over(by.orderBy("chapter_num", "trigger_start", "confirmed_id"))
     size = F.count(F.lit(1)).over(by)
-    x = x.withColumns({"group_id": F.concat(F.lit("mg_"), F.substring("signature", 1, 16)), "member_rank": rank.cast("long"), "member_count": size})
+    x = x.withColumns({"group_id": F.concat(F.lit("mg_"), F.lower(F.hex(F.substring("signature", 1, 8)))), "member_rank": rank.cast("long"), "member_count": size})
     several = F.col("member_count") > 1
     return x.withColumns({"member_role": F.when(F.col("member_rank") == 1, "representative").otherwise("member"), "group_kind": F.when(several, "exact_event_signature").otherwise("singleton_group"), "group_confidence": F.when(several, 1.0).otherwise(0.5)})
 

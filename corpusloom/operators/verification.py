@@ -27,6 +27,11 @@ def given(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
+def cut_status(cut: Column, stored: Column) -> Column:
+    """State of evidence that has been traced: the text that its offsets cut against its stored hash."""
+    return F.when(cut.isNull(), BACKCUT[2]).when(cut == "", BACKCUT[3]).when(given(stored).isNotNull() & (stored != sha256(cut)), BACKCUT[4]).otherwise(BACKCUT[5])
+
+
 def backcut_status(evidence: DataFrame, sentences: DataFrame, paragraphs: DataFrame, chapters: DataFrame) -> DataFrame:
     """evidence with status and the text that its offsets cut.
 
@@ -48,10 +53,7 @@ def backcut_status(evidence: DataFrame, sentences: DataFrame, paragraphs: DataFr
     status = (
         F.when(lacks, BACKCUT[0])
         .when(~F.coalesce(traced, F.lit(False)) | ~F.col("has_chapter"), BACKCUT[1])
-        .when(F.col("cut").isNull(), BACKCUT[2])
-        .when(F.col("cut") == "", BACKCUT[3])
-        .when(given(F.col("evidence_hash")).isNotNull() & (F.col("evidence_hash") != sha256(F.col("cut"))), BACKCUT[4])
-        .otherwise(BACKCUT[5])
+        .otherwise(cut_status(F.col("cut"), F.col("evidence_hash")))
     )
     return e.withColumn("status", status).withColumn("evidence_text", F.when(F.col("status").isin(*BACKCUT[3:]), F.col("cut"))).drop("__key", "__s", "__e", "__in_sentences", "__in_paragraphs", "has_chapter", "cut")
 

@@ -525,3 +525,41 @@ def test_rows_of_one_term_stay_where_they_are(spark):
     assert [spread(df) for df in (D.appearances(near, aliases), D.alias_occurrences(near, aliases), D.pattern_spans(near, patterns))] == [4] * 3
     plan = EV.triggers(near, EV.rule_table(spark, [("r", "speech", "speak", ["said"], [], "high", None)]))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning(term" not in plan and "hashpartitioning(__term" not in plan
+
+
+def test_events_meet_their_context_where_they_are(spark, tiny):
+    """One pass over a chapter finds what the joins of stored layers find, and neither writes nor moves anything."""
+    from corpusloom.plans import registry
+    from corpusloom.sources import staging
+    from corpusloom.sources.corpus import chapters
+
+    texts = [
+        "Amy met Bob. He said so and said no. It ended\nnext Bob said",
+        "Bob said. Bob said. never Bob said",
+        "- - -\n" + "long " * 30 + "said. Amy sat\n" + "Amy " * 40,
+        "Amy said it. Bobby and Amy went",
+        "",
+        None,
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = chapters(docs)
+    rules = EV.rule_table(spark, [("low", "speech", "speak", ["said", "so"], ["never"], "high", None), ("first", "speech", "tell", ["said", "said so"], ["ended"], "low", ("a", "b", "c")), ("second", "speech", "ask", ["said", "Bob said"], [], "low", None)])
+    aliases = D.alias_table(spark, [("a", "Amy", None, None), ("b", "Bob", 1, 2), ("c", "Bob", 2, None), ("b", "Bobby", None, None), ("b", "Bob", 2, 3)])
+    got = EV.in_context(rows, rules, aliases, 60)
+    assert not any(x in got._jdf.queryExecution().executedPlan().toString() for x in ("hashpartitioning", "Join"))
+    sentences = C.sentences(rows)
+    events = EV.triggers(sentences, rules).filter("kept")
+    same = ["event_id", "rule_id", "trigger_text", "chapter_num", "sentence_id", "para_id", "sentence_hash", "sentence_text", "state_type", "confidence", "trigger_start", "trigger_end", "start_offset", "end_offset"]
+    assert sorted(map(repr, got.select(same).collect())) == sorted(map(repr, events.select(same).collect())) and got.count() > 10
+    names = got.select("event_id", F.explode("names").alias("n")).select("event_id", "n.character_id", "n.entity_text", "n.scope", "n.match_start")
+    args = EV.arguments(events, D.appearances(sentences, aliases)).filter("role = 'character'").select(names.columns)
+    assert sorted(map(repr, names.collect())) == sorted(map(repr, args.collect())) and {r["scope"] for r in names.collect()} == {"same_sentence", "same_paragraph"}
+    scenes = EV.enclosing_scene(events, C.blocks(rows, 60))
+    assert sorted(map(repr, got.select(scenes.columns).collect())) == sorted(map(repr, scenes.collect()))
+    near = {(r["para_id"], r["sentence_index"]): r["sentence_text"] for r in sentences.collect()}
+    assert all(r["previous"] == near.get((r["para_id"], r["sentence_index"] - 1)) and r["cut"] == r["sentence_text"] for r in got.collect())
+    assert sorted(r["same_evidence"] for r in got.filter("chapter_num = 2").collect()) == sorted(r["count"] for r in events.filter("chapter_num = 2").groupBy("sentence_hash").count().collect() for _ in range(r["count"]))
+
+    before = set(staging._written)
+    review = registry.queries()["a09_enhancement_metrics"](spark, tiny)
+    assert set(staging._written) == before and "hashpartitioning" not in review._jdf.queryExecution().executedPlan().toString()
