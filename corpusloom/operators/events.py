@@ -406,7 +406,7 @@ def global_positions(df: DataFrame, part: Column, *order: str) -> DataFrame:
 def timeline(members: DataFrame, eras: DataFrame) -> DataFrame:
     """One anchor a group, in narrative order, with the relation to the next one; eras: chapter_num, era."""
     g = members.groupBy("group_id").agg(F.min("chapter_num").alias("chapter_num"), F.min(F.coalesce("scene_index", F.lit(0))).alias("scene_index"), F.min(F.coalesce("trigger_start", F.lit(0))).alias("evidence_offset"), F.first("member_count").alias("member_count"))
-    placed = global_positions(g, F.col("chapter_num"), "scene_index", "evidence_offset", "group_id").join(eras, "chapter_num", "left")
+    placed = materialize(global_positions(g, F.col("chapter_num"), "scene_index", "evidence_offset", "group_id").join(eras, "chapter_num", "left"), "placed-groups", compact=True)
     kind = F.when(F.col("era").isNotNull(), "era_anchor").otherwise("chapter_order_anchor")
     key = F.format_string("ch%06d:scene%06d:evidence%08d", "chapter_num", "position", "evidence_offset")
     a = placed.withColumns({"anchor_id": stable_id("tla", F.col("group_id")), "anchor_kind": kind, "anchor_confidence": F.when(F.col("era").isNotNull(), "medium").otherwise("low"), "order_key": key, "absolute_order_key": F.when(F.col("era").isNotNull(), F.concat(F.lit("era:"), F.col("era"), F.lit(":"), key)).otherwise("")})
